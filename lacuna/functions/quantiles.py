@@ -26,11 +26,15 @@ def _long_values(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(F.explode(pairs).alias("p")).select("p.k", "p.v").where(F.col("v").isNotNull())
 
 
-def exact_kth(df: DataFrame, cols: list[str], ranks: dict[int, list[int]],
+def exact_kth(df: DataFrame, cols: list[str] | None, ranks: dict[int, list[int]],
               bins: int = 4096, max_collect: int = 200_000, stats=None) -> dict[tuple[int, int], float]:
-    """Values of 0-based ranks per column index: {(k, rank): value}."""
+    """Values of 0-based ranks per column index: {(k, rank): value}.
+
+    ``cols=None`` means ``df`` is already a long (k int, v double) table of
+    non-null values, e.g. one key per (method, column).
+    """
     spark = df.sparkSession
-    long = _long_values(df, cols)
+    long = df if cols is None else _long_values(df, cols)
     if stats is None:
         stats = {r["k"]: (r["n"], r["lo"], r["hi"]) for r in
                  long.groupBy("k").agg(F.count("*").alias("n"), F.min("v").alias("lo"),
@@ -97,6 +101,27 @@ def exact_kth(df: DataFrame, cols: list[str], ranks: dict[int, list[int]],
     return out
 
 
+def exact_quantiles_long(long: DataFrame, probs: list[float], **kw) -> dict[int, list]:
+    """Quantiles per key of a long (k int, v double) table."""
+    long = long.where(F.col("v").isNotNull())
+    stats = {r["k"]: (r["n"], r["lo"], r["hi"]) for r in
+             long.groupBy("k").agg(F.count("*").alias("n"), F.min("v").alias("lo"),
+                                   F.max("v").alias("hi")).collect()}
+    ranks = {k: [r for p in probs for r in (math.floor((n - 1) * p), math.ceil((n - 1) * p))]
+             for k, (n, _, _) in stats.items()}
+    vals = exact_kth(long, None, ranks, stats=stats, **kw)
+    out = {}
+    for k, (n, _, _) in stats.items():
+        qs = []
+        for p in probs:
+            h = (n - 1) * p
+            lo, hi = math.floor(h), math.ceil(h)
+            a, b = vals[(k, lo)], vals[(k, hi)]
+            qs.append(a + (h - lo) * (b - a))
+        out[k] = qs
+    return out
+
+
 def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float], **kw) -> dict[str, list]:
     """Linear-interpolated quantiles (pandas default) for several columns in shared passes."""
     long = _long_values(df, cols)
