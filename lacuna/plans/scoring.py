@@ -333,3 +333,229 @@ SELECT method, round(rmse, 4) AS rmse,
          AS improvement_pct
 FROM s"""
 query("q21b_improvement_over_mean", Q21B_SQL)(q21b)
+
+
+# ------------------------------------------------------------------ Q22-Q24 documents analyses
+from lacuna.operators import analysis as A  # noqa: E402
+
+Q22_METHODS = ("mean", "median")
+
+
+def _doc_views(spark, sf, names=Q22_METHODS, extra=()):
+    """truth / observed / filled views of the document features, stacked by method."""
+    m = doc_masked(spark, sf)
+    parts = {"truth": m.select(*[F.col(c + "__truth").alias(c) for c in DOC_FEATS], "lang"),
+             "observed": m.select(*DOC_FEATS, "lang")}
+    fills = doc_fills(spark, sf, names)
+    for n, d in fills.items():
+        parts[n] = d.select(*DOC_FEATS, "lang")
+    return A.stack(parts)
+
+
+def _doc_views_sql(names=Q22_METHODS) -> str:
+    sel = ", ".join(DOC_FEATS)
+    parts = [f"SELECT 'truth' AS method, {', '.join(f'{c}__truth AS {c}' for c in DOC_FEATS)}, lang FROM m",
+             f"SELECT 'observed' AS method, {sel}, lang FROM m"]
+    parts += [f"SELECT '{n}' AS method, {sel}, lang FROM f_{n}" for n in names]
+    return doc_fills_sql(names) + ",\nviews AS (" + " UNION ALL ".join(parts) + ")"
+
+
+def q22(spark, sf):
+    mt = A.moment_table(A.long_values(_doc_views(spark, sf), DOC_FEATS))
+    tv = mt.where(F.col("method") == "truth").select("column_name", F.col("variance").alias("tvar"))
+    out = mt.join(F.broadcast(tv), "column_name")
+    return out.select("method", "column_name", "n", F.round("mean", 4).alias("mean"),
+                      F.round("median", 4).alias("median"), F.round("variance", 2).alias("variance"),
+                      F.round("skewness", 4).alias("skewness"), F.round("kurtosis", 4).alias("kurtosis"),
+                      F.round((F.col("tvar") - F.col("variance")) / F.col("tvar") * 100, 4).alias("var_change_pct"))
+
+
+Q22_SQL = _doc_views_sql() + ",\nlong AS (" + " UNION ALL ".join(
+    f"SELECT method, '{c}' AS column_name, {c} AS v FROM views" for c in DOC_FEATS) + """),
+mom AS (SELECT l.method, l.column_name, count(v) AS n, avg(v) AS mean, median(v) AS median, var_samp(v) AS variance,
+               avg(power(v - mu, 3)) / power(avg(power(v - mu, 2)), 1.5) AS skewness,
+               avg(power(v - mu, 4)) / power(avg(power(v - mu, 2)), 2) - 3 AS kurtosis
+        FROM long l JOIN (SELECT method, column_name, avg(v) AS mu FROM long GROUP BY 1, 2) a
+          ON l.method = a.method AND l.column_name = a.column_name
+        WHERE v IS NOT NULL GROUP BY l.method, l.column_name)
+SELECT m.method, m.column_name, m.n, round(m.mean, 4) AS mean, round(m.median, 4) AS median,
+       round(m.variance, 2) AS variance, round(m.skewness, 4) + 0.0 AS skewness, round(m.kurtosis, 4) + 0.0 AS kurtosis,
+       round((t.variance - m.variance) / t.variance * 100, 4) + 0.0 AS var_change_pct
+FROM mom m JOIN mom t ON t.method = 'truth' AND t.column_name = m.column_name"""
+query("q22_moment_preservation", Q22_SQL)(q22)
+
+
+def q23(spark, sf):
+    ps = A.pair_stats(_doc_views(spark, sf), DOC_FEATS)
+    return ps.select("method", "col_a", "col_b", F.round("corr", 6).alias("corr"),
+                     F.round("covariance", 2).alias("covariance"))
+
+
+def _pairs():
+    from itertools import combinations
+    return list(combinations(DOC_FEATS, 2))
+
+
+Q23_SQL = _doc_views_sql() + "\n" + " UNION ALL ".join(
+    f"SELECT method, '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 6) + 0.0 AS corr, "
+    f"round(covar_samp({a}, {b}), 2) + 0.0 AS covariance FROM views GROUP BY method" for a, b in _pairs())
+query("q23_correlation_covariance", Q23_SQL)(q23)
+
+Q24_METHODS = ("group_mean", "mean")
+
+
+def q24(spark, sf):
+    v = _doc_views(spark, sf, Q24_METHODS).where(F.col("method") != "observed")
+    return A.between_group_variance(v, "lang", "n_words").select(
+        "method", F.round("between_var", 4).alias("between_var"))
+
+
+Q24_SQL = _doc_views_sql(Q24_METHODS) + """
+SELECT method, round(var_pop(gm), 4) AS between_var
+FROM (SELECT method, lang, avg(n_words) AS gm FROM views WHERE method <> 'observed' GROUP BY method, lang) g
+GROUP BY method"""
+query("q24_group_difference", Q24_SQL)(q24)
+
+
+def q24b(spark, sf):
+    v = _doc_views(spark, sf, Q24_METHODS)
+    return A.group_table(v, "lang", "n_words").select(
+        "method", "lang", "n", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"))
+
+
+Q24B_SQL = _doc_views_sql(Q24_METHODS) + """
+SELECT method, lang, count(n_words) AS n, round(avg(n_words), 4) AS mean, round(stddev_samp(n_words), 4) AS std
+FROM views GROUP BY method, lang"""
+query("q24b_group_table", Q24B_SQL)(q24b)
+
+
+# ------------------------------------------------------------------ Q25 outliers
+def q25(spark, sf):
+    o = load(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    o = inject_outliers(o, "o_orderkey", "o_totalprice", 20, 10.0, salt=97)
+    m = _mask(o.withColumn("__id", F.col("o_orderkey")), {"o_totalprice": (1, 250)}, truth=True)
+    cols = ["o_totalprice"]
+    mean_m = MeanImputer(columns=cols).fit(m)
+    med_m = MedianImputer(columns=cols).fit(m)
+    res = {"mean": mean_m.transform(m), "median": med_m.transform(m)}
+    sc = E.numeric_scores(E.stack_methods(res, cols), cols)
+    fv = spark.createDataFrame([("mean", float(mean_m.statistics_["o_totalprice"])),
+                                ("median", float(med_m.statistics_["o_totalprice"]))],
+                               "method string, fill_value double")
+    return sc.join(fv, "method").select("method", F.round("fill_value", 4).alias("fill_value"),
+                                        F.round("rmse", 4).alias("rmse"), F.round("mae", 4).alias("mae"))
+
+
+Q25_SQL = f"""
+WITH mx AS (SELECT max(o_totalprice) AS mx FROM orders),
+pick AS (SELECT o_orderkey FROM (SELECT o_orderkey, row_number() OVER (
+           ORDER BY ((o_orderkey + 1) * {mult(97)}) % {PRIME}, o_orderkey) AS rn FROM orders) t WHERE rn <= 20),
+o AS (SELECT o.o_orderkey, CASE WHEN pick.o_orderkey IS NOT NULL THEN 10.0 * mx.mx ELSE o.o_totalprice END AS t
+      FROM orders o LEFT JOIN pick ON o.o_orderkey = pick.o_orderkey CROSS JOIN mx),
+m AS (SELECT o_orderkey, t, CASE WHEN ((o_orderkey + 1) * {mult(1)}) % {PRIME} % 1000 < 250 THEN NULL ELSE t END AS v FROM o),
+s AS (SELECT 'mean' AS method, avg(v) AS fv FROM m UNION ALL SELECT 'median', median(v) FROM m)
+SELECT s.method, round(s.fv, 4) AS fill_value, round(sqrt(avg((s.fv - m.t) * (s.fv - m.t))), 4) AS rmse,
+       round(avg(abs(s.fv - m.t)), 4) AS mae
+FROM m CROSS JOIN s WHERE m.v IS NULL GROUP BY s.method, s.fv"""
+query("q25_outlier_robustness", Q25_SQL)(q25)
+
+
+# ------------------------------------------------------------------ Q26 distributions and errors
+Q26_COL = "l_extendedprice"
+Q26_METHODS = ("mean", "median")
+
+
+def _q26_scored(spark, sf):
+    m = masked(spark, sf, "lineitem", LINEITEM_ID, LI_MASKS, truth=True)
+    cols = [Q26_COL]
+    return m, {"mean": MeanImputer(columns=cols).fit_transform(m),
+               "median": MedianImputer(columns=cols).fit_transform(m)}
+
+
+def _q26_ctes():
+    ctes = [f"m AS ({masked_sql('lineitem', LI_COLS, LINEITEM_ID, LI_MASKS, truth=True)})"]
+    for n in Q26_METHODS:
+        ctes.append(f"f_{n} AS ({fill_sql('avg' if n == 'mean' else 'median', LI_COLS, [Q26_COL])})")
+    ctes.append("held AS (" + " UNION ALL ".join(
+        f"SELECT '{n}' AS method, l_orderkey, l_partkey, l_suppkey, l_linenumber, {Q26_COL}__truth AS t, "
+        f"{Q26_COL} AS f FROM f_{n} WHERE {Q26_COL}__mask" for n in Q26_METHODS) + ")")
+    return "WITH " + ",\n".join(ctes)
+
+
+def q26(spark, sf):
+    m, res = _q26_scored(spark, sf)
+    lo, hi = m.agg(F.min(Q26_COL + "__truth"), F.max(Q26_COL + "__truth")).first()
+    parts = []
+    for n, d in res.items():
+        h = d.where(F.col(Q26_COL + "__mask"))
+        parts.append(h.select(F.lit(n).alias("method"), F.lit("truth").alias("series"),
+                              F.col(Q26_COL + "__truth").alias("v")))
+        parts.append(h.select(F.lit(n).alias("method"), F.lit("fill").alias("series"), F.col(Q26_COL).alias("v")))
+    from functools import reduce
+    long = reduce(lambda a, b: a.unionByName(b), parts)
+    return A.histogram(long, lo, hi, 20)
+
+
+Q26_SQL = _q26_ctes() + """,
+r AS (SELECT min(l_extendedprice__truth) AS lo, max(l_extendedprice__truth) AS hi FROM m),
+long AS (SELECT method, 'truth' AS series, t AS v FROM held UNION ALL SELECT method, 'fill', f FROM held)
+SELECT method, series, CAST(least(floor((v - lo) / (hi - lo) * 20), 19) AS INTEGER) AS bin, count(*) AS n
+FROM long CROSS JOIN r WHERE v IS NOT NULL GROUP BY 1, 2, 3"""
+query("q26_distribution_histogram", Q26_SQL)(q26)
+
+
+def q26b(spark, sf):
+    _, res = _q26_scored(spark, sf)
+    from functools import reduce
+    long = reduce(lambda a, b: a.unionByName(b), [
+        d.where(F.col(Q26_COL + "__mask")).select(
+            F.lit(n).alias("method"), F.abs(F.col(Q26_COL) - F.col(Q26_COL + "__truth")).alias("v"))
+        for n, d in res.items()])
+    q = A.grouped_quantiles(long, ["method"], "v", [0.0, 0.25, 0.5, 0.75, 1.0])
+    names = ["p0", "p25", "p50", "p75", "p100"]
+    return q.select("method", *[F.round(f"q{i}", 4).alias(n) for i, n in enumerate(names)])
+
+
+Q26B_SQL = _q26_ctes() + """
+SELECT method, round(quantile_cont(abs(f - t), 0.0), 4) AS p0, round(quantile_cont(abs(f - t), 0.25), 4) AS p25,
+       round(quantile_cont(abs(f - t), 0.5), 4) AS p50, round(quantile_cont(abs(f - t), 0.75), 4) AS p75,
+       round(quantile_cont(abs(f - t), 1.0), 4) AS p100
+FROM held GROUP BY method"""
+query("q26b_error_spread", Q26B_SQL)(q26b)
+
+
+def q26c(spark, sf):
+    _, res = _q26_scored(spark, sf)
+    from functools import reduce
+    return reduce(lambda a, b: a.unionByName(b), [
+        d.where(F.col(Q26_COL + "__mask")).select(
+            F.lit(n).alias("method"), "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+            F.round(F.col(Q26_COL + "__truth"), 4).alias("truth"), F.round(Q26_COL, 4).alias("fill"))
+        for n, d in res.items()])
+
+
+Q26C_SQL = _q26_ctes() + """
+SELECT method, l_orderkey, l_partkey, l_suppkey, l_linenumber, round(t, 4) AS truth, round(f, 4) AS fill FROM held"""
+query("q26c_true_vs_imputed", Q26C_SQL)(q26c)
+
+
+def q26d(spark, sf):
+    fills = doc_fills(spark, sf, ("mean", "group_mean"))
+    m = doc_masked(spark, sf)
+    first = m.where(F.col("n_words__mask")).agg(F.min("doc_id")).first()[0]
+    a = fills["mean"].where(F.col("doc_id") == first).select("doc_id", F.col("n_words__truth").alias("truth"),
+                                                             F.col("n_words").alias("mean_fill"))
+    b = fills["group_mean"].where(F.col("doc_id") == first).select("doc_id", F.col("n_words").alias("group_fill"))
+    j = a.join(b, "doc_id")
+    return j.select("doc_id", F.round("truth", 4).alias("truth"), F.round("mean_fill", 4).alias("mean_fill"),
+                    F.round("group_fill", 4).alias("group_fill"),
+                    F.round(F.abs(F.col("mean_fill") - F.col("truth")), 4).alias("abs_err_mean"),
+                    F.round(F.abs(F.col("group_fill") - F.col("truth")), 4).alias("abs_err_group"))
+
+
+Q26D_SQL = doc_fills_sql(("mean", "group_mean")) + """,
+first AS (SELECT min(doc_id) AS d FROM m WHERE n_words__mask)
+SELECT a.doc_id, round(a.n_words__truth, 4) AS truth, round(a.n_words, 4) AS mean_fill, round(b.n_words, 4) AS group_fill,
+       round(abs(a.n_words - a.n_words__truth), 4) AS abs_err_mean, round(abs(b.n_words - a.n_words__truth), 4) AS abs_err_group
+FROM f_mean a JOIN f_group_mean b ON a.doc_id = b.doc_id JOIN first ON a.doc_id = first.d"""
+query("q26d_cell_audit", Q26D_SQL)(q26d)
