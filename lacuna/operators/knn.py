@@ -335,3 +335,157 @@ class EnhancedKNNImputer(Imputer):
         modes = column_modes(df, cat)
         return EnhancedKNNModel(self.id_col, dist, num, cat, self.k, self.weights, means, modes,
                                 self.block_rows, self.broadcast_bytes)
+
+
+# ---------------------------------------------------------------- MOD3 similarity partial mean
+#
+# Each hole takes the mean of its k = max(1, int(n_available * fraction)) most
+# similar donors.  k grows with the table, so candidate lists are never built.
+# Pass 1 counts donors (and sums their values) per receiver in fine
+# logarithmic distance bins; a window over those small per-receiver
+# histograms finds the bin holding the k-th donor.  Pass 2 revisits the block
+# pairs and emits only the donors that fall in that one bin, ordered by
+# (distance, donor id) to take exactly the ones still needed.
+
+BINS_PER_OCTAVE = 64
+INF_BIN = 1 << 20
+ZERO_BIN = -(1 << 20)
+
+
+def _ss_other(Xr, Xd, Mr, Md, j):
+    """Unscaled squared Euclidean over the other columns both rows have; inf if none."""
+    cols = [i for i in range(Xr.shape[1]) if i != j]
+    ss = np.zeros((len(Xr), len(Xd)))
+    sh = np.zeros((len(Xr), len(Xd)))
+    for i in cols:
+        both = Mr[:, i, None] & Md[None, :, i]
+        diff = np.where(both, Xr[:, i, None] - Xd[None, :, i], 0.0)
+        ss += diff * diff
+        sh += both
+    return np.where(sh > 0, ss, np.inf)
+
+
+def _bin_of(ss: np.ndarray) -> np.ndarray:
+    with np.errstate(divide="ignore", invalid="ignore"):
+        b = np.floor(np.log2(ss) * BINS_PER_OCTAVE)
+    b = np.where(ss == 0, ZERO_BIN, b)
+    b = np.where(np.isinf(ss), INF_BIN, b)
+    return b.astype("int64")
+
+
+def _hist_block(feats, targets):
+    def fn(rp, dp):
+        Xr = rp[feats].to_numpy(dtype="float64")
+        Xd = dp[feats].to_numpy(dtype="float64")
+        Mr, Md = ~np.isnan(Xr), ~np.isnan(Xd)
+        rid = rp["__id"].to_numpy()
+        outs = []
+        for j in targets:
+            ri, di = np.nonzero(~Mr[:, j])[0], np.nonzero(Md[:, j])[0]
+            if len(ri) == 0 or len(di) == 0:
+                continue
+            b = _bin_of(_ss_other(Xr[ri], Xd[di], Mr[ri], Md[di], j))
+            v = np.broadcast_to(Xd[di, j], b.shape)
+            r = np.broadcast_to(rid[ri][:, None], b.shape)
+            t = pd.DataFrame({"rid": r.ravel(), "bin": b.ravel(), "v": v.ravel()})
+            g = t.groupby(["rid", "bin"], sort=False).agg(cnt=("v", "size"), sv=("v", "sum")).reset_index()
+            g["j"] = j
+            outs.append(g)
+        if not outs:
+            return pd.DataFrame({"rid": [], "j": [], "bin": [], "cnt": [], "sv": []})
+        return pd.concat(outs, ignore_index=True)[["rid", "j", "bin", "cnt", "sv"]]
+    return fn
+
+
+def _boundary_block(feats, targets):
+    def fn(rp, dp):
+        Xr = rp[feats].to_numpy(dtype="float64")
+        Xd = dp[feats].to_numpy(dtype="float64")
+        Mr, Md = ~np.isnan(Xr), ~np.isnan(Xd)
+        rid, sid = rp["__id"].to_numpy(), dp["__id"].to_numpy()
+        outs = []
+        for j in targets:
+            want = rp[f"__bin{j}"].to_numpy()
+            ri = np.nonzero(~Mr[:, j] & ~pd.isna(want))[0]
+            di = np.nonzero(Md[:, j])[0]
+            if len(ri) == 0 or len(di) == 0:
+                continue
+            ss = _ss_other(Xr[ri], Xd[di], Mr[ri], Md[di], j)
+            hit = _bin_of(ss) == want[ri].astype("int64")[:, None]
+            a, b = np.nonzero(hit)
+            outs.append(pd.DataFrame({"rid": rid[ri][a], "j": np.full(len(a), j, dtype="int32"),
+                                      "sid": sid[di][b], "dist2": ss[a, b], "v": Xd[di[b], j]}))
+        if not outs:
+            return pd.DataFrame({"rid": [], "j": [], "sid": [], "dist2": [], "v": []})
+        return pd.concat(outs, ignore_index=True)
+    return fn
+
+
+class SimilarityPartialMeanModel(ImputerModel):
+    def __init__(self, id_col, cols, fraction, means, block_rows, broadcast_bytes):
+        self.id_col, self.cols, self.fraction = id_col, cols, fraction
+        self.means, self.block_rows, self.broadcast_bytes = means, block_rows, broadcast_bytes
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        cols = self.cols
+        targets = list(range(len(cols)))
+        sel = [F.col(self.id_col).cast("long").alias("__id")] + [clean(df, c).cast("double").alias(c) for c in cols]
+        hole = None
+        for c in cols:
+            h = clean(df, c).isNull()
+            hole = h if hole is None else (hole | h)
+        rec = df.where(hole).select(*sel)
+        don = df.select(*sel)
+        n_avail = df.agg(*[F.count(clean(df, c)).alias(c) for c in cols]).first()
+        ks = {i: max(1, int(n_avail[c] * self.fraction)) for i, c in enumerate(cols)}
+        hist = _blocked(rec, don, self.block_rows, self.broadcast_bytes, len(cols),
+                        _hist_block(cols, targets), "rid long, j int, bin long, cnt long, sv double")
+        hist = hist.groupBy("rid", "j", "bin").agg(F.sum("cnt").alias("cnt"), F.sum("sv").alias("sv"))
+        kcol = F.element_at(F.array(*[F.lit(ks[i]) for i in targets]), F.col("j") + 1)
+        w = Window.partitionBy("rid", "j").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+        hist = hist.withColumn("before", F.coalesce(F.sum("cnt").over(w), F.lit(0))) \
+                   .withColumn("sbefore", F.coalesce(F.sum("sv").over(w), F.lit(0.0))) \
+                   .withColumn("k", kcol)
+        # k is capped by the donors available, as a sort would do
+        total = Window.partitionBy("rid", "j")
+        hist = hist.withColumn("k", F.least(F.col("k"), F.sum("cnt").over(total)))
+        bnd = hist.where((F.col("before") < F.col("k")) & (F.col("before") + F.col("cnt") >= F.col("k"))) \
+                  .select("rid", "j", "bin", (F.col("k") - F.col("before")).alias("need"),
+                          F.col("sbefore"), "k").checkpoint()
+        # pass 2: receivers carry their boundary bin per column
+        wide = bnd.groupBy("rid").agg(*[F.max(F.when(F.col("j") == i, F.col("bin"))).alias(f"__bin{i}")
+                                        for i in targets])
+        rec2 = rec.join(wide, rec["__id"] == wide["rid"]).drop("rid")
+        cand = _blocked(rec2, don, self.block_rows, self.broadcast_bytes, len(cols),
+                        _boundary_block(cols, targets), CAND_SCHEMA)
+        cw = Window.partitionBy("rid", "j").orderBy("dist2", "sid")
+        taken = cand.withColumn("rank", F.row_number().over(cw)).join(
+            bnd.select("rid", "j", "need"), ["rid", "j"]).where(F.col("rank") <= F.col("need")) \
+            .groupBy("rid", "j").agg(F.sum("v").alias("sb"))
+        fills = bnd.join(taken, ["rid", "j"], "left").select(
+            "rid", "j", ((F.col("sbefore") + F.coalesce("sb", F.lit(0.0))) / F.col("k")).alias("fill"))
+        fallback = {c: (self.means[c] if self.means.get(c) is not None else 0.0) for c in cols}
+        return _apply_fills(df, self.id_col, cols, fills, fallback)
+
+
+class SimilarityPartialMeanImputer(Imputer):
+    """Mean of the most similar fraction of donors (MOD3).
+
+    Distance: unscaled Euclidean ('euclidean') over the other columns both rows
+    have (no shared column: infinitely far).  Ties go to the smaller donor id.
+    """
+
+    def __init__(self, id_col: str, subset_size: float = 0.3, similarity_metric: str = "euclidean",
+                 columns=None, exclude=(), block_rows: int = BLOCK_ROWS, broadcast_bytes: int = BROADCAST_BYTES):
+        if similarity_metric != "euclidean":
+            raise ValueError("only 'euclidean' is supported")
+        self.id_col, self.fraction = id_col, subset_size
+        self.columns, self.exclude = columns, tuple(exclude)
+        self.block_rows, self.broadcast_bytes = block_rows, broadcast_bytes
+
+    def fit(self, df):
+        self._check_input(df)
+        cols = resolve_columns(df, self.columns, "numeric", list(self.exclude) + [self.id_col])
+        row = df.agg(*[F.avg(clean(df, c)).alias(c) for c in cols]).first()
+        return SimilarityPartialMeanModel(self.id_col, cols, self.fraction, row.asDict(),
+                                          self.block_rows, self.broadcast_bytes)
