@@ -16,20 +16,22 @@ from pyspark.sql import DataFrame
 from lacuna.functions.columns import resolve_columns
 from lacuna.functions.quantiles import exact_quantiles_multi
 from lacuna.operators.base import Imputer, ImputerModel
-from lacuna.operators.moments import PatternMoments, apply_pattern_maps, patterns_of
+from lacuna.operators.moments import PatternMoments, apply_pattern_maps, decode, hole_columns, patterns_of
 
 RIDGE = 1e-6  # fixed value: ridge added to covariance blocks before inversion
 
 
-def conditional_maps(pm: PatternMoments, mu: np.ndarray, cov: np.ndarray, patterns) -> dict[int, np.ndarray]:
+def conditional_maps(pm: PatternMoments, mu: np.ndarray, cov: np.ndarray, patterns,
+                     hole_idx: list[int] | None = None) -> dict[int, np.ndarray]:
     """z-space E-step maps: holes <- mu_m + S_mo (S_oo + ridge)^-1 (z_o - mu_o).
 
     The ridge is 1e-6 in the original units, i.e. 1e-6 / s^2 in z units, so the
     result equals the computation on raw values."""
     d = len(pm.cols)
+    hidx = pm.hole_idx if hole_idx is None else hole_idx
     out = {}
     for p in patterns:
-        miss = np.array([(p >> j) & 1 == 1 for j in range(d)])
+        miss = decode(p, hidx, d)
         obs = ~miss
         W = np.zeros((d, d + 1))
         for i in np.nonzero(obs)[0]:
@@ -76,15 +78,17 @@ class GaussianModel(ImputerModel):
         self.log_likelihood_ = history[-1] if history else None
         self.n_iter_ = n_iter
 
-    def maps(self, patterns) -> dict[int, np.ndarray]:
-        mz = conditional_maps(self.pm, self.mu_z, self.cov_z, patterns)
+    def maps(self, patterns, hole_idx) -> dict[int, np.ndarray]:
+        mz = conditional_maps(self.pm, self.mu_z, self.cov_z, patterns, hole_idx)
         return {p: self.pm.to_x_map(W) for p, W in mz.items()}
 
     def transform(self, df: DataFrame) -> DataFrame:
         """One E-step with the fitted mean and covariance: each row's fill depends
         only on its own observed cells, so this also works on new data and streams."""
-        cols = [c for c in self.cols if c in df.columns]
-        return apply_pattern_maps(df, cols, self.maps(patterns_of(df, cols)))
+        cols = self.cols
+        hidx = hole_columns(df, cols)
+        pats = patterns_of(df, [cols[i] for i in hidx])
+        return apply_pattern_maps(df, cols, self.maps(pats, hidx), hidx)
 
     def _stat_rows(self):
         rows = [(c, "mu", float(v)) for c, v in zip(self.cols, self.mu_)]
@@ -175,7 +179,7 @@ class IterativeModel(ImputerModel):
 
     def transform(self, df):
         maps = {int(p): self.pm.to_x_map(W) for p, W in zip(self.pm.patterns, self.W_z)}
-        return apply_pattern_maps(df, self.cols, maps)
+        return apply_pattern_maps(df, self.cols, maps, self.pm.hole_idx)
 
 
 class IterativeImputer(Imputer):

@@ -31,7 +31,8 @@ class LowRankModel(ImputerModel):
         self.n_iter_, self.singular_values_ = n_iter, singular_values
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return apply_pattern_maps(df, self.cols, {int(p): W for p, W in zip(self.pm.patterns, self.W_x)})
+        return apply_pattern_maps(df, self.cols, {int(p): W for p, W in zip(self.pm.patterns, self.W_x)},
+                                  self.pm.hole_idx)
 
     def explained_variance(self, spark) -> DataFrame:
         """Component, singular value, share of s^2 and running share (MOD6)."""

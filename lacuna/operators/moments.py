@@ -23,6 +23,34 @@ from pyspark.sql import functions as F
 from lacuna.functions.columns import clean, pattern_bits
 
 MAX_PATTERNS = 4096
+WIDE = 24  # above this many columns, Gram blocks come from numpy per Arrow batch
+
+
+def _wide_moments(zz: DataFrame, d: int, max_patterns: int):
+    """Per-pattern [1, z][1, z]^T summed per batch in numpy, then across batches
+    by a grouped sum over (pattern, cell) - partial Grams, never rows, move."""
+    iu = np.triu_indices(d + 1)
+
+    def part(it):
+        for pdf in it:
+            Z = pdf[[f"z{i}" for i in range(d)]].to_numpy(dtype="float64")
+            A = np.hstack([np.ones((len(Z), 1)), Z])
+            for p in np.unique(pdf["__p"].to_numpy()):
+                sel = pdf["__p"].to_numpy() == p
+                G = A[sel].T @ A[sel]
+                yield pd.DataFrame({"p": np.full(len(iu[0]), p, dtype="int64"),
+                                    "cell": np.arange(len(iu[0]), dtype="int32"), "v": G[iu]})
+    long = zz.mapInPandas(part, "p long, cell int, v double").groupBy("p", "cell").agg(F.sum("v").alias("v"))
+    rows = long.collect()
+    pats = sorted({r["p"] for r in rows})
+    if len(pats) > max_patterns:
+        raise ValueError(f"{len(pats)} missing patterns exceed the cap of {max_patterns}")
+    pos = {p: k for k, p in enumerate(pats)}
+    Q = np.zeros((len(pats), d + 1, d + 1))
+    for r in rows:
+        i, j = iu[0][r["cell"]], iu[1][r["cell"]]
+        Q[pos[r["p"]], i, j] = Q[pos[r["p"]], j, i] = r["v"]
+    return Q, pats
 
 
 class PatternMoments:
@@ -35,32 +63,40 @@ class PatternMoments:
     def __init__(self, df: DataFrame, cols: list[str], max_patterns: int = MAX_PATTERNS):
         self.cols = cols
         d = len(cols)
-        st = df.agg(*[x for i, c in enumerate(cols) for x in
-                      (F.avg(clean(df, c)).alias(f"m{i}"), F.stddev_pop(clean(df, c)).alias(f"s{i}"))]).first()
+        st = df.agg(F.count(F.lit(1)).alias("n"), *[x for i, c in enumerate(cols) for x in
+                    (F.avg(clean(df, c)).alias(f"m{i}"), F.stddev_pop(clean(df, c)).alias(f"s{i}"),
+                     F.count(clean(df, c)).alias(f"c{i}"))]).first()
+        # pattern bits cover only the columns that have holes (at most 62 of them)
+        self.hole_idx = [i for i in range(d) if st[f"c{i}"] < st["n"]]
+        if len(self.hole_idx) > 62:
+            raise ValueError("more than 62 columns with holes: pattern bitmask too wide")
         self.m = np.array([st[f"m{i}"] if st[f"m{i}"] is not None else 0.0 for i in range(d)])
         self.s = np.array([st[f"s{i}"] if st[f"s{i}"] else 1.0 for i in range(d)])
         z = [F.coalesce((clean(df, c).cast("double") - F.lit(self.m[i])) / F.lit(self.s[i]), F.lit(0.0))
              for i, c in enumerate(cols)]
-        pat = pattern_bits(df, cols)
+        pat = pattern_bits(df, [cols[i] for i in self.hole_idx])
         zz = df.select(pat.alias("__p"), *[v.alias(f"z{i}") for i, v in enumerate(z)])
-        aggs = [F.count(F.lit(1)).alias("n")] + [F.sum(f"z{i}").alias(f"s{i}") for i in range(d)]
-        aggs += [F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"q{i}_{j}") for i in range(d) for j in range(i, d)]
-        rows = zz.groupBy("__p").agg(*aggs).collect()
-        if len(rows) > max_patterns:
-            raise ValueError(f"{len(rows)} missing patterns exceed the cap of {max_patterns}")
-        self.patterns = [r["__p"] for r in rows]
-        Q = np.zeros((len(rows), d + 1, d + 1))
-        for k, r in enumerate(rows):
-            Q[k, 0, 0] = r["n"]
-            for i in range(d):
-                Q[k, 0, i + 1] = Q[k, i + 1, 0] = r[f"s{i}"]
-                for j in range(i, d):
-                    Q[k, i + 1, j + 1] = Q[k, j + 1, i + 1] = r[f"q{i}_{j}"]
+        if d <= WIDE:
+            aggs = [F.count(F.lit(1)).alias("n")] + [F.sum(f"z{i}").alias(f"s{i}") for i in range(d)]
+            aggs += [F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"q{i}_{j}") for i in range(d) for j in range(i, d)]
+            rows = zz.groupBy("__p").agg(*aggs).collect()
+            if len(rows) > max_patterns:
+                raise ValueError(f"{len(rows)} missing patterns exceed the cap of {max_patterns}")
+            self.patterns = [r["__p"] for r in rows]
+            Q = np.zeros((len(rows), d + 1, d + 1))
+            for k, r in enumerate(rows):
+                Q[k, 0, 0] = r["n"]
+                for i in range(d):
+                    Q[k, 0, i + 1] = Q[k, i + 1, 0] = r[f"s{i}"]
+                    for j in range(i, d):
+                        Q[k, i + 1, j + 1] = Q[k, j + 1, i + 1] = r[f"q{i}_{j}"]
+        else:
+            Q, self.patterns = _wide_moments(zz, d, max_patterns)
         self.Q = Q
         self.n = float(Q[:, 0, 0].sum())
 
     def missing(self, p: int) -> np.ndarray:
-        return np.array([(p >> j) & 1 == 1 for j in range(len(self.cols))])
+        return decode(p, self.hole_idx, len(self.cols))
 
     def identity_maps(self) -> list[np.ndarray]:
         """W_p in z-space: completed z-row = W_p @ [1, z]; holes start at 0 (the mean)."""
@@ -105,7 +141,20 @@ class PatternMoments:
         return Wx
 
 
-def apply_pattern_maps(df: DataFrame, cols: list[str], maps: dict[int, np.ndarray]) -> DataFrame:
+def decode(p: int, hole_idx: list[int], d: int) -> np.ndarray:
+    out = np.zeros(d, dtype=bool)
+    for b, j in enumerate(hole_idx):
+        out[j] = (p >> b) & 1 == 1
+    return out
+
+
+def hole_columns(df: DataFrame, cols: list[str]) -> list[int]:
+    row = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(clean(df, c)).alias(f"c{i}") for i, c in enumerate(cols)]).first()
+    return [i for i in range(len(cols)) if row[f"c{i}"] < row["n"]]
+
+
+def apply_pattern_maps(df: DataFrame, cols: list[str], maps: dict[int, np.ndarray],
+                       hole_idx: list[int] | None = None) -> DataFrame:
     """Fill holes of ``cols`` with x-space affine maps per missing pattern.
 
     Observed cells are kept verbatim; rows without holes pass untouched.  The
@@ -114,8 +163,8 @@ def apply_pattern_maps(df: DataFrame, cols: list[str], maps: dict[int, np.ndarra
     spark = df.sparkSession
     bc = spark.sparkContext.broadcast({int(k): np.asarray(v) for k, v in maps.items()})
     d = len(cols)
+    hidx = np.array(list(range(d)) if hole_idx is None else hole_idx, dtype=int)
     names = df.columns
-    idx = [names.index(c) for c in cols]
     schema = df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in names]).schema
 
     def run(it):
@@ -123,7 +172,7 @@ def apply_pattern_maps(df: DataFrame, cols: list[str], maps: dict[int, np.ndarra
         for pdf in it:
             X = pdf[cols].to_numpy(dtype="float64", na_value=np.nan)
             M = np.isnan(X)
-            bits = (M * (1 << np.arange(d))).sum(axis=1)
+            bits = (M[:, hidx].astype(np.int64) << np.arange(len(hidx), dtype=np.int64)).sum(axis=1)
             X0 = np.where(M, 0.0, X)
             out = X.copy()
             for p in np.unique(bits):
@@ -140,10 +189,10 @@ def apply_pattern_maps(df: DataFrame, cols: list[str], maps: dict[int, np.ndarra
             for j, c in enumerate(cols):
                 pdf[c] = out[:, j]
             yield pdf
-    del idx
     return df.select(*[clean(df, c).cast("double").alias(c) if c in cols else F.col(c) for c in names]) \
         .mapInPandas(run, schema)
 
 
 def patterns_of(df: DataFrame, cols: list[str]) -> list[int]:
+    """Distinct patterns, bits over ``cols`` (pass the hole columns only)."""
     return [r[0] for r in df.select(pattern_bits(df, cols).alias("p")).distinct().collect()]
