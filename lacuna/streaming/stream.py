@@ -58,13 +58,15 @@ def stream_ffill(stream: DataFrame, key: str, ts: str, value: str, order_tiebrea
                     vals[i] = last
         pdf[value] = vals
         state.update((last, int(run)))
-        state.setTimeoutDuration(int(timeout_ms))
+        # event-time timeout: a key idle for timeout_ms of event time is dropped
+        newest = pd.Timestamp(pdf[ts].max())
+        state.setTimeoutTimestamp(int(newest.value // 1_000_000) + int(timeout_ms))
         yield pdf
 
     return (stream.withWatermark(ts, watermark)
             .groupBy(key)
             .applyInPandasWithState(fn, out_schema, state_schema, "append",
-                                    GroupStateTimeout.ProcessingTimeTimeout))
+                                    GroupStateTimeout.EventTimeTimeout))
 
 
 def missing_rate_by_window(stream: DataFrame, ts: str, columns: list[str], window: str = "1 day",
