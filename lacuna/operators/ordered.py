@@ -4,9 +4,10 @@ Everything derives from four facts per missing cell: the previous and the next
 observed value of the same series, and their positions (row index or order
 key).  Those are computed without ever putting a whole series in one task:
 
-1. The order key is cut into ``buckets`` ranges by approximate quantiles, so a
-   hot series (or a table with no series key at all) is spread over many
-   window partitions ``(series..., bucket)``.
+1. The order key is cut into ``buckets`` ranges by approximate quantiles
+   (by default enough for the longest series to come in chunks of about
+   ``CHUNK_ROWS``), so a hot series - or a table with no series key at all -
+   is spread over many window partitions ``(series..., bucket)``.
 2. Inside a bucket, windows give the local previous/next observation.
 3. A summary with one row per (series, bucket) - row count, first and last
    observation - is carried across buckets by a window over that small table.
@@ -28,6 +29,8 @@ from lacuna.functions.columns import clean, resolve_columns
 from lacuna.operators.base import Imputer, ImputerModel
 
 BROADCAST_ROWS = 2_000_000
+CHUNK_ROWS = 200_000
+MAX_BUCKETS = 8192
 
 
 def _key_double(df: DataFrame, name: str) -> Column:
@@ -41,7 +44,7 @@ def _key_double(df: DataFrame, name: str) -> Column:
 
 def order_context(df: DataFrame, order_by: list[str], columns: list[str],
                   partition_by: list[str] | None = None, buckets: int | None = None,
-                  rel_error: float = 0.001) -> DataFrame:
+                  rel_error: float = 0.001, keep_bucket: bool = False) -> DataFrame:
     """Add, for every value column c, the helper columns
     ``c__pv, c__pp, c__pk`` (previous observed value, its position, its key),
     ``c__nv, c__np, c__nk`` (next ...) and the row's own ``__pos`` / ``__key``.
@@ -50,9 +53,15 @@ def order_context(df: DataFrame, order_by: list[str], columns: list[str],
     part = list(partition_by or [])
     key = _key_double(df, order_by[0])
     base = df.withColumn("__key", key)
-    spark = df.sparkSession
+    # size the buckets from the longest series, so a hot series is split into
+    # chunks of about CHUNK_ROWS while short series stay in one window partition
+    if part:
+        st = df.groupBy(*part).count().agg(F.max("count").alias("mx"), F.count("*").alias("ns")).first()
+        longest, n_series = (st["mx"] or 0), (st["ns"] or 0)
+    else:
+        longest, n_series = df.count(), 1
     if buckets is None:
-        buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) * 4)
+        buckets = int(min(MAX_BUCKETS, max(1, -(-longest // CHUNK_ROWS))))
     if buckets > 1:
         probs = [i / buckets for i in range(1, buckets)]
         cuts = sorted(set(x for x in base.approxQuantile("__key", probs, rel_error) if x is not None))
@@ -102,11 +111,13 @@ def order_context(df: DataFrame, order_by: list[str], columns: list[str],
                  F.first(F.col(f"{c}__bf_p") + F.col("__off"), True).over(later).alias(f"{c}__cnp"),
                  F.first(f"{c}__bf_k", True).over(later).alias(f"{c}__cnk")]
     carry = summ.select(*csel)
-    n_summary = df.select(*part).distinct().count() * max(buckets, 1) if part else buckets
+    n_summary = n_series * max(buckets, 1)
     if n_summary <= BROADCAST_ROWS:
         carry = F.broadcast(carry)
     j = local.join(carry, [*part, "__b"], "left")
     out = [F.col(c) for c in df.columns] + [(F.col("__off") + F.col("__lpos")).alias("__pos"), F.col("__key")]
+    if keep_bucket:
+        out.append(F.col("__b"))
     for c in columns:
         out += [F.coalesce(f"{c}__lpv", f"{c}__cpv").alias(f"{c}__pv"),
                 F.coalesce(F.col(f"{c}__lpp") + F.col("__off"), F.col(f"{c}__cpp")).alias(f"{c}__pp"),

@@ -133,3 +133,71 @@ SELECT event_id, user_id, round({_linear('k', 'pk', 'nk')}, 4) AS value_time,
   round(CASE WHEN value IS NOT NULL THEN value WHEN pv IS NOT NULL AND nv IS NOT NULL THEN pv END, 4) AS value_zero
 FROM c"""
 query("q31_time_nearest_zero", Q31_SQL)(q31)
+
+
+# ------------------------------------------------------------------ Q32 polynomial and spline
+from lacuna.operators.curves import CurveInterpolationImputer  # noqa: E402
+
+
+def q32(spark, sf):
+    ev = _ev(spark, sf)
+    p = CurveInterpolationImputer("polynomial", 2, ORDER, "user_id", "value").fit_transform(ev)
+    s = CurveInterpolationImputer("spline", 3, ORDER, "user_id", "value").fit_transform(ev)
+    return (p.select("event_id", "user_id", F.round("value", 4).alias("value_poly2"))
+            .join(s.select("event_id", F.round("value", 4).alias("value_spline3")), "event_id"))
+
+
+query("q32_polynomial_and_spline")(q32)
+
+
+def q32b(spark, sf):
+    """Order-1 polynomial equals linear interpolation inside the observed range."""
+    ev = _ev(spark, sf)
+    p = CurveInterpolationImputer("polynomial", 1, ORDER, "user_id", "value").fit_transform(ev)
+    return p.select("event_id", "user_id", F.round("value", 4).alias("value"))
+
+
+Q32B_SQL = f"""WITH {M_SQL},
+c AS ({_ctx_sql('value', True)})
+SELECT event_id, user_id, round(CASE WHEN value IS NOT NULL THEN value WHEN pv IS NOT NULL AND nv IS NOT NULL
+             THEN pv + (nv - pv) * (rn - pp) / (np - pp) END, 4) AS value
+FROM c"""
+query("q32b_polynomial_order1", Q32B_SQL)(q32b)
+
+
+# ------------------------------------------------------------------ forced multi-bucket plans
+# The default bucket count follows the longest series, so at small scale every
+# series is one chunk.  These variants force many buckets to exercise the
+# cross-bucket carry (and the halo of the curve fill) on the same oracles.
+
+def q29b(spark, sf):
+    ev = _ev(spark, sf)
+    a = ForwardBackwardFillImputer("ffill", ORDER, columns=["value"], buckets=16).fit_transform(ev)
+    b = ForwardBackwardFillImputer("ffill", ORDER, limit=3, columns=["value"], buckets=16).fit_transform(ev)
+    c = ForwardBackwardFillImputer("bfill", ORDER, columns=["value"], buckets=16).fit_transform(ev)
+    return (a.select("event_id", F.round("value", 4).alias("value_ffill"))
+            .join(b.select("event_id", F.round("value", 4).alias("value_ffill3")), "event_id")
+            .join(c.select("event_id", F.round("value", 4).alias("value_bfill")), "event_id"))
+
+
+query("q29b_ffill_global_bucketed", Q29_SQL)(q29b)
+
+
+def q30b(spark, sf):
+    ev = _ev(spark, sf)
+    a = InterpolationImputer("linear", ORDER, "user_id", columns=["value"], buckets=16).fit_transform(ev)
+    g = InterpolationImputer("linear", ORDER, columns=["value"], buckets=16).fit_transform(ev)
+    return (a.select("event_id", "user_id", F.round("value", 4).alias("value_linear"))
+            .join(g.select("event_id", F.round("value", 4).alias("value_linear_global")), "event_id"))
+
+
+query("q30b_linear_interpolation_bucketed", Q30_SQL)(q30b)
+
+
+def q32c(spark, sf):
+    ev = _ev(spark, sf)
+    p = CurveInterpolationImputer("polynomial", 1, ORDER, "user_id", "value", buckets=16).fit_transform(ev)
+    return p.select("event_id", "user_id", F.round("value", 4).alias("value"))
+
+
+query("q32c_polynomial_order1_bucketed", Q32B_SQL)(q32c)
