@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from lacuna.functions.columns import clean
 from lacuna.operators.base import Imputer, ImputerModel
 from lacuna.operators.ordered import order_context
+from lacuna.session import cut
 
 
 def local_poly(xs: np.ndarray, ys: np.ndarray, xq: np.ndarray, order: int) -> np.ndarray:
@@ -60,7 +61,8 @@ class CurveModel(ImputerModel):
         own = ctx.select(*[clean(df, x).cast("double").alias(x) if x == c else F.col(x) for x in names],
                          F.col("__pos").cast("double").alias("__pos"), F.col("__b").alias("__tb"),
                          F.lit(True).alias("__own"), F.col(f"{c}__pv").isNotNull().alias("__hp"),
-                         F.col(f"{c}__nv").isNotNull().alias("__hn")).checkpoint()
+                         F.col(f"{c}__nv").isNotNull().alias("__hn"))
+        own = cut(own)
         # rank of every observation within its series: local rank + observations in earlier buckets
         obs = own.where(F.col(c).isNotNull()).select(*part, "__tb", "__pos", c)
         wl = Window.partitionBy(*part, "__tb").orderBy("__pos")

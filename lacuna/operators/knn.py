@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from lacuna.functions.columns import clean, resolve_columns
 from lacuna.operators.base import Imputer, ImputerModel
+from lacuna.session import cut
 
 BLOCK_ROWS = 2048
 BROADCAST_BYTES = 64 << 20
@@ -41,6 +42,10 @@ def _blocked(rec: DataFrame, don: DataFrame, block_rows: int, broadcast_bytes: i
         # donor side has a measured, bounded size: ship it once to every task
         dpdf = don.toPandas()
         bc = spark.sparkContext.broadcast(dpdf)
+        # spread receivers so every core gets blocks to work on
+        n_rec = rec.count()
+        parts = max(spark.sparkContext.defaultParallelism, math.ceil(n_rec / block_rows))
+        rec = rec.repartition(parts)
 
         def run(it):
             d = bc.value
@@ -72,14 +77,17 @@ def _topk_idx(dist: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
         order = np.lexsort((np.broadcast_to(ids, dist.shape), dist), axis=1)
         return order
     part = np.argpartition(dist, k - 1, axis=1)[:, :k]
-    kth = np.take_along_axis(dist, part, 1).max(axis=1, keepdims=True)
-    out = []
-    for i in range(dist.shape[0]):
-        # all candidates up to the k-th distance, so ties at the boundary go by id
+    pd_ = np.take_along_axis(dist, part, 1)
+    kth = pd_.max(axis=1, keepdims=True)
+    # rows whose k-th distance is tied with a donor left out need the slow path,
+    # so that ties at the boundary go to the smaller id
+    tied = (dist <= kth).sum(axis=1) > k
+    o = np.lexsort((ids[part], pd_), axis=1)
+    out = np.take_along_axis(part, o, 1)
+    for i in np.nonzero(tied)[0]:
         cand = np.nonzero(dist[i] <= kth[i])[0]
-        o = np.lexsort((ids[cand], dist[i, cand]))[:k]
-        out.append(cand[o])
-    return np.array(out)
+        out[i] = cand[np.lexsort((ids[cand], dist[i, cand]))[:k]]
+    return out
 
 
 # ---------------------------------------------------------------- MOD1 missing-aware KNN
@@ -451,7 +459,8 @@ class SimilarityPartialMeanModel(ImputerModel):
         hist = hist.withColumn("k", F.least(F.col("k"), F.sum("cnt").over(total)))
         bnd = hist.where((F.col("before") < F.col("k")) & (F.col("before") + F.col("cnt") >= F.col("k"))) \
                   .select("rid", "j", "bin", (F.col("k") - F.col("before")).alias("need"),
-                          F.col("sbefore"), "k").checkpoint()
+                          F.col("sbefore"), "k")
+        bnd = cut(bnd)
         # pass 2: receivers carry their boundary bin per column
         wide = bnd.groupBy("rid").agg(*[F.max(F.when(F.col("j") == i, F.col("bin"))).alias(f"__bin{i}")
                                         for i in targets])

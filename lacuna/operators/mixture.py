@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from lacuna.functions.columns import clean, resolve_columns
 from lacuna.operators.base import Imputer, ImputerModel
+from lacuna.session import cut
 
 
 def _standardized(df: DataFrame, cols: list[str]):
@@ -148,7 +149,7 @@ def select_components(df: DataFrame, columns: list[str], ks=(1, 2, 3, 4, 5), see
     spark = df.sparkSession
     m, s = _standardized(df, columns)
     p = len(columns)
-    base = df.select(*columns).checkpoint()  # fitted K times: cut the lineage once
+    base = cut(df.select(*columns))  # fitted K times: cut the lineage once
     n = base.count()
     rows = []
     for k in ks:

@@ -76,7 +76,11 @@ def order_context(df: DataFrame, order_by: list[str], columns: list[str],
     order_cols = [F.col(c).asc_nulls_first() for c in order_by]
     w = Window.partitionBy(*part, "__b").orderBy(*order_cols)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    after = w.rowsBetween(0, Window.unboundedFollowing)
+    # "from here to the end" as a running frame over the reversed order: Spark
+    # evaluates running frames in one pass, but re-aggregates a frame that
+    # ends at UNBOUNDED FOLLOWING for every row (quadratic)
+    after = Window.partitionBy(*part, "__b").orderBy(*[F.col(c).desc_nulls_last() for c in order_by]) \
+        .rowsBetween(Window.unboundedPreceding, 0)
     base = base.withColumn("__lpos", F.row_number().over(w))
     sel = [F.col(c) for c in base.columns]
     aggs = [F.count(F.lit(1)).alias("__n")]
@@ -86,9 +90,9 @@ def order_context(df: DataFrame, order_by: list[str], columns: list[str],
         sel += [F.last(v, True).over(upto).alias(f"{c}__lpv"),
                 F.last(F.when(obs, F.col("__lpos")), True).over(upto).alias(f"{c}__lpp"),
                 F.last(F.when(obs, F.col("__key")), True).over(upto).alias(f"{c}__lpk"),
-                F.first(v, True).over(after).alias(f"{c}__lnv"),
-                F.first(F.when(obs, F.col("__lpos")), True).over(after).alias(f"{c}__lnp"),
-                F.first(F.when(obs, F.col("__key")), True).over(after).alias(f"{c}__lnk")]
+                F.last(v, True).over(after).alias(f"{c}__lnv"),
+                F.last(F.when(obs, F.col("__lpos")), True).over(after).alias(f"{c}__lnp"),
+                F.last(F.when(obs, F.col("__key")), True).over(after).alias(f"{c}__lnk")]
         lastpos = F.max(F.when(obs, F.col("__lpos")))
         firstpos = F.min(F.when(obs, F.col("__lpos")))
         aggs += [F.max_by(v, F.when(obs, F.col("__lpos"))).alias(f"{c}__bl_v"), lastpos.alias(f"{c}__bl_p"),
@@ -100,16 +104,16 @@ def order_context(df: DataFrame, order_by: list[str], columns: list[str],
     summ = base.groupBy(*part, "__b").agg(*aggs)
     ws = Window.partitionBy(*part).orderBy("__b")
     before = ws.rowsBetween(Window.unboundedPreceding, -1)
-    later = ws.rowsBetween(1, Window.unboundedFollowing)
+    later = Window.partitionBy(*part).orderBy(F.col("__b").desc()).rowsBetween(Window.unboundedPreceding, -1)
     summ = summ.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
     csel = [*part, "__b", "__off"]
     for c in columns:
         csel += [F.last(f"{c}__bl_v", True).over(before).alias(f"{c}__cpv"),
                  F.last(F.col(f"{c}__bl_p") + F.col("__off"), True).over(before).alias(f"{c}__cpp"),
                  F.last(f"{c}__bl_k", True).over(before).alias(f"{c}__cpk"),
-                 F.first(f"{c}__bf_v", True).over(later).alias(f"{c}__cnv"),
-                 F.first(F.col(f"{c}__bf_p") + F.col("__off"), True).over(later).alias(f"{c}__cnp"),
-                 F.first(f"{c}__bf_k", True).over(later).alias(f"{c}__cnk")]
+                 F.last(f"{c}__bf_v", True).over(later).alias(f"{c}__cnv"),
+                 F.last(F.col(f"{c}__bf_p") + F.col("__off"), True).over(later).alias(f"{c}__cnp"),
+                 F.last(f"{c}__bf_k", True).over(later).alias(f"{c}__cnk")]
     carry = summ.select(*csel)
     n_summary = n_series * max(buckets, 1)
     if n_summary <= BROADCAST_ROWS:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lacuna.functions.hashing import missing_flag, missing_flag_sql
 from lacuna.operators.evaluate import holdout
+from lacuna.session import cut
 from lacuna.sources.tables import document_features, document_features_sql, load
 
 LINEITEM_ID = "l_orderkey * 8 + l_linenumber"
@@ -64,8 +65,11 @@ DOC_FEATS = ["n_chars", "n_words", "n_lines", "n_punct", "avg_word_len"]
 
 
 def doc_masked(spark: SparkSession, sf_dir: str, truth: bool = True, masks=None) -> DataFrame:
+    """Masked document feature matrix.  The text scan is the expensive part and
+    every fit reads this table, so it is materialized once (a few doubles per
+    document) in the shared checkpoint folder."""
     df = document_features(load(spark, sf_dir, "documents")).withColumn("__id", F.col("doc_id"))
-    return _mask(df, masks or DOC_MASKS, truth)
+    return cut(_mask(df, masks or DOC_MASKS, truth))
 
 
 def doc_masked_sql(truth: bool = True, masks=None) -> str:

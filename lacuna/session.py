@@ -49,3 +49,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def cut(df):
+    """Materialize ``df`` in the shared checkpoint folder and cut its lineage.
+
+    Used where one intermediate feeds several jobs (fits, sweeps, two-pass
+    selections): later jobs read the written table instead of recomputing it,
+    and a lost executor does not send recomputation back to the scan.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
