@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lacuna.functions.columns import clean
@@ -152,3 +152,75 @@ def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float], **
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float], **kw) -> list:
     return exact_quantiles_multi(df, [col], probs, **kw)[col]
+
+
+def grouped_exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
+                            bins: int = 4096, max_collect: int = 1_000_000, max_passes: int = 64) -> DataFrame:
+    """Exact linear quantiles per group, for any number of groups and any skew.
+
+    Returns one row per group (keys, q0, q1, ...).  Per-group state (target
+    rank, current value range, count below the range) is a DataFrame, never
+    a driver object.  Each pass counts values per (group, bucket of the
+    group's range) with map-side partial aggregation - a hot group is spread
+    over every task - and a window over the per-group histograms (at most
+    ``bins`` rows each) narrows each range to the bucket holding its rank.
+    Ranges holding at most ``max_collect`` values are finished by sorting them.
+    Null keys form a group of their own.
+    """
+    from lacuna.session import cut
+    v = clean(df, value).cast("double")
+    base = df.select(*keys, v.alias("v")).where(F.col("v").isNotNull())
+    st = base.groupBy(*keys).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    # targets: (keys, t = target index, r = 0-based rank); two ranks per probability
+    tgt = []
+    for i, p in enumerate(probs):
+        h = (F.col("n") - 1) * F.lit(p)
+        tgt += [F.struct(F.lit(2 * i).alias("t"), F.floor(h).cast("long").alias("r")),
+                F.struct(F.lit(2 * i + 1).alias("t"), F.ceil(h).cast("long").alias("r"))]
+    state = st.select(*keys, "n", F.explode(F.array(*tgt)).alias("x"), "lo", "hi") \
+        .select(*keys, "x.t", "x.r", "lo", "hi", F.lit(0).cast("long").alias("below"), F.col("n").alias("cnt"))
+    state = cut(state)
+    eq = [F.col(f"s.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    cond = eq[0] if eq else F.lit(True)
+    for e in eq[1:]:
+        cond = cond & e
+    done = None
+    for _ in range(max_passes):
+        fin = state.where((F.col("lo") == F.col("hi")) | (F.col("cnt") <= max_collect))
+        todo = state.where((F.col("lo") < F.col("hi")) & (F.col("cnt") > max_collect))
+        # finish small ranges: sort the few values inside and pick the rank
+        small = fin.where(F.col("lo") < F.col("hi"))
+        vals = (base.alias("b").join(small.alias("s"), cond & F.col("b.v").between(F.col("s.lo"), F.col("s.hi")))
+                .groupBy(*[F.col(f"s.{k}").alias(k) for k in keys], F.col("s.t").alias("t"),
+                         F.col("s.r").alias("r"), F.col("s.below").alias("below"))
+                .agg(F.sort_array(F.collect_list("b.v")).alias("vs"))
+                .select(*keys, "t", F.element_at("vs", (F.col("r") - F.col("below") + 1).cast("int")).alias("val")))
+        one = fin.where(F.col("lo") == F.col("hi")).select(*keys, "t", F.col("lo").alias("val"))
+        part = vals.unionByName(one)
+        done = part if done is None else done.unionByName(part)
+        if todo.isEmpty():
+            break
+        width = F.col("s.hi") - F.col("s.lo")
+        bucket = F.least(F.floor((F.col("b.v") - F.col("s.lo")) / width * bins).cast("int"), F.lit(bins - 1))
+        hist = (base.alias("b").join(todo.alias("s"), cond & F.col("b.v").between(F.col("s.lo"), F.col("s.hi")))
+                .groupBy(*[F.col(f"s.{k}").alias(k) for k in keys], F.col("s.t").alias("t"),
+                         F.col("s.r").alias("r"), F.col("s.below").alias("below0"), bucket.alias("bk"))
+                .agg(F.count("*").alias("c"), F.min("b.v").alias("mn"), F.max("b.v").alias("mx")))
+        w = Window.partitionBy(*keys, "t").orderBy("bk").rowsBetween(Window.unboundedPreceding, -1)
+        hist = hist.withColumn("acc", F.col("below0") + F.coalesce(F.sum("c").over(w), F.lit(0)))
+        state = cut(hist.where((F.col("r") >= F.col("acc")) & (F.col("r") < F.col("acc") + F.col("c")))
+                    .select(*keys, "t", "r", F.col("mn").alias("lo"), F.col("mx").alias("hi"),
+                            F.col("acc").alias("below"), F.col("c").alias("cnt")))
+    # linear interpolation between the two ranks of each probability
+    n = st.select(*keys, "n")
+    piv = done.groupBy(*keys).agg(*[F.max(F.when(F.col("t") == j, F.col("val"))).alias(f"v{j}")
+                                    for j in range(2 * len(probs))])
+    out = piv.alias("a").join(n.alias("c"), [F.col(f"a.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
+                              if keys else F.lit(True))
+    sel = [F.col(f"a.{k}").alias(k) for k in keys]
+    for i, p in enumerate(probs):
+        h = (F.col("c.n") - 1) * F.lit(p)
+        frac = h - F.floor(h)
+        a, b = F.col(f"a.v{2 * i}"), F.col(f"a.v{2 * i + 1}")
+        sel.append((a + frac * (b - a)).alias(f"q{i}"))
+    return out.select(*sel)
