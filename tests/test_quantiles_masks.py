@@ -64,3 +64,20 @@ def test_outliers(table):
     o = M.inject_outliers(table, "id", "x", 20, 10.0)
     mx = table.agg(F.max("x")).first()[0]
     assert o.where(F.col("x") == 10 * mx).count() == 20
+
+
+def test_grouped_exact_quantiles_hot_group_and_null_key(spark):
+    import pandas as pd
+    from lacuna.functions.quantiles import grouped_exact_quantiles
+    rng = np.random.default_rng(1)
+    n = 20000
+    g = np.where(rng.random(n) < 0.4, "hot", rng.choice(list("abcdef"), n)).astype(object)
+    g[rng.random(n) < 0.01] = None
+    pdf = pd.DataFrame({"g": g, "v": rng.normal(size=n).round(3)})
+    res = grouped_exact_quantiles(spark.createDataFrame(pdf), ["g"], "v", [0.5, 0.25],
+                                  bins=16, max_collect=100).toPandas()
+    ref = pdf.groupby("g", dropna=False)["v"].quantile([0.5, 0.25]).unstack()
+    assert len(res) == 8
+    for _, r in res.iterrows():
+        rr = ref.loc[r["g"]] if r["g"] is not None else ref.loc[ref.index.isna()].iloc[0]
+        assert abs(rr[0.5] - r["q0"]) < 1e-12 and abs(rr[0.25] - r["q1"]) < 1e-12
