@@ -42,6 +42,26 @@ class ImputerModel:
     def _stat_rows(self):
         return []
 
+    def save(self, path: str) -> None:
+        """Write the fitted parameters as JSON (one small file, via Spark)."""
+        import json
+        spark = SparkSession.getActiveSession()
+        payload = json.dumps({"class": type(self).__name__, "params": self._params()}, default=float)
+        spark.createDataFrame([(payload,)], "model string").coalesce(1).write.mode("overwrite").text(path)
+
+    def _params(self):
+        raise NotImplementedError(f"{type(self).__name__} has no JSON form")
+
+
+def load_model(path: str) -> "ImputerModel":
+    """Read a model written by ``ImputerModel.save``."""
+    import json
+    from lacuna.operators import simple
+    spark = SparkSession.getActiveSession()
+    d = json.loads(spark.read.text(path).first()[0])
+    cls = {"ValueModel": simple.ValueModel, "ConstantModel": simple.ConstantModel}[d["class"]]
+    return cls.from_params(d["params"])
+
 
 def fill_with(df: DataFrame, fills: dict, keep_type: bool = False) -> DataFrame:
     """Replace missing cells of the given columns in one projection.

@@ -86,8 +86,15 @@ class GaussianModel(ImputerModel):
         """One E-step with the fitted mean and covariance: each row's fill depends
         only on its own observed cells, so this also works on new data and streams."""
         cols = self.cols
-        hidx = hole_columns(df, cols)
-        pats = patterns_of(df, [cols[i] for i in hidx])
+        if df.isStreaming:
+            # a stream cannot be scanned for its patterns: ship maps for all of them
+            if len(cols) > 12:
+                raise ValueError("streaming EM transform supports at most 12 columns")
+            hidx = list(range(len(cols)))
+            pats = list(range(1 << len(cols)))
+        else:
+            hidx = hole_columns(df, cols)
+            pats = patterns_of(df, [cols[i] for i in hidx])
         return apply_pattern_maps(df, cols, self.maps(pats, hidx), hidx)
 
     def _stat_rows(self):

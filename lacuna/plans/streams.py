@@ -62,3 +62,34 @@ SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, cou
        round((count(*) - count(value)) / count(*), 6) AS value_missing_rate
 FROM m GROUP BY 1"""
 query("q46c_stream_missing_rate", Q46C_SQL)(q46c)
+
+
+def q46d(spark, sf):
+    """A fitted EM model applied to a stream: one E-step per row, maps for every pattern."""
+    from lacuna.operators.gaussian import EMImputer
+    cols = ["user_id_d", "value"]
+    static = masked(spark, sf, "events", "event_id", EV_MASKS).withColumn("user_id_d", F.col("user_id").cast("double"))
+    model = EMImputer(columns=cols).fit(static.select("event_id", *cols))
+    st = _event_stream(spark, sf).withColumn("user_id_d", F.col("user_id").cast("double")).select("event_id", *cols)
+    out = stream_apply(model, st).select("event_id", F.round("value", 4).alias("value"))
+    return run_to_table(spark, out, "stream_em")
+
+
+query("q46d_stream_em_apply")(q46d)
+
+
+def q46e(spark, sf):
+    """A group-center model on a stream: a stream-static join with the group table."""
+    from lacuna.operators.group import GroupCenterImputer
+    model = GroupCenterImputer("event_type", columns=["value"]).fit(
+        masked(spark, sf, "events", "event_id", EV_MASKS).select("event_id", "event_type", "value"))
+    st = _event_stream(spark, sf).select("event_id", "event_type", "value")
+    out = stream_apply(model, st).select("event_id", "event_type", F.round("value", 4).alias("value"))
+    return run_to_table(spark, out, "stream_group")
+
+
+Q46E_SQL = f"""WITH m AS ({masked_sql('events', EV_COLS, 'event_id', EV_MASKS)}),
+g AS (SELECT event_type, avg(value) AS g FROM m GROUP BY event_type)
+SELECT m.event_id, m.event_type, round(coalesce(m.value, g.g, (SELECT avg(value) FROM m)), 4) AS value
+FROM m LEFT JOIN g ON m.event_type IS NOT DISTINCT FROM g.event_type"""
+query("q46e_stream_group_apply", Q46E_SQL)(q46e)

@@ -48,3 +48,16 @@ def test_oracle_sample(spark, name):
     want = sorted(repr(tuple(round(r[i], 6) if isinstance(r[i], float) else r[i] for i in order))
                   for r in cur.fetchall())
     assert got == want
+
+
+def test_stream_em_equals_batch(spark):
+    mod = _entry_module()
+    s = {r["event_id"]: r["value"] for r in mod.queries()["q46d_stream_em_apply"](spark, SF).collect()}
+    from pyspark.sql import functions as F
+    from lacuna.operators.gaussian import EMImputer
+    from lacuna.plans.common import masked
+    from lacuna.plans.streams import EV_MASKS
+    st = masked(spark, SF, "events", "event_id", EV_MASKS).withColumn("user_id_d", F.col("user_id").cast("double"))
+    b = EMImputer(columns=["user_id_d", "value"]).fit_transform(st.select("event_id", "user_id_d", "value"))
+    for r in b.select("event_id", F.round("value", 4).alias("v")).collect():
+        assert s[r["event_id"]] == r["v"]

@@ -92,3 +92,11 @@ def test_empty_input_rejected(spark):
     df = spark.createDataFrame([], "id long, x double")
     with pytest.raises(ValueError):
         MeanImputer().fit(df)
+
+
+def test_model_json_roundtrip(f1, tmp_path):
+    from lacuna.operators.base import load_model
+    m = MeanImputer(exclude=["id"]).fit(f1)
+    m.save(str(tmp_path / "mean"))
+    back = load_model(str(tmp_path / "mean"))
+    assert back.transform(f1).orderBy("id").collect() == m.transform(f1).orderBy("id").collect()
