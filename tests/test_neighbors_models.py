@@ -183,3 +183,13 @@ def test_multiple_imputation_and_rubin(table):
         assert r.loc[c, "between"] == pytest.approx(per[c].var(ddof=1), rel=1e-6, abs=1e-12)
     pooled = MI.pool(long, "id", COLS).toPandas()
     assert len(pooled) == len(pdf)
+
+
+def test_em_scan_mode_equals_pattern_mode(table):
+    pdf, df = table
+    a = _sorted(EMImputer(columns=COLS).fit_transform(df))
+    b = _sorted(EMImputer(columns=COLS, mode="scan").fit_transform(df))
+    assert np.allclose(a[COLS].to_numpy(), b[COLS].to_numpy(), atol=1e-5)
+    # the cap forces the scan path in auto mode
+    c = _sorted(EMImputer(columns=COLS, max_patterns=2).fit_transform(df))
+    assert np.allclose(b[COLS].to_numpy(), c[COLS].to_numpy(), atol=1e-9)
