@@ -315,7 +315,7 @@ class IterativeModel(ImputerModel):
 
     def transform(self, df):
         maps = {int(p): self.pm.to_x_map(W) for p, W in zip(self.pm.patterns, self.W_z)}
-        return apply_pattern_maps(df, self.cols, maps, self.pm.hole_idx)
+        return apply_pattern_maps(df, self.cols, maps, self.pm.hole_idx, fallback=self.pm.m)
 
 
 class IterativeImputer(Imputer):

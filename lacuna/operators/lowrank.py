@@ -32,7 +32,7 @@ class LowRankModel(ImputerModel):
 
     def transform(self, df: DataFrame) -> DataFrame:
         return apply_pattern_maps(df, self.cols, {int(p): W for p, W in zip(self.pm.patterns, self.W_x)},
-                                  self.pm.hole_idx)
+                                  self.pm.hole_idx, fallback=self.pm.m)
 
     def explained_variance(self, spark) -> DataFrame:
         """Component, singular value, share of s^2 and running share (MOD6)."""

@@ -154,24 +154,29 @@ def hole_columns(df: DataFrame, cols: list[str]) -> list[int]:
 
 
 def apply_pattern_maps(df: DataFrame, cols: list[str], maps: dict[int, np.ndarray],
-                       hole_idx: list[int] | None = None) -> DataFrame:
+                       hole_idx: list[int] | None = None, fallback: np.ndarray | None = None) -> DataFrame:
     """Fill holes of ``cols`` with x-space affine maps per missing pattern.
 
     Observed cells are kept verbatim; rows without holes pass untouched.  The
     maps (patterns x d x (d+1) doubles) are broadcast; batches arrive as Arrow.
     """
     spark = df.sparkSession
-    bc = spark.sparkContext.broadcast({int(k): np.asarray(v) for k, v in maps.items()})
+    bc = spark.sparkContext.broadcast(({int(k): np.asarray(v) for k, v in maps.items()},
+                                       None if fallback is None else np.asarray(fallback, dtype=float)))
     d = len(cols)
     hidx = np.array(list(range(d)) if hole_idx is None else hole_idx, dtype=int)
     names = df.columns
     schema = df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in names]).schema
 
     def run(it):
-        mp = bc.value
+        mp, fb = bc.value
         for pdf in it:
             X = pdf[cols].to_numpy(dtype="float64", na_value=np.nan)
             M = np.isnan(X)
+            # holes outside the fitted hole columns, or patterns never seen at fit,
+            # take the fitted column means
+            other = M.copy()
+            other[:, hidx] = False
             bits = (M[:, hidx].astype(np.int64) << np.arange(len(hidx), dtype=np.int64)).sum(axis=1)
             X0 = np.where(M, 0.0, X)
             out = X.copy()
@@ -179,13 +184,18 @@ def apply_pattern_maps(df: DataFrame, cols: list[str], maps: dict[int, np.ndarra
                 if p == 0:
                     continue
                 rows = bits == p
-                W = mp[int(p)]
+                W = mp.get(int(p))
+                if W is None:
+                    W = np.zeros((d, d + 1))
+                    W[:, 0] = fb if fb is not None else np.nan  # only the holes read it
                 A = np.hstack([np.ones((rows.sum(), 1)), X0[rows]])
                 filled = A @ W.T
                 miss = M[rows]
                 block = out[rows]
                 block[miss] = filled[miss]
                 out[rows] = block
+            if fb is not None and other.any():
+                out = np.where(other & np.isnan(out), fb[None, :], out)
             for j, c in enumerate(cols):
                 pdf[c] = out[:, j]
             yield pdf

@@ -193,3 +193,12 @@ def test_em_scan_mode_equals_pattern_mode(table):
     # the cap forces the scan path in auto mode
     c = _sorted(EMImputer(columns=COLS, max_patterns=2).fit_transform(df))
     assert np.allclose(b[COLS].to_numpy(), c[COLS].to_numpy(), atol=1e-9)
+
+
+def test_unseen_pattern_takes_fitted_means(spark, table):
+    pdf, df = table
+    complete = df.where(F.col("a").isNotNull() & F.col("b").isNotNull())  # holes only in c at fit
+    model = SVDImputer(1, columns=COLS).fit(complete)
+    new = spark.createDataFrame([(1000, None, 5.0, 3.0)], "id long, a double, b double, c double")
+    out = model.transform(new).first()
+    assert out["a"] == pytest.approx(complete.agg(F.avg("a")).first()[0])
