@@ -405,7 +405,10 @@ def _hist_block(feats, targets):
     return fn
 
 
-def _boundary_block(feats, targets):
+CAND_SCHEMA_F = "rid long, j int, f int, sid long, dist2 double, v double"
+
+
+def _boundary_block(feats, targets, n_fracs: int = 1):
     def fn(rp, dp):
         Xr = rp[feats].to_numpy(dtype="float64")
         Xd = dp[feats].to_numpy(dtype="float64")
@@ -413,18 +416,24 @@ def _boundary_block(feats, targets):
         rid, sid = rp["__id"].to_numpy(), dp["__id"].to_numpy()
         outs = []
         for j in targets:
-            want = rp[f"__bin{j}"].to_numpy()
-            ri = np.nonzero(~Mr[:, j] & ~pd.isna(want))[0]
             di = np.nonzero(Md[:, j])[0]
-            if len(ri) == 0 or len(di) == 0:
+            ri_all = np.nonzero(~Mr[:, j])[0]
+            if len(ri_all) == 0 or len(di) == 0:
                 continue
-            ss = _ss_other(Xr[ri], Xd[di], Mr[ri], Md[di], j)
-            hit = _bin_of(ss) == want[ri].astype("int64")[:, None]
-            a, b = np.nonzero(hit)
-            outs.append(pd.DataFrame({"rid": rid[ri][a], "j": np.full(len(a), j, dtype="int32"),
-                                      "sid": sid[di][b], "dist2": ss[a, b], "v": Xd[di[b], j]}))
+            ss_all = _ss_other(Xr[ri_all], Xd[di], Mr[ri_all], Md[di], j)
+            bins = _bin_of(ss_all)
+            for fi in range(n_fracs):
+                want = rp[f"__bin{j}_{fi}"].to_numpy()[ri_all]
+                ok = ~pd.isna(want)
+                if not ok.any():
+                    continue
+                hit = (bins == np.where(ok, want, -(1 << 40)).astype("int64")[:, None]) & ok[:, None]
+                a, b = np.nonzero(hit)
+                outs.append(pd.DataFrame({"rid": rid[ri_all][a], "j": np.full(len(a), j, dtype="int32"),
+                                          "f": np.full(len(a), fi, dtype="int32"), "sid": sid[di][b],
+                                          "dist2": ss_all[a, b], "v": Xd[di[b], j]}))
         if not outs:
-            return pd.DataFrame({"rid": [], "j": [], "sid": [], "dist2": [], "v": []})
+            return pd.DataFrame({"rid": [], "j": [], "f": [], "sid": [], "dist2": [], "v": []})
         return pd.concat(outs, ignore_index=True)
     return fn
 
@@ -434,7 +443,9 @@ class SimilarityPartialMeanModel(ImputerModel):
         self.id_col, self.cols, self.fraction = id_col, cols, fraction
         self.means, self.block_rows, self.broadcast_bytes = means, block_rows, broadcast_bytes
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def _fills(self, df: DataFrame, fractions: list[float]) -> DataFrame:
+        """(rid, j, f, fill) for every fraction f: the distance histograms are
+        computed once and shared; pass 2 emits the donors of every boundary bin."""
         cols = self.cols
         targets = list(range(len(cols)))
         sel = [F.col(self.id_col).cast("long").alias("__id")] + [clean(df, c).cast("double").alias(c) for c in cols]
@@ -445,36 +456,53 @@ class SimilarityPartialMeanModel(ImputerModel):
         rec = df.where(hole).select(*sel)
         don = df.select(*sel)
         n_avail = df.agg(*[F.count(clean(df, c)).alias(c) for c in cols]).first()
-        ks = {i: max(1, int(n_avail[c] * self.fraction)) for i, c in enumerate(cols)}
         hist = _blocked(rec, don, self.block_rows, self.broadcast_bytes, len(cols),
                         _hist_block(cols, targets), "rid long, j int, bin long, cnt long, sv double")
         hist = hist.groupBy("rid", "j", "bin").agg(F.sum("cnt").alias("cnt"), F.sum("sv").alias("sv"))
-        kcol = F.element_at(F.array(*[F.lit(ks[i]) for i in targets]), F.col("j") + 1)
         w = Window.partitionBy("rid", "j").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+        total = Window.partitionBy("rid", "j")
         hist = hist.withColumn("before", F.coalesce(F.sum("cnt").over(w), F.lit(0))) \
                    .withColumn("sbefore", F.coalesce(F.sum("sv").over(w), F.lit(0.0))) \
-                   .withColumn("k", kcol)
-        # k is capped by the donors available, as a sort would do
-        total = Window.partitionBy("rid", "j")
-        hist = hist.withColumn("k", F.least(F.col("k"), F.sum("cnt").over(total)))
+                   .withColumn("avail", F.sum("cnt").over(total))
+        # one k per (column, fraction); k is capped by the donors available, as a sort would do
+        per_f = []
+        for fi, frac in enumerate(fractions):
+            karr = F.array(*[F.lit(max(1, int(n_avail[c] * frac))) for c in cols])
+            per_f.append(F.struct(F.lit(fi).alias("f"), F.element_at(karr, F.col("j") + 1).alias("k")))
+        hist = hist.withColumn("fk", F.explode(F.array(*per_f))).select(
+            "rid", "j", "bin", "cnt", "before", "sbefore", "fk.f",
+            F.least(F.col("fk.k"), F.col("avail")).alias("k"))
         bnd = hist.where((F.col("before") < F.col("k")) & (F.col("before") + F.col("cnt") >= F.col("k"))) \
-                  .select("rid", "j", "bin", (F.col("k") - F.col("before")).alias("need"),
+                  .select("rid", "j", "f", "bin", (F.col("k") - F.col("before")).alias("need"),
                           F.col("sbefore"), "k")
         bnd = cut(bnd)
-        # pass 2: receivers carry their boundary bin per column
-        wide = bnd.groupBy("rid").agg(*[F.max(F.when(F.col("j") == i, F.col("bin"))).alias(f"__bin{i}")
-                                        for i in targets])
+        # pass 2: receivers carry their boundary bin per (column, fraction)
+        wide = bnd.groupBy("rid").agg(*[
+            F.max(F.when((F.col("j") == i) & (F.col("f") == fi), F.col("bin"))).alias(f"__bin{i}_{fi}")
+            for i in targets for fi in range(len(fractions))])
         rec2 = rec.join(wide, rec["__id"] == wide["rid"]).drop("rid")
         cand = _blocked(rec2, don, self.block_rows, self.broadcast_bytes, len(cols),
-                        _boundary_block(cols, targets), CAND_SCHEMA)
-        cw = Window.partitionBy("rid", "j").orderBy("dist2", "sid")
+                        _boundary_block(cols, targets, len(fractions)), CAND_SCHEMA_F)
+        cw = Window.partitionBy("rid", "j", "f").orderBy("dist2", "sid")
         taken = cand.withColumn("rank", F.row_number().over(cw)).join(
-            bnd.select("rid", "j", "need"), ["rid", "j"]).where(F.col("rank") <= F.col("need")) \
-            .groupBy("rid", "j").agg(F.sum("v").alias("sb"))
-        fills = bnd.join(taken, ["rid", "j"], "left").select(
-            "rid", "j", ((F.col("sbefore") + F.coalesce("sb", F.lit(0.0))) / F.col("k")).alias("fill"))
-        fallback = {c: (self.means[c] if self.means.get(c) is not None else 0.0) for c in cols}
-        return _apply_fills(df, self.id_col, cols, fills, fallback)
+            bnd.select("rid", "j", "f", "need"), ["rid", "j", "f"]).where(F.col("rank") <= F.col("need")) \
+            .groupBy("rid", "j", "f").agg(F.sum("v").alias("sb"))
+        return bnd.join(taken, ["rid", "j", "f"], "left").select(
+            "rid", "j", "f", ((F.col("sbefore") + F.coalesce("sb", F.lit(0.0))) / F.col("k")).alias("fill"))
+
+    def _fallback(self):
+        return {c: (self.means[c] if self.means.get(c) is not None else 0.0) for c in self.cols}
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        fills = self._fills(df, [self.fraction]).drop("f")
+        return _apply_fills(df, self.id_col, self.cols, fills, self._fallback())
+
+    def sweep(self, df: DataFrame, fractions: list[float]) -> dict[float, DataFrame]:
+        """Filled tables for several subset fractions from one pair of block passes (EVL23)."""
+        fills = cut(self._fills(df, list(fractions)))
+        return {frac: _apply_fills(df, self.id_col, self.cols, fills.where(F.col("f") == fi).drop("f"),
+                                   self._fallback())
+                for fi, frac in enumerate(fractions)}
 
 
 class SimilarityPartialMeanImputer(Imputer):

@@ -62,9 +62,24 @@ class SVDImputer(Imputer):
         self.columns, self.exclude, self.max_patterns = columns, tuple(exclude), max_patterns
 
     def fit(self, df: DataFrame) -> LowRankModel:
+        self._check_input(df)
+        cols = resolve_columns(df, self.columns, "numeric", self.exclude)
+        return self.fit_moments(PatternMoments(df, cols, self.max_patterns))
+
+    def sweep(self, df: DataFrame, ranks) -> dict[int, LowRankModel]:
+        """One model per rank, all from a single moment table (EVL23): the data
+        are aggregated once, each rank only re-runs the (d+1)^2 iterations."""
         self._check_input(df)
         cols = resolve_columns(df, self.columns, "numeric", self.exclude)
         pm = PatternMoments(df, cols, self.max_patterns)
+        out = {}
+        for r in ranks:
+            self.k = r
+            out[r] = self.fit_moments(pm)
+        return out
+
+    def fit_moments(self, pm: PatternMoments) -> LowRankModel:
+        cols = pm.cols
         d, n = len(cols), pm.n
         if self.center:
             k = (min(n, d) - 1) if self.k is None else min(self.k, d)

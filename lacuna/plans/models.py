@@ -202,3 +202,19 @@ SELECT column_name, m, round(pooled_mean, 6) AS pooled_mean, round(within, 6) AS
        round(df / power(10.0, floor(log10(df)) - 5), 0) * power(10.0, floor(log10(df)) - 5) AS df
 FROM (SELECT *, CASE WHEN between > 0 THEN (m - 1) * power(1 + within / ((1 + 1.0 / m) * between), 2) END AS df FROM agg) a"""
 query("q44_rubin", Q44_SQL)(q44)
+
+
+# ------------------------------------------------------------------ Q36b rank sweep
+def q36b(spark, sf):
+    """RMSE of the standardized SVD fill per rank; all ranks share one moment table."""
+    from lacuna.operators import evaluate as E
+    d = doc_masked(spark, sf, truth=True)
+    feats = d.select("doc_id", *DOC_FEATS, *[f"{c}__truth" for c in DOC_FEATS], *[f"{c}__mask" for c in DOC_FEATS])
+    models = SVDImputer(2, tol=1e-4, columns=DOC_FEATS).sweep(feats, [1, 2, 3, 4])
+    res = {f"rank={r}": m.transform(feats) for r, m in models.items()}
+    p = E.pooled_scores(E.stack_methods(res, DOC_FEATS), DOC_FEATS)
+    return p.select(F.regexp_extract("method", r"=(\d+)", 1).cast("int").alias("rank"),
+                    F.round("rmse", 4).alias("rmse"), F.round("mae", 4).alias("mae"))
+
+
+query("q36b_svd_rank_sweep")(q36b)
