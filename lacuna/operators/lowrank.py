@@ -56,7 +56,11 @@ class SVDImputer(Imputer):
     """
 
     def __init__(self, n_components: int | None = 5, max_iter: int = 100, tol: float = 1e-4,
-                 center: bool = False, scale: bool = True, columns=None, exclude=(), max_patterns: int = 4096):
+                 center: bool = False, scale: bool = True, columns=None, exclude=(), max_patterns: int = 4096,
+                 mode: str = "auto"):
+        if mode not in ("auto", "patterns", "scan"):
+            raise ValueError("mode must be 'auto', 'patterns' or 'scan'")
+        self.mode = mode
         self.k, self.max_iter, self.tol = n_components, max_iter, tol
         self.center, self.scale = center, scale
         self.columns, self.exclude, self.max_patterns = columns, tuple(exclude), max_patterns
@@ -64,7 +68,18 @@ class SVDImputer(Imputer):
     def fit(self, df: DataFrame) -> LowRankModel:
         self._check_input(df)
         cols = resolve_columns(df, self.columns, "numeric", self.exclude)
-        return self.fit_moments(PatternMoments(df, cols, self.max_patterns))
+        if self.mode != "scan":
+            try:
+                return self.fit_moments(PatternMoments(df, cols, self.max_patterns))
+            except ValueError as e:
+                if self.mode == "patterns" or "exceed" not in str(e):
+                    raise
+        n, d = df.count(), len(cols)
+        k = (min(n, d) - 1) if (self.center and self.k is None) else (
+            min(self.k, d) if self.center else min(self.k or d, d - 1, n - 1))
+        if k < 1:
+            raise ValueError("Insufficient data for SVD imputation")
+        return fit_lowrank_scan(df, cols, k, self.center, self.scale, self.tol, self.max_iter)
 
     def sweep(self, df: DataFrame, ranks) -> dict[int, LowRankModel]:
         """One model per rank, all from a single moment table (EVL23): the data
@@ -136,3 +151,120 @@ class SVDImputer(Imputer):
         Wz = [Ap * sz[:, None] for Ap in A]
         W_x = [pm.to_x_map(Wp) for Wp in Wz]
         return LowRankModel(pm, cols, W_x, n_iter, list(map(float, sing)))
+
+
+# ---------------------------------------------------------------- scan mode (any number of patterns)
+
+def lowrank_rows(X: np.ndarray, m_u, s_u, mu, P) -> np.ndarray:
+    """Fill a raw batch at the fixed point u_m = mu_m + [P (u - mu)]_m (working
+    units u = (x - m_u) / s_u), one least-squares solve per missing pattern:
+    (I - P_mm) v_m = P_mo v_o, minimum-norm, as the alternating iteration from the
+    mean start converges to."""
+    U = (X - m_u) / s_u
+    M = np.isnan(U)
+    out = U.copy()
+    d = U.shape[1]
+    if M.any():
+        bits = (M.astype(np.int64) << np.arange(d, dtype=np.int64)).sum(axis=1)
+        for p in np.unique(bits):
+            if p == 0:
+                continue
+            rows = bits == p
+            miss = M[rows][0]
+            obs = ~miss
+            vo = U[np.ix_(rows, obs)] - mu[obs]
+            A = np.eye(miss.sum()) - P[np.ix_(miss, miss)]
+            rhs = vo @ P[np.ix_(miss, obs)].T
+            vm = rhs @ np.linalg.pinv(A).T
+            out[np.ix_(rows, miss)] = mu[miss] + vm
+    return out * s_u + m_u
+
+
+class LowRankScanModel(ImputerModel):
+    def __init__(self, cols, m_u, s_u, mu, P, n_iter, singular_values):
+        self.cols, self.m_u, self.s_u, self.mu, self.P = cols, m_u, s_u, mu, P
+        self.n_iter_, self.singular_values_ = n_iter, singular_values
+
+    explained_variance = LowRankModel.explained_variance
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        cols = self.cols
+        bc = df.sparkSession.sparkContext.broadcast((self.m_u, self.s_u, self.mu, self.P))
+        names = df.columns
+        base = df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in names])
+
+        def run(it):
+            m_u, s_u, mu, P = bc.value
+            for pdf in it:
+                X = pdf[cols].to_numpy(dtype="float64", na_value=np.nan)
+                filled = lowrank_rows(X, m_u, s_u, mu, P)
+                for j, c in enumerate(cols):
+                    pdf[c] = filled[:, j]
+                yield pdf
+        return base.mapInPandas(run, base.schema)
+
+
+def fit_lowrank_scan(df: DataFrame, cols: list[str], k: int, center: bool, scale: bool, tol: float,
+                     max_iter: int) -> LowRankScanModel:
+    """Low-rank completion with one data pass per iteration and no pattern
+    enumeration: each task fills its rows at the fixed point of the current
+    projection and returns partial Gram matrices, summed by Spark."""
+    import pandas as pd
+    from lacuna.functions.columns import clean
+    from lacuna.session import cut
+    d = len(cols)
+    data = cut(df.select(*[clean(df, c).cast("double").alias(c) for c in cols]))
+    row = data.agg(*[F.avg(c).alias(c) for c in cols]).first()
+    m_obs = np.array([row[c] if row[c] is not None else 0.0 for c in cols])
+    sc = df.sparkSession.sparkContext
+
+    def gram(fill_args, prev_args, m_u, s_u):
+        bc = sc.broadcast((fill_args, prev_args, m_u, s_u, m_obs))
+
+        def run(it):
+            fa, pa, mu_, su_, mo = bc.value
+            for pdf in it:
+                X = pdf[cols].to_numpy(dtype="float64", na_value=np.nan)
+                cur = np.where(np.isnan(X), mo, X) if fa is None else lowrank_rows(X, mu_, su_, *fa)
+                prev = np.where(np.isnan(X), mo, X) if pa is None else lowrank_rows(X, mu_, su_, *pa)
+                U = (cur - mu_) / su_
+                A = np.hstack([np.ones((len(U), 1)), U])
+                G = (A.T @ A).ravel()
+                chg = float((((cur - prev) / su_) ** 2).sum()) if scale else float(((cur - prev) ** 2).sum())
+                yield pd.DataFrame({"cell": np.arange(len(G) + 1, dtype="int32"), "v": np.append(G, chg)})
+        rows = data.mapInPandas(run, "cell int, v double").groupBy("cell").agg(F.sum("v").alias("v")).collect()
+        vec = np.zeros((d + 1) ** 2 + 1)
+        for r in rows:
+            vec[r["cell"]] = r["v"]
+        return vec[:-1].reshape(d + 1, d + 1), vec[-1]
+
+    # working units: standardized mean-filled table (package) or raw shifted by the means (notebook)
+    G, _ = gram(None, None, m_obs, np.ones(d))
+    n = G[0, 0]
+    if scale and not center:
+        dm = G[0, 1:] / n
+        var = np.diag(G[1:, 1:]) / n - dm ** 2
+        s_u = np.sqrt(np.maximum(var, 0.0))
+        s_u[s_u == 0] = 1.0
+        m_u = m_obs + dm
+    else:
+        s_u, m_u = np.ones(d), m_obs
+
+    def proj(G):
+        n = G[0, 0]
+        mu = G[0, 1:] / n if center else np.zeros(d)
+        C = G[1:, 1:] - (n * np.outer(mu, mu) if center else 0.0)
+        vals, Vk = _top_eig(C, k)
+        return mu, Vk @ Vk.T, np.sqrt(vals)
+
+    G, _ = gram(None, None, m_u, s_u)
+    mu, P, sing = proj(G)
+    prev, n_iter = None, 0
+    for it in range(max_iter):
+        G, chg = gram((mu, P), prev, m_u, s_u)
+        prev = (mu, P)
+        mu, P, sing = proj(G)
+        n_iter = it + 1
+        if it > 0 and math.sqrt(chg) < tol:
+            break
+    return LowRankScanModel(cols, m_u, s_u, mu, P, n_iter, list(map(float, sing)))
