@@ -32,6 +32,33 @@ def norm(v):
     return str(v)
 
 
+def _kind(v):
+    import datetime
+    import decimal
+    if isinstance(v, bool):
+        return "bool"
+    if isinstance(v, int):
+        return "int"
+    if isinstance(v, float):
+        return "float"
+    if isinstance(v, decimal.Decimal):
+        return "decimal"
+    if isinstance(v, (datetime.date, datetime.datetime)):
+        return "time"
+    return type(v).__name__
+
+
+def type_mismatches(rows, cols, orows, ocols):
+    out = {}
+    for c in cols:
+        i, j = cols.index(c), ocols.index(c)
+        a = {_kind(r[i]) for r in rows if r[i] is not None}
+        b = {_kind(r[j]) for r in orows if r[j] is not None}
+        if a and b and a != b:
+            out[c] = (sorted(a), sorted(b))
+    return out
+
+
 def digest(rows, cols):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     lines = sorted("|".join(norm(r[i]) for i in order) for r in rows)
@@ -75,6 +102,11 @@ def main():
             print(f"FAIL {name}: columns {cols} vs {ocols}")
             bad += 1
             continue
+        tmis = type_mismatches(rows, cols, orows, ocols)
+        if tmis:
+            print(f"FAIL {name}: value types differ {tmis}")
+            bad += 1
+            continue
         h1, l1 = digest(rows, cols)
         h2, l2 = digest(orows, ocols)
         if len(rows) != len(orows) or h1 != h2:
