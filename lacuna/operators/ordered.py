@@ -119,7 +119,8 @@ def order_context(df: DataFrame, order_by: list[str], columns: list[str],
                  F.last(f"{c}__bf_k", True).over(later).alias(f"{c}__cnk")]
     carry = summ.select(*csel)
     n_summary = n_series * max(buckets, 1)
-    if n_summary <= BROADCAST_ROWS:
+    row_bytes = 16 * (len(part) + 2 + 6 * len(columns)) + 32
+    if n_summary <= BROADCAST_ROWS and n_summary * row_bytes <= (256 << 20):
         carry = F.broadcast(carry)
     j = local.join(carry, [*part, "__b"], "left")
     out = [F.col(c) for c in df.columns] + [(F.col("__off") + F.col("__lpos")).alias("__pos"), F.col("__key")]
