@@ -77,7 +77,10 @@ def between_group_variance(stacked: DataFrame, key: str, column: str) -> DataFra
 
 def histogram(long: DataFrame, lo: float, hi: float, bins: int) -> DataFrame:
     """Equal-width bin counts per (method, series) (EVL24)."""
-    b = F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(hi - lo) * bins), F.lit(bins - 1)).cast("int")
+    if hi == lo:  # one value: everything in the first bin
+        b = F.lit(0)
+    else:
+        b = F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(hi - lo) * bins), F.lit(bins - 1)).cast("int")
     return long.where(F.col("v").isNotNull()).groupBy("method", "series", b.alias("bin")).agg(
         F.count("*").alias("n"))
 

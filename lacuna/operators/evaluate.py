@@ -173,4 +173,4 @@ def improvement_over(per_method: DataFrame, baseline: str, metric: str = "rmse")
     b = per_method.where(F.col("method") == baseline).select(metric).first()
     base = F.lit(None).cast("double") if b is None else F.lit(b[0])
     return per_method.select("method", F.col(metric),
-                             ((base - F.col(metric)) / base * 100).alias("improvement_pct"))
+                             F.when(base != 0, (base - F.col(metric)) / base * 100).alias("improvement_pct"))

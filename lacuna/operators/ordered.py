@@ -152,7 +152,8 @@ def ordered_fill_expr(c: str, method: str, limit: int | None) -> Column:
         fill = nv if limit is None else F.when(np_ - pos <= limit, nv)
     elif method in ("linear", "time"):
         a, b, x = (pp, np_, pos) if method == "linear" else (pk, nk, key)
-        inner = pv + (nv - pv) * (x - a) / (b - a)
+        # equal keys on both sides (duplicate timestamps): take the previous value
+        inner = F.when(b != a, pv + (nv - pv) * (x - a) / (b - a)).otherwise(pv)
         # leading holes stay; trailing holes take the last value (pandas / np.interp)
         fill = F.when(pv.isNotNull() & nv.isNotNull(), inner).when(pv.isNotNull(), pv)
         if limit is not None:

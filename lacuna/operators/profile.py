@@ -23,7 +23,7 @@ def missing_summary(df: DataFrame) -> DataFrame:
                       for i, c in enumerate(cols)])
     long = row.select(F.col("__n").alias("n_rows"), F.explode(cells).alias("x")).select(
         "x.column_name", "x.dtype", "n_rows", "x.n_missing")
-    pct = F.col("n_missing") * 100.0 / F.col("n_rows")
+    pct = F.when(F.col("n_rows") > 0, F.col("n_missing") * 100.0 / F.col("n_rows"))
     w = Window.orderBy(pct.desc(), F.col("column_name"))
     return long.select("column_name", "dtype", "n_rows", "n_missing", pct.alias("pct_missing"),
                        F.row_number().over(w).cast("long").alias("rank_pos"))
