@@ -309,37 +309,95 @@ def bayesian_ridge(XtX, Xty, yty, n, max_iter=300, tol=1e-3, a1=1e-6, a2=1e-6, l
     return coef
 
 
+def replay_steps(Z: np.ndarray, steps) -> np.ndarray:
+    """Replay a regression chain on standardized rows (holes NaN): mean start
+    (0), then for every step (j, others, coef, intercept) the rows missing j get
+    intercept + coef . z_others of their current values."""
+    M = np.isnan(Z)
+    out = np.where(M, 0.0, Z)
+    for j, others, coef, intercept in steps:
+        rows = M[:, j]
+        if rows.any():
+            out[rows, j] = intercept + out[np.ix_(rows, others)] @ coef
+    return out
+
+
 class IterativeModel(ImputerModel):
-    def __init__(self, pm, cols, W_z, n_iter, order):
-        self.pm, self.cols, self.W_z, self.n_iter_, self.order_ = pm, cols, W_z, n_iter, order
+    """The fitted chain of regressions (standardized units); ``transform`` replays
+    it inside each task, so any missing pattern - on new tables or streams - is
+    filled exactly as the fit would have filled it."""
+
+    def __init__(self, cols, m, s, steps, n_iter, order):
+        self.cols, self.m, self.s, self.steps = cols, np.asarray(m), np.asarray(s), steps
+        self.n_iter_, self.order_ = n_iter, order
 
     def transform(self, df):
-        maps = {int(p): self.pm.to_x_map(W) for p, W in zip(self.pm.patterns, self.W_z)}
-        return apply_pattern_maps(df, self.cols, maps, self.pm.hole_idx, fallback=self.pm.m)
+        from pyspark.sql import functions as F
+        from lacuna.functions.columns import clean
+        cols = self.cols
+        bc = df.sparkSession.sparkContext.broadcast((self.m, self.s, self.steps))
+        names = df.columns
+        base = df.select(*[clean(df, c).cast("double").alias(c) if c in cols else F.col(c) for c in names])
+
+        def run(it):
+            m, s, steps = bc.value
+            for pdf in it:
+                X = pdf[cols].to_numpy(dtype="float64", na_value=np.nan)
+                out = replay_steps((X - m) / s, steps) * s + m
+                out = np.where(np.isnan(X), out, X)
+                for j, c in enumerate(cols):
+                    pdf[c] = out[:, j]
+                yield pdf
+        return base.mapInPandas(run, base.schema)
+
+
+def _ridge_step(G: np.ndarray):
+    """Bayesian ridge of the last column on the others from a [1, X, y] Gram."""
+    n = G[0, 0]
+    mean = G[0, 1:] / n
+    cen = G[1:, 1:] - n * np.outer(mean, mean)
+    XtX, Xty, yty = cen[:-1, :-1], cen[:-1, -1], cen[-1, -1]
+    coef = bayesian_ridge(XtX, Xty, yty, n, var_y=yty / n)
+    return coef, float(mean[-1] - mean[:-1] @ coef)
 
 
 class IterativeImputer(Imputer):
     """Round-robin regression: mean start, columns in ascending missing count,
     each regressed (Bayesian ridge) on all others, for ``max_iter`` rounds or
     until the RMS change of the filled cells falls below ``tol`` times the
-    largest observed magnitude.  The fitted chain is a set of per-pattern maps,
-    so ``transform`` replays it on the fitted patterns."""
+    largest observed magnitude.
 
-    def __init__(self, max_iter: int = 10, tol: float = 1e-3, columns=None, exclude=(), max_patterns: int = 4096):
-        self.max_iter, self.tol = max_iter, tol
+    Pattern mode runs the whole chain on per-pattern moments (one data pass);
+    above ``max_patterns`` (or with ``mode='scan'``) each regression is one pass
+    in which tasks replay the chain so far and return a partial Gram."""
+
+    def __init__(self, max_iter: int = 10, tol: float = 1e-3, columns=None, exclude=(), max_patterns: int = 4096,
+                 mode: str = "auto"):
+        if mode not in ("auto", "patterns", "scan"):
+            raise ValueError("mode must be 'auto', 'patterns' or 'scan'")
+        self.max_iter, self.tol, self.mode = max_iter, tol, mode
         self.columns, self.exclude, self.max_patterns = columns, tuple(exclude), max_patterns
 
     def fit(self, df):
         self._check_input(df)
         cols = resolve_columns(df, self.columns, "numeric", self.exclude)
-        pm = PatternMoments(df, cols, self.max_patterns)
+        if self.mode != "scan":
+            try:
+                return self._fit_patterns(PatternMoments(df, cols, self.max_patterns))
+            except ValueError as e:
+                if self.mode == "patterns" or "exceed" not in str(e):
+                    raise
+        return self._fit_scan(df, cols)
+
+    def _fit_patterns(self, pm):
+        cols = pm.cols
         d = len(cols)
         W = pm.identity_maps()
         miss_count = np.zeros(d)
         for p, Q in zip(pm.patterns, pm.Q):
             miss_count += pm.missing(p) * Q[0, 0]
         order = [int(j) for j in np.argsort(miss_count, kind="stable") if miss_count[j] > 0]
-        n_iter = 0
+        n_iter, steps = 0, []
         for it in range(self.max_iter):
             W_prev = [w.copy() for w in W]
             for j in order:
@@ -350,22 +408,74 @@ class IterativeImputer(Imputer):
                         continue
                     C = np.vstack([np.eye(1, d + 1, 0), Wp[others], Wp[j]])
                     G += C @ Q @ C.T
-                n = G[0, 0]
-                if n < 2:
+                if G[0, 0] < 2:
                     continue
-                mean = G[0, 1:] / n
-                cen = G[1:, 1:] - n * np.outer(mean, mean)
-                XtX, Xty, yty = cen[:-1, :-1], cen[:-1, -1], cen[-1, -1]
-                coef = bayesian_ridge(XtX, Xty, yty, n, var_y=yty / n)
-                intercept = mean[-1] - mean[:-1] @ coef
+                coef, intercept = _ridge_step(G)
+                steps.append((j, others, coef, intercept))
                 for Wp, p in zip(W, pm.patterns):
                     if pm.missing(p)[j]:
                         row = coef @ Wp[others]
                         row[0] += intercept
                         Wp[j] = row
             n_iter = it + 1
-            n_miss = miss_count.sum()
-            rms = math.sqrt(pm.change_sq(W, W_prev) / max(n_miss, 1))
+            rms = math.sqrt(pm.change_sq(W, W_prev) / max(miss_count.sum(), 1))
             if rms < self.tol * float(np.max(np.abs(pm.m) + 3 * pm.s)):
                 break
-        return IterativeModel(pm, cols, W, n_iter, [cols[j] for j in order])
+        return IterativeModel(cols, pm.m, pm.s, steps, n_iter, [cols[j] for j in order])
+
+    def _fit_scan(self, df, cols):
+        from pyspark.sql import functions as F
+        from lacuna.functions.columns import clean
+        from lacuna.session import cut
+        d = len(cols)
+        data = cut(df.select(*[clean(df, c).cast("double").alias(c) for c in cols]))
+        st = data.agg(F.count(F.lit(1)).alias("n"), *[x for i, c in enumerate(cols) for x in
+                      (F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}"), F.count(c).alias(f"c{i}"))]).first()
+        m = np.array([st[f"m{i}"] if st[f"m{i}"] is not None else 0.0 for i in range(d)])
+        s = np.array([st[f"s{i}"] if st[f"s{i}"] else 1.0 for i in range(d)])
+        miss_count = np.array([st["n"] - st[f"c{i}"] for i in range(d)], dtype=float)
+        order = [int(j) for j in np.argsort(miss_count, kind="stable") if miss_count[j] > 0]
+        sc = df.sparkSession.sparkContext
+
+        def pass_(steps, j, prev_len):
+            """Gram for regressing column j (rows observing j), and the squared change
+            of the completed table since the chain had ``prev_len`` steps."""
+            bc = sc.broadcast((m, s, steps, j, prev_len))
+
+            def run(it):
+                mm, ss, stp, jj, pl = bc.value
+                for pdf in it:
+                    Z = (pdf[cols].to_numpy(dtype="float64", na_value=np.nan) - mm) / ss
+                    cur = replay_steps(Z, stp)
+                    chg = 0.0
+                    if pl is not None:
+                        chg = float((((cur - replay_steps(Z, stp[:pl])) * ss) ** 2).sum())
+                    G = np.zeros((d + 1, d + 1))
+                    if jj is not None:
+                        others = [i for i in range(d) if i != jj]
+                        keep = ~np.isnan(Z[:, jj])
+                        A = np.hstack([np.ones((keep.sum(), 1)), cur[keep][:, others], cur[keep][:, [jj]]])
+                        G = A.T @ A
+                    v = np.append(G.ravel(), chg)
+                    yield pd.DataFrame({"cell": np.arange(len(v), dtype="int32"), "v": v})
+            rows = data.mapInPandas(run, "cell int, v double").groupBy("cell").agg(F.sum("v").alias("v")).collect()
+            vec = np.zeros((d + 1) ** 2 + 1)
+            for r in rows:
+                vec[r["cell"]] = r["v"]
+            return vec[:-1].reshape(d + 1, d + 1), vec[-1]
+
+        steps, n_iter = [], 0
+        for it in range(self.max_iter):
+            start_len = len(steps)
+            for j in order:
+                G, _ = pass_(steps, j, None)
+                if G[0, 0] < 2:
+                    continue
+                coef, intercept = _ridge_step(G)
+                steps.append((j, [i for i in range(d) if i != j], coef, intercept))
+            n_iter = it + 1
+            _, chg = pass_(steps, None, start_len)
+            rms = math.sqrt(chg / max(miss_count.sum(), 1))
+            if rms < self.tol * float(np.max(np.abs(m) + 3 * s)):
+                break
+        return IterativeModel(cols, m, s, steps, n_iter, [cols[j] for j in order])

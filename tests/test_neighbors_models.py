@@ -225,3 +225,15 @@ def test_svd_scan_mode_recovers_low_rank(spark):
                                  columns=list("wxyz")).fit_transform(df))
         err = np.abs(out[list("wxyz")].to_numpy() - T)[M].mean()
         assert err < 0.02 * mean_err, (mode, err, mean_err)
+
+
+def test_iterative_scan_equals_patterns_and_unseen_patterns(spark, table):
+    pdf, df = table
+    a = _sorted(IterativeImputer(columns=COLS).fit_transform(df))
+    b = _sorted(IterativeImputer(columns=COLS, mode="scan").fit_transform(df))
+    assert np.allclose(a[COLS].to_numpy(), b[COLS].to_numpy(), atol=1e-6)
+    complete_a = df.where(F.col("a").isNotNull())
+    model = IterativeImputer(columns=COLS).fit(complete_a)
+    new = spark.createDataFrame([(1000, None, 5.0, None)], "id long, a double, b double, c double")
+    out = model.transform(new).first()
+    assert out["a"] is not None and out["c"] is not None
