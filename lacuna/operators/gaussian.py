@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from lacuna.functions.columns import resolve_columns
 from lacuna.functions.quantiles import exact_quantiles_multi
 from lacuna.operators.base import Imputer, ImputerModel
-from lacuna.operators.moments import PatternMoments, apply_pattern_maps, decode, hole_columns, patterns_of
+from lacuna.operators.moments import PatternMoments, decode
 
 RIDGE = 1e-6  # fixed value: ridge added to covariance blocks before inversion
 
@@ -129,10 +129,6 @@ class GaussianModel(ImputerModel):
         self.log_likelihood_ = history[-1] if history else None
         self.n_iter_ = n_iter
 
-    def maps(self, patterns, hole_idx) -> dict[int, np.ndarray]:
-        mz = conditional_maps(self.pm, self.mu_z, self.cov_z, patterns, hole_idx)
-        return {p: self.pm.to_x_map(W) for p, W in mz.items()}
-
     def transform(self, df: DataFrame) -> DataFrame:
         """One E-step with the fitted mean and covariance: each row's fill depends
         only on its own observed cells, so this also works on new data and streams.

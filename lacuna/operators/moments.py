@@ -148,11 +148,6 @@ def decode(p: int, hole_idx: list[int], d: int) -> np.ndarray:
     return out
 
 
-def hole_columns(df: DataFrame, cols: list[str]) -> list[int]:
-    row = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(clean(df, c)).alias(f"c{i}") for i, c in enumerate(cols)]).first()
-    return [i for i in range(len(cols)) if row[f"c{i}"] < row["n"]]
-
-
 def apply_pattern_maps(df: DataFrame, cols: list[str], maps: dict[int, np.ndarray],
                        hole_idx: list[int] | None = None, fallback: np.ndarray | None = None) -> DataFrame:
     """Fill holes of ``cols`` with x-space affine maps per missing pattern.
@@ -201,8 +196,3 @@ def apply_pattern_maps(df: DataFrame, cols: list[str], maps: dict[int, np.ndarra
             yield pdf
     return df.select(*[clean(df, c).cast("double").alias(c) if c in cols else F.col(c) for c in names]) \
         .mapInPandas(run, schema)
-
-
-def patterns_of(df: DataFrame, cols: list[str]) -> list[int]:
-    """Distinct patterns, bits over ``cols`` (pass the hole columns only)."""
-    return [r[0] for r in df.select(pattern_bits(df, cols).alias("p")).distinct().collect()]
