@@ -218,3 +218,39 @@ def q36b(spark, sf):
 
 
 query("q36b_svd_rank_sweep")(q36b)
+
+
+# ------------------------------------------------------------------ Q47 method comparison
+def q47(spark, sf):
+    """Every fill on the same held-out document cells, scored per column
+    (NRMSE, RMSE, R2): the project's counterpart of the reference's method
+    comparison (BASELINE B1-B5)."""
+    from lacuna.operators import evaluate as E
+    from lacuna.operators.group import GroupCenterImputer
+    from lacuna.operators.knn import EnhancedKNNImputer, KNNImputer
+    from lacuna.operators.simple import MedianImputer
+    d = doc_masked(spark, sf, truth=True)
+    aux = [c for c in d.columns if "__" in c]
+    feats = DOC_FEATS
+    makers = {
+        "mean": lambda: MeanImputer(columns=feats),
+        "median": lambda: MedianImputer(columns=feats),
+        "group_mean": lambda: GroupCenterImputer("lang", columns=feats),
+        "knn": lambda: KNNImputer("doc_id", 5, "distance", columns=feats, features=feats),
+        "enhanced_knn": lambda: EnhancedKNNImputer("doc_id", 5, columns=feats, exclude=aux),
+        "svd": lambda: SVDImputer(2, tol=1e-4, columns=feats),
+        "em": lambda: EMImputer(columns=feats),
+        "iterative": lambda: IterativeImputer(columns=feats),
+        "mixture": lambda: GaussianMixtureImputer(2, columns=feats),
+    }
+    res = {name: make().fit_transform(d) for name, make in makers.items()}
+    lg = MI.multiple_after(d.select("doc_id", *feats), "doc_id", feats, 3)
+    pooled = MI.pool(lg, "doc_id", feats)
+    truth = d.select("doc_id", *[f"{c}__truth" for c in feats], *[f"{c}__mask" for c in feats])
+    res["multiple_em"] = pooled.join(truth, "doc_id")
+    sc = E.numeric_scores(E.stack_methods(res, feats), feats)
+    return sc.select("method", "column_name", "n_scored", F.round("rmse", 4).alias("rmse"),
+                     F.round("nrmse", 6).alias("nrmse"), F.round("r2", 4).alias("r2"))
+
+
+query("q47_method_comparison")(q47)
