@@ -31,6 +31,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
     )
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -60,3 +61,31 @@ def cut(df):
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``lacuna`` importable in the executors' Python workers.
+
+    Arrow UDFs (``mapInPandas``, ``applyInPandas``) pickle references to
+    functions in this package; when it is not installed on the cluster, a zip of
+    it is added with ``addPyFile`` (shipped to every executor by Spark).  Done once
+    per SparkContext.
+    """
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="lacuna-pkg-"), "lacuna.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
