@@ -68,7 +68,21 @@ def digest(rows, cols):
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     pats = sys.argv[2:]
-    spark = get_session()
+    if os.environ.get("ORACLE_VIA_ENTRY"):
+        # as the driver does: a plain session and the entry module loaded by path
+        import importlib.util
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.ui.enabled", "false").getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        spec = importlib.util.spec_from_file_location("entry_mod", os.path.join(root, "__spark_entry__.py"))
+        mod = importlib.util.module_from_spec(spec)
+        spec.loader.exec_module(mod)
+        global queries, oracle_sql
+        queries, oracle_sql = mod.queries, mod.oracle_sql
+    else:
+        spark = get_session()
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
