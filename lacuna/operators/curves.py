@@ -82,8 +82,13 @@ class CurveModel(ImputerModel):
         both = own.unionByName(halo)
         schema = own.select(*names).schema
         method, order = self.method, self.order
+        # many short series share one Python call: group by a hash of the series
+        # key and the bucket (a long series is already split by the buckets)
+        n_slots = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4
+        slot = F.pmod(F.xxhash64(*part), F.lit(n_slots)) if part else F.lit(0)
+        both = both.withColumn("__slot", slot)
 
-        def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        def one(pdf: pd.DataFrame) -> pd.DataFrame:
             pts = pdf[pdf[c].notna()].drop_duplicates("__pos").sort_values("__pos")
             mine = pdf[pdf["__own"]].copy()
             hole = mine[c].isna().to_numpy()
@@ -96,7 +101,13 @@ class CurveModel(ImputerModel):
             mine[c] = vals
             return mine[names]
 
-        return both.groupBy(*part, "__tb").applyInPandas(fn, schema)
+        def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+            if not part:
+                return one(pdf)
+            outs = [one(g) for _, g in pdf.groupby(part, dropna=False, sort=False)]
+            return pd.concat(outs, ignore_index=True) if outs else pdf[names].iloc[:0]
+
+        return both.groupBy("__slot", "__tb").applyInPandas(fn, schema)
 
 
 class CurveInterpolationImputer(Imputer):

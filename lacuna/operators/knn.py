@@ -181,8 +181,7 @@ class KNNModel(ImputerModel):
 
     def transform(self, df: DataFrame) -> DataFrame:
         cand = self.candidates(df)
-        fills = _weighted(cand, self.weights).withColumn(
-            "j", F.col("j"))
+        fills = _weighted(cand, self.weights)
         # j indexes feats; map to target order
         tj = [self.feats.index(c) for c in self.targets]
         fills = fills.withColumn("j", F.array_position(F.array(*[F.lit(x) for x in tj]), F.col("j")) - 1)

@@ -87,10 +87,13 @@ class SVDImputer(Imputer):
         self._check_input(df)
         cols = resolve_columns(df, self.columns, "numeric", self.exclude)
         pm = PatternMoments(df, cols, self.max_patterns)
-        out = {}
-        for r in ranks:
-            self.k = r
-            out[r] = self.fit_moments(pm)
+        out, keep = {}, self.k
+        try:
+            for r in ranks:
+                self.k = r
+                out[r] = self.fit_moments(pm)
+        finally:
+            self.k = keep
         return out
 
     def fit_moments(self, pm: PatternMoments) -> LowRankModel:
