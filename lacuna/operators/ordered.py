@@ -37,7 +37,7 @@ def _key_double(df: DataFrame, name: str) -> Column:
     t = df.schema[name].dataType
     if isinstance(t, T.TimestampNTZType):
         # wall-clock micros, whatever the session time zone
-        return F.unix_micros(F.to_utc_timestamp(F.col(name).cast("timestamp"), F.current_timezone())).cast("double")
+        return F.unix_micros(F.from_utc_timestamp(F.col(name).cast("timestamp"), F.current_timezone())).cast("double")
     if isinstance(t, T.TimestampType):
         return F.unix_micros(F.col(name)).cast("double")
     if isinstance(t, T.DateType):

@@ -18,8 +18,10 @@ def _event_stream(spark, sf):
     static = spark.read.parquet(f"{sf}/events.parquet")
     # a glob keeps the file source from treating the single file as a directory
     raw = spark.readStream.schema(static.schema).option("basePath", sf).parquet(f"{sf}/events.parque[t]")
-    # event time must be a (zoned) timestamp; the session time zone is UTC
-    return raw.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type",
+    # event time must be a zoned timestamp: read the wall clock as UTC, so day
+    # windows fall on wall-clock midnights whatever the session time zone is
+    ts = F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone())
+    return raw.select("event_id", ts.alias("ts"), "user_id", "event_type",
                       F.when(missing_flag("event_id", 31, 250), F.lit(None).cast("double"))
                       .otherwise(F.col("value")).alias("value"))
 
@@ -51,7 +53,8 @@ query("q46b_stream_ffill", Q46B_SQL)(q46b)
 def q46c(spark, sf):
     agg = missing_rate_by_window(_event_stream(spark, sf), "ts", ["value", "event_type"], "1 day")
     res = run_to_table(spark, agg, "stream_missing_rate", mode="complete")
-    return res.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "n_rows",
+    start = F.to_utc_timestamp(F.col("w.start"), F.current_timezone())  # render the UTC wall clock
+    return res.select(F.date_format(start, "yyyy-MM-dd HH:mm:ss").alias("window_start"), "n_rows",
                       "value_missing", "event_type_missing",
                       F.round(F.col("value_missing") / F.col("n_rows"), 6).alias("value_missing_rate"))
 

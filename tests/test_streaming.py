@@ -33,3 +33,17 @@ def test_stream_ffill_across_batches(spark, tmp_path):
         "test_rates", mode="complete")
     assert rates.agg(F.sum("n_rows")).first()[0] == n
     assert rates.agg(F.sum("value_missing")).first()[0] == int(np.isnan(v).sum())
+
+
+def test_results_do_not_depend_on_session_zone(spark):
+    from lacuna.plans import queries
+    q = queries()
+    sf = "/root/testdata/sf0.001"
+    names = ["q46c_stream_missing_rate", "q31_time_nearest_zero"]
+    base = {n: sorted(q[n](spark, sf).collect()) for n in names}
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for n in names:
+            assert sorted(q[n](spark, sf).collect()) == base[n], n
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
