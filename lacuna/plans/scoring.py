@@ -70,8 +70,8 @@ def fill_sql(kind: str, cols_all: list[str], targets: list[str], key: str | None
 DOC_METHODS = ("mean", "median", "group_mean", "group_median", "zero", "quartile_partial_mean")
 
 
-def doc_fills(spark, sf, names=DOC_METHODS):
-    m = doc_masked(spark, sf)
+def doc_fills(spark, sf, names=DOC_METHODS, m=None):
+    m = doc_masked(spark, sf) if m is None else m
     makers = {
         "mean": lambda: MeanImputer(columns=DOC_FEATS),
         "median": lambda: MedianImputer(columns=DOC_FEATS),
@@ -346,7 +346,7 @@ def _doc_views(spark, sf, names=Q22_METHODS, extra=()):
     m = doc_masked(spark, sf)
     parts = {"truth": m.select(*[F.col(c + "__truth").alias(c) for c in DOC_FEATS], "lang"),
              "observed": m.select(*DOC_FEATS, "lang")}
-    fills = doc_fills(spark, sf, names)
+    fills = doc_fills(spark, sf, names, m=m)
     for n, d in fills.items():
         parts[n] = d.select(*DOC_FEATS, "lang")
     return A.stack(parts)
@@ -540,8 +540,8 @@ query("q26c_true_vs_imputed", Q26C_SQL)(q26c)
 
 
 def q26d(spark, sf):
-    fills = doc_fills(spark, sf, ("mean", "group_mean"))
     m = doc_masked(spark, sf)
+    fills = doc_fills(spark, sf, ("mean", "group_mean"), m=m)
     first = m.where(F.col("n_words__mask")).agg(F.min("doc_id")).first()[0]
     a = fills["mean"].where(F.col("doc_id") == first).select("doc_id", F.col("n_words__truth").alias("truth"),
                                                              F.col("n_words").alias("mean_fill"))
