@@ -88,3 +88,22 @@ def test_partial_mean_first_condition_wins(spark):
     got = {r[0]: r[1] for r in out.where(F.col("id") >= 100).select("id", "x").collect()}
     assert got[100] == pytest.approx(np.mean(range(12)))
     assert got[101] == pytest.approx(np.mean(range(24)))  # 'all' comes before 'qs'
+
+
+def test_hot_series_is_split_and_still_exact(spark, monkeypatch):
+    """One series holds a third of the rows; with a small chunk size the
+    automatic bucketing splits it, and the fill still equals pandas."""
+    import lacuna.operators.ordered as O
+    monkeypatch.setattr(O, "CHUNK_ROWS", 50)
+    rng = np.random.default_rng(13)
+    n = 900
+    g = np.where(np.arange(n) < n // 3, 0, rng.integers(1, 40, n))
+    v = rng.normal(size=n)
+    v[rng.random(n) < 0.4] = np.nan
+    pdf = pd.DataFrame({"id": np.arange(n), "g": g, "t": rng.permutation(n), "v": v})
+    df = spark.createDataFrame(pdf)
+    out = _spark_sorted(InterpolationImputer("linear", ["t", "id"], "g", columns=["v"]).fit_transform(df))
+    ref = pdf.sort_values(["g", "t", "id"]).copy()
+    ref["v"] = ref.groupby("g")["v"].transform(lambda s: s.interpolate(method="linear"))
+    ref = ref.sort_values("id").reset_index(drop=True)
+    assert np.allclose(out["v"], ref["v"], equal_nan=True, atol=1e-12)
