@@ -18,8 +18,6 @@ With ``buckets=1`` and a series key this reduces to plain windows per series.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F

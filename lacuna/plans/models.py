@@ -10,7 +10,7 @@ from lacuna.operators.lowrank import SVDImputer
 from lacuna.operators.mixture import GaussianMixtureImputer, select_components
 from lacuna.operators import multiple as MI
 from lacuna.operators.simple import MeanImputer
-from lacuna.plans.common import DOC_FEATS, _mask, doc_masked, doc_masked_sql
+from lacuna.plans.common import DOC_FEATS, doc_masked, doc_masked_sql
 from lacuna.plans.registry import query
 from lacuna.sources.tables import load
 

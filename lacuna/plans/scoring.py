@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lacuna.functions.hashing import PRIME, mult
-from lacuna.functions.quantiles import exact_quantiles_long
 from lacuna.operators import evaluate as E
 from lacuna.operators.group import GroupCenterImputer, PartialMeanImputer
 from lacuna.operators.masks import inject_outliers
