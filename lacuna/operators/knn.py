@@ -354,7 +354,7 @@ class EnhancedKNNImputer(Imputer):
 # pairs and emits only the donors that fall in that one bin, ordered by
 # (distance, donor id) to take exactly the ones still needed.
 
-BINS_PER_OCTAVE = 64
+BINS_PER_OCTAVE = 8
 INF_BIN = 1 << 20
 ZERO_BIN = -(1 << 20)
 
@@ -380,6 +380,24 @@ def _bin_of(ss: np.ndarray) -> np.ndarray:
     return b.astype("int64")
 
 
+def _bin_counts(rids: np.ndarray, b: np.ndarray, v: np.ndarray, j: int) -> pd.DataFrame:
+    """Per (receiver, bin): donor count and value sum, by one bincount over compact bin ids."""
+    finite = (b != ZERO_BIN) & (b != INF_BIN)
+    lo = int(b[finite].min()) if finite.any() else 0
+    hi = int(b[finite].max()) if finite.any() else 0
+    nb = hi - lo + 3  # slot 0: zero distance, slots 1..: finite bins, last: no shared column
+    compact = np.where(b == ZERO_BIN, 0, np.where(b == INF_BIN, nb - 1, b - lo + 1))
+    key = (np.arange(len(rids))[:, None] * nb + compact).ravel()
+    size = len(rids) * nb
+    cnt = np.bincount(key, minlength=size)
+    sv = np.bincount(key, weights=np.broadcast_to(v, b.shape).ravel(), minlength=size)
+    nz = np.nonzero(cnt)[0]
+    slot = nz % nb
+    orig = np.where(slot == 0, ZERO_BIN, np.where(slot == nb - 1, INF_BIN, slot - 1 + lo))
+    return pd.DataFrame({"rid": rids[nz // nb], "j": np.full(len(nz), j, dtype="int32"),
+                         "bin": orig.astype("int64"), "cnt": cnt[nz].astype("int64"), "sv": sv[nz]})
+
+
 def _hist_block(feats, targets):
     def fn(rp, dp):
         Xr = rp[feats].to_numpy(dtype="float64")
@@ -392,12 +410,7 @@ def _hist_block(feats, targets):
             if len(ri) == 0 or len(di) == 0:
                 continue
             b = _bin_of(_ss_other(Xr[ri], Xd[di], Mr[ri], Md[di], j))
-            v = np.broadcast_to(Xd[di, j], b.shape)
-            r = np.broadcast_to(rid[ri][:, None], b.shape)
-            t = pd.DataFrame({"rid": r.ravel(), "bin": b.ravel(), "v": v.ravel()})
-            g = t.groupby(["rid", "bin"], sort=False).agg(cnt=("v", "size"), sv=("v", "sum")).reset_index()
-            g["j"] = j
-            outs.append(g)
+            outs.append(_bin_counts(rid[ri], b, Xd[di, j], j))
         if not outs:
             return pd.DataFrame({"rid": [], "j": [], "bin": [], "cnt": [], "sv": []})
         return pd.concat(outs, ignore_index=True)[["rid", "j", "bin", "cnt", "sv"]]

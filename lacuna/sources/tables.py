@@ -32,7 +32,9 @@ PUNCT = ".,;:!?"
 
 
 def _count_removed(text: Column, chars: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, chars, ""))
+    # one character: replace() is about twice as fast as translate() on long texts
+    gone = F.replace(text, F.lit(chars), F.lit("")) if len(chars) == 1 else F.translate(text, chars, "")
+    return F.length(text) - F.length(gone)
 
 
 def document_features(docs: DataFrame) -> DataFrame:
