@@ -237,3 +237,26 @@ def test_iterative_scan_equals_patterns_and_unseen_patterns(spark, table):
     new = spark.createDataFrame([(1000, None, 5.0, None)], "id long, a double, b double, c double")
     out = model.transform(new).first()
     assert out["a"] is not None and out["c"] is not None
+
+
+def test_enhanced_knn_categorical_mode(spark):
+    rng = np.random.default_rng(8)
+    n = 120
+    x = rng.normal(size=n)
+    lab = np.where(x > 0, "pos", "neg").astype(object)
+    lab[rng.random(n) < 0.25] = None
+    pdf = pd.DataFrame({"id": np.arange(n), "x": x, "lab": lab})
+    out = _sorted(EnhancedKNNImputer("id", 3, columns=None, distance_features=["x"]).fit_transform(
+        spark.createDataFrame(pdf)))
+    z = (x - x.mean()) / x.std()
+    for i in np.nonzero(pd.isna(lab))[0]:
+        d = np.abs(z - z[i])
+        d[i] = np.inf
+        nb = np.lexsort((np.arange(n), d))[:3]
+        vals = [lab[j] for j in nb if lab[j] is not None]
+        if vals:
+            counts = pd.Series(vals).value_counts()
+            want = sorted(counts[counts == counts.max()].index)[0]
+        else:
+            want = pd.Series([v for v in lab if v is not None]).mode().iloc[0]
+        assert out.loc[i, "lab"] == want
