@@ -102,7 +102,8 @@ def order_context(df: DataFrame, order_by: list[str], columns: list[str],
                  F.min_by(F.col("__key"), F.when(obs, F.col("__lpos"))).alias(f"{c}__bf_k")]
     local = base.select(*sel)
     # one row per (series, bucket): the carry table
-    summ = base.groupBy(*part, "__b").agg(*aggs)
+    # built from the windowed table, so the (series, bucket) shuffle is reused, not repeated
+    summ = local.groupBy(*part, "__b").agg(*aggs)
     ws = Window.partitionBy(*part).orderBy("__b")
     before = ws.rowsBetween(Window.unboundedPreceding, -1)
     later = Window.partitionBy(*part).orderBy(F.col("__b").desc()).rowsBetween(Window.unboundedPreceding, -1)
