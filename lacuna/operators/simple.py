@@ -166,15 +166,58 @@ def mode_expr(value: str, count: str = "cnt"):
     return F.min_by(F.col(value), F.struct((-F.col(count)).alias("nc"), F.col(value).alias("v")))
 
 
-def column_modes(df: DataFrame, cols: list[str]) -> dict:
-    """Mode per column: a distributed value count, then a partial-aggregated min_by.
+def _sort_key(df: DataFrame, c: str):
+    """A double that orders the column's values as the column type does, or None."""
+    t = df.schema[c].dataType
+    v = clean(df, c)
+    if isinstance(t, (T.NumericType, T.BooleanType)):
+        return v.cast("double")
+    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(v.cast("timestamp")).cast("double")
+    if isinstance(t, T.DateType):
+        return F.unix_date(v).cast("double")
+    return F.lit(None).cast("double")
+
+
+def _from_string(t: T.DataType, s):
+    if s is None or isinstance(t, T.StringType):
+        return s
+    if isinstance(t, T.BooleanType):
+        return s == "true"
+    if isinstance(t, T.IntegralType):
+        return int(s)
+    if isinstance(t, (T.FloatType, T.DoubleType)):
+        return float(s)
+    return s  # decimals, dates, timestamps: cast by the fill expression
+
 
-    Unlike ``F.mode`` (one hash map of all distinct values per group), both
-    steps shuffle by value, so high-cardinality columns and hot values spread.
+def column_modes(df: DataFrame, cols: list[str]) -> dict:
+    """Mode per column (ties: smallest value), all columns in one job.
+
+    Cells go to a long (column, value) table; a (column, value) count and a
+    per-column ``min_by`` over (-count, typed key, value) both shuffle with
+    map-side partial aggregation, so high-cardinality columns and hot values
+    spread (``F.mode`` would keep one hash map of all values per column).
+    Values travel as strings (Spark's casts round-trip them) next to a typed
+    sort key, so ties still go to the smallest value in the column's own order.
     """
+    if not cols:
+        return {}
+    simple = [c for c in cols if not isinstance(df.schema[c].dataType, (T.ArrayType, T.MapType, T.StructType,
+                                                                       T.BinaryType))]
     out = {}
+    if simple:
+        cells = F.array(*[F.struct(F.lit(i).alias("k"), clean(df, c).cast("string").alias("s"),
+                                   _sort_key(df, c).alias("o")) for i, c in enumerate(simple)])
+        long = df.select(F.explode(cells).alias("x")).select("x.k", "x.s", "x.o").where(F.col("s").isNotNull())
+        counts = long.groupBy("k", "s", "o").agg(F.count("*").alias("cnt"))
+        best = counts.groupBy("k").agg(F.min_by("s", F.struct(-F.col("cnt"), F.col("o"), F.col("s"))).alias("m"))
+        got = {r["k"]: r["m"] for r in best.collect()}
+        for i, c in enumerate(simple):
+            out[c] = _from_string(df.schema[c].dataType, got.get(i))
     for c in cols:
-        counts = (df.select(clean(df, c).alias(c)).where(F.col(c).isNotNull())
-                  .groupBy(c).agg(F.count("*").alias("cnt")))
-        out[c] = counts.agg(mode_expr(c).alias("m")).first()["m"]
-    return out
+        if c not in out:  # nested or binary values: one job for the column
+            counts = (df.select(clean(df, c).alias(c)).where(F.col(c).isNotNull())
+                      .groupBy(c).agg(F.count("*").alias("cnt")))
+            out[c] = counts.agg(mode_expr(c).alias("m")).first()["m"]
+    return {c: out[c] for c in cols}

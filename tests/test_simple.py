@@ -100,3 +100,15 @@ def test_model_json_roundtrip(f1, tmp_path):
     m.save(str(tmp_path / "mean"))
     back = load_model(str(tmp_path / "mean"))
     assert back.transform(f1).orderBy("id").collect() == m.transform(f1).orderBy("id").collect()
+
+
+def test_mode_of_typed_columns_one_job(spark):
+    import datetime as dt
+    t1, t2 = dt.datetime(2024, 1, 2, 3, 4, 5, 678000), dt.datetime(2023, 5, 6)
+    rows = [(0, 10, True, t1, 2.5), (1, 9, True, t1, 2.5), (2, 10, False, t2, None), (3, 9, None, t2, 1.25),
+            (4, None, False, None, 1.25)]
+    df = spark.createDataFrame(rows, "id long, n int, b boolean, t timestamp, x double")
+    out = ModeImputer(columns=["n", "b", "t", "x"]).fit_transform(df).orderBy("id").collect()
+    # ties go to the smallest value in each column's own order (9 < 10, False < True, t2 < t1, 1.25 < 2.5)
+    assert out[4]["n"] == 9 and out[3]["b"] is False and out[4]["t"] == t2 and out[2]["x"] == 1.25
+    assert [f.dataType.simpleString() for f in ModeImputer(columns=["n"]).fit_transform(df).schema.fields][1] == "int"
