@@ -107,3 +107,17 @@ def test_hot_series_is_split_and_still_exact(spark, monkeypatch):
     ref["v"] = ref.groupby("g")["v"].transform(lambda s: s.interpolate(method="linear"))
     ref = ref.sort_values("id").reset_index(drop=True)
     assert np.allclose(out["v"], ref["v"], equal_nan=True, atol=1e-12)
+
+
+def test_group_median_exact_and_approx(spark):
+    rng = np.random.default_rng(17)
+    pdf = pd.DataFrame({"id": np.arange(2000), "k": rng.integers(0, 3, 2000), "x": rng.normal(size=2000)})
+    pdf.loc[rng.random(2000) < 0.2, "x"] = np.nan
+    df = spark.createDataFrame(pdf)
+    med = pdf.groupby("k")["x"].median()
+    out = GroupCenterImputer("k", strategy="median", columns=["x"]).fit_transform(df).toPandas().sort_values("id")
+    holes = pdf["x"].isna().to_numpy()
+    assert np.allclose(out["x"].to_numpy()[holes], med.loc[pdf["k"][holes]].to_numpy(), atol=1e-12)
+    apx = GroupCenterImputer("k", strategy="median", columns=["x"], approx=True).fit_transform(df).toPandas()
+    apx = apx.sort_values("id")
+    assert np.allclose(apx["x"].to_numpy()[holes], med.loc[pdf["k"][holes]].to_numpy(), atol=0.05)
