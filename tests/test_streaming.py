@@ -47,3 +47,25 @@ def test_results_do_not_depend_on_session_zone(spark):
             assert sorted(q[n](spark, sf).collect()) == base[n], n
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_partial_mean_and_mixture_on_a_stream(spark, tmp_path):
+    from lacuna.operators.group import PartialMeanImputer
+    from lacuna.operators.mixture import GaussianMixtureImputer
+    from lacuna.streaming import stream_apply
+    rng = np.random.default_rng(4)
+    n = 300
+    x = rng.normal(size=n)
+    y = 2 * x + rng.normal(size=n) * 0.1
+    y[rng.random(n) < 0.3] = np.nan
+    pdf = pd.DataFrame({"id": np.arange(n), "s": rng.choice(["a", "b"], n), "x": x, "y": y})
+    src = tmp_path / "src"
+    spark.createDataFrame(pdf).coalesce(1).write.parquet(str(src / "p0"))
+    static = spark.read.parquet(str(src / "p0"))
+    stream = spark.readStream.schema(static.schema).parquet(str(src / "p*"))
+    for name, imp in (("pm", PartialMeanImputer({"as": {"s": "a"}}, columns=["y"])),
+                      ("gmm", GaussianMixtureImputer(2, columns=["x", "y"]))):
+        model = imp.fit(static)
+        batch = model.transform(static).toPandas().sort_values("id")
+        streamed = run_to_table(spark, stream_apply(model, stream), f"t_{name}").toPandas().sort_values("id")
+        assert np.allclose(batch["y"].to_numpy(), streamed["y"].to_numpy(), atol=1e-9), name
