@@ -201,6 +201,8 @@ class KNNImputer(Imputer):
                  features=None, exclude=(), block_rows: int = BLOCK_ROWS, broadcast_bytes: int = BROADCAST_BYTES):
         if weights not in ("uniform", "distance"):
             raise ValueError("weights must be 'uniform' or 'distance'")
+        if n_neighbors < 1:
+            raise ValueError("n_neighbors must be >= 1")
         self.id_col, self.k, self.weights = id_col, n_neighbors, weights
         self.columns, self.features, self.exclude = columns, features, tuple(exclude)
         self.block_rows, self.broadcast_bytes = block_rows, broadcast_bytes
@@ -322,6 +324,10 @@ class EnhancedKNNImputer(Imputer):
                  block_rows: int = BLOCK_ROWS, broadcast_bytes: int = BROADCAST_BYTES):
         if categorical_strategy not in ("mode", "ignore"):
             raise ValueError("categorical_strategy must be 'mode' or 'ignore'")
+        if weights not in ("uniform", "distance"):
+            raise ValueError("weights must be 'uniform' or 'distance'")
+        if n_neighbors < 1:
+            raise ValueError("n_neighbors must be >= 1")
         self.id_col, self.k, self.weights = id_col, n_neighbors, weights
         self.distance_features, self.categorical_strategy = distance_features, categorical_strategy
         self.columns, self.exclude = columns, tuple(exclude)
@@ -528,6 +534,8 @@ class SimilarityPartialMeanImputer(Imputer):
                  columns=None, exclude=(), block_rows: int = BLOCK_ROWS, broadcast_bytes: int = BROADCAST_BYTES):
         if similarity_metric != "euclidean":
             raise ValueError("only 'euclidean' is supported")
+        if not 0 < subset_size <= 1:
+            raise ValueError("subset_size must be in (0, 1]")
         self.id_col, self.fraction = id_col, subset_size
         self.columns, self.exclude = columns, tuple(exclude)
         self.block_rows, self.broadcast_bytes = block_rows, broadcast_bytes

@@ -127,6 +127,8 @@ class GaussianMixtureImputer(Imputer):
 
     def __init__(self, n_components: int = 2, max_iter: int = 100, tol: float = 1e-4, columns=None, exclude=(),
                  seed: int = 42):
+        if n_components < 1:
+            raise ValueError("n_components must be >= 1")
         self.k, self.max_iter, self.tol, self.seed = n_components, max_iter, tol, seed
         self.columns, self.exclude = columns, tuple(exclude)
 

@@ -112,3 +112,29 @@ def test_mode_of_typed_columns_one_job(spark):
     # ties go to the smallest value in each column's own order (9 < 10, False < True, t2 < t1, 1.25 < 2.5)
     assert out[4]["n"] == 9 and out[3]["b"] is False and out[4]["t"] == t2 and out[2]["x"] == 1.25
     assert [f.dataType.simpleString() for f in ModeImputer(columns=["n"]).fit_transform(df).schema.fields][1] == "int"
+
+
+def test_option_checks():
+    from lacuna.operators.gaussian import EMImputer
+    from lacuna.operators.knn import EnhancedKNNImputer, KNNImputer, SimilarityPartialMeanImputer
+    from lacuna.operators.mixture import GaussianMixtureImputer
+    from lacuna.operators.multiple import pool
+    from lacuna.operators.ordered import ForwardBackwardFillImputer, InterpolationImputer
+    with pytest.raises(ValueError):
+        KNNImputer("id", weights="cosine")
+    with pytest.raises(ValueError):
+        KNNImputer("id", n_neighbors=0)
+    with pytest.raises(ValueError):
+        EnhancedKNNImputer("id", weights="x")
+    with pytest.raises(ValueError):
+        SimilarityPartialMeanImputer("id", subset_size=0)
+    with pytest.raises(ValueError):
+        GaussianMixtureImputer(0)
+    with pytest.raises(ValueError):
+        EMImputer(init="random")
+    with pytest.raises(ValueError):
+        ForwardBackwardFillImputer("pad", ["t"])
+    with pytest.raises(ValueError):
+        InterpolationImputer("quadratic", ["t"])
+    with pytest.raises(ValueError):
+        pool(None, "id", [], how="mode")
