@@ -63,6 +63,7 @@ def order_context(df: DataFrame, order_by: list[str], columns: list[str],
         longest, n_series = df.count(), 1
     if buckets is None:
         buckets = int(min(MAX_BUCKETS, max(1, -(-longest // CHUNK_ROWS))))
+    single = True
     if buckets > 1:
         probs = [i / buckets for i in range(1, buckets)]
         cuts = sorted(set(x for x in base.approxQuantile("__key", probs, rel_error) if x is not None))
@@ -70,9 +71,8 @@ def order_context(df: DataFrame, order_by: list[str], columns: list[str],
         if len(splits) > 2:
             bz = Bucketizer(splits=splits, inputCol="__key", outputCol="__b", handleInvalid="keep")
             base = bz.transform(base).withColumn("__b", F.col("__b").cast("int"))
-        else:
-            base = base.withColumn("__b", F.lit(0))
-    else:
+            single = False
+    if single:
         base = base.withColumn("__b", F.lit(0))
     order_cols = [F.col(c).asc_nulls_first() for c in order_by]
     w = Window.partitionBy(*part, "__b").orderBy(*order_cols)
@@ -101,6 +101,16 @@ def order_context(df: DataFrame, order_by: list[str], columns: list[str],
                  F.min_by(v, F.when(obs, F.col("__lpos"))).alias(f"{c}__bf_v"), firstpos.alias(f"{c}__bf_p"),
                  F.min_by(F.col("__key"), F.when(obs, F.col("__lpos"))).alias(f"{c}__bf_k")]
     local = base.select(*sel)
+    if single:
+        # one bucket per series: nothing to carry across bucket edges, no carry join
+        out = [F.col(c) for c in df.columns] + [F.col("__lpos").alias("__pos"), F.col("__key")]
+        if keep_bucket:
+            out.append(F.col("__b"))
+        for c in columns:
+            out += [F.col(f"{c}__lpv").alias(f"{c}__pv"), F.col(f"{c}__lpp").alias(f"{c}__pp"),
+                    F.col(f"{c}__lpk").alias(f"{c}__pk"), F.col(f"{c}__lnv").alias(f"{c}__nv"),
+                    F.col(f"{c}__lnp").alias(f"{c}__np"), F.col(f"{c}__lnk").alias(f"{c}__nk")]
+        return local.select(*out)
     # one row per (series, bucket): the carry table
     # built from the windowed table, so the (series, bucket) shuffle is reused, not repeated
     summ = local.groupBy(*part, "__b").agg(*aggs)
