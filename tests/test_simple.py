@@ -138,3 +138,15 @@ def test_option_checks():
         InterpolationImputer("quadratic", ["t"])
     with pytest.raises(ValueError):
         pool(None, "id", [], how="mode")
+
+
+def test_missing_summary_and_totals(f1):
+    from lacuna.operators.profile import missing_summary, missing_totals
+    rows = {r["column_name"]: r for r in missing_summary(f1).collect()}
+    assert rows["numerical1"]["n_missing"] == 2 and rows["id"]["n_missing"] == 0
+    assert rows["numerical1"]["pct_missing"] == pytest.approx(20.0)
+    assert rows["id"]["rank_pos"] == 5  # 0% sorts last; ties by name
+    filled = ModeImputer(columns=["categorical1", "categorical2"]).fit_transform(
+        MeanImputer(exclude=["id"]).fit_transform(f1))
+    t = missing_totals(f1, filled).first()
+    assert (t["n_cells"], t["missing_before"], t["missing_after"]) == (50, 8, 0)
