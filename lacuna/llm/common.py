@@ -11,6 +11,7 @@ from lacuna.session import checkpoint_dir
 
 #: one run of white space and one word, as regular expressions (fixed values of the contracts)
 SPACE = r"[\x20\x09-\x0D]+"
+BLANKS = " \t\n\x0b\f\r"
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -40,7 +41,8 @@ def stash(df: DataFrame) -> DataFrame:
 
 def words(text: Column) -> Column:
     """The words of a text, in order; a null text has none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
+    bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
+    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE))
 
 
 def n_words(text: Column) -> Column:

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lacuna.llm.common import LOWER, SPACE, UPPER, WORD, let, small, stash, words
+from lacuna.llm.common import BLANKS, LOWER, SPACE, UPPER, WORD, let, small, stash, words
 
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
@@ -32,42 +32,38 @@ def lines_with_words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda x: x.rlike(WORD))
 
 
-def repeated_words(ws: Column) -> Column:
-    """Words covered by five-word windows found twice or more in the text.
+def window_hashes(ws: Column) -> Column:
+    """A hash of each five-word window: of pairs, of pairs of pairs, and of those and one word."""
+    def after(a, k):
+        return F.slice(a, k + 1, F.greatest(F.size(a) - k, F.lit(0)))
 
-    Windows are hashed; when none repeats (one pass over a set of longs) the answer is 0.  Else
-    (hash, place) pairs are sorted, places of repeated hashes are kept, and each covers the
-    words up to the next such place, five at most."""
-    def of(w, hashed):
-        n = F.size(hashed)
-        at = F.transform(F.sequence(F.lit(0), n - WINDOW), lambda i: F.xxhash64(*[F.get(hashed, i + k) for k in range(WINDOW)]))
+    pair = F.zip_with(ws, after(ws, 1), lambda x, y: F.xxhash64(x, y))
+    four = let(pair, lambda p: F.zip_with(p, after(p, 2), lambda x, y: F.xxhash64(x, y)))
+    five = F.zip_with(four, after(ws, WINDOW - 1), lambda x, y: F.xxhash64(x, y))
+    return F.slice(five, 1, F.greatest(F.size(ws) - WINDOW + 1, F.lit(0)))  # beyond, there are padded ones
 
-        def count(grams):
-            pairs = F.array_sort(F.transform(grams, lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
-            twice = let(pairs, lambda p: F.filter(p, lambda x, i: (F.get(p, i - 1)["g"] == x["g"]) | (F.get(p, i + 1)["g"] == x["g"])))
-            places = F.array_sort(F.transform(twice, lambda x: x["i"]))
-            covered = let(places, lambda p: F.aggregate(
-                F.transform(p, lambda x, i: F.least(F.lit(WINDOW), F.coalesce(F.get(p, i + 1) - x, F.lit(WINDOW)))),
-                F.lit(0).cast("long"), lambda a, x: a + x))
-            return F.when(F.size(F.array_distinct(grams)) == F.size(grams), F.lit(0).cast("long")).otherwise(covered)
 
-        return F.when(n < WINDOW, F.lit(0).cast("long")).otherwise(let(at, count))
+def repeated_words(grams: Column) -> Column:
+    """Words covered by five-word windows found twice or more in the text, from their hashes.
 
-    return let(F.transform(ws, lambda w: F.xxhash64(w)), lambda hashed: of(ws, hashed))
-
-
-def line_key(line: Column) -> Column:
-    """Normalised line."""
-    flat = F.trim(F.regexp_replace(line, SPACE, " "))
-    return F.translate(flat, UPPER + "123456789", LOWER + "000000000")
+    When none repeats (a set of longs tells) the answer is 0.  Else (hash, place) pairs are
+    sorted, places of repeated hashes are kept, and each covers the words up to the next such
+    place, five at most."""
+    pairs = F.array_sort(F.transform(grams, lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
+    twice = let(pairs, lambda p: F.filter(p, lambda x, i: (F.get(p, i - 1)["g"] == x["g"]) | (F.get(p, i + 1)["g"] == x["g"])))
+    places = F.array_sort(F.transform(twice, lambda x: x["i"]))
+    covered = let(places, lambda p: F.aggregate(
+        F.transform(p, lambda x, i: F.least(F.lit(WINDOW), F.coalesce(F.get(p, i + 1) - x, F.lit(WINDOW)))),
+        F.lit(0).cast("long"), lambda a, x: a + x))
+    return F.when(F.size(F.array_distinct(grams)) == F.size(grams), F.lit(0).cast("long")).otherwise(covered)
 
 
 def short_lines(lines: Column, max_line_words: int) -> Column:
-    """(hash, words) of each line short enough to be boilerplate."""
-    def one(x):
-        key = line_key(x)
-        return F.struct(F.xxhash64(key).alias("h"), (F.length(key) - F.length(F.replace(key, F.lit(" "), F.lit(""))) + 1).alias("w"))
-    return F.filter(F.transform(lines, one), lambda s: s["w"] <= max_line_words)
+    """(hash of the normalised line, words) of each line short enough to be boilerplate; a line
+    is split no further than that takes."""
+    parts = F.transform(lines, lambda x: F.split(F.btrim(x, F.lit(BLANKS)), SPACE, max_line_words + 1))
+    return F.transform(F.filter(parts, lambda p: F.size(p) <= max_line_words), lambda p: F.struct(
+        F.xxhash64(F.translate(F.array_join(p, " "), UPPER + "123456789", LOWER + "000000000")).alias("h"), F.size(p).alias("w")))
 
 
 def frequent_lines(docs: DataFrame, min_texts: int, share: float, max_line_words: int) -> tuple[DataFrame, int]:
@@ -91,26 +87,24 @@ def frequent_lines(docs: DataFrame, min_texts: int, share: float, max_line_words
 def measured(docs: DataFrame, frequent: DataFrame, n_hosts: int, min_left: int, left_share: float,
              max_line_words: int) -> DataFrame:
     """``docs`` (with source and text) plus one struct column __q of the counts and verdicts."""
-    ws, lines = words(F.col("text")), lines_with_words(F.col("text"))
     f = frequent.select(F.col("host").alias("__h"), F.col("frequent").alias("__f"))
-    joined = docs.join(small(f, n_hosts), docs["source"].eqNullSafe(F.col("__h")), "left")
-    by_words = let(ws, lambda w: F.struct(
-        F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
-        repeated_words(w).alias("n_repeat_words")))
-    by_lines = let(lines, lambda x: F.struct(
-        (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        F.when(F.col("__f").isNull(), F.lit(0)).otherwise(
-            F.aggregate(F.filter(short_lines(x, max_line_words), lambda s: F.array_contains(F.col("__f"), s["h"])),
-                        F.lit(0), lambda a, s: a + s["w"])).cast("long").alias("gone")))
+    joined = (docs.join(small(f, n_hosts), docs["source"].eqNullSafe(F.col("__h")), "left")
+              .withColumns({"__ws": words(F.col("text")), "__ls": lines_with_words(F.col("text"))})
+              .withColumns({"__g": window_hashes(F.col("__ws")), "__n": F.size("__ws").cast("long"),
+                            "__c": F.length(F.array_join("__ws", "")).cast("long")}))
+    gone = F.when(F.col("__f").isNull(), F.lit(0)).otherwise(
+        F.aggregate(F.filter(short_lines(F.col("__ls"), max_line_words), lambda s: F.array_contains(F.col("__f"), s["h"])),
+                    F.lit(0), lambda a, s: a + s["w"])).cast("long")
     symbols = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(SYMBOLS)).cast("long")
-    left = F.col("__w.n_words") - F.col("__l.gone")
-    failed = (F.col("__w.n_words") < 10) | (100 * F.col("__w.n_repeat_words") > 20 * F.col("__w.n_words"))
-    depleted = (F.col("__l.gone") > 0) & ((left < min_left) | (left < F.col("__w.n_words") * left_share))
-    return (joined.withColumns({"__w": by_words, "__l": by_lines})
+    left = F.col("__n") - F.col("__gone")
+    failed = (F.col("__n") < 10) | (100 * F.col("__r") > 20 * F.col("__n"))
+    depleted = (F.col("__gone") > 0) & ((left < min_left) | (left < F.col("__n") * left_share))
+    return (joined.withColumns({"__r": repeated_words(F.col("__g")), "__gone": gone})
             .withColumn("__q", F.struct(
-                F.col("__w.n_words"), F.col("__w.word_chars"), symbols.alias("n_symbols"), F.col("__l.n_dup_lines"),
-                F.col("__w.n_repeat_words"), failed.alias("base_failed"), (~failed & ~depleted).alias("kept")))
-            .drop("__w", "__l", "__h", "__f"))
+                F.col("__n").alias("n_words"), F.col("__c").alias("word_chars"), symbols.alias("n_symbols"),
+                (F.size("__ls") - F.size(F.array_distinct("__ls"))).cast("long").alias("n_dup_lines"),
+                F.col("__r").alias("n_repeat_words"), failed.alias("base_failed"), (~failed & ~depleted).alias("kept")))
+            .drop("__ws", "__ls", "__g", "__n", "__c", "__r", "__gone", "__h", "__f"))
 
 
 def judge(docs: DataFrame, min_texts: int = 20, share: float = 0.02, max_line_words: int = 20, min_left: int = 10,

@@ -1,3 +1,158 @@
 """DuckDB SQL for the operators that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+from lacuna.llm.chat import CONTROL_TAILS
+from lacuna.llm.common import LOWER, SPACE, UPPER, WORD
+
+WORDS = f"list_filter(regexp_split_to_array(coalesce(text, ''), '{SPACE}'), x -> x <> '')"
+
+
+def url_filters(depth: int = 3) -> str:
+    segs = [f"s{i}" for i in range(1, depth + 1)]
+    cols = ", ".join(segs)
+    rules = [("example.org", "/es/", "block"), ("example.org", "/en/1", "allow"), ("com", "/fr/", "allow"),
+             ("com", "/de/", "block"), ("org", "/", "allow")]  # longest first
+    case = [(f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')", h + p, v) for h, p, v in rules]
+    rule = "CASE " + " ".join(f"WHEN {c} THEN '{r}'" for c, r, _ in case) + " END"
+    verdict = "CASE " + " ".join(f"WHEN {c} THEN '{v}'" for c, _, v in case) + " END"
+    five = "5.0::DOUBLE"
+    steps, tree = [], "tree0"
+    for k, seg in enumerate(segs, 1):
+        left = [s for s in segs]
+        steps.append(f"""
+kids{k} AS (
+  SELECT *, CASE WHEN {seg} = '' OR (kn >= 3 AND kn >= up_n * 0.05::DOUBLE AND regexp_matches({seg}, '[^0-9]')) THEN {seg} ELSE '*' END AS t
+  FROM (SELECT host, node, {seg}, sum(n) AS kn, sum(labelled) AS kl, sum(bad) AS kb, any_value(up_n) AS up_n, any_value(up_rate) AS up_rate
+        FROM {tree} GROUP BY host, node, {seg})),
+sib{k} AS (
+  SELECT *, (b + {five} * up_rate) / (l + {five}) AS rate
+  FROM (SELECT host, node, t, sum(kn) AS n, sum(kl)::DOUBLE AS l, sum(kb)::DOUBLE AS b, any_value(up_rate) AS up_rate
+        FROM kids{k} GROUP BY host, node, t)),
+lag{k} AS (
+  SELECT *, lag(l) OVER w AS pl, lag(b) OVER w AS pb FROM sib{k} WINDOW w AS (PARTITION BY host, node ORDER BY rate, t)),
+cut{k} AS (
+  SELECT *, sum(CASE WHEN (b * pl - pb * l) * (b * pl - pb * l) * (pl + l) > 4.0::DOUBLE * (pb + b) * (pl + l - pb - b) * pl * l
+                     THEN 1 ELSE 0 END) OVER (PARTITION BY host, node ORDER BY rate, t) AS branch FROM lag{k}),
+merged{k} AS (
+  SELECT host, node, branch, sum(n) AS m_n, (sum(b) + {five} * any_value(up_rate)) / (sum(l) + {five}) AS m_rate,
+         string_agg(t, '|' ORDER BY t) AS names FROM cut{k} GROUP BY host, node, branch),
+tree{k} AS (
+  SELECT {', '.join('f.' + s for s in left)}, f.host, f.n, f.labelled, f.bad, f.node || '/' || m.names AS node, m.m_n AS up_n, m.m_rate AS up_rate
+  FROM {tree} f JOIN kids{k} c ON c.host = f.host AND c.node = f.node AND c.{seg} = f.{seg}
+  JOIN cut{k} u ON u.host = c.host AND u.node = c.node AND u.t = c.t
+  JOIN merged{k} m ON m.host = u.host AND m.node = u.node AND m.branch = u.branch)""")
+        tree = f"tree{k}"
+    seg_of = ", ".join(f"coalesce(list_filter(string_split(path, '/'), x -> x <> '')[{i}], '') AS s{i}" for i in range(1, depth + 1))
+    return rf"""
+WITH cut0 AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+hosts AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*', 0) AS raw FROM cut0),
+urls AS (
+  SELECT page_id, translate(raw, '{UPPER}', '{LOWER}') AS host,
+         regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*', 0) AS path FROM hosts),
+worst AS (
+  SELECT doc_id, max(CASE WHEN toxic = 1 OR quality = 0 THEN 1 ELSE 0 END) AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+rows AS (
+  SELECT page_id, host, path, bad, {seg_of}
+  FROM urls LEFT JOIN worst ON TRY_CAST(regexp_extract(path, '([0-9]+)(\.html)?/?$', 1) AS BIGINT) = doc_id),
+leaf AS (SELECT host, {cols}, count(*) AS n, count(bad) AS labelled, coalesce(sum(bad), 0) AS bad FROM rows GROUP BY host, {cols}),
+top AS (SELECT coalesce(sum(bad)::DOUBLE / nullif(sum(labelled), 0)::DOUBLE, 0.0::DOUBLE) AS top FROM leaf),
+host_n AS (SELECT host, sum(labelled)::DOUBLE AS hl, sum(bad)::DOUBLE AS hb, sum(n) AS up_n FROM leaf GROUP BY host),
+tree0 AS (
+  SELECT leaf.*, '' AS node, up_n, (hb + {five} * top) / (hl + {five}) AS up_rate FROM leaf JOIN host_n USING (host), top),
+{','.join(steps)}
+SELECT page_id, r.host, path, {rule.replace('host', 'r.host')} AS rule,
+       coalesce({verdict.replace('host', 'r.host')}, CASE WHEN 1.0::DOUBLE - up_rate < 0.5::DOUBLE THEN 'block' ELSE 'allow' END) AS verdict,
+       t.node AS template, t.up_rate AS bad_rate
+FROM rows r JOIN {tree} t ON t.host = r.host AND {' AND '.join(f't.{s} = r.{s}' for s in segs)}"""
+
+
+MIXING = f"""
+WITH d AS (
+  SELECT doc_id, source, len({WORDS})::BIGINT AS size,
+         ('0x' || substr(md5('7|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS h
+  FROM documents),
+s AS (
+  SELECT source, sum(size)::HUGEINT AS ss, [3, 1, 2][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3) + 1]::HUGEINT AS w
+  FROM d GROUP BY source),
+o AS (
+  SELECT *, row_number() OVER byr - 1 AS k, sum(ss) OVER () AS total,
+         coalesce(sum(ss) OVER (byr ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c,
+         sum(w) OVER (byr ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS wr
+  FROM s WINDOW byr AS (ORDER BY ss::DOUBLE / w, source NULLS LAST)),
+f AS (SELECT k, 3 * total - 4 * c AS top, 2 * wr AS bottom FROM o WHERE w * (3 * total - 4 * c) <= 2 * ss * 2 * wr ORDER BY k LIMIT 1),
+t AS (
+  SELECT source, ss, CASE WHEN f.k IS NULL OR o.k < f.k THEN (2 * ss)::DOUBLE ELSE (w * top)::DOUBLE / bottom::DOUBLE END AS target,
+         CASE WHEN f.k IS NULL OR o.k < f.k THEN 2 * ss ELSE w * top // bottom END AS budget
+  FROM o LEFT JOIN f ON true),
+p AS (
+  SELECT d.*, t.ss, t.target, CASE WHEN ss > 0 THEN budget // ss ELSE 0 END AS copies,
+         CASE WHEN ss > 0 THEN budget - (budget // ss) * ss ELSE 0 END AS rest
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+r AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run,
+         sum(size) OVER (PARTITION BY source, h) AS tie FROM p)
+SELECT doc_id, size, ss::BIGINT AS source_size, target,
+       (CASE WHEN size = 0 THEN 0 ELSE copies * size + CASE WHEN run <= rest THEN size WHEN run - tie <= rest
+          THEN size * (rest - run + tie) // tie ELSE 0 END END)::BIGINT AS taken
+FROM r"""
+
+
+QUALITY = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, text, {WORDS} AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '{WORD}')) AS ls FROM documents),
+grams AS (
+  SELECT rid, i, list_slice(ws, i, i + 4) AS g FROM (SELECT rid, ws, unnest(range(1, len(ws) - 3)) AS i FROM d WHERE len(ws) >= 5)),
+twice AS (SELECT rid, g FROM grams GROUP BY rid, g HAVING count(*) > 1),
+hit AS (
+  SELECT rid, count(DISTINCT i + k) AS n FROM grams JOIN twice USING (rid, g), (SELECT unnest(range(0, 5)) AS k) GROUP BY rid),
+keyed AS (
+  SELECT rid, source, text, translate(trim(regexp_replace(l, '{SPACE}', ' ', 'g')), '{UPPER}123456789', '{LOWER}000000000') AS line
+  FROM (SELECT rid, source, text, unnest(ls) AS l FROM d)),
+short AS (SELECT *, length(line) - length(replace(line, ' ', '')) + 1 AS w FROM keyed),
+held AS (SELECT source, line, count(DISTINCT text) AS n FROM short WHERE w <= 20 GROUP BY source, line),
+hosts AS (SELECT source, count(DISTINCT coalesce(md5(text), '~')) AS texts FROM documents GROUP BY source),
+often AS (
+  SELECT held.source, line FROM held JOIN hosts ON held.source IS NOT DISTINCT FROM hosts.source
+  WHERE n >= 20 AND n >= texts * 0.02::DOUBLE),
+gone AS (
+  SELECT rid, sum(w) AS gone FROM short JOIN often ON short.source IS NOT DISTINCT FROM often.source AND short.line = often.line
+  WHERE w <= 20 GROUP BY rid),
+m AS (
+  SELECT doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+         (length(coalesce(text, '')) - length(regexp_replace(coalesce(text, ''), '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(hit.n, 0)::BIGINT AS n_repeat_words, coalesce(gone, 0) AS gone
+  FROM d LEFT JOIN hit USING (rid) LEFT JOIN gone USING (rid)),
+v AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT (gone > 0 AND (n_words - gone < 10 OR n_words - gone < n_words * 0.3::DOUBLE)) AS kept
+FROM v"""
+
+
+def _escape(column: str) -> str:
+    tails = "|".join(t.replace("|", r"\|").replace("[", r"\[").replace("]", r"\]") for t in CONTROL_TAILS)
+    return rf"regexp_replace({column}, '([<\[])(\\*)({tails})', '\1\\\2\3', 'g')"
+
+
+CHAT = rf"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+said AS (
+  SELECT *, length({_escape('text')}) + length({_escape(r"replace(replace(role, '\', '\\'), chr(10), '\n')")})
+            + length('<|im_start|>') + length('<|im_end|>') + 2 AS shown FROM turns)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(shown)::BIGINT AS formatted_chars
+FROM said GROUP BY conv_id"""
+
+
+ORACLES: dict[str, str] = {
+    "op2_url_filters": url_filters(),
+    "op3_mixing": MIXING,
+    "op6_quality": QUALITY,
+    "op10_chat": CHAT,
+}
