@@ -3,14 +3,14 @@ from lacuna.functions.columns import (
     pattern_bits, as_double,
 )
 from lacuna.functions.hashing import (
-    PRIME, mult, cell_hash, cell_hash_sql, missing_flag, missing_flag_sql,
+    full_hash, full_hash_sql, missing_at, missing_flag, missing_flag_sql,
     unit_uniform, gaussian_noise, gaussian_noise_sql,
 )
 from lacuna.functions.ranking import average_rank
 
 __all__ = [
     "clean", "is_numeric", "is_string", "numeric_columns", "string_columns",
-    "resolve_columns", "pattern_bits", "as_double", "PRIME", "mult", "cell_hash",
-    "cell_hash_sql", "missing_flag", "missing_flag_sql", "unit_uniform",
+    "resolve_columns", "pattern_bits", "as_double", "full_hash",
+    "full_hash_sql", "missing_at", "missing_flag", "missing_flag_sql", "unit_uniform",
     "gaussian_noise", "gaussian_noise_sql", "average_rank",
 ]

@@ -84,10 +84,7 @@ def resolve_columns(df: DataFrame, columns: Iterable[str] | None, kind: str = "n
 
 
 def pattern_bits(df: DataFrame, columns: list[str]) -> Column:
-    """Missing pattern of a row as a bigint bitmask: bit j set when column j is missing."""
-    if len(columns) > 62:
-        raise ValueError("pattern bitmask supports at most 62 columns")
-    expr = F.lit(0).cast("long")
-    for j, c in enumerate(columns):
-        expr = expr + F.when(clean(df, c).isNull(), F.lit(1 << j)).otherwise(F.lit(0)).cast("long")
-    return expr
+    """Missing pattern of a row as a string of one 0 or 1 per column, for any number of columns."""
+    if not columns:
+        return F.lit("")
+    return F.concat(*[F.when(clean(df, c).isNull(), F.lit("1")).otherwise(F.lit("0")) for c in columns])

@@ -1,12 +1,19 @@
 """Exact quantiles without gathering a column in one task.
 
-Spark's exact ``percentile``/``median`` aggregates keep every distinct value
-of a group in one buffer, which does not survive a 100 TB column.  Here the
-k-th smallest value is found by histogram refinement: each pass is one scan
-that counts values per equal-width bucket of the current range (map-side
-partial counts, at most ``bins`` rows per target reach the driver), and the
-range shrinks to the bucket that holds rank k.  Once a range holds at most
-``max_collect`` values those are fetched and sorted.  Linear interpolation
+Spark's exact ``percentile``/``median`` aggregates keep every distinct value of a group in one
+buffer, which does not survive a 100 TB column.  Here the value of rank r is found by brackets,
+for any number of groups at once (``kth_values``).  While a group's range holds more than
+``max_collect`` values, a round takes two scans:
+
+1. a mergeable sketch (``percentile_approx`` on a fixed grid) of the values in the range gives a
+   bracket of a few grid steps around the rank;
+2. exact counts tell how many values lie below the bracket, at its ends and inside it.
+
+The rank is then at an end (done), strictly inside (the range becomes the least and greatest
+value inside), or, should the sketch have erred, on a known side.  The range gets strictly
+smaller each round, by a factor of about ``GRID`` / 3, whatever the distribution: only
+comparisons are used, so infinities are values like any other, and nothing is dropped or capped.
+Ranges of at most ``max_collect`` values are finished by sorting them.  Linear interpolation
 between neighbouring ranks gives the pandas / ``percentile`` definition.
 """
 
@@ -14,11 +21,14 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lacuna.functions.columns import clean
 
+GRID = 128
+ACCURACY = 10_000
+
 
 def _long_values(df: DataFrame, cols: list[str]) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(i).alias("k"), clean(df, c).cast("double").alias("v"))
@@ -26,8 +36,59 @@ def _long_values(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(F.explode(pairs).alias("p")).select("p.k", "p.v").where(F.col("v").isNotNull())
 
 
+def kth_values(base: DataFrame, keys: list[str], state: DataFrame, max_collect: int) -> DataFrame:
+    """``base``: keys and v (not null).  ``state``: one row per target: keys, t, r (rank from 0),
+    lo, hi (least and greatest value), below (0) and cnt (values) of the group.  Returns keys,
+    t, val.  Null keys match null keys."""
+    from lacuna.session import cut
+    state_cols = [*keys, "t", "r", "lo", "hi", "below", "cnt"]
+
+    def inside(todo, *more):
+        s = todo.select(*[F.col(k).alias(f"s_{k}") for k in keys], "t", "r", "lo", "hi", "below", "cnt", *more)
+        on = F.col("v").between(F.col("lo"), F.col("hi"))
+        for k in keys:
+            on = F.col(k).eqNullSafe(F.col(f"s_{k}")) & on
+        return base.join(s, on)
+
+    done = None
+    state = cut(state.select(*state_cols))
+    while True:
+        known = state.where(F.col("lo") == F.col("hi")).select(*keys, "t", F.col("lo").alias("val"))
+        few = state.where((F.col("lo") < F.col("hi")) & (F.col("cnt") <= max_collect))
+        sorted_few = (inside(few).groupBy(*keys, "t", "r", "below").agg(F.sort_array(F.collect_list("v")).alias("vs"))
+                      .select(*keys, "t", F.element_at("vs", (F.col("r") - F.col("below") + 1).cast("int")).alias("val")))
+        part = known.unionByName(sorted_few)
+        done = part if done is None else done.unionByName(part)
+        todo = state.where((F.col("lo") < F.col("hi")) & (F.col("cnt") > max_collect))
+        if todo.isEmpty():
+            return done
+        grid = F.percentile_approx("v", [i / GRID for i in range(GRID + 1)], ACCURACY)
+        sketch = inside(todo).groupBy(*keys, "t", "r", "lo", "hi", "below", "cnt").agg(grid.alias("g"))
+        step = F.floor((F.col("r") - F.col("below")) * GRID / F.col("cnt")).cast("int")
+        bracket = cut(sketch.select(*state_cols, F.element_at("g", F.greatest(step, F.lit(1))).alias("b0"),
+                                    F.element_at("g", F.least(step + 3, F.lit(GRID + 1))).alias("b1")))
+        v, b0, b1 = F.col("v"), F.col("b0"), F.col("b1")
+        n = (inside(bracket, "b0", "b1").groupBy(*keys, "t", "r", "lo", "hi", "below", "cnt", "b0", "b1").agg(
+            F.count_if(v < b0).alias("lt"), F.count_if(v == b0).alias("at0"), F.count_if((v > b0) & (v < b1)).alias("mid"),
+            F.count_if(v == b1).alias("at1"), F.max(F.when(v < b0, v)).alias("under"), F.min(F.when((v > b0) & (v < b1), v)).alias("in0"),
+            F.max(F.when((v > b0) & (v < b1), v)).alias("in1"), F.min(F.when(v > b1, v)).alias("over")))
+        at1 = F.when(b1 > b0, F.col("at1")).otherwise(0)
+        place = F.col("r") - F.col("below")
+        e0, e1 = F.col("lt") + F.col("at0"), F.col("lt") + F.col("at0") + F.col("mid")
+
+        def to(lo, hi, below, cnt):
+            return F.struct(lo.alias("lo"), hi.alias("hi"), below.alias("below"), cnt.alias("cnt"))
+
+        new = (F.when(place < F.col("lt"), to(F.col("lo"), F.col("under"), F.col("below"), F.col("lt")))
+               .when(place < e0, to(b0, b0, F.col("below") + F.col("lt"), F.col("at0")))
+               .when(place < e1, to(F.col("in0"), F.col("in1"), F.col("below") + e0, F.col("mid")))
+               .when(place < e1 + at1, to(b1, b1, F.col("below") + e1, at1))
+               .otherwise(to(F.col("over"), F.col("hi"), F.col("below") + e1 + at1, F.col("cnt") - e1 - at1)))
+        state = cut(n.select(*keys, "t", "r", new.alias("s")).select(*keys, "t", "r", "s.lo", "s.hi", "s.below", "s.cnt"))
+
+
 def exact_kth(df: DataFrame, cols: list[str] | None, ranks: dict[int, list[int]],
-              bins: int = 4096, max_collect: int = 200_000, stats=None) -> dict[tuple[int, int], float]:
+              max_collect: int = 200_000, stats=None) -> dict[tuple[int, int], float]:
     """Values of 0-based ranks per column index: {(k, rank): value}.
 
     ``cols=None`` means ``df`` is already a long (k int, v double) table of
@@ -39,66 +100,12 @@ def exact_kth(df: DataFrame, cols: list[str] | None, ranks: dict[int, list[int]]
         stats = {r["k"]: (r["n"], r["lo"], r["hi"]) for r in
                  long.groupBy("k").agg(F.count("*").alias("n"), F.min("v").alias("lo"),
                                        F.max("v").alias("hi")).collect()}
-    # state per target: [k, rank, lo, hi, below, count_in_range]
-    pending = []
-    for k, rs in ranks.items():
-        if k not in stats:
-            continue
-        n, lo, hi = stats[k]
-        for r in sorted(set(rs)):
-            pending.append([k, r, lo, hi, 0, n])
-    out: dict[tuple[int, int], float] = {}
-    while pending:
-        # targets whose range is a single value are done
-        still = []
-        for t in pending:
-            if t[2] == t[3]:
-                out[(t[0], t[1])] = t[2]
-            else:
-                still.append(t)
-        pending = still
-        if not pending:
-            break
-        small = [t for t in pending if t[5] <= max_collect]
-        big = [t for t in pending if t[5] > max_collect]
-        if small:
-            ranges = sorted({(t[0], t[2], t[3]) for t in small})
-            rdf = spark.createDataFrame([(i, k, lo, hi) for i, (k, lo, hi) in enumerate(ranges)],
-                                        "rid int, rk int, rlo double, rhi double")
-            got = (long.join(F.broadcast(rdf), (F.col("k") == F.col("rk")) &
-                             F.col("v").between(F.col("rlo"), F.col("rhi")))
-                   .groupBy("rid").agg(F.sort_array(F.collect_list("v")).alias("vs")).collect())
-            vals = {r["rid"]: r["vs"] for r in got}
-            for t in small:
-                rid = ranges.index((t[0], t[2], t[3]))
-                out[(t[0], t[1])] = vals[rid][t[1] - t[4]]
-        if not big:
-            break
-        ranges = sorted({(t[0], t[2], t[3]) for t in big})
-        rdf = spark.createDataFrame([(i, k, lo, hi) for i, (k, lo, hi) in enumerate(ranges)],
-                                    "rid int, rk int, rlo double, rhi double")
-        width = (F.col("rhi") - F.col("rlo"))
-        bucket = F.least(F.floor((F.col("v") - F.col("rlo")) / width * F.lit(bins)).cast("int"),
-                         F.lit(bins - 1))
-        hist = (long.join(F.broadcast(rdf), (F.col("k") == F.col("rk")) &
-                          F.col("v").between(F.col("rlo"), F.col("rhi")))
-                .groupBy("rid", bucket.alias("b"))
-                .agg(F.count("*").alias("c"), F.min("v").alias("mn"), F.max("v").alias("mx"))
-                .collect())
-        by_rid: dict[int, list] = {}
-        for r in hist:
-            by_rid.setdefault(r["rid"], []).append((r["b"], r["c"], r["mn"], r["mx"]))
-        nxt = []
-        for t in big:
-            rid = ranges.index((t[0], t[2], t[3]))
-            acc = t[4]
-            for b, c, mn, mx in sorted(by_rid[rid]):
-                if t[1] < acc + c:
-                    nxt.append([t[0], t[1], mn, mx, acc, c])
-                    break
-                acc += c
-        pending = nxt
-    return out
+    rows = [(k, r, r, float(stats[k][1]), float(stats[k][2]), 0, stats[k][0])
+            for k, rs in ranks.items() if k in stats for r in sorted(set(rs))]
+    if not rows:
+        return {}
+    state = spark.createDataFrame(rows, "k int, t long, r long, lo double, hi double, below long, cnt long")
+    return {(r["k"], r["t"]): r["val"] for r in kth_values(long, ["k"], state, max_collect).collect()}
 
 
 def exact_quantiles_long(long: DataFrame, probs: list[float], **kw) -> dict[int, list]:
@@ -117,7 +124,7 @@ def exact_quantiles_long(long: DataFrame, probs: list[float], **kw) -> dict[int,
             h = (n - 1) * p
             lo, hi = math.floor(h), math.ceil(h)
             a, b = vals[(k, lo)], vals[(k, hi)]
-            qs.append(a + (h - lo) * (b - a))
+            qs.append(a if a == b else a + (h - lo) * (b - a))
         out[k] = qs
     return out
 
@@ -145,7 +152,7 @@ def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float], **
             h = (n - 1) * p
             lo, hi = math.floor(h), math.ceil(h)
             a, b = vals[(k, lo)], vals[(k, hi)]
-            qs.append(a + (h - lo) * (b - a))
+            qs.append(a if a == b else a + (h - lo) * (b - a))
         res[c] = qs
     return res
 
@@ -155,22 +162,18 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], **kw) -> list:
 
 
 def grouped_exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
-                            bins: int = 4096, max_collect: int = 1_000_000, max_passes: int = 64) -> DataFrame:
+                            max_collect: int = 200_000) -> DataFrame:
     """Exact linear quantiles per group, for any number of groups and any skew.
 
-    Returns one row per group (keys, q0, q1, ...).  Per-group state (target
-    rank, current value range, count below the range) is a DataFrame, never
-    a driver object.  Each pass counts values per (group, bucket of the
-    group's range) with map-side partial aggregation - a hot group is spread
-    over every task - and a window over the per-group histograms (at most
-    ``bins`` rows each) narrows each range to the bucket holding its rank.
-    Ranges holding at most ``max_collect`` values are finished by sorting them.
+    Returns one row per group (keys, q0, q1, ...).  Per-group state is a DataFrame, never a
+    driver object, and a hot group's sketches and counts are partially aggregated in every task.
     Null keys form a group of their own.
     """
     from lacuna.session import cut
     v = clean(df, value).cast("double")
-    base = df.select(*keys, v.alias("v")).where(F.col("v").isNotNull())
-    st = base.groupBy(*keys).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    names, keys = keys, [f"__g{i}" for i in range(len(keys))]
+    base = df.select(*[F.col(k).alias(g) for k, g in zip(names, keys)], v.alias("v")).where(F.col("v").isNotNull())
+    st = cut(base.groupBy(*keys).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")))
     # targets: (keys, t = target index, r = 0-based rank); two ranks per probability
     tgt = []
     for i, p in enumerate(probs):
@@ -179,48 +182,17 @@ def grouped_exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: l
                 F.struct(F.lit(2 * i + 1).alias("t"), F.ceil(h).cast("long").alias("r"))]
     state = st.select(*keys, "n", F.explode(F.array(*tgt)).alias("x"), "lo", "hi") \
         .select(*keys, "x.t", "x.r", "lo", "hi", F.lit(0).cast("long").alias("below"), F.col("n").alias("cnt"))
-    state = cut(state)
-    eq = [F.col(f"s.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
-    cond = eq[0] if eq else F.lit(True)
-    for e in eq[1:]:
-        cond = cond & e
-    done = None
-    for _ in range(max_passes):
-        fin = state.where((F.col("lo") == F.col("hi")) | (F.col("cnt") <= max_collect))
-        todo = state.where((F.col("lo") < F.col("hi")) & (F.col("cnt") > max_collect))
-        # finish small ranges: sort the few values inside and pick the rank
-        small = fin.where(F.col("lo") < F.col("hi"))
-        vals = (base.alias("b").join(small.alias("s"), cond & F.col("b.v").between(F.col("s.lo"), F.col("s.hi")))
-                .groupBy(*[F.col(f"s.{k}").alias(k) for k in keys], F.col("s.t").alias("t"),
-                         F.col("s.r").alias("r"), F.col("s.below").alias("below"))
-                .agg(F.sort_array(F.collect_list("b.v")).alias("vs"))
-                .select(*keys, "t", F.element_at("vs", (F.col("r") - F.col("below") + 1).cast("int")).alias("val")))
-        one = fin.where(F.col("lo") == F.col("hi")).select(*keys, "t", F.col("lo").alias("val"))
-        part = vals.unionByName(one)
-        done = part if done is None else done.unionByName(part)
-        if todo.isEmpty():
-            break
-        width = F.col("s.hi") - F.col("s.lo")
-        bucket = F.least(F.floor((F.col("b.v") - F.col("s.lo")) / width * bins).cast("int"), F.lit(bins - 1))
-        hist = (base.alias("b").join(todo.alias("s"), cond & F.col("b.v").between(F.col("s.lo"), F.col("s.hi")))
-                .groupBy(*[F.col(f"s.{k}").alias(k) for k in keys], F.col("s.t").alias("t"),
-                         F.col("s.r").alias("r"), F.col("s.below").alias("below0"), bucket.alias("bk"))
-                .agg(F.count("*").alias("c"), F.min("b.v").alias("mn"), F.max("b.v").alias("mx")))
-        w = Window.partitionBy(*keys, "t").orderBy("bk").rowsBetween(Window.unboundedPreceding, -1)
-        hist = hist.withColumn("acc", F.col("below0") + F.coalesce(F.sum("c").over(w), F.lit(0)))
-        state = cut(hist.where((F.col("r") >= F.col("acc")) & (F.col("r") < F.col("acc") + F.col("c")))
-                    .select(*keys, "t", "r", F.col("mn").alias("lo"), F.col("mx").alias("hi"),
-                            F.col("acc").alias("below"), F.col("c").alias("cnt")))
+    done = kth_values(base, keys, state, max_collect)
     # linear interpolation between the two ranks of each probability
     n = st.select(*keys, "n")
     piv = done.groupBy(*keys).agg(*[F.max(F.when(F.col("t") == j, F.col("val"))).alias(f"v{j}")
                                     for j in range(2 * len(probs))])
     out = piv.alias("a").join(n.alias("c"), [F.col(f"a.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
                               if keys else F.lit(True))
-    sel = [F.col(f"a.{k}").alias(k) for k in keys]
+    sel = [F.col(f"a.{g}").alias(k) for k, g in zip(names, keys)]
     for i, p in enumerate(probs):
         h = (F.col("c.n") - 1) * F.lit(p)
         frac = h - F.floor(h)
         a, b = F.col(f"a.v{2 * i}"), F.col(f"a.v{2 * i + 1}")
-        sel.append((a + frac * (b - a)).alias(f"q{i}"))
+        sel.append(F.when(a == b, a).otherwise(a + frac * (b - a)).alias(f"q{i}"))
     return out.select(*sel)

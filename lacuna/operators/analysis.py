@@ -13,7 +13,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lacuna.functions.quantiles import exact_quantiles_long
+from lacuna.functions.quantiles import grouped_exact_quantiles
 
 
 def long_values(stacked: DataFrame, columns: list[str]) -> DataFrame:
@@ -24,19 +24,9 @@ def long_values(stacked: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def grouped_quantiles(long: DataFrame, keys: list[str], value: str, probs: list[float]) -> DataFrame:
-    """Exact linear quantiles per group of a long table, as a small DataFrame
-    (one row per group; groups are few: methods x columns)."""
-    spark = long.sparkSession
-    groups = long.select(*keys).distinct().orderBy(*keys).collect()
-    idx = {tuple(g): i for i, g in enumerate(groups)}
-    mapping = spark.createDataFrame([(*g, i) for g, i in idx.items()],
-                                    ", ".join([f"{k} string" for k in keys] + ["k int"]))
-    kv = long.join(F.broadcast(mapping), keys).select("k", F.col(value).cast("double").alias("v"))
-    qs = exact_quantiles_long(kv, probs)
-    rows = [(*g, *(qs.get(i) or [None] * len(probs))) for g, i in idx.items()]
-    names = [f"q{i}" for i in range(len(probs))]
-    return spark.createDataFrame(rows, ", ".join([f"{k} string" for k in keys] +
-                                                 [f"{n} double" for n in names]))
+    """Exact linear quantiles per group of a long table, one row per group (keys of any type,
+    null keys are a group); nothing is collected."""
+    return grouped_exact_quantiles(long, keys, value, probs)
 
 
 def moment_table(long: DataFrame) -> DataFrame:

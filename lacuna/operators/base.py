@@ -9,6 +9,10 @@ count) ever reach the driver.
 
 from __future__ import annotations
 
+import datetime
+import decimal
+
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,25 +46,78 @@ class ImputerModel:
     def _stat_rows(self):
         return []
 
+    #: attributes that only fitting needs
+    _fit_only = ()
+
     def save(self, path: str) -> None:
-        """Write the fitted parameters as JSON (one small file, via Spark)."""
+        """Write the fitted model: tables as Parquet, everything else as one JSON text, both under
+        ``path``.  A model that holds Python functions (a caller's predicate) cannot be saved."""
         import json
         spark = SparkSession.getActiveSession()
-        payload = json.dumps({"class": type(self).__name__, "params": self._params()}, default=float)
-        spark.createDataFrame([(payload,)], "model string").coalesce(1).write.mode("overwrite").text(path)
-
-    def _params(self):
-        raise NotImplementedError(f"{type(self).__name__} has no JSON form")
+        plain, tables = {}, []
+        for name, v in vars(self).items():
+            if name in self._fit_only:
+                continue
+            if isinstance(v, DataFrame):
+                v.write.mode("overwrite").parquet(f"{path}/{name}")
+                tables.append(name)
+            else:
+                plain[name] = _to_json(v, f"{type(self).__name__}.{name}")
+        text = json.dumps({"module": type(self).__module__, "class": type(self).__name__, "plain": plain, "tables": tables})
+        spark.createDataFrame([(text,)], "model string").coalesce(1).write.mode("overwrite").text(f"{path}/model")
+
+
+def _to_json(v, where: str):
+    if v is None or isinstance(v, (bool, int, float, str)):
+        return v
+    if isinstance(v, np.generic):
+        return v.item()
+    if isinstance(v, np.ndarray):
+        return {"array": v.tolist(), "dtype": str(v.dtype)}
+    if isinstance(v, (list, tuple)):
+        return {"tuple" if isinstance(v, tuple) else "list": [_to_json(x, where) for x in v]}
+    if isinstance(v, dict):
+        return {"dict": [[_to_json(k, where), _to_json(x, where)] for k, x in v.items()]}
+    if isinstance(v, (datetime.date, decimal.Decimal)):
+        return {"repr": repr(v)}
+    raise TypeError(f"{where} holds {type(v).__name__}, which has no saved form")
+
+
+def _from_json(v):
+    if not isinstance(v, dict):
+        return v
+    (kind, x), *_ = v.items()
+    if kind == "array":
+        return np.array(x, dtype=v["dtype"])
+    if kind == "dict":
+        return {_from_json(k): _from_json(y) for k, y in x}
+    if kind == "repr":
+        name, args = x.split("(", 1)
+        args = [a.strip().strip("'") for a in args.rstrip(")").split(",")]
+        if name.endswith("Decimal"):
+            return decimal.Decimal(args[0])
+        return {"datetime.date": datetime.date, "datetime.datetime": datetime.datetime}[name](*map(int, args))
+    items = [_from_json(y) for y in x]
+    return tuple(items) if kind == "tuple" else items
 
 
 def load_model(path: str) -> "ImputerModel":
     """Read a model written by ``ImputerModel.save``."""
+    import importlib
     import json
-    from lacuna.operators import simple
     spark = SparkSession.getActiveSession()
-    d = json.loads(spark.read.text(path).first()[0])
-    cls = {"ValueModel": simple.ValueModel, "ConstantModel": simple.ConstantModel}[d["class"]]
-    return cls.from_params(d["params"])
+    d = json.loads(spark.read.text(f"{path}/model").first()[0])
+    if not d["module"].startswith("lacuna."):
+        raise ValueError(f"{path} holds a model of another library: {d['module']}")
+    cls = getattr(importlib.import_module(d["module"]), d["class"])
+    model = cls.__new__(cls)
+    for name in cls._fit_only:
+        setattr(model, name, None)
+    for name, v in d["plain"].items():
+        setattr(model, name, _from_json(v))
+    for name in d["tables"]:
+        setattr(model, name, spark.read.parquet(f"{path}/{name}"))
+    return model
 
 
 def fill_with(df: DataFrame, fills: dict, keep_type: bool = False) -> DataFrame:

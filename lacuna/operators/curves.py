@@ -1,21 +1,20 @@
 """Polynomial and spline interpolation along an order key (WIN6, WIN7).
 
-Each series is cut into the same order-key buckets as the other ordered
-fills; a chunk (series, bucket) is processed by ``applyInPandas`` together
-with the ``order + 1`` nearest observations on each side outside it as a
-halo (found by exact observation rank, whatever bucket they sit in), so no
-task ever holds a whole series.  A hole is filled from the polynomial of
-degree ``order`` through its ``order + 1`` nearest observed points (by row
-position): 'polynomial' fills only between the first and last observation,
-'spline' also extrapolates at the ends.  This local interpolating polynomial
-stands in for scipy's global interpolating spline; for order 1 it is exactly
-linear interpolation.
+A hole is filled from the interpolating spline of degree ``order`` through the observations of
+its series (by row position), with the usual not-a-knot ends: knots at the observations for odd
+degrees and midway between them for even ones, the outermost left out.  'polynomial' fills only
+between the first and last observation, 'spline' also extrapolates at the ends.
+
+The spline is global, but an observation's influence falls by a constant factor per observation
+in between (at least 2 for cubics and 3 for quadratics, for any spacing).  So each chunk
+(series, range of the order key) is solved together with ``HALO`` observations on each side
+outside it, found by exact rank; what lies further changes nothing that a double can hold, and
+the fill is the same for any number of chunks.  Inside a chunk the observations are solved in
+blocks in the same way, so no task holds a whole series or a large matrix.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -26,25 +25,57 @@ from lacuna.operators.base import Imputer, ImputerModel
 from lacuna.operators.ordered import order_context
 from lacuna.session import cut
 
+HALO = 64
+BLOCK = 192
+SLOT_ROWS = 50_000
+
+
+def knots_of(xs: np.ndarray, k: int) -> np.ndarray:
+    """Knots of the interpolating spline of degree k: inner sites without the outermost ones."""
+    inner = xs if k % 2 else (xs[1:] + xs[:-1]) / 2
+    drop = (k + 1) // 2 if k % 2 else k // 2
+    return np.concatenate((np.repeat(xs[0], k + 1), inner[drop:len(inner) - drop], np.repeat(xs[-1], k + 1)))
+
+
+def basis(t: np.ndarray, k: int, x: np.ndarray) -> np.ndarray:
+    """Values of all B-splines of degree k on knots t at the points x (rows); beyond the ends the
+    outer pieces go on."""
+    n = len(t) - k - 1
+    at = np.clip(np.searchsorted(t, x, side="right") - 1, k, n - 1)
+    b = np.ones((len(x), 1))
+    for d in range(1, k + 1):
+        new = np.zeros((len(x), d + 1))
+        for r in range(d):
+            lo, hi = t[at + r + 1 - d], t[at + r + 1]
+            part = b[:, r] / (hi - lo)
+            new[:, r] += part * (hi - x)
+            new[:, r + 1] += part * (x - lo)
+        b = new
+    out = np.zeros((len(x), n))
+    out[np.arange(len(x))[:, None], (at - k)[:, None] + np.arange(k + 1)] = b
+    return out
+
 
-def local_poly(xs: np.ndarray, ys: np.ndarray, xq: np.ndarray, order: int) -> np.ndarray:
-    """Evaluate, at each query x, the polynomial through its order+1 nearest points."""
+def spline_at(xs: np.ndarray, ys: np.ndarray, xq: np.ndarray, order: int) -> np.ndarray:
+    """The interpolating spline through (xs, ys), xs ascending, at the points xq; with ``order``
+    observations or fewer, the polynomial through all of them."""
     n = len(xs)
     if n == 0 or len(xq) == 0:
         return np.full(len(xq), np.nan)
-    m = min(order + 1, n)
-    h = math.ceil(m / 2)
-    idx = np.searchsorted(xs, xq)
-    start = np.clip(idx - h, 0, n - m)
-    win = start[:, None] + np.arange(m)[None, :]
-    X, Y = xs[win], ys[win]
-    out = np.zeros(len(xq))
-    for j in range(m):
-        L = np.ones(len(xq))
-        for k in range(m):
-            if k != j:
-                L *= (xq - X[:, k]) / (X[:, j] - X[:, k])
-        out += L * Y[:, j]
+    if n == 1:
+        return np.full(len(xq), ys[0])
+    out = np.empty(len(xq))
+    piece = np.clip(np.searchsorted(xs, xq, side="right") - 1, 0, n - 2)
+    if order == 1:  # in the form and order of linear interpolation
+        return ys[piece] + (ys[piece + 1] - ys[piece]) * (xq - xs[piece]) / (xs[piece + 1] - xs[piece])
+    for a in np.unique(piece // BLOCK) * BLOCK:
+        mine = piece // BLOCK == a // BLOCK
+        lo, hi = max(0, a - HALO), min(n, a + BLOCK + 1 + HALO)
+        x0 = xs[lo]
+        x, y = xs[lo:hi] - x0, ys[lo:hi]
+        k = min(order, len(x) - 1)
+        t = knots_of(x, k)
+        out[mine] = basis(t, k, xq[mine] - x0) @ np.linalg.solve(basis(t, k, x), y)
     return out
 
 
@@ -55,7 +86,7 @@ class CurveModel(ImputerModel):
 
     def transform(self, df: DataFrame) -> DataFrame:
         c, part = self.column, self.partition_by
-        m = self.order + 1  # points per local polynomial; also the halo depth on each side
+        m = HALO
         ctx = order_context(df, self.order_by, [c], part, self.buckets, keep_bucket=True)
         names = df.columns
         own = ctx.select(*[clean(df, x).cast("double").alias(x) if x == c else F.col(x) for x in names],
@@ -64,27 +95,29 @@ class CurveModel(ImputerModel):
                          F.col(f"{c}__nv").isNotNull().alias("__hn"))
         own = cut(own)
         # rank of every observation within its series: local rank + observations in earlier buckets
-        obs = own.where(F.col(c).isNotNull()).select(*part, "__tb", "__pos", c)
-        wl = Window.partitionBy(*part, "__tb").orderBy("__pos")
-        per = own.groupBy(*part, "__tb").agg(F.count(c).alias("__nobs"))
-        ws = Window.partitionBy(*part).orderBy("__tb").rowsBetween(Window.unboundedPreceding, -1)
+        # the series key as one struct: structs of nulls are equal in joins
+        series = (F.struct(*part) if part else F.struct(F.lit(0).alias("one"))).alias("__key")
+        obs = own.where(F.col(c).isNotNull()).select(series, "__tb", "__pos", c)
+        wl = Window.partitionBy("__key", "__tb").orderBy("__pos")
+        per = own.groupBy(series, "__tb").agg(F.count(c).alias("__nobs"))
+        ws = Window.partitionBy("__key").orderBy("__tb").rowsBetween(Window.unboundedPreceding, -1)
         per = per.withColumn("__off", F.coalesce(F.sum("__nobs").over(ws), F.lit(0)))
-        ranked = obs.withColumn("__lr", F.row_number().over(wl)).join(per, [*part, "__tb"]) \
-                    .select(*part, "__pos", c, (F.col("__off") + F.col("__lr")).alias("__rank"))
+        ranked = obs.withColumn("__lr", F.row_number().over(wl)).join(per, ["__key", "__tb"]) \
+                    .select("__key", "__pos", c, (F.col("__off") + F.col("__lr")).alias("__rank"))
         # halo: the m observations just before and just after each chunk, by exact rank
-        want = per.select(*part, "__tb", F.explode(F.concat(
+        want = per.select("__key", "__tb", F.explode(F.concat(
             F.sequence(F.col("__off") - (m - 1), F.col("__off")),
             F.sequence(F.col("__off") + F.col("__nobs") + 1, F.col("__off") + F.col("__nobs") + m))).alias("__rank"))
-        halo = want.where(F.col("__rank") >= 1).join(ranked, [*part, "__rank"]).select(
-            *[F.col(x) if (x == c or x in part) else F.lit(None).cast(own.schema[x].dataType).alias(x)
-              for x in names], "__pos", "__tb", F.lit(False).alias("__own"), F.lit(True).alias("__hp"),
+        halo = want.where(F.col("__rank") >= 1).join(ranked, ["__key", "__rank"]).select(
+            *[F.col(x) if x == c else F.col("__key").getField(x).alias(x) if x in part
+              else F.lit(None).cast(own.schema[x].dataType).alias(x) for x in names], "__pos", "__tb", F.lit(False).alias("__own"), F.lit(True).alias("__hp"),
             F.lit(True).alias("__hn"))
         both = own.unionByName(halo)
         schema = own.select(*names).schema
         method, order = self.method, self.order
-        # many short series share one Python call: group by a hash of the series
-        # key and the bucket (a long series is already split by the buckets)
-        n_slots = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4
+        # many short series share one Python call of about SLOT_ROWS rows: group by a hash of the
+        # series key and the chunk (a long series is already split by the chunks)
+        n_slots = max(1, -(-own.count() // SLOT_ROWS))
         slot = F.pmod(F.xxhash64(*part), F.lit(n_slots)) if part else F.lit(0)
         both = both.withColumn("__slot", slot)
 
@@ -96,7 +129,7 @@ class CurveModel(ImputerModel):
                 hole &= mine["__hp"].to_numpy() & mine["__hn"].to_numpy()
             vals = mine[c].to_numpy(dtype="float64", na_value=np.nan)
             if hole.any():
-                vals[hole] = local_poly(pts["__pos"].to_numpy(), pts[c].to_numpy(dtype="float64"),
+                vals[hole] = spline_at(pts["__pos"].to_numpy(), pts[c].to_numpy(dtype="float64"),
                                         mine["__pos"].to_numpy()[hole], order)
             mine[c] = vals
             return mine[names]

@@ -109,10 +109,10 @@ def categorical_scores(scored: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _shares(cells: DataFrame, col: str, name: str) -> DataFrame:
-    w = Window.partitionBy("method", "column_name")
-    counts = cells.groupBy("method", "column_name", F.col(col).alias("v")).agg(F.count("*").alias("n"))
-    return counts.select("method", "column_name", "v",
-                         (F.col("n") / F.sum("n").over(w)).alias(name))
+    k = ["method", "column_name"]
+    counts = cells.groupBy(*k, F.col(col).alias("v")).agg(F.count("*").alias("n"))
+    totals = cells.groupBy(*k).agg(F.count("*").alias("total"))  # one row per method and column
+    return counts.join(totals, k).select(*k, "v", (F.col("n") / F.col("total")).alias(name))
 
 
 EPS = 1e-10  # fixed value: smoothing added to both distributions in KL
@@ -156,9 +156,13 @@ def rank_methods(metrics: DataFrame, decimals: int = 4) -> DataFrame:
 
 
 def best_methods(per_method: DataFrame) -> DataFrame:
-    """Best method per metric (TOP3): lowest rmse/mae, highest r2 (nulls dropped, TOP2)."""
+    """Best method per metric (TOP3): lowest rmse/mae, highest r2 and, where the table has it,
+    highest categorical accuracy (nulls dropped, TOP2)."""
     parts = []
-    for metric, lowest in (("rmse", True), ("mae", True), ("r2_score", False)):
+    metrics = [("rmse", True), ("mae", True), ("r2_score", False)]
+    if "accuracy" in per_method.columns:
+        metrics.append(("accuracy", False))
+    for metric, lowest in metrics:
         d = per_method.where(F.col(metric).isNotNull())
         key = F.struct(F.col(metric) if lowest else -F.col(metric), F.col("method"))
         parts.append(d.agg(F.min_by("method", key).alias("best_method"),

@@ -17,22 +17,20 @@ from pyspark.sql import DataFrame
 from lacuna.functions.columns import resolve_columns
 from lacuna.functions.quantiles import exact_quantiles_multi
 from lacuna.operators.base import Imputer, ImputerModel
-from lacuna.operators.moments import PatternMoments, decode
+from lacuna.operators.moments import PatternMoments, TooManyPatterns, missing_patterns
 
 RIDGE = 1e-6  # fixed value: ridge added to covariance blocks before inversion
 
 
-def conditional_maps(pm: PatternMoments, mu: np.ndarray, cov: np.ndarray, patterns,
-                     hole_idx: list[int] | None = None) -> dict[int, np.ndarray]:
+def conditional_maps(pm: PatternMoments, mu: np.ndarray, cov: np.ndarray, patterns) -> dict[str, np.ndarray]:
     """z-space E-step maps: holes <- mu_m + S_mo (S_oo + ridge)^-1 (z_o - mu_o).
 
     The ridge is 1e-6 in the original units, i.e. 1e-6 / s^2 in z units, so the
     result equals the computation on raw values."""
     d = len(pm.cols)
-    hidx = pm.hole_idx if hole_idx is None else hole_idx
     out = {}
     for p in patterns:
-        miss = decode(p, hidx, d)
+        miss = pm.missing(p)
         obs = ~miss
         W = np.zeros((d, d + 1))
         for i in np.nonzero(obs)[0]:
@@ -49,7 +47,7 @@ def conditional_maps(pm: PatternMoments, mu: np.ndarray, cov: np.ndarray, patter
                     W[miss, 0] = mu[miss]
             else:
                 W[miss, 0] = mu[miss]
-        out[int(p)] = W
+        out[p] = W
     return out
 
 
@@ -75,13 +73,7 @@ def estep_batch(X: np.ndarray, mu: np.ndarray, cov: np.ndarray, ridge: float = R
     out = X.copy()
     if not M.any():
         return out
-    d = X.shape[1]
-    bits = (M.astype(np.int64) << np.arange(d, dtype=np.int64)).sum(axis=1)
-    for p in np.unique(bits):
-        if p == 0:
-            continue
-        rows = bits == p
-        miss = M[rows][0]
+    for rows, miss in missing_patterns(M):
         obs = ~miss
         if obs.any():
             Soo = cov[np.ix_(obs, obs)] + ridge * np.eye(obs.sum())
@@ -116,6 +108,8 @@ def _estep_frame(df: DataFrame, cols: list[str], mu: np.ndarray, cov: np.ndarray
 
 
 class GaussianModel(ImputerModel):
+    _fit_only = ("pm", "mu_z", "cov_z")
+
     def __init__(self, pm, cols, mu_z, cov_z, history, n_iter, mu_x=None, sigma_x=None):
         self.pm, self.cols = pm, cols
         self.mu_z, self.cov_z = mu_z, cov_z
@@ -156,7 +150,7 @@ class EMImputer(Imputer):
             raise ValueError("mode must be 'auto', 'patterns' or 'scan'")
         self.mode = mode
         if init not in ("mean", "median", "zero"):
-            raise ValueError("init_method must be 'mean', 'median', or 'zero'")
+            raise ValueError(f"init is mean, median or zero, not {init!r}")
         if stop not in ("change", "loglik"):
             raise ValueError("stop must be 'change' or 'loglik'")
         self.max_iter, self.tol, self.stop, self.init = max_iter, tol, stop, init
@@ -166,13 +160,13 @@ class EMImputer(Imputer):
         self._check_input(df)
         cols = resolve_columns(df, self.columns, "numeric", self.exclude)
         if not cols:
-            raise ValueError("No numerical columns found for EM imputation")
+            raise ValueError("EM needs at least one numeric column")
         if self.mode == "scan":
             return self._fit_scan(df, cols)
         try:
             pm = PatternMoments(df, cols, self.max_patterns)
-        except ValueError as e:
-            if self.mode == "auto" and "exceed" in str(e):
+        except TooManyPatterns:
+            if self.mode == "auto":
                 return self._fit_scan(df, cols)
             raise
         W = pm.identity_maps()
@@ -190,7 +184,7 @@ class EMImputer(Imputer):
         for it in range(self.max_iter):
             mu, cov, _ = pm.mean_cov(W)
             maps = conditional_maps(pm, mu, cov, pm.patterns)
-            W_new = [maps[int(p)] for p in pm.patterns]
+            W_new = [maps[p] for p in pm.patterns]
             history.append(log_likelihood(pm, W_new))
             change = math.sqrt(pm.change_sq(W_new, W))
             W = W_new
@@ -380,8 +374,8 @@ class IterativeImputer(Imputer):
         if self.mode != "scan":
             try:
                 return self._fit_patterns(PatternMoments(df, cols, self.max_patterns))
-            except ValueError as e:
-                if self.mode == "patterns" or "exceed" not in str(e):
+            except TooManyPatterns:
+                if self.mode == "patterns":
                     raise
         return self._fit_scan(df, cols)
 

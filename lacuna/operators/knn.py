@@ -27,13 +27,17 @@ from lacuna.session import cut
 
 BLOCK_ROWS = 2048
 BROADCAST_BYTES = 64 << 20
+DONOR_ROWS = 8192  # donors that one distance matrix spans
 
 CAND_SCHEMA = "rid long, j int, sid long, dist2 double, v double"
 
 
 def _blocked(rec: DataFrame, don: DataFrame, block_rows: int, broadcast_bytes: int, width: int,
-             block_fn, schema: str) -> DataFrame:
-    """Run ``block_fn(rec_pdf, don_pdf) -> pdf`` over every receiver/donor block pair."""
+             block_fn, schema: str, merge=None) -> DataFrame:
+    """Run ``block_fn(rec_pdf, don_pdf) -> pdf`` over every receiver/donor block pair.
+
+    Distances are elementwise, so they don't depend on how rows are cut into blocks.  Broadcast
+    donors are visited ``DONOR_ROWS`` at a time; ``merge`` folds the results of two visits."""
     spark = rec.sparkSession
     n_don = don.count()
     if n_don == 0:
@@ -51,9 +55,15 @@ def _blocked(rec: DataFrame, don: DataFrame, block_rows: int, broadcast_bytes: i
             d = bc.value
             for rpdf in it:
                 for start in range(0, len(rpdf), block_rows):
-                    out = block_fn(rpdf.iloc[start:start + block_rows], d)
-                    if len(out):
-                        yield out
+                    part, held = rpdf.iloc[start:start + block_rows], None
+                    for at in range(0, len(d), DONOR_ROWS):
+                        out = block_fn(part, d.iloc[at:at + DONOR_ROWS])
+                        if merge is None and len(out):
+                            yield out
+                        elif merge is not None:
+                            held = out if held is None else merge(held, out)
+                    if held is not None and len(held):
+                        yield held
         return rec.mapInPandas(run, schema)
     n_rec = rec.count()
     R = max(1, math.ceil(n_rec / block_rows))
@@ -99,11 +109,13 @@ def _nan_euclid_block(feats: list[str], targets: list[int], k: int):
         Xr = rp[feats].to_numpy(dtype="float64")
         Xd = dp[feats].to_numpy(dtype="float64")
         Mr, Md = ~np.isnan(Xr), ~np.isnan(Xd)
-        Xr0, Xd0 = np.where(Mr, Xr, 0.0), np.where(Md, Xd, 0.0)
-        Mrf, Mdf = Mr.astype("float64"), Md.astype("float64")
-        ss = (Xr0 ** 2) @ Mdf.T + Mrf @ (Xd0 ** 2).T - 2.0 * (Xr0 @ Xd0.T)
-        np.maximum(ss, 0.0, out=ss)
-        shared = Mrf @ Mdf.T
+        # differences themselves, feature by feature: no cancellation, and the order of SQL
+        ss, shared = np.zeros((len(Xr), len(Xd))), np.zeros((len(Xr), len(Xd)))
+        for i in range(d):
+            both = Mr[:, i, None] & Md[None, :, i]
+            diff = np.where(both, Xr[:, i, None] - Xd[None, :, i], 0.0)
+            ss += diff * diff
+            shared += both
         with np.errstate(divide="ignore", invalid="ignore"):
             dist2 = np.where(shared > 0, d * ss / shared, np.inf)
         rid = rp["__id"].to_numpy()
@@ -128,6 +140,14 @@ def _nan_euclid_block(feats: list[str], targets: list[int], k: int):
     return fn
 
 
+def _keep_best(k: int, keys: list[str], dist: str):
+    """Merge of two visits' candidates: the k best by (distance, donor) per key."""
+    def merge(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        both = pd.concat([x, y], ignore_index=True).sort_values([*keys, dist, "sid"], kind="mergesort")
+        return both.groupby(keys, sort=False).head(k)
+    return merge
+
+
 def _merge_topk(cand: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("rid", "j").orderBy("dist2", "sid")
     return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
@@ -176,7 +196,7 @@ class KNNModel(ImputerModel):
         rec = df.where(any_hole).select(*sel)
         don = self.donors
         cand = _blocked(rec, don, self.block_rows, self.broadcast_bytes, len(self.feats),
-                        _nan_euclid_block(self.feats, tj, k), CAND_SCHEMA)
+                        _nan_euclid_block(self.feats, tj, k), CAND_SCHEMA, _keep_best(k, ["rid", "j"], "dist2"))
         return _merge_topk(cand, k)
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -271,7 +291,7 @@ class EnhancedKNNModel(ImputerModel):
             hole = h if hole is None else (hole | h)
         rec = df.where(hole).select(F.col(self.id_col).cast("long").alias("__id"), *z)
         cand = _blocked(rec, allz, self.block_rows, self.broadcast_bytes, len(self.dist_feats),
-                        _euclid_block(self.dist_feats, k), NEIGH_SCHEMA)
+                        _euclid_block(self.dist_feats, k), NEIGH_SCHEMA, _keep_best(k, ["rid"], "ss"))
         w = Window.partitionBy("rid").orderBy("ss", "sid")
         return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
                 .select("rid", "sid", F.sqrt("ss").alias("dist"), "rank"))
@@ -341,7 +361,7 @@ class EnhancedKNNImputer(Imputer):
             df, None if self.columns is None else self.columns, "string", ex, warn=False)
         dist = resolve_columns(df, self.distance_features, "numeric", ex, warn=False)
         if not dist:
-            raise ValueError("No valid numerical features for distance calculation")
+            raise ValueError("distance_features holds no numeric column")
         row = df.agg(*[F.avg(clean(df, c)).alias(c) for c in sorted(set(num + dist))]).first()
         means = row.asDict()
         from lacuna.operators.simple import column_modes
@@ -365,15 +385,16 @@ INF_BIN = 1 << 20
 ZERO_BIN = -(1 << 20)
 
 
-def _ss_other(Xr, Xd, Mr, Md, j):
-    """Unscaled squared Euclidean over the other columns both rows have; inf if none."""
+def _ss_other(Xr, Xd, Mr, Md, j, metric="euclidean"):
+    """Unscaled squared Euclidean, or Manhattan, distance over the other columns both rows have;
+    inf if none."""
     cols = [i for i in range(Xr.shape[1]) if i != j]
     ss = np.zeros((len(Xr), len(Xd)))
     sh = np.zeros((len(Xr), len(Xd)))
     for i in cols:
         both = Mr[:, i, None] & Md[None, :, i]
         diff = np.where(both, Xr[:, i, None] - Xd[None, :, i], 0.0)
-        ss += diff * diff
+        ss += diff * diff if metric == "euclidean" else np.abs(diff)
         sh += both
     return np.where(sh > 0, ss, np.inf)
 
@@ -404,7 +425,7 @@ def _bin_counts(rids: np.ndarray, b: np.ndarray, v: np.ndarray, j: int) -> pd.Da
                          "bin": orig.astype("int64"), "cnt": cnt[nz].astype("int64"), "sv": sv[nz]})
 
 
-def _hist_block(feats, targets):
+def _hist_block(feats, targets, metric):
     def fn(rp, dp):
         Xr = rp[feats].to_numpy(dtype="float64")
         Xd = dp[feats].to_numpy(dtype="float64")
@@ -415,7 +436,7 @@ def _hist_block(feats, targets):
             ri, di = np.nonzero(~Mr[:, j])[0], np.nonzero(Md[:, j])[0]
             if len(ri) == 0 or len(di) == 0:
                 continue
-            b = _bin_of(_ss_other(Xr[ri], Xd[di], Mr[ri], Md[di], j))
+            b = _bin_of(_ss_other(Xr[ri], Xd[di], Mr[ri], Md[di], j, metric))
             outs.append(_bin_counts(rid[ri], b, Xd[di, j], j))
         if not outs:
             return pd.DataFrame({"rid": [], "j": [], "bin": [], "cnt": [], "sv": []})
@@ -426,7 +447,7 @@ def _hist_block(feats, targets):
 CAND_SCHEMA_F = "rid long, j int, f int, sid long, dist2 double, v double"
 
 
-def _boundary_block(feats, targets, n_fracs: int = 1):
+def _boundary_block(feats, targets, metric, n_fracs: int = 1):
     def fn(rp, dp):
         Xr = rp[feats].to_numpy(dtype="float64")
         Xd = dp[feats].to_numpy(dtype="float64")
@@ -438,7 +459,7 @@ def _boundary_block(feats, targets, n_fracs: int = 1):
             ri_all = np.nonzero(~Mr[:, j])[0]
             if len(ri_all) == 0 or len(di) == 0:
                 continue
-            ss_all = _ss_other(Xr[ri_all], Xd[di], Mr[ri_all], Md[di], j)
+            ss_all = _ss_other(Xr[ri_all], Xd[di], Mr[ri_all], Md[di], j, metric)
             bins = _bin_of(ss_all)
             for fi in range(n_fracs):
                 want = rp[f"__bin{j}_{fi}"].to_numpy()[ri_all]
@@ -457,8 +478,8 @@ def _boundary_block(feats, targets, n_fracs: int = 1):
 
 
 class SimilarityPartialMeanModel(ImputerModel):
-    def __init__(self, id_col, cols, fraction, means, block_rows, broadcast_bytes):
-        self.id_col, self.cols, self.fraction = id_col, cols, fraction
+    def __init__(self, id_col, cols, fraction, means, block_rows, broadcast_bytes, metric="euclidean"):
+        self.id_col, self.cols, self.fraction, self.metric = id_col, cols, fraction, metric
         self.means, self.block_rows, self.broadcast_bytes = means, block_rows, broadcast_bytes
 
     def _fills(self, df: DataFrame, fractions: list[float]) -> DataFrame:
@@ -475,7 +496,7 @@ class SimilarityPartialMeanModel(ImputerModel):
         don = df.select(*sel)
         n_avail = df.agg(*[F.count(clean(df, c)).alias(c) for c in cols]).first()
         hist = _blocked(rec, don, self.block_rows, self.broadcast_bytes, len(cols),
-                        _hist_block(cols, targets), "rid long, j int, bin long, cnt long, sv double")
+                        _hist_block(cols, targets, self.metric), "rid long, j int, bin long, cnt long, sv double")
         hist = hist.groupBy("rid", "j", "bin").agg(F.sum("cnt").alias("cnt"), F.sum("sv").alias("sv"))
         w = Window.partitionBy("rid", "j").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
         total = Window.partitionBy("rid", "j")
@@ -500,7 +521,7 @@ class SimilarityPartialMeanModel(ImputerModel):
             for i in targets for fi in range(len(fractions))])
         rec2 = rec.join(wide, rec["__id"] == wide["rid"]).drop("rid")
         cand = _blocked(rec2, don, self.block_rows, self.broadcast_bytes, len(cols),
-                        _boundary_block(cols, targets, len(fractions)), CAND_SCHEMA_F)
+                        _boundary_block(cols, targets, self.metric, len(fractions)), CAND_SCHEMA_F)
         cw = Window.partitionBy("rid", "j", "f").orderBy("dist2", "sid")
         taken = cand.withColumn("rank", F.row_number().over(cw)).join(
             bnd.select("rid", "j", "f", "need"), ["rid", "j", "f"]).where(F.col("rank") <= F.col("need")) \
@@ -526,17 +547,17 @@ class SimilarityPartialMeanModel(ImputerModel):
 class SimilarityPartialMeanImputer(Imputer):
     """Mean of the most similar fraction of donors (MOD3).
 
-    Distance: unscaled Euclidean ('euclidean') over the other columns both rows
-    have (no shared column: infinitely far).  Ties go to the smaller donor id.
+    Distance: unscaled Euclidean ('euclidean') or city-block ('manhattan') over the
+    other columns both rows have (no shared column: infinitely far).  Ties go to the smaller donor id.
     """
 
     def __init__(self, id_col: str, subset_size: float = 0.3, similarity_metric: str = "euclidean",
                  columns=None, exclude=(), block_rows: int = BLOCK_ROWS, broadcast_bytes: int = BROADCAST_BYTES):
-        if similarity_metric != "euclidean":
-            raise ValueError("only 'euclidean' is supported")
+        if similarity_metric not in ("euclidean", "manhattan"):
+            raise ValueError(f"similarity_metric is euclidean or manhattan, not {similarity_metric!r}")
         if not 0 < subset_size <= 1:
             raise ValueError("subset_size must be in (0, 1]")
-        self.id_col, self.fraction = id_col, subset_size
+        self.id_col, self.fraction, self.metric = id_col, subset_size, similarity_metric
         self.columns, self.exclude = columns, tuple(exclude)
         self.block_rows, self.broadcast_bytes = block_rows, broadcast_bytes
 
@@ -545,4 +566,4 @@ class SimilarityPartialMeanImputer(Imputer):
         cols = resolve_columns(df, self.columns, "numeric", list(self.exclude) + [self.id_col])
         row = df.agg(*[F.avg(clean(df, c)).alias(c) for c in cols]).first()
         return SimilarityPartialMeanModel(self.id_col, cols, self.fraction, row.asDict(),
-                                          self.block_rows, self.broadcast_bytes)
+                                          self.block_rows, self.broadcast_bytes, self.metric)

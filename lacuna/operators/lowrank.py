@@ -3,7 +3,9 @@
 The right singular vectors of the (standardized or centered) completed table
 are the eigenvectors of its d x d Gram matrix, which the per-pattern moments
 give exactly; the rank-k reconstruction of the holes is an affine map per
-pattern.  Nothing of size n is ever on the driver.
+pattern.  With more patterns than fit on the driver, each iteration is a pass
+in which tasks build the maps of the patterns they meet: the same iteration,
+the same answer.  Nothing of size n is ever on the driver.
 """
 
 from __future__ import annotations
@@ -11,12 +13,14 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lacuna.functions.columns import resolve_columns
+from lacuna.functions.columns import clean, resolve_columns
 from lacuna.operators.base import Imputer, ImputerModel
-from lacuna.operators.moments import PatternMoments, apply_pattern_maps
+from lacuna.operators.moments import PatternMoments, TooManyPatterns, missing_patterns
+from lacuna.session import cut
 
 
 def _top_eig(G: np.ndarray, k: int):
@@ -25,14 +29,58 @@ def _top_eig(G: np.ndarray, k: int):
     return np.maximum(vals[order], 0.0), vecs[:, order][:, :k]
 
 
+def _projection(G: np.ndarray, k: int, center: bool):
+    """(mean, rank-k projection, singular values) from the Gram matrix of [1, u]."""
+    n = G[0, 0]
+    mu = G[0, 1:] / n if center else np.zeros(len(G) - 1)
+    vals, vk = _top_eig(G[1:, 1:] - n * np.outer(mu, mu), k)
+    return mu, vk @ vk.T, np.sqrt(vals)
+
+
+def chain_map(miss: np.ndarray, chain) -> np.ndarray:
+    """Map of a missing pattern on [1, u] (holes 0) after the given reconstructions: holes start
+    at the mean, and each step replaces them by mu + P (u - mu)."""
+    d = len(miss)
+    W = np.hstack([np.zeros((d, 1)), np.diag((~miss).astype(float))])
+    for mu, P in chain:
+        W = one_step(W, miss, mu, P)
+    return W
+
+
+def one_step(W: np.ndarray, miss: np.ndarray, mu: np.ndarray, P: np.ndarray) -> np.ndarray:
+    C = W.copy()
+    C[:, 0] -= mu
+    R = P[miss] @ C
+    R[:, 0] += mu[miss]
+    out = W.copy()
+    out[miss] = R
+    return out
+
+
 class LowRankModel(ImputerModel):
-    def __init__(self, pm, cols, W_x, n_iter, singular_values):
-        self.pm, self.cols, self.W_x = pm, cols, W_x
-        self.n_iter_, self.singular_values_ = n_iter, singular_values
+    """The fitted chain of reconstructions; ``transform`` replays it for whatever patterns a task
+    meets, so new rows, new patterns and newly missing columns are filled like fitted ones."""
+
+    def __init__(self, cols, m_u, s_u, chain, singular_values):
+        self.cols, self.m_u, self.s_u, self.chain = cols, m_u, s_u, chain
+        self.n_iter_, self.singular_values_ = len(chain), singular_values
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return apply_pattern_maps(df, self.cols, {int(p): W for p, W in zip(self.pm.patterns, self.W_x)},
-                                  self.pm.hole_idx, fallback=self.pm.m)
+        cols = self.cols
+        bc = df.sparkSession.sparkContext.broadcast((self.m_u, self.s_u, self.chain))
+        names = df.columns
+        base = df.select(*[clean(df, c).cast("double").alias(c) if c in cols else F.col(c) for c in names])
+
+        def run(it):
+            m_u, s_u, chain = bc.value
+            known = {}
+            for pdf in it:
+                X = pdf[cols].to_numpy(dtype="float64", na_value=np.nan)
+                filled = np.where(np.isnan(X), _replayed((X - m_u) / s_u, chain, known) * s_u + m_u, X)
+                for j, c in enumerate(cols):
+                    pdf[c] = filled[:, j]
+                yield pdf
+        return base.mapInPandas(run, base.schema)
 
     def explained_variance(self, spark) -> DataFrame:
         """Component, singular value, share of s^2 and running share (MOD6)."""
@@ -44,6 +92,21 @@ class LowRankModel(ImputerModel):
                                            "cumulative_ratio double")
 
 
+def _replayed(U: np.ndarray, chain, known: dict) -> np.ndarray:
+    """Rows in working units (holes NaN) completed by the chain; maps are kept in ``known``."""
+    M = np.isnan(U)
+    out = np.where(M, 0.0, U)
+    for rows, miss in missing_patterns(M):
+        key = miss.tobytes()
+        W = known.get(key)
+        if W is None:
+            if len(known) >= 4096:
+                known.clear()
+            W = known[key] = chain_map(miss, chain)[miss]
+        out[np.ix_(rows, miss)] = W[:, 0] + out[rows] @ W[:, 1:].T
+    return out
+
+
 class SVDImputer(Imputer):
     """Rank-k matrix completion.
 
@@ -65,209 +128,121 @@ class SVDImputer(Imputer):
         self.center, self.scale = center, scale
         self.columns, self.exclude, self.max_patterns = columns, tuple(exclude), max_patterns
 
+    def _rank(self, n: float, d: int) -> int:
+        if self.center:
+            k = (min(int(n), d) - 1) if self.k is None else min(self.k, d)
+        else:
+            k = min(self.k or d, d - 1, int(n) - 1)
+        if k < 1:
+            raise ValueError(f"a low-rank fill needs two columns and two rows or more; got {d} and {int(n)}")
+        return k
+
     def fit(self, df: DataFrame) -> LowRankModel:
         self._check_input(df)
         cols = resolve_columns(df, self.columns, "numeric", self.exclude)
-        if self.mode != "scan":
-            try:
-                return self.fit_moments(PatternMoments(df, cols, self.max_patterns))
-            except ValueError as e:
-                if self.mode == "patterns" or "exceed" not in str(e):
-                    raise
-        n, d = df.count(), len(cols)
-        k = (min(n, d) - 1) if (self.center and self.k is None) else (
-            min(self.k, d) if self.center else min(self.k or d, d - 1, n - 1))
-        if k < 1:
-            raise ValueError("Insufficient data for SVD imputation")
-        return fit_lowrank_scan(df, cols, k, self.center, self.scale, self.tol, self.max_iter)
+        return self._fit(_moments(df, cols, self.mode, self.max_patterns))
 
     def sweep(self, df: DataFrame, ranks) -> dict[int, LowRankModel]:
-        """One model per rank, all from a single moment table (EVL23): the data
-        are aggregated once, each rank only re-runs the (d+1)^2 iterations."""
+        """One model per rank, all from one moment table or written copy of the columns (EVL23)."""
         self._check_input(df)
         cols = resolve_columns(df, self.columns, "numeric", self.exclude)
-        pm = PatternMoments(df, cols, self.max_patterns)
+        data = _moments(df, cols, self.mode, self.max_patterns)
         out, keep = {}, self.k
         try:
             for r in ranks:
                 self.k = r
-                out[r] = self.fit_moments(pm)
+                out[r] = self._fit(data)
         finally:
             self.k = keep
         return out
 
-    def fit_moments(self, pm: PatternMoments) -> LowRankModel:
-        cols = pm.cols
-        d, n = len(cols), pm.n
-        if self.center:
-            k = (min(n, d) - 1) if self.k is None else min(self.k, d)
-        else:
-            k = min(self.k or d, d - 1, int(n) - 1)
-            if k < 1:
-                raise ValueError("Insufficient data for SVD imputation")
-        W = pm.identity_maps()  # z-space, holes at the column mean
+    def _fit(self, data) -> LowRankModel:
+        d = len(data.cols)
         if self.scale and not self.center:
-            # standardize the mean-filled table: its mean is 0 in z-space; its sd:
-            mu, cov, S2 = pm.mean_cov(W, ddof=0)
-            sz = np.sqrt(np.maximum(np.diag(cov), 0.0))
-            sz[sz == 0] = 1.0
+            # units in which the mean-filled table has unit variance
+            G, _ = data.gram([], np.ones(d))
+            mean = G[0, 1:] / G[0, 0]
+            sd = np.sqrt(np.maximum(np.diag(G)[1:] / G[0, 0] - mean ** 2, 0.0))
+            s_u = np.where(sd == 0, 1.0, sd)
         else:
-            sz = np.ones(d)
-        # work in u = z / sz (standardized-of-filled) or z (notebook)
-        s_units = pm.s * sz  # x = m + s_units * u
-        A = [Wp / sz[:, None] for Wp in W]
-        sing = []
-        n_iter = 0
+            s_u = np.ones(d)
+        chain, sing = [], np.zeros(0)
+        G, _ = data.gram(chain, s_u)
+        k = self._rank(G[0, 0], d)
         for it in range(self.max_iter):
-            if self.center:
-                S1 = sum(Ap @ Q[:, 0] for Ap, Q in zip(A, pm.Q))
-                mu = S1 / n
-            else:
-                mu = np.zeros(d)
-            C = [Ap.copy() for Ap in A]
-            for Cp in C:
-                Cp[:, 0] -= mu
-            G = sum(Cp @ Q @ Cp.T for Cp, Q in zip(C, pm.Q))
-            # the SVD is taken in the working units: standardized (package) or raw (notebook)
-            w = np.ones(d) if self.scale else s_units
-            vals, Vk = _top_eig(w[:, None] * G * w[None, :], k)
-            sing = np.sqrt(vals)
-            P = (Vk @ Vk.T) * w[None, :] / w[:, None]
-            A_new = []
-            for Ap, Cp, p in zip(A, C, pm.patterns):
-                miss = pm.missing(p)
-                R = P @ Cp
-                R[:, 0] += mu
-                An = Ap.copy()
-                An[miss] = R[miss]
-                A_new.append(An)
-            if self.center:
-                change = math.sqrt(pm.change_sq(A_new, A, scale=s_units))
-            else:
-                change = math.sqrt(pm.change_sq(A_new, A, scale=np.ones(d)))
-            A = A_new
-            n_iter = it + 1
-            if self.center and it == 0:
-                continue
-            if change < self.tol:
+            mu, P, sing = _projection(G, k, self.center)
+            chain.append((mu, P))
+            G, change = data.gram(chain, s_u)
+            if not (self.center and it == 0) and math.sqrt(change) < self.tol:
                 break
-        Wz = [Ap * sz[:, None] for Ap in A]
-        W_x = [pm.to_x_map(Wp) for Wp in Wz]
-        return LowRankModel(pm, cols, W_x, n_iter, list(map(float, sing)))
-
+        return LowRankModel(data.cols, data.m, s_u, chain, list(map(float, sing)))
 
-# ---------------------------------------------------------------- scan mode (any number of patterns)
 
-def lowrank_rows(X: np.ndarray, m_u, s_u, mu, P) -> np.ndarray:
-    """Fill a raw batch at the fixed point u_m = mu_m + [P (u - mu)]_m (working
-    units u = (x - m_u) / s_u), one least-squares solve per missing pattern:
-    (I - P_mm) v_m = P_mo v_o, minimum-norm, as the alternating iteration from the
-    mean start converges to."""
-    U = (X - m_u) / s_u
-    M = np.isnan(U)
-    out = U.copy()
-    d = U.shape[1]
-    if M.any():
-        bits = (M.astype(np.int64) << np.arange(d, dtype=np.int64)).sum(axis=1)
-        for p in np.unique(bits):
-            if p == 0:
-                continue
-            rows = bits == p
-            miss = M[rows][0]
-            obs = ~miss
-            vo = U[np.ix_(rows, obs)] - mu[obs]
-            A = np.eye(miss.sum()) - P[np.ix_(miss, miss)]
-            rhs = vo @ P[np.ix_(miss, obs)].T
-            vm = rhs @ np.linalg.pinv(A).T
-            out[np.ix_(rows, miss)] = mu[miss] + vm
-    return out * s_u + m_u
-
-
-class LowRankScanModel(ImputerModel):
-    def __init__(self, cols, m_u, s_u, mu, P, n_iter, singular_values):
-        self.cols, self.m_u, self.s_u, self.mu, self.P = cols, m_u, s_u, mu, P
-        self.n_iter_, self.singular_values_ = n_iter, singular_values
-
-    explained_variance = LowRankModel.explained_variance
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        cols = self.cols
-        bc = df.sparkSession.sparkContext.broadcast((self.m_u, self.s_u, self.mu, self.P))
-        names = df.columns
-        base = df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in names])
+def _moments(df: DataFrame, cols: list[str], mode: str, max_patterns: int):
+    """Pattern moments where they fit on the driver, else passes over the data: the same sums of
+    the same completed rows, so the same iteration."""
+    if mode != "scan":
+        try:
+            return _FromPatterns(PatternMoments(df, cols, max_patterns))
+        except TooManyPatterns:
+            if mode == "patterns":
+                raise
+    return _FromRows(df, cols)
+
+
+class _FromPatterns:
+    def __init__(self, pm: PatternMoments):
+        self.cols, self.m, self.pm = pm.cols, pm.m, pm
+        self.miss = [pm.missing(p) for p in pm.patterns]
+        self._maps: list = []
+
+    def _step(self, chain):
+        """Maps of all patterns after ``chain`` and before its last step (kept between calls)."""
+        if not chain:
+            self._maps = [chain_map(m, ()) for m in self.miss]
+            return self._maps, self._maps
+        before = self._maps
+        self._maps = [one_step(W, m, *chain[-1]) for W, m in zip(before, self.miss)]
+        return before, self._maps
+
+    def gram(self, chain, s_u):
+        """Gram of [1, u] of the table completed by ``chain``, and the squared change that its
+        last step made.  Chains are handed in from the empty one on, a step longer each time."""
+        pm, d = self.pm, len(self.cols)
+        to_u = np.concatenate(([1.0], pm.s / s_u))
+        G, change = np.zeros((d + 1, d + 1)), 0.0
+        for old, new, Q in zip(*self._step(chain), pm.Q):
+            Qu = Q * to_u[:, None] * to_u[None, :]
+            W = np.vstack([np.eye(1, d + 1), new])
+            G += W @ Qu @ W.T
+            change += float(np.trace((new - old) @ Qu @ (new - old).T))
+        return G, max(change, 0.0)
+
+
+class _FromRows:
+    def __init__(self, df: DataFrame, cols: list[str]):
+        self.cols = cols
+        self.data = cut(df.select(*[clean(df, c).cast("double").alias(c) for c in cols]))
+        row = self.data.agg(*[F.avg(c).alias(c) for c in cols]).first()
+        self.m = np.array([row[c] if row[c] is not None else 0.0 for c in cols])
+
+    def gram(self, chain, s_u):
+        """One pass; tasks return partial sums, (d+1)^2 + 1 numbers reach the driver."""
+        cols, d = self.cols, len(self.cols)
+        bc = self.data.sparkSession.sparkContext.broadcast((self.m, s_u, list(chain)))
 
         def run(it):
-            m_u, s_u, mu, P = bc.value
+            m, s, steps = bc.value
+            now, before = {}, {}
             for pdf in it:
-                X = pdf[cols].to_numpy(dtype="float64", na_value=np.nan)
-                filled = lowrank_rows(X, m_u, s_u, mu, P)
-                for j, c in enumerate(cols):
-                    pdf[c] = filled[:, j]
-                yield pdf
-        return base.mapInPandas(run, base.schema)
-
-
-def fit_lowrank_scan(df: DataFrame, cols: list[str], k: int, center: bool, scale: bool, tol: float,
-                     max_iter: int) -> LowRankScanModel:
-    """Low-rank completion with one data pass per iteration and no pattern
-    enumeration: each task fills its rows at the fixed point of the current
-    projection and returns partial Gram matrices, summed by Spark."""
-    import pandas as pd
-    from lacuna.functions.columns import clean
-    from lacuna.session import cut
-    d = len(cols)
-    data = cut(df.select(*[clean(df, c).cast("double").alias(c) for c in cols]))
-    row = data.agg(*[F.avg(c).alias(c) for c in cols]).first()
-    m_obs = np.array([row[c] if row[c] is not None else 0.0 for c in cols])
-    sc = df.sparkSession.sparkContext
+                U = (pdf[cols].to_numpy(dtype="float64", na_value=np.nan) - m) / s
+                cur = _replayed(U, steps, now)
+                change = float(((cur - _replayed(U, steps[:-1], before)) ** 2).sum()) if steps else 0.0
+                A = np.hstack([np.ones((len(U), 1)), cur])
+                yield pd.DataFrame({"cell": np.arange((d + 1) ** 2 + 1, dtype="int32"), "v": np.append((A.T @ A).ravel(), change)})
 
-    def gram(fill_args, prev_args, m_u, s_u):
-        bc = sc.broadcast((fill_args, prev_args, m_u, s_u, m_obs))
-
-        def run(it):
-            fa, pa, mu_, su_, mo = bc.value
-            for pdf in it:
-                X = pdf[cols].to_numpy(dtype="float64", na_value=np.nan)
-                cur = np.where(np.isnan(X), mo, X) if fa is None else lowrank_rows(X, mu_, su_, *fa)
-                prev = np.where(np.isnan(X), mo, X) if pa is None else lowrank_rows(X, mu_, su_, *pa)
-                U = (cur - mu_) / su_
-                A = np.hstack([np.ones((len(U), 1)), U])
-                G = (A.T @ A).ravel()
-                chg = float((((cur - prev) / su_) ** 2).sum()) if scale else float(((cur - prev) ** 2).sum())
-                yield pd.DataFrame({"cell": np.arange(len(G) + 1, dtype="int32"), "v": np.append(G, chg)})
-        rows = data.mapInPandas(run, "cell int, v double").groupBy("cell").agg(F.sum("v").alias("v")).collect()
+        rows = self.data.mapInPandas(run, "cell int, v double").groupBy("cell").agg(F.sum("v").alias("v")).collect()
         vec = np.zeros((d + 1) ** 2 + 1)
         for r in rows:
             vec[r["cell"]] = r["v"]
         return vec[:-1].reshape(d + 1, d + 1), vec[-1]
-
-    # working units: standardized mean-filled table (package) or raw shifted by the means (notebook)
-    G, _ = gram(None, None, m_obs, np.ones(d))
-    n = G[0, 0]
-    if scale and not center:
-        dm = G[0, 1:] / n
-        var = np.diag(G[1:, 1:]) / n - dm ** 2
-        s_u = np.sqrt(np.maximum(var, 0.0))
-        s_u[s_u == 0] = 1.0
-        m_u = m_obs + dm
-    else:
-        s_u, m_u = np.ones(d), m_obs
-
-    def proj(G):
-        n = G[0, 0]
-        mu = G[0, 1:] / n if center else np.zeros(d)
-        C = G[1:, 1:] - (n * np.outer(mu, mu) if center else 0.0)
-        vals, Vk = _top_eig(C, k)
-        return mu, Vk @ Vk.T, np.sqrt(vals)
-
-    G, _ = gram(None, None, m_u, s_u)
-    mu, P, sing = proj(G)
-    prev, n_iter = None, 0
-    for it in range(max_iter):
-        G, chg = gram((mu, P), prev, m_u, s_u)
-        prev = (mu, P)
-        mu, P, sing = proj(G)
-        n_iter = it + 1
-        if it > 0 and math.sqrt(chg) < tol:
-            break
-    return LowRankScanModel(cols, m_u, s_u, mu, P, n_iter, list(map(float, sing)))

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from lacuna.functions.columns import clean, resolve_columns
 from lacuna.operators.base import Imputer, ImputerModel
+from lacuna.operators.moments import missing_patterns
 from lacuna.session import cut
 
 
@@ -64,9 +65,11 @@ class MixtureModel(ImputerModel):
                 X = (pdf[cols].to_numpy(dtype="float64", na_value=np.nan) - P["m"]) / P["s"]
                 M = np.isnan(X)
                 Z = np.where(M, 0.0, X)  # initial fill: the mean
-                rows = M.any(axis=1)
+                live = np.flatnonzero(M.any(axis=1))  # a row stops by its own change, whatever its neighbours do
                 for _ in range(P["it"]):
-                    Zr, Mr = Z[rows], M[rows]
+                    if not len(live):
+                        break
+                    Zr, Mr = Z[live], M[live]
                     # responsibilities of the current completed rows
                     ll = np.stack([-0.5 * np.einsum("ij,jk,ik->i", Zr - mu[k], inv[k], Zr - mu[k])
                                    - 0.5 * logdet[k] + math.log(w[k]) for k in range(K)], axis=1)
@@ -77,10 +80,8 @@ class MixtureModel(ImputerModel):
                     for k in range(K):
                         new += r[:, k, None] * _cond_means(Zr, Mr, mu[k], cov[k])
                     newZ = np.where(Mr, new, Zr)
-                    delta = np.abs(newZ - Zr).max() if len(Zr) else 0.0
-                    Z[rows] = newZ
-                    if delta < P["tol"]:
-                        break
+                    Z[live] = newZ
+                    live = live[np.abs(newZ - Zr).max(axis=1) >= P["tol"]]
                 out = np.where(M, Z * P["s"] + P["m"], pdf[cols].to_numpy(dtype="float64", na_value=np.nan))
                 for j, c in enumerate(cols):
                     pdf[c] = out[:, j]
@@ -91,13 +92,7 @@ class MixtureModel(ImputerModel):
 def _cond_means(Z, M, mu, cov):
     """Conditional mean of the missing coordinates given the observed ones, row by pattern."""
     out = Z.copy()
-    d = Z.shape[1]
-    bits = (M * (1 << np.arange(d))).sum(axis=1)
-    for p in np.unique(bits):
-        if p == 0:
-            continue
-        sel = bits == p
-        miss = M[sel][0]
+    for sel, miss in missing_patterns(M):
         obs = ~miss
         if obs.any():
             B = np.linalg.solve(cov[np.ix_(obs, obs)] + 1e-6 * np.eye(obs.sum()), cov[np.ix_(miss, obs)].T).T
@@ -107,8 +102,8 @@ def _cond_means(Z, M, mu, cov):
     return out
 
 
-def _single_gaussian_loglik(df: DataFrame, cols, m, s) -> float:
-    """Log-likelihood of one Gaussian at its MLE, on the same standardized, mean-filled table."""
+def _moments(df: DataFrame, cols, m, s):
+    """Mean, covariance (by n) and n of the standardized, mean-filled table."""
     z = [F.coalesce((clean(df, c).cast("double") - F.lit(m[i])) / F.lit(s[i]), F.lit(0.0)) for i, c in enumerate(cols)]
     p = len(cols)
     row = df.agg(F.count(F.lit(1)).alias("n"), *[F.avg(z[i]).alias(f"a{i}") for i in range(p)],
@@ -117,7 +112,12 @@ def _single_gaussian_loglik(df: DataFrame, cols, m, s) -> float:
     for i in range(p):
         for j in range(i, p):
             cov[i, j] = cov[j, i] = row[f"c{i}_{j}"]
-    n = row["n"]
+    return np.array([row[f"a{i}"] for i in range(p)]), cov, row["n"]
+
+
+def _loglik(cov, n) -> float:
+    """Log-likelihood of one Gaussian at its maximum."""
+    p = len(cov)
     _, logdet = np.linalg.slogdet(cov)
     return float(-0.5 * n * (p * math.log(2 * math.pi) + logdet + p))
 
@@ -136,6 +136,9 @@ class GaussianMixtureImputer(Imputer):
         self._check_input(df)
         cols = resolve_columns(df, self.columns, "numeric", self.exclude)
         m, s = _standardized(df, cols)
+        if self.k == 1:  # the moments of the filled table; MLlib starts at two components
+            mean, cov, n = _moments(df, cols, m, s)
+            return MixtureModel(cols, m, s, [1.0], mean[None, :], cov[None, :, :], self.max_iter, self.tol, _loglik(cov, n))
         gm, _ = fit_mixture(df, cols, m, s, self.k, self.seed)
         g = gm.gaussiansDF.collect()
         means = np.array([r["mean"].toArray() for r in g])
@@ -156,7 +159,8 @@ def select_components(df: DataFrame, columns: list[str], ks=(1, 2, 3, 4, 5), see
     rows = []
     for k in ks:
         if k == 1:
-            ll = _single_gaussian_loglik(base, columns, m, s)
+            _, cov, rows_n = _moments(base, columns, m, s)
+            ll = _loglik(cov, rows_n)
         else:
             gm, _ = fit_mixture(base, columns, m, s, k, seed)
             ll = float(gm.summary.logLikelihood)

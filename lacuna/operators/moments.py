@@ -23,10 +23,29 @@ from pyspark.sql import functions as F
 from lacuna.functions.columns import clean, pattern_bits
 
 MAX_PATTERNS = 4096
+MAX_CELLS = 4_000_000  # patterns x (d+1)^2 numbers that may come to the driver
 WIDE = 24  # above this many columns, Gram blocks come from numpy per Arrow batch
 
 
-def _wide_moments(zz: DataFrame, d: int, max_patterns: int):
+class TooManyPatterns(ValueError):
+    """The table has more missing patterns than moments can be kept for on the driver."""
+
+
+def missing_patterns(M: np.ndarray):
+    """(row indices, missing mask) of each pattern among the rows of a boolean matrix that have
+    holes; rows of any width are compared as packed bytes."""
+    rows = np.flatnonzero(M.any(axis=1))
+    if not len(rows):
+        return
+    packed = np.packbits(M[rows], axis=1)
+    _, first, inverse = np.unique(packed, axis=0, return_index=True, return_inverse=True)
+    order = np.argsort(inverse.ravel(), kind="stable")
+    cuts = np.cumsum(np.bincount(inverse.ravel()))[:-1]
+    for k, part in zip(first, np.split(rows[order], cuts)):
+        yield part, M[rows[k]]
+
+
+def _wide_moments(zz: DataFrame, d: int):
     """Per-pattern [1, z][1, z]^T summed per batch in numpy, then across batches
     by a grouped sum over (pattern, cell) - partial Grams, never rows, move."""
     iu = np.triu_indices(d + 1)
@@ -35,16 +54,14 @@ def _wide_moments(zz: DataFrame, d: int, max_patterns: int):
         for pdf in it:
             Z = pdf[[f"z{i}" for i in range(d)]].to_numpy(dtype="float64")
             A = np.hstack([np.ones((len(Z), 1)), Z])
-            for p in np.unique(pdf["__p"].to_numpy()):
+            for p in pdf["__p"].unique():
                 sel = pdf["__p"].to_numpy() == p
                 G = A[sel].T @ A[sel]
-                yield pd.DataFrame({"p": np.full(len(iu[0]), p, dtype="int64"),
+                yield pd.DataFrame({"p": [p] * len(iu[0]),
                                     "cell": np.arange(len(iu[0]), dtype="int32"), "v": G[iu]})
-    long = zz.mapInPandas(part, "p long, cell int, v double").groupBy("p", "cell").agg(F.sum("v").alias("v"))
+    long = zz.mapInPandas(part, "p string, cell int, v double").groupBy("p", "cell").agg(F.sum("v").alias("v"))
     rows = long.collect()
     pats = sorted({r["p"] for r in rows})
-    if len(pats) > max_patterns:
-        raise ValueError(f"{len(pats)} missing patterns exceed the cap of {max_patterns}")
     pos = {p: k for k, p in enumerate(pats)}
     Q = np.zeros((len(pats), d + 1, d + 1))
     for r in rows:
@@ -56,7 +73,7 @@ def _wide_moments(zz: DataFrame, d: int, max_patterns: int):
 class PatternMoments:
     """Per-pattern moments of standardized columns.
 
-    Attributes: cols, mean (m), scale (s), patterns (list of bitmasks),
+    Attributes: cols, mean (m), scale (s), patterns (strings of flags),
     Q (array P x (d+1) x (d+1)) in standardized units, n (rows).
     """
 
@@ -66,22 +83,23 @@ class PatternMoments:
         st = df.agg(F.count(F.lit(1)).alias("n"), *[x for i, c in enumerate(cols) for x in
                     (F.avg(clean(df, c)).alias(f"m{i}"), F.stddev_pop(clean(df, c)).alias(f"s{i}"),
                      F.count(clean(df, c)).alias(f"c{i}"))]).first()
-        # pattern bits cover only the columns that have holes (at most 62 of them)
+        # a pattern has one flag for each column with holes
         self.hole_idx = [i for i in range(d) if st[f"c{i}"] < st["n"]]
-        if len(self.hole_idx) > 62:
-            raise ValueError("more than 62 columns with holes: pattern bitmask too wide")
         self.m = np.array([st[f"m{i}"] if st[f"m{i}"] is not None else 0.0 for i in range(d)])
         self.s = np.array([st[f"s{i}"] if st[f"s{i}"] else 1.0 for i in range(d)])
         z = [F.coalesce((clean(df, c).cast("double") - F.lit(self.m[i])) / F.lit(self.s[i]), F.lit(0.0))
              for i, c in enumerate(cols)]
         pat = pattern_bits(df, [cols[i] for i in self.hole_idx])
         zz = df.select(pat.alias("__p"), *[v.alias(f"z{i}") for i, v in enumerate(z)])
+        # count first: only then is it known that the sums fit on the driver
+        most = min(max_patterns, MAX_CELLS // (d + 1) ** 2)
+        found = zz.select("__p").distinct().limit(most + 1).count()
+        if found > most:
+            raise TooManyPatterns(f"more than {most} missing patterns of {d} columns")
         if d <= WIDE:
             aggs = [F.count(F.lit(1)).alias("n")] + [F.sum(f"z{i}").alias(f"s{i}") for i in range(d)]
             aggs += [F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"q{i}_{j}") for i in range(d) for j in range(i, d)]
             rows = zz.groupBy("__p").agg(*aggs).collect()
-            if len(rows) > max_patterns:
-                raise ValueError(f"{len(rows)} missing patterns exceed the cap of {max_patterns}")
             self.patterns = [r["__p"] for r in rows]
             Q = np.zeros((len(rows), d + 1, d + 1))
             for k, r in enumerate(rows):
@@ -91,11 +109,11 @@ class PatternMoments:
                     for j in range(i, d):
                         Q[k, i + 1, j + 1] = Q[k, j + 1, i + 1] = r[f"q{i}_{j}"]
         else:
-            Q, self.patterns = _wide_moments(zz, d, max_patterns)
+            Q, self.patterns = _wide_moments(zz, d)
         self.Q = Q
         self.n = float(Q[:, 0, 0].sum())
 
-    def missing(self, p: int) -> np.ndarray:
+    def missing(self, p: str) -> np.ndarray:
         return decode(p, self.hole_idx, len(self.cols))
 
     def identity_maps(self) -> list[np.ndarray]:
@@ -128,71 +146,9 @@ class PatternMoments:
             tot += float(np.trace(D @ Q @ D.T))
         return max(tot, 0.0)
 
-    # ------------------------------------------------------------ conversions
-    def to_x_map(self, Wz: np.ndarray) -> np.ndarray:
-        """Map z-space W (on [1, z]) to x-space (on [1, x]): x = m + s * (Wz [1, (x - m)/s])."""
-        d = len(self.cols)
-        T = np.zeros((d + 1, d + 1))  # [1, z] = T [1, x]
-        T[0, 0] = 1.0
-        T[1:, 0] = -self.m / self.s
-        T[1:, 1:] = np.diag(1.0 / self.s)
-        Wx = (self.s[:, None] * Wz) @ T
-        Wx[:, 0] += self.m
-        return Wx
-
 
-def decode(p: int, hole_idx: list[int], d: int) -> np.ndarray:
+def decode(p: str, hole_idx: list[int], d: int) -> np.ndarray:
     out = np.zeros(d, dtype=bool)
     for b, j in enumerate(hole_idx):
-        out[j] = (p >> b) & 1 == 1
+        out[j] = p[b] == "1"
     return out
-
-
-def apply_pattern_maps(df: DataFrame, cols: list[str], maps: dict[int, np.ndarray],
-                       hole_idx: list[int] | None = None, fallback: np.ndarray | None = None) -> DataFrame:
-    """Fill holes of ``cols`` with x-space affine maps per missing pattern.
-
-    Observed cells are kept verbatim; rows without holes pass untouched.  The
-    maps (patterns x d x (d+1) doubles) are broadcast; batches arrive as Arrow.
-    """
-    spark = df.sparkSession
-    bc = spark.sparkContext.broadcast(({int(k): np.asarray(v) for k, v in maps.items()},
-                                       None if fallback is None else np.asarray(fallback, dtype=float)))
-    d = len(cols)
-    hidx = np.array(list(range(d)) if hole_idx is None else hole_idx, dtype=int)
-    names = df.columns
-    schema = df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in names]).schema
-
-    def run(it):
-        mp, fb = bc.value
-        for pdf in it:
-            X = pdf[cols].to_numpy(dtype="float64", na_value=np.nan)
-            M = np.isnan(X)
-            # holes outside the fitted hole columns, or patterns never seen at fit,
-            # take the fitted column means
-            other = M.copy()
-            other[:, hidx] = False
-            bits = (M[:, hidx].astype(np.int64) << np.arange(len(hidx), dtype=np.int64)).sum(axis=1)
-            X0 = np.where(M, 0.0, X)
-            out = X.copy()
-            for p in np.unique(bits):
-                if p == 0:
-                    continue
-                rows = bits == p
-                W = mp.get(int(p))
-                if W is None:
-                    W = np.zeros((d, d + 1))
-                    W[:, 0] = fb if fb is not None else np.nan  # only the holes read it
-                A = np.hstack([np.ones((rows.sum(), 1)), X0[rows]])
-                filled = A @ W.T
-                miss = M[rows]
-                block = out[rows]
-                block[miss] = filled[miss]
-                out[rows] = block
-            if fb is not None and other.any():
-                out = np.where(other & np.isnan(out), fb[None, :], out)
-            for j, c in enumerate(cols):
-                pdf[c] = out[:, j]
-            yield pdf
-    return df.select(*[clean(df, c).cast("double").alias(c) if c in cols else F.col(c) for c in names]) \
-        .mapInPandas(run, schema)

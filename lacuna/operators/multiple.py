@@ -2,8 +2,8 @@
 pooling and Rubin's rules.
 
 Noise is hash-seeded per (row, imputation, column), so the replicates do
-not depend on partitioning, and all M replicates are produced in one pass
-with ``explode(sequence(1, M))`` rather than M separate jobs.
+not depend on partitioning.  Noise after the fill makes all M replicates in one
+pass with ``explode(sequence(1, M))``; noise before it needs M fits.
 """
 
 from __future__ import annotations
@@ -18,8 +18,9 @@ from lacuna.operators.gaussian import EMImputer
 NOISE_SCALE = 0.01  # fixed value: noise sd as a share of each column's sd
 
 
-def noise_salt(m: int, j: int, seed: int = 0) -> int:
-    return 100000 + seed * 1000 + m * 37 + j
+def noise_salt(m: int, column: str, seed: int = 0) -> str:
+    """One salt per (seed, imputation, column); no two of them are equal."""
+    return f"noise|{seed}|{m}|{column}"
 
 
 def replicate(df: DataFrame, M: int) -> DataFrame:
@@ -30,11 +31,11 @@ def add_noise(df: DataFrame, id_col: str, cols: list[str], sds: dict, M: int,
               holes: dict | None = None, seed: int = 0) -> DataFrame:
     """x + NOISE_SCALE * sd * N(0,1) on the chosen cells of a replicated table."""
     out = df
-    for j, c in enumerate(cols):
+    for c in cols:
         z = F.lit(0.0)
         for m in range(1, M + 1):
-            z = F.when(F.col("imputation") == m, gaussian_noise(id_col, noise_salt(m, j, seed))).otherwise(z)
-        noisy = F.col(c) + F.lit(NOISE_SCALE * sds[c]) * z
+            z = F.when(F.col("imputation") == m, gaussian_noise(id_col, noise_salt(m, c, seed))).otherwise(z)
+        noisy = F.col(c) + F.lit(NOISE_SCALE * (sds[c] or 0.0)) * z
         if holes is not None:
             noisy = F.when(holes[c], noisy).otherwise(F.col(c))
         out = out.withColumn(c, noisy)
@@ -56,16 +57,16 @@ def multiple_after(df: DataFrame, id_col: str, cols: list[str], M: int = 5, base
 def multiple_before(df: DataFrame, id_col: str, cols: list[str], M: int = 5, em_max_iter: int = 50,
                     seed: int = 0) -> DataFrame:
     """MOD14: per replicate, noise on the observed training cells, an EM fit, and
-    the fill of the original table.  Replicates are fitted on one cached long
-    table; each fit is a pattern-moment aggregation."""
+    the fill of the original table.  Each replicate is one pattern-moment
+    aggregation; the fills are lazy."""
     sds = df.agg(*[F.stddev_samp(clean(df, c)).alias(c) for c in cols]).first().asDict()
     parts = []
     from functools import reduce
     for m in range(1, M + 1):
         noisy = df
-        for j, c in enumerate(cols):
-            noisy = noisy.withColumn(c, clean(df, c) + F.lit(NOISE_SCALE * sds[c]) *
-                                     gaussian_noise(id_col, noise_salt(m, j, seed)))
+        for c in cols:
+            noisy = noisy.withColumn(c, clean(df, c) + F.lit(NOISE_SCALE * (sds[c] or 0.0)) *
+                                     gaussian_noise(id_col, noise_salt(m, c, seed)))
         model = EMImputer(max_iter=em_max_iter, columns=cols).fit(noisy)
         parts.append(model.transform(df).withColumn("imputation", F.lit(m)))
     return reduce(lambda a, b: a.unionByName(b), parts)
@@ -74,7 +75,7 @@ def multiple_before(df: DataFrame, id_col: str, cols: list[str], M: int = 5, em_
 def pool(long: DataFrame, id_col: str, cols: list[str], how: str = "mean") -> DataFrame:
     """Cell-wise mean or median over the M completed tables (MOD16)."""
     if how not in ("mean", "median"):
-        raise ValueError("statistic must be 'mean' or 'median'")
+        raise ValueError(f"pooling takes the mean or the median, not {how!r}")
     f = F.avg if how == "mean" else F.median  # groups have M rows each
     return long.groupBy(id_col).agg(*[f(c).alias(c) for c in cols])
 

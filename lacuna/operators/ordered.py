@@ -1,34 +1,33 @@
 """Ordered fills: forward / backward fill, limits, interpolation (WIN1-WIN8).
 
-Everything derives from four facts per missing cell: the previous and the next
-observed value of the same series, and their positions (row index or order
-key).  Those are computed without ever putting a whole series in one task:
-
-1. The order key is cut into ``buckets`` ranges by approximate quantiles
-   (by default enough for the longest series to come in chunks of about
-   ``CHUNK_ROWS``), so a hot series - or a table with no series key at all -
-   is spread over many window partitions ``(series..., bucket)``.
-2. Inside a bucket, windows give the local previous/next observation.
-3. A summary with one row per (series, bucket) - row count, first and last
-   observation - is carried across buckets by a window over that small table.
-4. The carry is joined back (broadcast when its measured size allows).
-
-With ``buckets=1`` and a series key this reduces to plain windows per series.
+Everything derives from four facts per missing cell: the previous and the next observed value
+of the same series, and their positions (row index or order key).  Those are computed without
+ever putting a long series in one task:
+
+1. When the longest series has more than ``CHUNK_ROWS`` rows (or ``buckets`` asks for it), the
+   table is range-partitioned by series key and the full order key, and written; a chunk is one
+   range, so a hot series, or a table without a series key, or one timestamp that many rows
+   share, is spread over many chunks.
+2. Inside a chunk, windows per (series, chunk) give the local previous and next observation.
+3. A summary with one row per (series, chunk) - row count, first and last observation - is
+   carried across chunks by a window over that small table, and joined back.
+
+Null series keys are a series of their own and null order keys come first, in every step (the
+series key is compared as a struct, and structs of nulls are equal), so the result is the same
+for any number of chunks.  With short series and a series key this is plain windows per series.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lacuna.functions.columns import clean, resolve_columns
 from lacuna.operators.base import Imputer, ImputerModel
+from lacuna.session import cut
 
-BROADCAST_ROWS = 2_000_000
 CHUNK_ROWS = 200_000
-MAX_BUCKETS = 8192
 
 
 def _key_double(df: DataFrame, name: str) -> Column:
@@ -45,7 +44,7 @@ def _key_double(df: DataFrame, name: str) -> Column:
 
 def order_context(df: DataFrame, order_by: list[str], columns: list[str],
                   partition_by: list[str] | None = None, buckets: int | None = None,
-                  rel_error: float = 0.001, keep_bucket: bool = False) -> DataFrame:
+                  keep_bucket: bool = False) -> DataFrame:
     """Add, for every value column c, the helper columns
     ``c__pv, c__pp, c__pk`` (previous observed value, its position, its key),
     ``c__nv, c__np, c__nk`` (next ...) and the row's own ``__pos`` / ``__key``.
@@ -54,33 +53,28 @@ def order_context(df: DataFrame, order_by: list[str], columns: list[str],
     part = list(partition_by or [])
     key = _key_double(df, order_by[0])
     base = df.withColumn("__key", key)
-    # size the buckets from the longest series, so a hot series is split into
-    # chunks of about CHUNK_ROWS while short series stay in one window partition
+    order_cols = [F.col(c).asc_nulls_first() for c in order_by]
+    # from the longest series: short series stay in one window partition each
     if part:
-        st = df.groupBy(*part).count().agg(F.max("count").alias("mx"), F.count("*").alias("ns")).first()
-        longest, n_series = (st["mx"] or 0), (st["ns"] or 0)
+        st = df.groupBy(*part).count().agg(F.max("count").alias("mx"), F.sum("count").alias("n")).first()
+        longest, n_rows = (st["mx"] or 0), (st["n"] or 0)
     else:
-        longest, n_series = df.count(), 1
-    if buckets is None:
-        buckets = int(min(MAX_BUCKETS, max(1, -(-longest // CHUNK_ROWS))))
-    single = True
-    if buckets > 1:
-        probs = [i / buckets for i in range(1, buckets)]
-        cuts = sorted(set(x for x in base.approxQuantile("__key", probs, rel_error) if x is not None))
-        splits = [float("-inf")] + cuts + [float("inf")]
-        if len(splits) > 2:
-            bz = Bucketizer(splits=splits, inputCol="__key", outputCol="__b", handleInvalid="keep")
-            base = bz.transform(base).withColumn("__b", F.col("__b").cast("int"))
-            single = False
+        longest = n_rows = df.count()
+    single = longest <= CHUNK_ROWS if buckets is None else buckets <= 1
+    base = base.withColumn("__s", F.struct(*part) if part else F.struct(F.lit(0).alias("one")))
     if single:
         base = base.withColumn("__b", F.lit(0))
-    order_cols = [F.col(c).asc_nulls_first() for c in order_by]
-    w = Window.partitionBy(*part, "__b").orderBy(*order_cols)
+    else:
+        chunks = buckets or -(-n_rows // CHUNK_ROWS)
+        ranged = base.repartitionByRange(chunks, *[F.col(c).asc_nulls_first() for c in part], *order_cols)
+        # written: a chunk must keep its rows whichever branch of the plan reads it
+        base = cut(ranged.withColumn("__b", F.spark_partition_id()))
+    w = Window.partitionBy("__s", "__b").orderBy(*order_cols)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     # "from here to the end" as a running frame over the reversed order: Spark
     # evaluates running frames in one pass, but re-aggregates a frame that
     # ends at UNBOUNDED FOLLOWING for every row (quadratic)
-    after = Window.partitionBy(*part, "__b").orderBy(*[F.col(c).desc_nulls_last() for c in order_by]) \
+    after = Window.partitionBy("__s", "__b").orderBy(*[F.col(c).desc_nulls_last() for c in order_by]) \
         .rowsBetween(Window.unboundedPreceding, 0)
     base = base.withColumn("__lpos", F.row_number().over(w))
     sel = [F.col(c) for c in base.columns]
@@ -111,14 +105,14 @@ def order_context(df: DataFrame, order_by: list[str], columns: list[str],
                     F.col(f"{c}__lpk").alias(f"{c}__pk"), F.col(f"{c}__lnv").alias(f"{c}__nv"),
                     F.col(f"{c}__lnp").alias(f"{c}__np"), F.col(f"{c}__lnk").alias(f"{c}__nk")]
         return local.select(*out)
-    # one row per (series, bucket): the carry table
+    # one row per (series, chunk): the carry table
     # built from the windowed table, so the (series, bucket) shuffle is reused, not repeated
-    summ = local.groupBy(*part, "__b").agg(*aggs)
-    ws = Window.partitionBy(*part).orderBy("__b")
+    summ = local.groupBy("__s", "__b").agg(*aggs)
+    ws = Window.partitionBy("__s").orderBy("__b")
     before = ws.rowsBetween(Window.unboundedPreceding, -1)
-    later = Window.partitionBy(*part).orderBy(F.col("__b").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy("__s").orderBy(F.col("__b").desc()).rowsBetween(Window.unboundedPreceding, -1)
     summ = summ.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-    csel = [*part, "__b", "__off"]
+    csel = ["__s", "__b", "__off"]
     for c in columns:
         csel += [F.last(f"{c}__bl_v", True).over(before).alias(f"{c}__cpv"),
                  F.last(F.col(f"{c}__bl_p") + F.col("__off"), True).over(before).alias(f"{c}__cpp"),
@@ -127,11 +121,7 @@ def order_context(df: DataFrame, order_by: list[str], columns: list[str],
                  F.last(F.col(f"{c}__bf_p") + F.col("__off"), True).over(later).alias(f"{c}__cnp"),
                  F.last(f"{c}__bf_k", True).over(later).alias(f"{c}__cnk")]
     carry = summ.select(*csel)
-    n_summary = n_series * max(buckets, 1)
-    row_bytes = 16 * (len(part) + 2 + 6 * len(columns)) + 32
-    if n_summary <= BROADCAST_ROWS and n_summary * row_bytes <= (256 << 20):
-        carry = F.broadcast(carry)
-    j = local.join(carry, [*part, "__b"], "left")
+    j = local.join(carry, ["__s", "__b"], "left")  # how is left to the measured sizes
     out = [F.col(c) for c in df.columns] + [(F.col("__off") + F.col("__lpos")).alias("__pos"), F.col("__key")]
     if keep_bucket:
         out.append(F.col("__b"))

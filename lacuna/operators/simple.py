@@ -28,12 +28,6 @@ class ConstantModel(ImputerModel):
     def _stat_rows(self):
         return [(c, "constant", v) for c, v in self.statistics_.items()]
 
-    def _params(self):
-        return {"values": self.statistics_}
-
-    @classmethod
-    def from_params(cls, p):
-        return cls(p["values"])
 
 
 def _compatible(dtype: T.DataType, value) -> bool:
@@ -90,12 +84,6 @@ class ValueModel(ImputerModel):
     def _stat_rows(self):
         return [(c, self.statistic, v) for c, v in self.statistics_.items()]
 
-    def _params(self):
-        return {"statistic": self.statistic, "values": self.statistics_, "keep_type": self.keep_type}
-
-    @classmethod
-    def from_params(cls, p):
-        return cls(p["statistic"], p["values"], p["keep_type"])
 
 
 class MeanImputer(Imputer):

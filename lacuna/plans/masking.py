@@ -4,16 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lacuna.functions.hashing import PRIME, mult
+from lacuna.functions.hashing import full_hash_sql as _h
+from lacuna.functions.hashing import missing_flag_sql as _m
 from lacuna.operators import masks as M
 from lacuna.plans.registry import query
 from lacuna.sources.tables import load
 
 
-def _h(idx: str, salt: int) -> str:
-    return f"(((CAST({idx} AS BIGINT) + 1) * {mult(salt)}) % {PRIME})"
-
-
 # ------------------------------------------------------------------ Q12 MCAR
 def q12(spark, sf):
     o = load(spark, sf, "orders").select(
@@ -32,12 +29,12 @@ st AS (SELECT o_orderkey FROM (SELECT o_orderkey, row_number() OVER (ORDER BY {_
        FROM orders) t, n WHERE rn <= CAST(floor(n.n * 0.25) AS BIGINT)),
 cells AS (SELECT o_orderkey, 0 AS j, {_h('o_orderkey', 5)} AS h FROM orders
           UNION ALL SELECT o_orderkey, 1 AS j, {_h('o_orderkey', 6)} AS h FROM orders),
-sel AS (SELECT o_orderkey, j FROM (SELECT o_orderkey, j, row_number() OVER (ORDER BY h, o_orderkey * 64 + j) AS rn
+sel AS (SELECT o_orderkey, j FROM (SELECT o_orderkey, j, row_number() OVER (ORDER BY h, o_orderkey, j) AS rn
         FROM cells) t, n WHERE rn <= CAST(floor(n.n * 2 * 0.3) AS BIGINT))
 SELECT o.o_orderkey,
-       CASE WHEN {_h('o.o_orderkey', 1)} % 1000 < 250 THEN NULL ELSE o.o_totalprice END AS o_totalprice,
+       CASE WHEN {_m('o.o_orderkey', 1, 250)} THEN NULL ELSE o.o_totalprice END AS o_totalprice,
        CASE WHEN st.o_orderkey IS NOT NULL THEN NULL ELSE o.o_orderstatus END AS o_orderstatus,
-       CASE WHEN {_h('o.o_orderkey', 7)} % 1000 < 100 THEN NULL ELSE o.o_orderpriority END AS o_orderpriority,
+       CASE WHEN {_m('o.o_orderkey', 7, 100)} THEN NULL ELSE o.o_orderpriority END AS o_orderpriority,
        CASE WHEN s0.o_orderkey IS NOT NULL THEN NULL ELSE o.o_totalprice END AS cells_totalprice,
        CASE WHEN s1.o_orderkey IS NOT NULL THEN NULL ELSE o.o_custkey END AS cells_custkey
 FROM orders o LEFT JOIN st ON o.o_orderkey = st.o_orderkey
@@ -61,7 +58,7 @@ sel AS (SELECT c_custkey FROM (SELECT c_custkey, row_number() OVER (ORDER BY h,
         WHERE rn <= k.k)
 SELECT c.c_custkey,
        CASE WHEN sel.c_custkey IS NOT NULL THEN NULL ELSE c.c_nationkey END AS c_nationkey,
-       CASE WHEN c.c_nationkey > 10 AND {_h('c.c_custkey', 8)} % 1000 < 300 THEN NULL ELSE c.c_acctbal END AS c_acctbal,
+       CASE WHEN c.c_nationkey > 10 AND {_m('c.c_custkey', 8, 300)} THEN NULL ELSE c.c_acctbal END AS c_acctbal,
        c.c_mktsegment
 FROM customer c LEFT JOIN sel ON c.c_custkey = sel.c_custkey"""
 query("q13_mar", Q13_SQL)(q13)
@@ -105,8 +102,8 @@ def q16(spark, sf):
 
 Q16_SQL = f"""
 WITH a AS (SELECT c_custkey, c_nationkey,
-                  CASE WHEN {_h('c_custkey', 10)} % 1000 < 100 THEN NULL ELSE c_acctbal END AS c_acctbal,
-                  CASE WHEN c_nationkey > 12 AND {_h('c_custkey', 11)} % 1000 < 400 THEN NULL ELSE c_mktsegment END
+                  CASE WHEN {_m('c_custkey', 10, 100)} THEN NULL ELSE c_acctbal END AS c_acctbal,
+                  CASE WHEN c_nationkey > 12 AND {_m('c_custkey', 11, 400)} THEN NULL ELSE c_mktsegment END
                     AS c_mktsegment
            FROM customer),
 q AS (SELECT quantile_cont(c_acctbal, 0.95) AS t FROM a)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lacuna.functions.hashing import gaussian_noise_sql, missing_flag
+from lacuna.functions.hashing import gaussian_noise_sql, missing_flag, missing_flag_sql
 from lacuna.operators.gaussian import EMImputer, IterativeImputer
 from lacuna.operators.lowrank import SVDImputer
 from lacuna.operators.mixture import GaussianMixtureImputer, select_components
@@ -37,22 +37,21 @@ def q37(spark, sf):
 
 query("q37_svd_centered_fill")(q37)
 
-EMB_DIMS = 64
-
-
 def _embeddings(spark, sf):
+    """The embedding as columns, as many as the longest has, with holes in four of them."""
     e = load(spark, sf, "embeddings")
-    cols = [F.element_at("embedding", i + 1).cast("double").alias(f"e{i}") for i in range(EMB_DIMS)]
+    dims = e.agg(F.max(F.size("embedding"))).first()[0] or 0
+    cols = [F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(dims)]
     df = e.select("vec_id", *cols)
     # holes in four of the dimensions (portable hash), the rest complete
     sel = [F.when(missing_flag("vec_id", 60 + i, 200), F.lit(None).cast("double")).otherwise(F.col(f"e{i}")).alias(f"e{i}")
-           if i < 4 else F.col(f"e{i}") for i in range(EMB_DIMS)]
+           if i < 4 else F.col(f"e{i}") for i in range(dims)]
     return df.select("vec_id", *sel)
 
 
 def q37b(spark, sf):
     df = _embeddings(spark, sf)
-    m = SVDImputer(None, tol=1e-6, center=True, scale=False, columns=[f"e{i}" for i in range(EMB_DIMS)]).fit(df)
+    m = SVDImputer(None, tol=1e-6, center=True, scale=False, columns=df.columns[1:]).fit(df)
     ev = m.explained_variance(spark)
     return ev.select("component", F.round("singular_value", 6).alias("singular_value"),
                      F.round("explained_ratio", 6).alias("explained_ratio"),
@@ -156,8 +155,8 @@ def _mean_noise_sql() -> str:
     parts = []
     for m in range(1, M_IMP + 1):
         sel = ", ".join(
-            f"CASE WHEN {c} IS NULL THEN mu_{c} + {NOISE_SCALE} * sd_{c} * {gaussian_noise_sql('doc_id', noise_salt(m, j))} "
-            f"ELSE {c} END AS {c}" for j, c in enumerate(DOC_FEATS))
+            f"CASE WHEN {c} IS NULL THEN mu_{c} + {NOISE_SCALE} * sd_{c} * {gaussian_noise_sql('doc_id', noise_salt(m, c))} "
+            f"ELSE {c} END AS {c}" for c in DOC_FEATS)
         parts.append(f"SELECT {m} AS imputation, doc_id, {sel} FROM m, s")
     return f"""WITH m AS ({doc_masked_sql(truth=False)}),
 s AS (SELECT {stats} FROM m),
@@ -254,3 +253,181 @@ def q47(spark, sf):
 
 
 query("q47_method_comparison")(q47)
+
+
+# ------------------------------------------------------------------ closed forms
+# Two document columns, holes in one of them: each model family has a formula there, so a plain
+# SQL engine checks the same code that the general queries above run.
+TWO = ["n_chars", "n_words"]
+TWO_MASK = {"n_words": (42, 250)}
+TWO_CTE = f"m AS ({doc_masked_sql(truth=False, masks=TWO_MASK)})"
+REGR = "SELECT regr_slope(n_words, n_chars) AS b, regr_intercept(n_words, n_chars) AS a FROM"
+
+
+def _two(spark, sf):
+    return doc_masked(spark, sf, truth=False, masks=TWO_MASK).select("doc_id", *TWO)
+
+
+def _words(df, digits=2):
+    return df.select("doc_id", F.round("n_words", digits).alias("n_words"))
+
+
+def q36c(spark, sf):
+    """One step of the standardized rank-1 fill: half the other column's score, signed."""
+    return _words(SVDImputer(1, max_iter=1, columns=TWO).fit_transform(_two(spark, sf)))
+
+
+#: means over observed cells; u, v: deviations of the mean-filled columns
+DEVIATIONS = """c AS (SELECT avg(n_chars) AS mx, avg(n_words) AS my FROM m),
+d AS (SELECT doc_id, n_words, n_chars - mx AS u, coalesce(n_words - my, 0.0) AS v, mx, my FROM m, c)"""
+
+Q36C_SQL = f"""WITH {TWO_CTE}, {DEVIATIONS},
+s AS (SELECT stddev_pop(u) AS su, stddev_pop(v) AS sv, sign(covar_pop(u, v)) AS g FROM d)
+SELECT doc_id, round(coalesce(n_words, my + sv * 0.5 * g * u / su), 2) AS n_words FROM d, s"""
+query("q36c_svd_two_columns", Q36C_SQL)(q36c)
+
+
+def q37c(spark, sf):
+    """One step of the centered rank-1 fill: projection on the first eigenvector."""
+    return _words(SVDImputer(1, max_iter=1, center=True, scale=False, columns=TWO).fit_transform(_two(spark, sf)))
+
+
+EIGEN = """e AS (SELECT a, b, c, (a + b) / 2 + sqrt((a - b) * (a - b) / 4 + c * c) AS l1, (a + b) / 2 - sqrt((a - b) * (a - b) / 4 + c * c) AS l2
+      FROM (SELECT sum(u * u) AS a, sum(v * v) AS b, sum(u * v) AS c FROM d) x)"""
+
+Q37C_SQL = f"""WITH {TWO_CTE}, {DEVIATIONS}, {EIGEN}
+SELECT doc_id, round(coalesce(n_words, my + u * c * (l1 - a) / (c * c + (l1 - a) * (l1 - a))), 2) AS n_words FROM d, e"""
+query("q37c_svd_centered_two_columns", Q37C_SQL)(q37c)
+
+
+def q37d(spark, sf):
+    model = SVDImputer(1, max_iter=1, center=True, scale=False, columns=TWO).fit(_two(spark, sf))
+    return model.explained_variance(spark).select(
+        "component", F.round("singular_value", 4).alias("singular_value"), F.round("explained_ratio", 6).alias("explained_ratio"),
+        F.round("cumulative_ratio", 6).alias("cumulative_ratio"))
+
+
+Q37D_SQL = f"""WITH {TWO_CTE}, {DEVIATIONS}, {EIGEN}
+SELECT 1 AS component, round(sqrt(l1), 4) AS singular_value, round(l1 / (l1 + l2), 6) AS explained_ratio, round(l1 / (l1 + l2), 6) AS cumulative_ratio FROM e
+UNION ALL SELECT 2, round(sqrt(l2), 4), round(l2 / (l1 + l2), 6), 1.0 FROM e"""
+query("q37d_explained_variance_two_columns", Q37D_SQL)(q37d)
+
+
+def q38b(spark, sf):
+    """Round-robin regression with one hole column: a Bayesian ridge on the complete rows."""
+    return _words(IterativeImputer(columns=TWO).fit_transform(_two(spark, sf)))
+
+
+Q38B_SQL = f"""WITH RECURSIVE {TWO_CTE},
+c AS (SELECT avg(n_chars) AS mx, stddev_pop(n_chars) AS sx, avg(n_words) AS my, stddev_pop(n_words) AS sy FROM m),
+z AS (SELECT (n_chars - mx) / sx AS x, (n_words - my) / sy AS y FROM m, c WHERE n_words IS NOT NULL),
+g AS (SELECT count(*) AS n, avg(x) AS ax, avg(y) AS ay, var_pop(x) * count(*) AS xx, covar_pop(x, y) * count(*) AS xy,
+             var_pop(y) * count(*) AS yy FROM z),
+r AS (
+  SELECT 0 AS it, 1.0::DOUBLE / (yy / n + 2.220446049250313e-16) AS alpha, 1.0::DOUBLE AS lam, NULL::DOUBLE AS coef, false AS done FROM g
+  UNION ALL
+  SELECT it + 1, (n - alpha * xx / (lam + alpha * xx) + 2e-6) / (greatest(yy - 2 * b * xy + b * b * xx, 0.0) + 2e-6),
+         (alpha * xx / (lam + alpha * xx) + 2e-6) / (b * b + 2e-6), b, coalesce(abs(coef - b) < 1e-3, false)
+  FROM (SELECT r.*, xy / (xx + lam / alpha) AS b, n, xx, xy, yy FROM r, g WHERE NOT done AND it < 300) q),
+f AS (SELECT xy / (xx + lam / alpha) AS b, ax, ay FROM r, g ORDER BY it DESC LIMIT 1)
+SELECT doc_id, round(coalesce(n_words, my + sy * (ay - b * ax + b * (n_chars - mx) / sx)), 2) AS n_words FROM m, c, f"""
+query("q38b_iterative_two_columns", Q38B_SQL)(q38b)
+
+
+def q39d(spark, sf):
+    """EM's fitted means and final log-likelihood: those of the regression-completed table."""
+    m = EMImputer(columns=TWO).fit(_two(spark, sf))
+    rows = [(c, float(v)) for c, v in zip(TWO, m.mu_)] + [("log_likelihood", float(m.log_likelihood_))]
+    return spark.createDataFrame(rows, "name string, value double").select("name", F.round("value", 2).alias("value"))
+
+
+Q39D_SQL = f"""WITH {TWO_CTE},
+r AS ({REGR} m),
+f AS (SELECT n_chars AS x, coalesce(n_words, a + b * n_chars) AS y FROM m, r),
+s AS (SELECT count(*) AS n, avg(x) AS mx, avg(y) AS my, var_samp(x) AS vx, var_samp(y) AS vy, covar_samp(x, y) AS c FROM f),
+t AS (SELECT *, (vx + 1e-6) * (vy + 1e-6) - c * c AS det FROM s)
+SELECT 'n_chars' AS name, round(mx, 2) AS value FROM t UNION ALL SELECT 'n_words', round(my, 2) FROM t UNION ALL
+SELECT 'log_likelihood', round(-0.5 * (n * 2 * ln(2 * pi()) + n * ln(det)
+  + (n - 1) * (vx * (vy + 1e-6) - 2 * c * c + vy * (vx + 1e-6)) / det), 2) FROM t"""
+query("q39d_em_log_likelihood_two_columns", Q39D_SQL)(q39d)
+
+
+def q40b(spark, sf):
+    """EM fitted on one half of the rows, applied to the other."""
+    d = _two(spark, sf)
+    half = missing_flag("doc_id", 50, 500)
+    return _words(EMImputer(columns=TWO).fit(d.where(half)).transform(d.where(~half)))
+
+
+Q40B_SQL = f"""WITH {TWO_CTE},
+r AS ({REGR} m WHERE {missing_flag_sql('doc_id', 50, 500)})
+SELECT doc_id, round(coalesce(n_words, a + b * n_chars), 2) AS n_words FROM m, r WHERE NOT {missing_flag_sql('doc_id', 50, 500)}"""
+query("q40b_em_transform_two_columns", Q40B_SQL)(q40b)
+
+
+def q41c(spark, sf):
+    """A mixture of one component: the regression of its covariance."""
+    return _words(GaussianMixtureImputer(1, columns=TWO).fit_transform(_two(spark, sf)))
+
+
+Q41C_SQL = f"""WITH {TWO_CTE},
+c AS (SELECT avg(n_chars) AS mx, stddev_pop(n_chars) AS sx, avg(n_words) AS my, stddev_pop(n_words) AS sy FROM m),
+z AS (SELECT (n_chars - mx) / sx AS x, coalesce((n_words - my) / sy, 0.0) AS y FROM m, c),
+s AS (SELECT covar_pop(x, y) / (var_pop(x) + 1e-6) AS b FROM z)
+SELECT doc_id, round(coalesce(n_words, my + sy * b * (n_chars - mx) / sx), 2) AS n_words FROM m, c, s"""
+query("q41c_mixture_one_component", Q41C_SQL)(q41c)
+
+
+def q41d(spark, sf):
+    s = select_components(_two(spark, sf).select(*TWO), TWO, ks=(1,))
+    return s.select("n_components", *[F.round(c, 2).alias(c) for c in ("log_likelihood", "aic", "bic")])
+
+
+Q41D_SQL = f"""WITH {TWO_CTE},
+c AS (SELECT avg(n_chars) AS mx, stddev_pop(n_chars) AS sx, avg(n_words) AS my, stddev_pop(n_words) AS sy FROM m),
+z AS (SELECT (n_chars - mx) / sx AS x, coalesce((n_words - my) / sy, 0.0) AS y FROM m, c),
+s AS (SELECT count(*) AS n, var_pop(x) * var_pop(y) - covar_pop(x, y) * covar_pop(x, y) AS det FROM z),
+l AS (SELECT n, -0.5 * n * (2 * ln(2 * pi()) + ln(det) + 2) AS ll FROM s)
+SELECT 1 AS n_components, round(ll, 2) AS log_likelihood, round(2 * 5 - 2 * ll, 2) AS aic, round(5 * ln(n) - 2 * ll, 2) AS bic FROM l"""
+query("q41d_mixture_information_criteria", Q41D_SQL)(q41d)
+
+
+def q42b(spark, sf):
+    """Noise before EM: each replicate's fill is the regression on its noisy complete rows."""
+    out = MI.multiple_before(_two(spark, sf), "doc_id", TWO, 3, em_max_iter=100)
+    return out.select("imputation", "doc_id", F.round("n_words", 2).alias("n_words"))
+
+
+def _q42b_sql() -> str:
+    from lacuna.operators.multiple import NOISE_SCALE, noise_salt
+    noisy = ", ".join(f"{c} + {NOISE_SCALE} * sd_{c} * {{{c}}} AS {c}" for c in TWO)
+    parts = []
+    for i in range(1, 4):
+        draws = noisy.format(**{c: gaussian_noise_sql("doc_id", noise_salt(i, c)) for c in TWO})
+        parts.append(f"SELECT {i} AS imputation, doc_id, round(coalesce(n_words, a + b * n_chars), 2) AS n_words "
+                     f"FROM m, ({REGR} (SELECT {draws} FROM m, s) y) r")
+    sds = ", ".join(f"stddev_samp({c}) AS sd_{c}" for c in TWO)
+    return f"WITH {TWO_CTE}, s AS (SELECT {sds} FROM m) " + " UNION ALL ".join(parts)
+
+
+query("q42b_noise_before_em_two_columns", _q42b_sql())(q42b)
+
+
+def q47b(spark, sf):
+    """The comparison of the methods that SQL can compute, per column as in q47."""
+    from lacuna.operators import evaluate as E
+    from lacuna.plans.scoring import Q19_METHODS, doc_fills
+    sc = E.numeric_scores(E.stack_methods(doc_fills(spark, sf, Q19_METHODS), DOC_FEATS), DOC_FEATS)
+    return sc.select("method", "column_name", "n_scored", F.round("rmse", 4).alias("rmse"),
+                     F.round("nrmse", 6).alias("nrmse"), F.round("r2", 4).alias("r2"))
+
+
+def _q47b_sql() -> str:
+    from lacuna.plans.scoring import Q19_METHODS, _doc_cells, doc_fills_sql
+    from lacuna.plans.sqlgen import numeric_scores_sql
+    return doc_fills_sql(Q19_METHODS) + f"""
+SELECT method, column_name, n_scored, round(rmse, 4) AS rmse, round(nrmse, 6) AS nrmse, round(r2, 4) AS r2
+FROM ({numeric_scores_sql(_doc_cells(Q19_METHODS))}) s"""
+
+
+query("q47b_closed_form_comparison", _q47b_sql())(q47b)

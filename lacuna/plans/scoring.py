@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lacuna.functions.hashing import PRIME, mult
+from lacuna.functions.hashing import full_hash_sql, missing_flag_sql
 from lacuna.operators import evaluate as E
 from lacuna.operators.group import GroupCenterImputer, PartialMeanImputer
 from lacuna.operators.masks import inject_outliers
@@ -448,10 +448,10 @@ def q25(spark, sf):
 Q25_SQL = f"""
 WITH mx AS (SELECT max(o_totalprice) AS mx FROM orders),
 pick AS (SELECT o_orderkey FROM (SELECT o_orderkey, row_number() OVER (
-           ORDER BY ((o_orderkey + 1) * {mult(97)}) % {PRIME}, o_orderkey) AS rn FROM orders) t WHERE rn <= 20),
+           ORDER BY {full_hash_sql('o_orderkey', 97)}, o_orderkey) AS rn FROM orders) t WHERE rn <= 20),
 o AS (SELECT o.o_orderkey, CASE WHEN pick.o_orderkey IS NOT NULL THEN 10.0 * mx.mx ELSE o.o_totalprice END AS t
       FROM orders o LEFT JOIN pick ON o.o_orderkey = pick.o_orderkey CROSS JOIN mx),
-m AS (SELECT o_orderkey, t, CASE WHEN ((o_orderkey + 1) * {mult(1)}) % {PRIME} % 1000 < 250 THEN NULL ELSE t END AS v FROM o),
+m AS (SELECT o_orderkey, t, CASE WHEN {missing_flag_sql('o_orderkey', 1, 250)} THEN NULL ELSE t END AS v FROM o),
 s AS (SELECT 'mean' AS method, avg(v) AS fv FROM m UNION ALL SELECT 'median', median(v) FROM m)
 SELECT s.method, round(s.fv, 4) AS fill_value, round(sqrt(avg((s.fv - m.t) * (s.fv - m.t))), 4) AS rmse,
        round(avg(abs(s.fv - m.t)), 4) AS mae

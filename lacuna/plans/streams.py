@@ -81,6 +81,23 @@ def q46d(spark, sf):
 query("q46d_stream_em_apply")(q46d)
 
 
+def q46f(spark, sf):
+    """EM on a stream with holes in one of two columns: the regression of the complete rows."""
+    from lacuna.operators.gaussian import EMImputer
+    cols = ["seq", "value"]
+    static = masked(spark, sf, "events", "event_id", EV_MASKS).withColumn("seq", F.col("event_id").cast("double"))
+    model = EMImputer(columns=cols).fit(static.select("event_id", *cols))
+    st = _event_stream(spark, sf).withColumn("seq", F.col("event_id").cast("double")).select("event_id", *cols)
+    out = stream_apply(model, st).select("event_id", F.round("value", 3).alias("value"))
+    return run_to_table(spark, out, "stream_em_two")
+
+
+Q46F_SQL = f"""WITH m AS ({masked_sql('events', EV_COLS, 'event_id', EV_MASKS)}),
+r AS (SELECT regr_slope(value, event_id) AS b, regr_intercept(value, event_id) AS a FROM m)
+SELECT event_id, round(coalesce(value, a + b * event_id), 3) AS value FROM m, r"""
+query("q46f_stream_em_two_columns", Q46F_SQL)(q46f)
+
+
 def q46e(spark, sf):
     """A group-center model on a stream: a stream-static join with the group table."""
     from lacuna.operators.group import GroupCenterImputer

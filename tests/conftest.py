@@ -16,14 +16,8 @@ def spark():
 
 @pytest.fixture
 def f1(spark):
-    """The reference's 10-row unit table (FIXTURES F1)."""
-    import math
+    """Seven rows with holes; x: mean 4, median 4; y: mean 4, median 3; red thrice; cube and disc tie."""
     n = None
-    rows = [
-        (0, 1.0, 10.0, "A", "X"), (1, 2.0, 20.0, "B", n), (2, 3.0, n, "A", "Y"), (3, n, 40.0, n, "X"),
-        (4, 5.0, 50.0, "C", "Y"), (5, 6.0, n, "B", "Z"), (6, n, 70.0, "A", n), (7, 8.0, 80.0, n, "X"),
-        (8, 9.0, 90.0, "C", "Y"), (9, 10.0, 100.0, "A", "Z"),
-    ]
-    del math
-    return spark.createDataFrame(rows, "id long, numerical1 double, numerical2 double, "
-                                       "categorical1 string, categorical2 string")
+    rows = [(0, 4.0, 1.5, "red", "disc"), (1, n, 2.5, "blue", n), (2, 7.0, n, "red", "cube"), (3, 1.0, 8.0, n, "cube"),
+            (4, 6.0, 3.0, "green", "disc"), (5, n, n, "blue", "ring"), (6, 2.0, 5.0, "red", n)]
+    return spark.createDataFrame(rows, "id long, x double, y double, colour string, shape string")

@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from lacuna.operators.curves import local_poly
+from lacuna.operators.curves import CurveInterpolationImputer, basis, knots_of, spline_at
 from lacuna.operators.group import GroupCenterImputer, PartialMeanImputer
 from lacuna.operators.ordered import ForwardBackwardFillImputer, InterpolationImputer
 
@@ -59,11 +59,35 @@ def test_time_interpolation_matches_pandas(series):
     assert np.allclose(out["v"], ref["v"], equal_nan=True, atol=1e-9)
 
 
-def test_local_poly_exact_on_polynomials():
-    xs = np.arange(0.0, 20.0)
-    ys = 3 * xs ** 3 - xs + 2
-    q = np.array([2.5, 7.25, 18.5])
-    assert np.allclose(local_poly(xs, ys, q, 3), 3 * q ** 3 - q + 2)
+def test_splines_are_exact_on_polynomials():
+    xs = np.cumsum(np.random.default_rng(0).integers(1, 6, 700)).astype(float)
+    q = np.array([2.5, 7.25, 18.5, 900.0, xs[-1] + 3])
+    for k, f in ((2, lambda x: 3 * (x / 100) ** 2 - x + 2), (3, lambda x: (x / 100) ** 3 - x)):
+        assert np.allclose(spline_at(xs, f(xs), q, k), f(q))
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_blocks_equal_the_global_spline(order):
+    rng = np.random.default_rng(order)
+    xs = np.cumsum(rng.integers(1, 9, 1000)).astype(float)
+    ys = rng.normal(size=1000)
+    q = np.setdiff1d(np.arange(xs[0], xs[-1]), xs)
+    t = knots_of(xs, order)
+    want = basis(t, order, q) @ np.linalg.solve(basis(t, order, xs), ys)
+    assert np.abs(spline_at(xs, ys, q, order) - want).max() < 1e-9
+
+
+@pytest.mark.parametrize("method", ["polynomial", "spline"])
+def test_curves_do_not_depend_on_the_number_of_chunks(spark, method):
+    rng = np.random.default_rng(7)
+    n = 1500
+    s = rng.choice(["a", None], n, p=[0.8, 0.2])
+    v = np.where(rng.random(n) < 0.3, np.nan, rng.normal(size=n))
+    rows = [(i, int(i), None if s[i] is None else str(s[i]), None if np.isnan(v[i]) else float(v[i])) for i in range(n)]
+    df = spark.createDataFrame(rows, "id long, t long, s string, v double")
+    out = [CurveInterpolationImputer(method, 3, ["t", "id"], "s", "v", buckets=b).fit_transform(df).orderBy("id").toPandas()["v"].to_numpy()
+           for b in (1, 16)]
+    assert np.array_equal(np.isnan(out[0]), np.isnan(out[1])) and np.nanmax(np.abs(out[0] - out[1])) < 1e-9
 
 
 def test_group_center_null_key_drop_skip(spark):
@@ -121,3 +145,23 @@ def test_group_median_exact_and_approx(spark):
     apx = GroupCenterImputer("k", strategy="median", columns=["x"], approx=True).fit_transform(df).toPandas()
     apx = apx.sort_values("id")
     assert np.allclose(apx["x"].to_numpy()[holes], med.loc[pdf["k"][holes]].to_numpy(), atol=0.05)
+
+
+@pytest.mark.parametrize("method,kw", [("ffill", {}), ("bfill", {"limit": 2}), ("linear", {}), ("time", {}), ("nearest", {})])
+def test_fills_do_not_depend_on_the_number_of_chunks(spark, method, kw):
+    """Null series keys, null order keys and one timestamp shared by many rows."""
+    rng = np.random.default_rng(6)
+    n = 400
+    t = rng.integers(0, 40, n).astype(object)
+    t[rng.random(n) < 0.4] = 17
+    t[rng.random(n) < 0.2] = None
+    s = rng.choice(["a", "b"], n).astype(object)
+    s[rng.random(n) < 0.5] = None
+    v = rng.normal(size=n).round(3).astype(object)
+    v[rng.random(n) < 0.5] = None
+    rows = [(i, None if t[i] is None else int(t[i]), s[i], v[i]) for i in range(n)]
+    df = spark.createDataFrame(rows, "id long, t long, s string, v double")
+    cls = ForwardBackwardFillImputer if method in ("ffill", "bfill") else InterpolationImputer
+    for part in ("s", None):
+        out = [cls(method, ["t", "id"], part, columns=["v"], buckets=b, **kw).fit_transform(df).orderBy("id").collect() for b in (1, 4, 64)]
+        assert out[0] == out[1] == out[2]

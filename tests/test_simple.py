@@ -1,4 +1,4 @@
-"""The reference's unit cases on its 10-row table, plus invariants."""
+"""Single-value fills on a small table, plus invariants."""
 
 import math
 
@@ -14,39 +14,38 @@ def _col(df, c):
 
 def test_default_value(f1):
     out = ConstantImputer(0, numeric_only=True, exclude=["id"]).fit_transform(f1)
-    assert out.where(F.col("numerical1").isNull() | F.col("numerical2").isNull()).count() == 0
-    assert 0.0 in _col(out, "numerical1")
+    assert _col(out, "x") == [4.0, 0.0, 7.0, 1.0, 6.0, 0.0, 2.0]
+    assert _col(out, "y")[2] == 0.0 and _col(out, "colour")[3] is None
 
 
 def test_constant_dict_keeps_types(f1):
-    out = ConstantImputer({"numerical1": -1.0, "categorical1": "UNK"}).fit_transform(f1)
-    assert _col(out, "categorical1")[3] == "UNK"
-    assert _col(out, "numerical1")[3] == -1.0
-    assert _col(out, "numerical2")[2] is None  # not in the dict: untouched
-    assert out.schema["categorical1"].dataType.simpleString() == "string"
+    out = ConstantImputer({"x": -1.0, "colour": "none"}).fit_transform(f1)
+    assert _col(out, "colour")[3] == "none"
+    assert _col(out, "x")[5] == -1.0
+    assert _col(out, "y")[5] is None  # not in the dict: untouched
+    assert out.schema["colour"].dataType.simpleString() == "string"
 
 
 def test_mean(f1):
     out = MeanImputer(exclude=["id"]).fit_transform(f1)
-    assert _col(out, "numerical1")[3] == pytest.approx(5.5)
-    assert _col(out, "numerical2")[2] == pytest.approx(57.5)
-    assert out.where(F.col("numerical1").isNull()).count() == 0
+    assert _col(out, "x") == [4.0, 4.0, 7.0, 1.0, 6.0, 4.0, 2.0]
+    assert _col(out, "y") == [1.5, 2.5, 4.0, 8.0, 3.0, 4.0, 5.0]
 
 
 def test_median(f1):
     out = MedianImputer(exclude=["id"]).fit_transform(f1)
-    assert _col(out, "numerical1")[6] == pytest.approx(5.5)
-    assert _col(out, "numerical2")[5] == pytest.approx(60.0)
+    assert _col(out, "x")[1] == 4.0
+    assert _col(out, "y")[2] == 3.0
 
 
 def test_mode_smallest_on_tie(f1):
-    out = ModeImputer(columns=["categorical1", "categorical2"]).fit_transform(f1)
-    assert _col(out, "categorical1")[3] == "A"
-    assert _col(out, "categorical2")[1] == "X"  # X and Y both 3 times
+    out = ModeImputer(columns=["colour", "shape"]).fit_transform(f1)
+    assert _col(out, "colour")[3] == "red"
+    assert _col(out, "shape")[1] == "cube"  # as often as disc, and smaller
 
 
 def test_workflow_mean_then_mode(f1):
-    out = ModeImputer(columns=["categorical1", "categorical2"]).fit_transform(
+    out = ModeImputer(columns=["colour", "shape"]).fit_transform(
         MeanImputer(exclude=["id"]).fit_transform(f1))
     nulls = out.select(*[F.sum(F.col(c).isNull().cast("int")) for c in out.columns]).first()
     assert sum(nulls) == 0
@@ -62,7 +61,7 @@ def test_fit_then_transform_equals_fit_transform(f1):
 def test_observed_cells_unchanged_and_order_kept(f1):
     out = MeanImputer(exclude=["id"]).fit_transform(f1)
     assert out.columns == f1.columns
-    for a, b in zip(_col(f1, "numerical1"), _col(out, "numerical1")):
+    for a, b in zip(_col(f1, "x"), _col(out, "x")):
         if a is not None:
             assert a == b
 
@@ -85,7 +84,7 @@ def test_all_missing_column_rules(spark):
 
 def test_mean_fill_keeps_observed_mean(f1):
     out = MeanImputer(exclude=["id"]).fit_transform(f1)
-    assert out.agg(F.avg("numerical2")).first()[0] == pytest.approx(57.5)
+    assert out.agg(F.avg("y")).first()[0] == pytest.approx(4.0)
 
 
 def test_empty_input_rejected(spark):
@@ -102,6 +101,31 @@ def test_model_json_roundtrip(f1, tmp_path):
     assert back.transform(f1).orderBy("id").collect() == m.transform(f1).orderBy("id").collect()
 
 
+def test_every_model_saves_and_loads(spark, f1, tmp_path):
+    from lacuna.operators.base import load_model
+    from lacuna.operators.gaussian import EMImputer, IterativeImputer
+    from lacuna.operators.group import GroupCenterImputer, PartialMeanImputer
+    from lacuna.operators.knn import EnhancedKNNImputer, KNNImputer, SimilarityPartialMeanImputer
+    from lacuna.operators.lowrank import SVDImputer
+    from lacuna.operators.mixture import GaussianMixtureImputer
+    from lacuna.operators.ordered import ForwardBackwardFillImputer
+    xy = ["x", "y"]
+    makers = [ConstantImputer({"x": 1.0}), MeanImputer(columns=xy), MedianImputer(columns=xy), ModeImputer(columns=["shape", "x"]),
+              GroupCenterImputer("colour", columns=xy), GroupCenterImputer("colour", "mode", columns=["shape"]),
+              PartialMeanImputer({"warm": {"colour": ["red"]}}, min_subset_size=1, columns=xy), PartialMeanImputer(columns=xy),
+              KNNImputer("id", 2, columns=xy, features=xy), EnhancedKNNImputer("id", 2, columns=xy),
+              SimilarityPartialMeanImputer("id", columns=xy), EMImputer(columns=xy), IterativeImputer(columns=xy),
+              SVDImputer(1, columns=xy), GaussianMixtureImputer(1, columns=xy), ForwardBackwardFillImputer("ffill", "id", columns=["colour"])]
+    for i, m in enumerate(makers):
+        model = m.fit(f1)
+        model.save(str(tmp_path / str(i)))
+        back = load_model(str(tmp_path / str(i)))
+        assert type(back) is type(model)
+        assert back.transform(f1).orderBy("id").collect() == model.transform(f1).orderBy("id").collect(), type(model)
+    with pytest.raises(TypeError):
+        PartialMeanImputer({"f": lambda d: d["x"] > 1}, min_subset_size=1, columns=xy).fit(f1).save(str(tmp_path / "f"))
+
+
 def test_mode_of_typed_columns_one_job(spark):
     import datetime as dt
     t1, t2 = dt.datetime(2024, 1, 2, 3, 4, 5, 678000), dt.datetime(2023, 5, 6)
@@ -143,10 +167,10 @@ def test_option_checks():
 def test_missing_summary_and_totals(f1):
     from lacuna.operators.profile import missing_summary, missing_totals
     rows = {r["column_name"]: r for r in missing_summary(f1).collect()}
-    assert rows["numerical1"]["n_missing"] == 2 and rows["id"]["n_missing"] == 0
-    assert rows["numerical1"]["pct_missing"] == pytest.approx(20.0)
+    assert rows["x"]["n_missing"] == 2 and rows["id"]["n_missing"] == 0
+    assert rows["x"]["pct_missing"] == pytest.approx(200 / 7)
     assert rows["id"]["rank_pos"] == 5  # 0% sorts last; ties by name
-    filled = ModeImputer(columns=["categorical1", "categorical2"]).fit_transform(
+    filled = ModeImputer(columns=["colour", "shape"]).fit_transform(
         MeanImputer(exclude=["id"]).fit_transform(f1))
     t = missing_totals(f1, filled).first()
-    assert (t["n_cells"], t["missing_before"], t["missing_after"]) == (50, 8, 0)
+    assert (t["n_cells"], t["missing_before"], t["missing_after"]) == (35, 7, 0)
