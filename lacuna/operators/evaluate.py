@@ -92,6 +92,14 @@ def overall_scores(per_column: DataFrame) -> DataFrame:
         F.avg(F.abs("bias")).alias("mean_abs_bias"))
 
 
+def short_scores(numeric: DataFrame, categorical: DataFrame) -> DataFrame:
+    """One row per method (EVL10): means over numeric columns, and over categorical ones of the
+    accuracy; both inputs are per (method, column).  A method without one kind has nulls there."""
+    num = overall_scores(numeric)
+    cat = categorical.groupBy("method").agg(F.avg("accuracy").alias("categorical_accuracy"))
+    return num.join(cat, "method", "full").select("method", "rmse", "mae", "r2_score", "categorical_accuracy", "mean_abs_bias")
+
+
 def categorical_scores(scored: DataFrame, columns: list[str]) -> DataFrame:
     """Per (method, column): accuracy and Jensen-Shannon divergence of the
     held-out value distributions (EVL5-EVL7, SET1, AGG16)."""
@@ -160,8 +168,7 @@ def best_methods(per_method: DataFrame) -> DataFrame:
     highest categorical accuracy (nulls dropped, TOP2)."""
     parts = []
     metrics = [("rmse", True), ("mae", True), ("r2_score", False)]
-    if "accuracy" in per_method.columns:
-        metrics.append(("accuracy", False))
+    metrics += [(c, False) for c in ("accuracy", "categorical_accuracy") if c in per_method.columns]
     for metric, lowest in metrics:
         d = per_method.where(F.col(metric).isNotNull())
         key = F.struct(F.col(metric) if lowest else -F.col(metric), F.col("method"))

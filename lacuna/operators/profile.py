@@ -37,3 +37,8 @@ def missing_totals(before: DataFrame, after: DataFrame) -> DataFrame:
     return before.agg((F.count(F.lit(1)) * len(before.columns)).cast("long").alias("n_cells"),
                       total(before).cast("long").alias("missing_before"),
                       F.lit(after_total).cast("long").alias("missing_after"))
+
+
+def preview(df: DataFrame, order_by, n: int = 5) -> DataFrame:
+    """The first ``n`` rows in a stated order (TOP6): a top-n, so no global sort."""
+    return df.orderBy(order_by).limit(n)

@@ -349,3 +349,14 @@ SELECT column_name, dtype, CAST(n AS BIGINT) AS n_rows, CAST(n_missing AS BIGINT
        CAST(row_number() OVER (ORDER BY 100.0 * n_missing / n DESC, column_name) AS BIGINT) AS rank_pos
 FROM u"""
 query("q45b_label_missing_summary", Q45B_SQL)(q45b)
+
+
+# ------------------------------------------------------------------ Q48 preview
+def q48(spark, sf):
+    from lacuna.operators.profile import preview
+    m = masked(spark, sf, "orders", "o_orderkey", {"o_totalprice": (1, 250)})
+    return preview(m.select("o_orderkey", "o_totalprice"), F.col("o_orderkey"), 5)
+
+
+query("q48_preview", f"""SELECT o_orderkey, o_totalprice
+FROM ({masked_sql('orders', ['o_orderkey', 'o_totalprice'], 'o_orderkey', {'o_totalprice': (1, 250)})}) m ORDER BY o_orderkey LIMIT 5""")(q48)

@@ -190,7 +190,7 @@ def q18(spark, sf):
                     F.round("js_divergence", 6).alias("js_divergence"))
 
 
-def _q18_ctes():
+def _q18_ctes(masks=None):
     src = "m"
     keep = ", ".join(_pass(ORD_COLS, Q18_COLS))
     modes = ", ".join(
@@ -208,7 +208,7 @@ def _q18_ctes():
     gkeep = ", ".join(f"m.{c}" for c in _pass(ORD_COLS, Q18_COLS))
     gjoin = " ".join(f"LEFT JOIN g_{c} ON m.o_custkey IS NOT DISTINCT FROM g_{c}.o_custkey" for c in Q18_COLS)
     unk = ", ".join(f"coalesce({c}, 'UNKNOWN') AS {c}" for c in Q18_COLS)
-    return (f"WITH m AS ({masked_sql('orders', ORD_COLS, 'o_orderkey', Q18_MASKS, truth=True)}),\n"
+    return (f"WITH m AS ({masked_sql('orders', ORD_COLS, 'o_orderkey', masks or Q18_MASKS, truth=True)}),\n"
             + ",\n".join(gm) + ",\n"
             f"f_mode AS (SELECT {keep}, {modes} FROM {src}),\n"
             f"f_group_mode AS (SELECT {gkeep}, {gfill} FROM m {gjoin}),\n"
@@ -283,6 +283,59 @@ FROM ({numeric_scores_sql(_doc_cells(Q19_METHODS))}) s GROUP BY method"""
 query("q19b_short_scores", Q19B_SQL)(q19b)
 
 
+# numeric and text columns of one table together
+Q19C_MASKS = {**Q18_MASKS, "o_totalprice": (1, 250)}
+
+
+def _mixed_short(spark, sf):
+    m = masked(spark, sf, "orders", "o_orderkey", Q19C_MASKS, truth=True)
+    num = ["o_totalprice"]
+    fills = {
+        "overall": (MeanImputer(columns=num).fit_transform(m), ModeImputer(columns=Q18_COLS).fit_transform(m)),
+        "group": (GroupCenterImputer("o_custkey", columns=num).fit_transform(m),
+                  GroupCenterImputer("o_custkey", strategy="mode", columns=Q18_COLS).fit_transform(m)),
+    }
+    n = E.numeric_scores(E.stack_methods({k: v[0] for k, v in fills.items()}, num), num)
+    c = E.categorical_scores(E.stack_methods({k: v[1] for k, v in fills.items()}, Q18_COLS), Q18_COLS)
+    return E.short_scores(n, c)
+
+
+def q19c(spark, sf):
+    return _mixed_short(spark, sf).select("method", *[F.round(c, 4).alias(c) for c in (
+        "rmse", "mae", "r2_score", "categorical_accuracy", "mean_abs_bias")])
+
+
+def _mixed_short_sql() -> str:
+    num = ("SELECT 'overall' AS method, 'o_totalprice' AS column_name, coalesce(o_totalprice, (SELECT avg(o_totalprice) FROM m)) AS f, "
+           "o_totalprice__truth AS t, o_totalprice__mask AS m FROM m UNION ALL "
+           "SELECT 'group', 'o_totalprice', coalesce(m.o_totalprice, g.g, (SELECT avg(o_totalprice) FROM m)), o_totalprice__truth, o_totalprice__mask "
+           "FROM m LEFT JOIN (SELECT o_custkey, avg(o_totalprice) AS g FROM m GROUP BY o_custkey) g ON m.o_custkey = g.o_custkey")
+    return _q18_ctes(Q19C_MASKS) + f""",
+ns AS (SELECT method, avg(rmse) AS rmse, avg(mae) AS mae, avg(r2) AS r2_score, avg(abs(bias)) AS mean_abs_bias
+       FROM ({numeric_scores_sql(num)}) x GROUP BY method),
+cs AS (SELECT CASE WHEN method = 'mode' THEN 'overall' ELSE 'group' END AS method, avg(accuracy) AS categorical_accuracy
+       FROM (SELECT method, column_name, avg(CASE WHEN f = t THEN 1.0 ELSE 0.0 END) AS accuracy FROM cells
+             WHERE method <> 'unknown' GROUP BY method, column_name) y GROUP BY 1),
+s AS (SELECT * FROM ns JOIN cs USING (method))"""
+
+
+query("q19c_short_scores_numeric_and_text", _mixed_short_sql() + """
+SELECT method, round(rmse, 4) AS rmse, round(mae, 4) AS mae, round(r2_score, 4) AS r2_score,
+       round(categorical_accuracy, 4) AS categorical_accuracy, round(mean_abs_bias, 4) AS mean_abs_bias FROM s""")(q19c)
+
+
+def q21c(spark, sf):
+    """Best method per metric, text columns included."""
+    b = E.best_methods(_mixed_short(spark, sf))
+    return b.select("metric", "best_method", F.round("best_value", 4).alias("best_value"))
+
+
+query("q21c_best_methods_numeric_and_text", _mixed_short_sql() + "\n" + " UNION ALL ".join(
+    f"SELECT '{c}' AS metric, (SELECT method FROM s ORDER BY {c} {o}, method LIMIT 1) AS best_method, "
+    f"round((SELECT {'min' if o == 'ASC' else 'max'}({c}) FROM s), 4) AS best_value"
+    for c, o in (("rmse", "ASC"), ("mae", "ASC"), ("r2_score", "DESC"), ("categorical_accuracy", "DESC"))))(q21c)
+
+
 # ------------------------------------------------------------------ Q20 compare and rank
 def _pooled_all(spark, sf):
     return E.pooled_scores(E.stack_methods(doc_fills(spark, sf), DOC_FEATS), DOC_FEATS)

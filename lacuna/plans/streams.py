@@ -14,10 +14,7 @@ EV_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 EV_MASKS = {"value": (31, 250)}
 
 
-def _event_stream(spark, sf):
-    static = spark.read.parquet(f"{sf}/events.parquet")
-    # a glob keeps the file source from treating the single file as a directory
-    raw = spark.readStream.schema(static.schema).option("basePath", sf).parquet(f"{sf}/events.parque[t]")
+def _as_events(raw):
     # event time must be a zoned timestamp: read the wall clock as UTC, so day
     # windows fall on wall-clock midnights whatever the session time zone is
     ts = F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone())
@@ -26,6 +23,29 @@ def _event_stream(spark, sf):
                       .otherwise(F.col("value")).alias("value"))
 
 
+def _event_stream(spark, sf):
+    static = spark.read.parquet(f"{sf}/events.parquet")
+    # a glob keeps the file source from treating the single file as a directory
+    raw = spark.readStream.schema(static.schema).option("basePath", sf).parquet(f"{sf}/events.parque[t]")
+    return _as_events(raw)
+
+
+def _event_batches(spark, sf, batches=4):
+    """The events as a stream of several micro-batches: time ranges written one after another."""
+    import uuid
+    from lacuna.session import checkpoint_dir, delete_on_exit
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    key = F.unix_micros(F.col("ts").cast("timestamp"))
+    cuts = events.agg(F.percentile_approx(key, [i / batches for i in range(1, batches)])).first()[0] or []
+    base = delete_on_exit(spark, f"{checkpoint_dir(spark).rstrip('/')}/lacuna-streams/events-{uuid.uuid4().hex}")
+    part = F.lit(0)
+    for c in cuts:
+        part = part + F.when(key > c, 1).otherwise(0)
+    for i in range(len(cuts) + 1):  # a handful of ranges; each write is a Spark job
+        events.where(F.coalesce(part, F.lit(0)) == i).coalesce(1).write.parquet(f"{base}/b{i}")
+    return _as_events(spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/b*"))
+
+
 def q46(spark, sf):
     model = MeanImputer(columns=["value"]).fit(masked(spark, sf, "events", "event_id", EV_MASKS))
     out = stream_apply(model, _event_stream(spark, sf)).select("event_id", F.round("value", 4).alias("value"))
@@ -38,8 +58,8 @@ query("q46_stream_apply", Q46_SQL)(q46)
 
 
 def q46b(spark, sf):
-    out = stream_ffill(_event_stream(spark, sf), "user_id", "ts", "value", order_tiebreak="event_id",
-                       watermark="3650 days")
+    out = stream_ffill(_event_batches(spark, sf), "user_id", "ts", "value", order_tiebreak="event_id",
+                       watermark="30 days", timeout_ms=3650 * 24 * 3600 * 1000)
     res = run_to_table(spark, out.select("event_id", "user_id", "value"), "stream_ffill")
     return res.select("event_id", "user_id", F.round("value", 4).alias("value"))
 
@@ -67,6 +87,20 @@ FROM m GROUP BY 1"""
 query("q46c_stream_missing_rate", Q46C_SQL)(q46c)
 
 
+def q46g(spark, sf):
+    """Append mode: a window is written once, when the watermark has passed it, and its state goes."""
+    agg = missing_rate_by_window(_event_batches(spark, sf), "ts", ["value"], "1 day", watermark="1 day")
+    res = run_to_table(spark, agg, "stream_closed_windows")
+    start = F.to_utc_timestamp(F.col("w.start"), F.current_timezone())
+    return res.select(F.date_format(start, "yyyy-MM-dd HH:mm:ss").alias("window_start"), "n_rows", "value_missing")
+
+
+Q46G_SQL = f"""WITH m AS ({masked_sql('events', EV_COLS, 'event_id', EV_MASKS)})
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n_rows, count(*) - count(value) AS value_missing
+FROM m WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM m) GROUP BY 1"""
+query("q46g_stream_closed_windows", Q46G_SQL)(q46g)
+
+
 def q46d(spark, sf):
     """A fitted EM model applied to a stream: one E-step per row, maps for every pattern."""
     from lacuna.operators.gaussian import EMImputer
