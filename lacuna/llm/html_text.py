@@ -296,7 +296,9 @@ def train(labelled: DataFrame) -> Model:
 def labelled_sample(pages: DataFrame, documents: DataFrame, train_pages: int = 2000) -> DataFrame:
     """The pages of least URL hash whose URL names a document: html, truth."""
     named = pages.select("html", shown_document(F.col("url")).alias("shown"), F.xxhash64("url").alias("h")).filter("shown is not null")
-    some = stash(named.orderBy("h", "shown").limit(train_pages))  # a documented bound on what the model is fitted to
+    # a documented bound on what the model is fitted to; hashes first, so no task holds many pages
+    picked = named.select("h").distinct().orderBy("h").limit(train_pages)
+    some = stash(named.join(F.broadcast(picked), "h").groupBy("h").agg(F.min("html").alias("html"), F.min("shown").alias("shown")))
     docs = documents.select("doc_id", F.col("text").alias("truth"))
     return some.join(docs.join(F.broadcast(some.select(F.col("shown").alias("doc_id")).distinct()), "doc_id"),
                      F.col("shown") == F.col("doc_id")).select("html", "truth")
