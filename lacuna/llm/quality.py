@@ -1,7 +1,7 @@
 """Quality rules with cross-document line frequency (operator 6).
 
 Two scans, no row of text shuffled.  The first hashes the normalised lines (ASCII lower case,
-digits as 0, white space runs as one space) of every whole text and counts, per host and line,
+numbers as 0, white space runs as one space) of every whole text and counts, per host and line,
 the distinct texts that hold it.  A line above the limit (``min_texts`` and ``share`` of the
 host's texts) is boilerplate of that host.  The second scan measures each text, removes its
 boilerplate lines and rejects a document of which fewer than ``min_left`` words, or less than
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lacuna.llm.common import BLANKS, LOWER, SPACE, UPPER, WORD, let, small, stash, words
+from lacuna.llm.common import BLANKS, SPACE, WORD, ascii_lower, let, small, stash, words
 
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
@@ -63,7 +63,7 @@ def short_lines(lines: Column, max_line_words: int) -> Column:
     is split no further than that takes."""
     parts = F.transform(lines, lambda x: F.split(F.btrim(x, F.lit(BLANKS)), SPACE, max_line_words + 1))
     return F.transform(F.filter(parts, lambda p: F.size(p) <= max_line_words), lambda p: F.struct(
-        F.xxhash64(F.translate(F.array_join(p, " "), UPPER + "123456789", LOWER + "000000000")).alias("h"), F.size(p).alias("w")))
+        F.xxhash64(ascii_lower(F.regexp_replace(F.array_join(p, " "), "[0-9]+", "0"))).alias("h"), F.size(p).alias("w")))
 
 
 def frequent_lines(docs: DataFrame, min_texts: int, share: float, max_line_words: int) -> tuple[DataFrame, int]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from lacuna.llm.chat import CONTROL_TAILS
 from lacuna.llm.common import LOWER, SPACE, UPPER, WORD
 
-WORDS = f"list_filter(regexp_split_to_array(coalesce(text, ''), '{SPACE}'), x -> x <> '')"
+WORDS = f"list_filter(regexp_split_to_array(coalesce(text, ''), '{SPACE}'), lambda x: x <> '')"
 
 
 def url_filters(depth: int = 3) -> str:
@@ -43,7 +43,7 @@ tree{k} AS (
   JOIN cut{k} u ON u.host = c.host AND u.node = c.node AND u.t = c.t
   JOIN merged{k} m ON m.host = u.host AND m.node = u.node AND m.branch = u.branch)""")
         tree = f"tree{k}"
-    seg_of = ", ".join(f"coalesce(list_filter(string_split(path, '/'), x -> x <> '')[{i}], '') AS s{i}" for i in range(1, depth + 1))
+    seg_of = ", ".join(f"coalesce(list_filter(string_split(path, '/'), lambda x: x <> '')[{i}], '') AS s{i}" for i in range(1, depth + 1))
     return rf"""
 WITH cut0 AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
@@ -102,14 +102,14 @@ FROM r"""
 QUALITY = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, source, text, {WORDS} AS ws,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '{WORD}')) AS ls FROM documents),
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS ls FROM documents),
 grams AS (
   SELECT rid, i, list_slice(ws, i, i + 4) AS g FROM (SELECT rid, ws, unnest(range(1, len(ws) - 3)) AS i FROM d WHERE len(ws) >= 5)),
 twice AS (SELECT rid, g FROM grams GROUP BY rid, g HAVING count(*) > 1),
 hit AS (
   SELECT rid, count(DISTINCT i + k) AS n FROM grams JOIN twice USING (rid, g), (SELECT unnest(range(0, 5)) AS k) GROUP BY rid),
 keyed AS (
-  SELECT rid, source, text, translate(trim(regexp_replace(l, '{SPACE}', ' ', 'g')), '{UPPER}123456789', '{LOWER}000000000') AS line
+  SELECT rid, source, text, translate(regexp_replace(trim(regexp_replace(l, '{SPACE}', ' ', 'g')), '[0-9]+', '0', 'g'), '{UPPER}', '{LOWER}') AS line
   FROM (SELECT rid, source, text, unnest(ls) AS l FROM d)),
 short AS (SELECT *, length(line) - length(replace(line, ' ', '')) + 1 AS w FROM keyed),
 held AS (SELECT source, line, count(DISTINCT text) AS n FROM short WHERE w <= 20 GROUP BY source, line),

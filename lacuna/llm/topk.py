@@ -7,8 +7,8 @@ it are scattered, times the posting's weights, into a dense (queries x candidate
 scores.  A partition of that array yields each query's best k; per lane of candidate blocks the
 best k are carried along, and the lanes' lists (``k`` x ``lanes`` entries at most) are merged.
 
-Scores are exact: 64-bit integers when the largest components allow, Python integers otherwise,
-held to the range of a long at the end.  Every query meets every candidate; no pair is left out.
+Scores are exact: 64-bit integers when the largest components allow, Python integers otherwise;
+a score beyond a long is held to its range, and ranks follow the scores so held.  Every query meets every candidate; no pair is left out.
 
 Cases: vectors null or with null or non-finite components take no part, nor do rows without a
 vec_id; vectors of different length have zeros beyond their end; rows alike in vec_id and vector
@@ -106,6 +106,8 @@ def scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
             w = w[at]
             for i in have:
                 out[i, at] += qi[i, term] * w
+    if out.dtype == object:
+        out = np.array([[max(-LONG.max, min(LONG.max, x)) for x in row] for row in out], np.int64).reshape(out.shape)
     return out
 
 
@@ -168,7 +170,7 @@ def search(rows: DataFrame, is_query, k: int = 20, lanes: int = LANES) -> DataFr
         import xxhash
         # a query is its id and vector: ids that repeat with other vectors stay apart
         keys = [xxhash.xxh64_intdigest(q[n].tobytes()) - 2 ** 63 for n in range(len(qids))]
-        hits = [[{"neg": -max(-LONG.max, min(LONG.max, int(s))), "vec_id": int(i)} for s, i in zip(*g)] for g in got]
+        hits = [[{"neg": -int(s), "vec_id": int(i)} for s, i in zip(*g)] for g in got]
         return pa.RecordBatch.from_arrays(
             [pa.array(keys, pa.int64()), pa.array(qids), pa.array(hits, pa.list_(pa.struct([("neg", pa.int64()), ("vec_id", pa.int64())])))],
             ["qkey", "query_id", "hits"])
