@@ -1,15 +1,15 @@
-"""Nearest-neighbour fills on a blocked top-k similarity join (MOD1-MOD3, JOI4-JOI6, TOP4).
-
-Receivers (rows with a hole) and donors are cut into blocks of about
-``block_rows`` rows.  Each (receiver block, donor block) pair meets in one
-``cogroup`` task, where numpy computes the block's distance matrix and emits
-only the k best candidates per receiver - never the pairs themselves.  A
-window over (receiver, column) then keeps the global k best, ordered by
-(distance, donor id) so ties are deterministic, and a grouped aggregate gives
-the fill.  When the donor matrix is small (its measured size is under
-``broadcast_bytes``) it is shipped to every task instead and only receivers
-move.  Exact nearest-neighbour search is O(receivers x donors x d) by nature;
-the blocking spreads that work evenly over the cluster.
+"""Nearest-neighbour fills on a top-k similarity join (MOD1-MOD3, JOI4-JOI6, TOP4).
+
+Distances are sums of elementwise differences, so they do not depend on how rows are grouped and
+nothing cancels.  When the donor matrix is small (its measured size is under ``broadcast_bytes``)
+it is shipped to every task, only receivers move, and matrices span ``DONOR_ROWS`` donors at a
+time.  Beyond that, donors lie in the cells of a quantile grid, and a receiver meets only the
+cells that can hold one of its k nearest (``_pruned``): exact, and far from all pairs unless
+there are many features.  Tasks emit only the k best candidates per receiver, never pairs; a
+window keeps the global k best by (distance, donor id), so ties are deterministic.
+
+The similarity partial mean takes a fraction of all donors, so its large path meets every donor
+block, with histograms in place of candidates.
 """
 
 from __future__ import annotations
@@ -28,12 +28,14 @@ from lacuna.session import cut
 BLOCK_ROWS = 2048
 BROADCAST_BYTES = 64 << 20
 DONOR_ROWS = 8192  # donors that one distance matrix spans
+MAX_CELLS = 8192  # cells of the grid that prunes exact neighbour search
+ROUTE_ROWS = 256
 
 CAND_SCHEMA = "rid long, j int, sid long, dist2 double, v double"
 
 
 def _blocked(rec: DataFrame, don: DataFrame, block_rows: int, broadcast_bytes: int, width: int,
-             block_fn, schema: str, merge=None) -> DataFrame:
+             block_fn, schema: str, merge=None, prune=None) -> DataFrame:
     """Run ``block_fn(rec_pdf, don_pdf) -> pdf`` over every receiver/donor block pair.
 
     Distances are elementwise, so they don't depend on how rows are cut into blocks.  Broadcast
@@ -65,6 +67,8 @@ def _blocked(rec: DataFrame, don: DataFrame, block_rows: int, broadcast_bytes: i
                     if held is not None and len(held):
                         yield held
         return rec.mapInPandas(run, schema)
+    if prune is not None:
+        return prune(rec, don)
     n_rec = rec.count()
     R = max(1, math.ceil(n_rec / block_rows))
     D = max(1, math.ceil(n_don / block_rows))
@@ -80,6 +84,109 @@ def _blocked(rec: DataFrame, don: DataFrame, block_rows: int, broadcast_bytes: i
     return r.groupBy("__rb", "__db").cogroup(d.groupBy("__rb", "__db")).applyInPandas(pair, schema)
 
 
+def _cell_of(feats: list[str], cuts: dict[str, list[float]]):
+    """Grid cell of a row: per feature 0 when missing, else 1 + the number of cuts below it."""
+    cell = F.lit(0).cast("long")
+    for f in feats:
+        bin_ = F.lit(1)
+        for c in cuts[f]:
+            bin_ = bin_ + F.when(F.col(f) > c, 1).otherwise(0)
+        cell = cell * (len(cuts[f]) + 2) + F.when(F.col(f).isNull(), 0).otherwise(bin_)
+    return cell
+
+
+def _bounds(X: np.ndarray, lo: np.ndarray, hi: np.ndarray, scaled: bool):
+    """Least and greatest squared distance of rows to the boxes of the cells (NaN: missing), over
+    the features both have; infinite where there are none."""
+    least, most, shared = (np.zeros((len(X), len(lo))) for _ in range(3))
+    for i in range(X.shape[1]):
+        x, a, b = X[:, i, None], lo[None, :, i], hi[None, :, i]
+        both = ~np.isnan(x) & ~np.isnan(a)
+        gap, far = np.maximum(np.maximum(a - x, x - b), 0.0), np.maximum(np.abs(x - a), np.abs(x - b))
+        least += np.where(both, gap * gap, 0.0)
+        most += np.where(both, far * far, 0.0)
+        shared += both
+    with np.errstate(divide="ignore", invalid="ignore"):
+        s = np.where(shared > 0, X.shape[1] / shared if scaled else 1.0, np.inf)
+        return np.where(shared > 0, least * s, np.inf), np.where(shared > 0, most * s, np.inf)
+
+
+def _pruned(rec: DataFrame, don: DataFrame, feats: list[str], targets: list[int] | None, k: int, block_fn, schema: str,
+            scaled: bool) -> DataFrame:
+    """``block_fn`` over receivers and only those donors that can be among their k nearest.
+
+    Donors lie in the cells of a quantile grid (at most ``MAX_CELLS``; a missing feature is a bin
+    of its own), each known by its box and row count.  For a receiver the k-th distance is at most
+    the greatest distance to the nearest cells that hold k donors together; cells that lie wholly
+    beyond that are left out.  The bound is exact, so the answer is that of all pairs.  Cells of
+    more than ``DONOR_ROWS`` donors are dealt out in parts."""
+    spark = rec.sparkSession
+    per = int(MAX_CELLS ** (1 / len(feats))) - 1
+    probs = [i / per for i in range(1, per)] if per > 1 else []
+    got = don.agg(*[F.percentile_approx(f, probs).alias(f) for f in feats]).first() if probs else {}
+    cuts = {f: sorted(set((got[f] if probs else None) or [])) for f in feats}
+    don = don.withColumn("__cell", _cell_of(feats, cuts))
+    boxes = don.groupBy("__cell").agg(F.count("*").alias("n"), *[x for i, f in enumerate(feats) for x in (
+        F.min(f).alias(f"lo{i}"), F.max(f).alias(f"hi{i}"))]).orderBy("__cell").toPandas()  # at most MAX_CELLS rows
+    if boxes.empty:
+        return spark.createDataFrame([], schema)
+    lo, hi = (boxes[[f"{e}{i}" for i in range(len(feats))]].to_numpy(dtype="float64", na_value=np.nan) for e in ("lo", "hi"))
+    n, ids = boxes["n"].to_numpy(), boxes["__cell"].to_numpy()
+    parts = -(-n // DONOR_ROWS)
+    bc = spark.sparkContext.broadcast((lo, hi, n, ids, parts))
+    deal = spark.createDataFrame(list(zip(ids.tolist(), parts.tolist())), "__cell long, __parts long")  # at most MAX_CELLS rows
+    don = (don.join(F.broadcast(deal), "__cell")
+           .withColumn("__sub", F.pmod(F.xxhash64("__id"), F.col("__parts")).cast("int"))
+           .withColumn("__rsub", F.explode(F.sequence(F.lit(0), (F.col("__parts") - 1).cast("int")))).drop("__parts"))
+    names = rec.columns
+    out_schema = rec.schema.simpleString()[7:-1].replace(":", " ").replace(",", ", ") + ", __cell long, __sub int, __rsub int"
+
+    def route(it):
+        lo, hi, n, ids, parts = bc.value
+        for pdf in it:
+            for at in range(0, len(pdf), ROUTE_ROWS):
+                part = pdf.iloc[at:at + ROUTE_ROWS]
+                X = part[feats].to_numpy(dtype="float64", na_value=np.nan)
+                least, most = _bounds(X, lo, hi, scaled)
+                wanted = np.zeros(least.shape, bool)
+                for j in (targets if targets is not None else [None]):
+                    rows = np.flatnonzero(np.isnan(X[:, j])) if j is not None else np.arange(len(X))
+                    cells = np.flatnonzero(~np.isnan(lo[:, j])) if j is not None else np.arange(len(n))
+                    if not len(rows) or not len(cells):
+                        continue
+                    m = most[np.ix_(rows, cells)]
+                    order = np.argsort(m, axis=1)
+                    enough = np.cumsum(n[cells][order], axis=1) >= k
+                    first = np.where(enough.any(axis=1), enough.argmax(axis=1), len(cells) - 1)
+                    kth = np.take_along_axis(m, np.take_along_axis(order, first[:, None], 1), 1)
+                    kth = np.where(enough.any(axis=1)[:, None], kth, np.inf)
+                    near = least[np.ix_(rows, cells)]
+                    wanted[np.ix_(rows, cells)] |= (near <= kth * (1 + 1e-9)) & np.isfinite(near)
+                r, c = np.nonzero(wanted)
+                r, c = np.repeat(r, parts[c]), np.repeat(c, parts[c])
+                start = np.flatnonzero(np.concatenate(([True], (np.diff(r) != 0) | (np.diff(c) != 0)))) if len(r) else np.zeros(0, int)
+                within = np.arange(len(r)) - np.repeat(start, np.diff(np.append(start, len(r))))
+                res = part.iloc[r].reset_index(drop=True)
+                res["__cell"], res["__sub"] = ids[c], within.astype("int32")
+                res["__rsub"] = (res["__id"].to_numpy() % np.maximum(parts[c], 1)).astype("int32")
+                yield res
+
+    key = ["__cell", "__sub", "__rsub"]
+    empty = {c.split()[0]: [] for c in schema.split(", ")}
+
+    def pair(rp, dp):
+        if len(rp) == 0 or len(dp) == 0:
+            return pd.DataFrame(empty)
+        dp, held = dp.drop(columns=key), []
+        for at in range(0, len(rp), BLOCK_ROWS):
+            held.append(block_fn(rp[names].iloc[at:at + BLOCK_ROWS], dp))
+        held = [h for h in held if len(h)]
+        return pd.concat(held, ignore_index=True) if held else pd.DataFrame(empty)
+
+    routed = rec.mapInPandas(route, out_schema)
+    return routed.groupBy(*key).cogroup(don.groupBy(*key)).applyInPandas(pair, schema)
+
+
 def _topk_idx(dist: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Per row, indices of the k smallest (dist, id); inf distances are excluded later."""
     n = dist.shape[1]
@@ -196,7 +303,8 @@ class KNNModel(ImputerModel):
         rec = df.where(any_hole).select(*sel)
         don = self.donors
         cand = _blocked(rec, don, self.block_rows, self.broadcast_bytes, len(self.feats),
-                        _nan_euclid_block(self.feats, tj, k), CAND_SCHEMA, _keep_best(k, ["rid", "j"], "dist2"))
+                        _nan_euclid_block(self.feats, tj, k), CAND_SCHEMA, _keep_best(k, ["rid", "j"], "dist2"),
+                        lambda r, d: _pruned(r, d, self.feats, tj, k, _nan_euclid_block(self.feats, tj, k), CAND_SCHEMA, True))
         return _merge_topk(cand, k)
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -291,7 +399,8 @@ class EnhancedKNNModel(ImputerModel):
             hole = h if hole is None else (hole | h)
         rec = df.where(hole).select(F.col(self.id_col).cast("long").alias("__id"), *z)
         cand = _blocked(rec, allz, self.block_rows, self.broadcast_bytes, len(self.dist_feats),
-                        _euclid_block(self.dist_feats, k), NEIGH_SCHEMA, _keep_best(k, ["rid"], "ss"))
+                        _euclid_block(self.dist_feats, k), NEIGH_SCHEMA, _keep_best(k, ["rid"], "ss"),
+                        lambda r, d: _pruned(r, d, self.dist_feats, None, k + 1, _euclid_block(self.dist_feats, k), NEIGH_SCHEMA, False))
         w = Window.partitionBy("rid").orderBy("ss", "sid")
         return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
                 .select("rid", "sid", F.sqrt("ss").alias("dist"), "rank"))

@@ -296,3 +296,20 @@ def test_mixture_fill_does_not_depend_on_partitions(spark, table):
     model = GaussianMixtureImputer(2, columns=COLS, tol=1e-3).fit(df)
     a, b = (_sorted(model.transform(df.repartition(k)))[COLS].to_numpy() for k in (1, 37))
     assert np.abs(a - b).max() < 1e-9
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_pruned_search_equals_all_pairs(spark, monkeypatch, seed):
+    from lacuna.operators import knn
+    rng = np.random.default_rng(seed)
+    n = 500
+    X = np.round(rng.normal(size=(n, 3)) * [1, 50, 0.1], 2)
+    X[rng.random(X.shape) < 0.25] = np.nan
+    X[:120] = [1.0, 2.0, np.nan]  # a hot cell of equal rows
+    cols = list("pqr")
+    df = spark.createDataFrame(pd.DataFrame(X, columns=cols).assign(id=np.arange(n)))
+    want = _sorted(KNNImputer("id", 4, "distance", columns=cols, features=cols).fit_transform(df))[cols].to_numpy()
+    monkeypatch.setattr(knn, "DONOR_ROWS", 50)
+    monkeypatch.setattr(knn, "MAX_CELLS", 200)
+    got = _sorted(KNNImputer("id", 4, "distance", columns=cols, features=cols, broadcast_bytes=0).fit_transform(df))[cols].to_numpy()
+    assert np.allclose(got, want, atol=1e-9, equal_nan=True)
