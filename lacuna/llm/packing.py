@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import base64
 import zlib
+from bisect import bisect_left, bisect_right, insort
 
 import numpy as np
 import pyarrow as pa
@@ -111,17 +112,17 @@ def nonnegative_fit(a: np.ndarray, y: np.ndarray, rounds: int = 2000) -> np.ndar
     least squares over the set are solved, and columns that turn negative leave it."""
     n = a.shape[1]
     x, active = np.zeros(n), np.zeros(n, bool)
-    gram, target = a.T @ a, a.T @ y
+    scale = max(1.0, np.abs(a.T @ y).max())
     for _ in range(rounds):
-        gain = target - gram @ x
+        gain = a.T @ (y - a @ x)
         gain[active] = -np.inf
         best = int(np.argmax(gain))
-        if gain[best] <= 1e-9 * max(1.0, np.abs(target).max()):
+        if gain[best] <= 1e-9 * scale:
             break
         active[best] = True
         while True:
             at = np.flatnonzero(active)
-            s = np.linalg.lstsq(gram[np.ix_(at, at)], target[at], rcond=None)[0]
+            s = np.linalg.lstsq(a[:, at], y, rcond=None)[0]
             if s.min() > 0:
                 x[:] = 0
                 x[at] = s
@@ -136,59 +137,44 @@ def nonnegative_fit(a: np.ndarray, y: np.ndarray, rounds: int = 2000) -> np.ndar
     return x
 
 
-def spread(bin_counts: dict[int, list], use: list[tuple[tuple[int, ...], int]]):
-    """Patterns of bins with repeats -> classes (exact lengths, repeats), taking the longest
-    lengths of each bin first."""
+def spread(counts: dict[int, int], use: list[tuple[tuple[int, ...], int]], unit: int, max_len: int):
+    """Patterns of bins with repeats -> (classes (exact lengths, repeats), lengths left over).
+
+    All but the shortest piece of a pattern are the longest left in their bins; the shortest is
+    the longest left that still fits, from its bin or, by a few tokens, a neighbour."""
+    left = dict(counts)
+    have = sorted(left)
     out = []
+
+    def take(n, lengths):
+        for x in set(lengths):
+            left[x] -= n * lengths.count(x)
+            if not left[x]:
+                del left[x]
+                have.pop(bisect_left(have, x))
+
+    def longest(low, high):
+        k = bisect_right(have, high) - 1
+        return have[k] if k >= 0 and have[k] >= low else None
+
     for p, r in use:
+        bins = sorted(p, reverse=True)
         while r > 0:
-            need: dict[int, int] = {}
-            lengths = []
-            for b in p:
-                have = bin_counts.get(b)
-                if not have:
-                    break
-                lengths.append(have[-1][0])
-                need[b] = need.get(b, 0) + 1
-            if len(lengths) < len(p):
+            lengths: list[int] = []
+            for b in bins[:-1]:
+                lengths.append(longest(unit * (b - 1) + 1, unit * b) or 0)
+            room = max_len - sum(lengths)
+            last = longest(max(1, unit * (bins[-1] - 2) + 1), room)
+            if last is None or not all(lengths):
                 break
-            n = min([r] + [bin_counts[b][-1][1] // k for b, k in need.items()])
-            if n == 0:  # fewer left of this exact length than the pattern wants at once
-                n, lengths = 1, []
-                for b in p:
-                    have = bin_counts.get(b)
-                    if not have:
-                        break
-                    lengths.append(have[-1][0])
-                    have[-1][1] -= 1
-                    if not have[-1][1]:
-                        have.pop()
-                if len(lengths) == len(p):
-                    out.append((tuple(lengths), 1))
-                    r -= 1
-                    continue
-                for x in lengths:  # put them back
-                    _give(bin_counts, x, 1)
+            lengths.append(last)
+            n = min([r] + [left[x] // lengths.count(x) for x in set(lengths)])
+            if not n:  # a length that the pattern wants twice has one piece left: it goes to the residue
                 break
-            for b, k in need.items():
-                have = bin_counts[b]
-                have[-1][1] -= n * k
-                if not have[-1][1]:
-                    have.pop()
+            take(n, lengths)
             out.append((tuple(lengths), n))
             r -= n
-    return out
-
-
-def _give(bin_counts, length, n):
-    b = bin_counts["bin"](length)
-    have = bin_counts.setdefault(b, [])
-    for h in have:
-        if h[0] == length:
-            h[1] += n
-            return
-    have.append([length, n])
-    have.sort()
+    return out, left
 
 
 def best_fit(classes, left: dict[int, int], max_len: int):
@@ -198,8 +184,6 @@ def best_fit(classes, left: dict[int, int], max_len: int):
     for lengths, n in classes:
         free.setdefault(max_len - sum(lengths), []).append([lengths, n])
     sizes = sorted(free)
-    from bisect import bisect_left, insort
-
     for length in sorted(left, reverse=True):
         want = left[length]
         while want:
@@ -254,17 +238,13 @@ def pack_plan(counts: dict[int, int], max_len: int, bins: int = 256) -> list[tup
     columns = np.flatnonzero(fit >= 1)
     columns = columns[np.argsort(-fit[columns])]
     best = None
-    for keep in (1.0, 0.9, 0.75, 0.5):  # of the fitted repeats; the rest is left to best fit
-        held: dict = {"bin": bin_of}
-        for n in sorted(rest):
-            held.setdefault(bin_of(n), []).append([n, rest[n]])
+    for keep in (1.0, 0.9, 0.75, 0.5, 0.25, 0.1):  # of the fitted repeats; the rest is left to best fit
         use = []
         for j in columns:
             p = tuple(int(b) + 1 for b in np.repeat(np.arange(bins), a[:, j].astype(int)))
-            if sum(p) >= bins - 1 or len(p) > 1:
+            if sum(p) >= bins - 1:
                 use.append((p, int(fit[j] * keep)))
-        classes = spread(held, use)
-        left = {n: c for b, have in held.items() if b != "bin" for n, c in have if c}
+        classes, left = spread(rest, use, unit, max_len)
         plan = best_fit(classes, left, max_len)
         if best is None or sum(n for _, n in plan) < sum(n for _, n in best):
             best = plan
