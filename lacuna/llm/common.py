@@ -58,6 +58,13 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def keep_where(df: DataFrame, condition: Column) -> DataFrame:
+    """Filter on computed columns that stays above them: pushed below, the planner would write
+    their expressions into the condition once per mention and evaluate them as often."""
+    return (df.withColumn("__row_number_in_part", F.monotonically_increasing_id())
+            .filter(condition & (F.col("__row_number_in_part") >= 0)).drop("__row_number_in_part"))
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """``df`` marked for broadcast when its counted rows are within the bound."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df

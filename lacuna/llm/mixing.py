@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lacuna.llm.common import n_words, small, stash, words
+from lacuna.llm.common import keep_where, n_words, small, stash, words
 
 HASH_BITS = 60
 LEVEL_BITS = 10
@@ -138,7 +138,7 @@ def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, share: tuple = (3
     keeps its first words, joined by one space."""
     rows = sized(docs.select(F.struct("*").alias("__row"), "doc_id", "source", "text"), seed)
     plan, n = plan_mix(stash(rows.select("source", "__size", "__hash")), weights, share, repeat)
-    took = apply_mix(rows, plan, n).filter("__taken > 0")
+    took = keep_where(apply_mix(rows, plan, n), F.col("__taken") > 0)
     whole = F.expr("__taken div __size")
     rest = F.col("__taken") - whole * F.col("__size")
     out = took.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), whole + F.when(rest > 0, 1).otherwise(0))))

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lacuna.llm.common import BLANKS, SPACE, WORD, ascii_lower, let, small, stash, words
+from lacuna.llm.common import BLANKS, SPACE, WORD, ascii_lower, keep_where, let, small, stash, words
 
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
@@ -120,4 +120,4 @@ def kept_documents(docs: DataFrame, min_texts: int = 20, share: float = 0.02, ma
     """The rows of ``docs`` that are kept, unchanged."""
     frequent, n = frequent_lines(docs, min_texts, share, max_line_words)
     d = docs.select(F.struct("*").alias("__row"), "source", "text")
-    return measured(d, frequent, n, min_left, left_share, max_line_words).filter("__q.kept").select("__row.*")
+    return keep_where(measured(d, frequent, n, min_left, left_share, max_line_words), F.col("__q.kept")).select("__row.*")
