@@ -341,6 +341,8 @@ def one_per_group(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFra
     best = stash(named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "__h", "n")).alias("k"))
                  .select(F.col("k.doc_id").alias("__d"), F.col("k.__h").alias("__k"), F.col("k.n").alias("__n")))
     kept = docs.join(best, docs["doc_id"].eqNullSafe(F.col("__d")) & (F.xxhash64(docs["text"]) == F.col("__k")))
+    if best.filter("__n > 1").isEmpty():
+        return kept.select(*[docs[c] for c in docs.columns])
     once = kept.filter("__n = 1").select(*[docs[c] for c in docs.columns])
     again = kept.filter("__n > 1").dropDuplicates(["__d", "__k"]).select(*[docs[c] for c in docs.columns])
     return once.unionAll(again)
