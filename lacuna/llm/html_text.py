@@ -52,11 +52,13 @@ AGAINST = frozenset("""ad ads advert advertisement adverts aside alert banner br
 comments complementary consent contentinfo cookie cookies copyright dialog disqus footer form header legal login masthead menu
 modal nav navbar navigation newsletter notice notification pager pagination popup promo promotion recommended related replies
 reply respond rss search share sharing sidebar signup social sponsor sponsored subscribe subscription tags toolbar widget""".split())
-AGAINST_STEMS = ("advert", "breadcrumb", "comment", "cookie", "footer", "menu", "navig", "newsletter", "promo", "sidebar", "social", "sponsor", "subscri")
+AGAINST_STEMS = ("adsby", "adslot", "adunit", "advert", "breadcrumb", "comment", "cookie", "footer", "menu", "navig", "newsletter", "promo", "sidebar", "social", "sponsor", "subscri")
 FOR = frozenset("article main post entry story content body text page".split())
 
 LENGTHS = (0, 2, 5, 10, 20, 40)
 FEATURES = ("tag", "hint", "inherited", "words", "links")
+#: tags follow from where they stand (list items are mostly seen in menus), so they count for a little less
+WEIGHT = {"tag": 0.9}
 #: invented observations (feature, value, state, times)
 PRIOR = [("inherited", "against", 0, 200.0), ("inherited", "for", 1, 20.0), ("inherited", "none", 1, 10.0), ("inherited", "none", 0, 10.0),
          ("hint", "against", 0, 50.0), ("hint", "for", 1, 10.0), ("hint", "none", 1, 20.0), ("hint", "none", 0, 20.0),
@@ -228,7 +230,8 @@ class Model:
         self.feature = {}
         for f in FEATURES:
             for v in sizes.get(f, ()):
-                self.feature[f, v] = np.array([np.log((counts.get((f, v, s), 0) + 1) / (total.get((f, s), 0) + len(sizes[f]) + 1)) for s in (0, 1)])
+                self.feature[f, v] = WEIGHT.get(f, 1.0) * np.array([
+                    np.log((counts.get((f, v, s), 0) + 1) / (total.get((f, s), 0) + len(sizes[f]) + 1)) for s in (0, 1)])
         self.edge = np.array([[np.log((counts.get(("edge", str(p), s), 0) + 1) / (total.get(("edge", str(p)), 0) + 2)) for s in (0, 1)] for p in (0, 1)])
         n = [counts.get(("state", "", s), 0) + 1 for s in (0, 1)]
         self.root = np.log(np.array(n) / sum(n))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lacuna.llm.chat import CONTROL_TAILS
 from lacuna.llm.common import LOWER, SPACE, UPPER, WORD
+from lacuna.llm.hilbert import curve_cells
 
 WORDS = f"list_filter(regexp_split_to_array(coalesce(text, ''), '{SPACE}'), lambda x: x <> '')"
 
@@ -150,9 +151,64 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM said GROUP BY conv_id"""
 
 
+TOPK = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20"""
+
+
+SUBSTRING = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {WORDS} AS ws FROM documents),
+w AS (
+  SELECT rid, i, array_to_string(list_slice(ws, i, i + 34), ' ') AS g
+  FROM (SELECT rid, ws, unnest(range(1, len(ws) - 33)) AS i FROM d WHERE len(ws) >= 35)),
+twice AS (SELECT g FROM w GROUP BY g HAVING count(*) > 1),
+hit AS (SELECT DISTINCT rid, i + k AS p FROM w JOIN twice USING (g), (SELECT unnest(range(0, 35)) AS k)),
+word AS (SELECT rid, unnest(ws) AS x, unnest(range(1, len(ws) + 1)) AS p FROM d),
+kept AS (SELECT rid, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN hit USING (rid, p) GROUP BY rid),
+gone AS (SELECT rid, count(*) AS n FROM hit GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid) LEFT JOIN gone USING (rid)"""
+
+
+def sharding() -> str:
+    """CRC32 by its table (itself from the rule: eight conditional shifts) folded over the bytes."""
+    cells = ", ".join(f"({c},{h})" for c, h in curve_cells())
+    return f"""
+WITH tab AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i::BIGINT, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                          lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c FROM range(256) r(i))),
+b AS (SELECT doc_id, lang, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS x FROM documents),
+l AS (
+  SELECT doc_id, lang, (length(x) // 2 + 1)::BIGINT AS size, length(text) - length(replace(text, chr(10), '')) + 1 AS lines,
+         list_transform(range(0, length(x) // 2), lambda i: ('0x' || x[2 * i + 1:2 * i + 2])::BIGINT) AS v FROM b),
+d AS (
+  SELECT doc_id, size, xor(list_reduce(list_prepend(4294967295::BIGINT, v), lambda a, y: xor(a >> 8, t[(xor(a, y) & 255) + 1])), 4294967295) AS crc,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS idh,
+         ('0x' || substr(md5(coalesce(lang, '~')), 1, 1))::INTEGER * 256 + least(15, greatest(0, length(bin(size)) - 4)) * 16
+         + least(15, greatest(0, length(bin(lines)) - 1)) AS cell FROM l, tab),
+n AS (SELECT count(*) AS n FROM documents),
+k AS (SELECT n, (SELECT min(s) FROM (SELECT 32 * (1::BIGINT << i) AS s FROM range(0, 40) g(i)) z WHERE n <= 3 * s * 4096) AS salts FROM n),
+r AS (
+  SELECT d.*, n, row_number() OVER (ORDER BY h, crc % 64, idh % salts, crc, idh, doc_id NULLS FIRST, size) - 1 AS rank
+  FROM d JOIN (VALUES {cells}) c(cell, h) USING (cell), k),
+s AS (SELECT *, rank * 8 // n AS shard FROM r)
+SELECT doc_id, size, crc AS text_crc32, 'rows' AS law, shard::INTEGER AS shard, (rank - (shard * n + 7) // 8)::BIGINT AS slot, NULL::INTEGER AS grown_shard
+FROM s"""
+
+
 ORACLES: dict[str, str] = {
     "op2_url_filters": url_filters(),
     "op3_mixing": MIXING,
+    "op5_topk": TOPK,
     "op6_quality": QUALITY,
+    "op8_substring": SUBSTRING,
+    "op9_sharding": sharding(),
     "op10_chat": CHAT,
 }

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lacuna.llm.common import ascii_lower, let, stash
+from lacuna.llm.common import ascii_lower, let, small, stash
 
 #: the contract's rules: (host, path, verdict) - fixed values
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "allow"),
@@ -67,9 +67,9 @@ def template_verdicts(urls: DataFrame, depth: int = 3, min_share: float = 0.05,
         F.count("*").alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")))
     total = leaf.agg(F.sum("labelled"), F.sum("bad")).first()
     labelled, bad = int(total[0] or 0), int(total[1] or 0)
-    hosts = leaf.groupBy("host").agg(F.sum("labelled").alias("hl"), F.sum("bad").alias("hb"), F.sum("n").alias("up_n"))
+    hosts = stash(leaf.groupBy("host").agg(F.sum("labelled").alias("hl"), F.sum("bad").alias("hb"), F.sum("n").alias("up_n")))
     top = bad / labelled if labelled else 0.0
-    tree = stash(leaf.join(hosts, "host").withColumn("node", F.lit(""))
+    tree = stash(leaf.join(small(hosts, hosts.count()), "host").withColumn("node", F.lit(""))
                  .withColumn("up_rate", (F.col("hb") + strength * F.lit(top)) / (F.col("hl") + strength)).drop("hl", "hb"))
     for seg in segs:
         kids = tree.groupBy("host", "node", seg).agg(

@@ -438,12 +438,12 @@ def test_chats_round_trip(spark):
 
 # --- SQL and the pipeline
 
-@pytest.mark.parametrize("name", ["op2_url_filters", "op3_mixing", "op6_quality", "op10_chat"])
+@pytest.mark.parametrize("name", ["op2_url_filters", "op3_mixing", "op5_topk", "op6_quality", "op8_substring", "op9_sharding", "op10_chat"])
 def test_sql_oracles(spark, name):
     import duckdb
     from lacuna.llm.sql import ORACLES
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels", "conversations"):
+    for t in ("documents", "embeddings", "pages", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = QUERIES[name](spark, SF)
     cur = con.execute(ORACLES[name])
