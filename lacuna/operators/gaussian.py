@@ -169,13 +169,19 @@ class EMImputer(Imputer):
             if self.mode == "auto":
                 return self._fit_scan(df, cols)
             raise
+        start = None
+        if self.init == "median":
+            q = exact_quantiles_multi(df, cols, [0.5])
+            start = np.array([(q[c][0] if q[c][0] is not None else pm.m[i]) for i, c in enumerate(cols)])
+        elif self.init == "zero":
+            start = np.zeros(len(cols))
+        return self.fit_moments(pm, start)
+
+    def fit_moments(self, pm: PatternMoments, start: np.ndarray | None = None) -> GaussianModel:
+        """The iteration on given moments; holes start at ``start``, or at the means."""
+        cols = pm.cols
         W = pm.identity_maps()
-        if self.init != "mean":
-            if self.init == "median":
-                q = exact_quantiles_multi(df, cols, [0.5])
-                start = np.array([(q[c][0] if q[c][0] is not None else pm.m[i]) for i, c in enumerate(cols)])
-            else:
-                start = np.zeros(len(cols))
+        if start is not None:
             z0 = (start - pm.m) / pm.s
             for Wp, p in zip(W, pm.patterns):
                 Wp[pm.missing(p), 0] = z0[pm.missing(p)]
@@ -209,7 +215,7 @@ class EMImputer(Imputer):
         data = cut(df.select(*[clean(df, c).cast("double").alias(c) for c in cols]))
         if self.init == "median":
             q = exact_quantiles_multi(data, cols, [0.5])
-            start = np.array([q[c][0] for c in cols])
+            start = np.array([q[c][0] if q[c][0] is not None else 0.0 for c in cols])
         elif self.init == "zero":
             start = np.zeros(d)
         else:

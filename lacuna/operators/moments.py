@@ -70,6 +70,29 @@ def _wide_moments(zz: DataFrame, d: int):
     return Q, pats
 
 
+def _sums(zz: DataFrame, d: int, max_patterns: int):
+    """(patterns, Q): one matrix of sums per pattern."""
+    # count first: only then is it known that the sums fit on the driver
+    most = min(max_patterns, MAX_CELLS // (d + 1) ** 2)
+    found = zz.select("__p").distinct().limit(most + 1).count()
+    if found > most:
+        raise TooManyPatterns(f"more than {most} missing patterns of {d} columns")
+    if d > WIDE:
+        Q, patterns = _wide_moments(zz, d)
+        return patterns, Q
+    aggs = [F.count(F.lit(1)).alias("n")] + [F.sum(f"z{i}").alias(f"s{i}") for i in range(d)]
+    aggs += [F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"q{i}_{j}") for i in range(d) for j in range(i, d)]
+    rows = zz.groupBy("__p").agg(*aggs).collect()
+    Q = np.zeros((len(rows), d + 1, d + 1))
+    for k, r in enumerate(rows):
+        Q[k, 0, 0] = r["n"]
+        for i in range(d):
+            Q[k, 0, i + 1] = Q[k, i + 1, 0] = r[f"s{i}"]
+            for j in range(i, d):
+                Q[k, i + 1, j + 1] = Q[k, j + 1, i + 1] = r[f"q{i}_{j}"]
+    return [r["__p"] for r in rows], Q
+
+
 class PatternMoments:
     """Per-pattern moments of standardized columns.
 
@@ -78,6 +101,28 @@ class PatternMoments:
     """
 
     def __init__(self, df: DataFrame, cols: list[str], max_patterns: int = MAX_PATTERNS):
+        zz = self._standardized(df, cols)
+        self.patterns, self.Q = _sums(zz, len(cols), max_patterns)
+        self.n = float(self.Q[:, 0, 0].sum())
+
+    @classmethod
+    def by_group(cls, df: DataFrame, key: str, cols: list[str], max_patterns: int = MAX_PATTERNS) -> dict[str, "PatternMoments"]:
+        """One object per value of ``key`` (as text), from the same scans as for one; all share
+        the centre and scale of the whole table."""
+        whole = cls.__new__(cls)
+        zz = whole._standardized(df, cols, F.concat(F.col(key).cast("string"), F.lit("|")))
+        patterns, Q = _sums(zz, len(cols), max_patterns)
+        out: dict[str, PatternMoments] = {}
+        for k in sorted({p.rsplit("|", 1)[0] for p in patterns}):
+            at = [i for i, p in enumerate(patterns) if p.rsplit("|", 1)[0] == k]
+            one = out[k] = cls.__new__(cls)
+            one.cols, one.hole_idx, one.m, one.s = whole.cols, whole.hole_idx, whole.m, whole.s
+            one.patterns, one.Q = [patterns[i].rsplit("|", 1)[1] for i in at], Q[at]
+            one.n = float(one.Q[:, 0, 0].sum())
+        return out
+
+    def _standardized(self, df: DataFrame, cols: list[str], prefix=None) -> DataFrame:
+        """(__p, z0, z1, ...): pattern and standardized values, holes 0; keeps centre and scale."""
         self.cols = cols
         d = len(cols)
         st = df.agg(F.count(F.lit(1)).alias("n"), *[x for i, c in enumerate(cols) for x in
@@ -90,28 +135,8 @@ class PatternMoments:
         z = [F.coalesce((clean(df, c).cast("double") - F.lit(self.m[i])) / F.lit(self.s[i]), F.lit(0.0))
              for i, c in enumerate(cols)]
         pat = pattern_bits(df, [cols[i] for i in self.hole_idx])
-        zz = df.select(pat.alias("__p"), *[v.alias(f"z{i}") for i, v in enumerate(z)])
-        # count first: only then is it known that the sums fit on the driver
-        most = min(max_patterns, MAX_CELLS // (d + 1) ** 2)
-        found = zz.select("__p").distinct().limit(most + 1).count()
-        if found > most:
-            raise TooManyPatterns(f"more than {most} missing patterns of {d} columns")
-        if d <= WIDE:
-            aggs = [F.count(F.lit(1)).alias("n")] + [F.sum(f"z{i}").alias(f"s{i}") for i in range(d)]
-            aggs += [F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"q{i}_{j}") for i in range(d) for j in range(i, d)]
-            rows = zz.groupBy("__p").agg(*aggs).collect()
-            self.patterns = [r["__p"] for r in rows]
-            Q = np.zeros((len(rows), d + 1, d + 1))
-            for k, r in enumerate(rows):
-                Q[k, 0, 0] = r["n"]
-                for i in range(d):
-                    Q[k, 0, i + 1] = Q[k, i + 1, 0] = r[f"s{i}"]
-                    for j in range(i, d):
-                        Q[k, i + 1, j + 1] = Q[k, j + 1, i + 1] = r[f"q{i}_{j}"]
-        else:
-            Q, self.patterns = _wide_moments(zz, d)
-        self.Q = Q
-        self.n = float(Q[:, 0, 0].sum())
+        pat = pat if prefix is None else F.concat(prefix, pat)
+        return df.select(pat.alias("__p"), *[v.alias(f"z{i}") for i, v in enumerate(z)])
 
     def missing(self, p: str) -> np.ndarray:
         return decode(p, self.hole_idx, len(self.cols))

@@ -3,17 +3,20 @@ pooling and Rubin's rules.
 
 Noise is hash-seeded per (row, imputation, column), so the replicates do
 not depend on partitioning.  Noise after the fill makes all M replicates in one
-pass with ``explode(sequence(1, M))``; noise before it needs M fits.
+pass with ``explode(sequence(1, M))``; noise before it takes one scan for the moments
+of all replicates and one for their fills.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lacuna.functions.columns import clean
 from lacuna.functions.hashing import gaussian_noise
-from lacuna.operators.gaussian import EMImputer
+from lacuna.operators.gaussian import EMImputer, estep_batch
+from lacuna.operators.moments import PatternMoments, TooManyPatterns
 
 NOISE_SCALE = 0.01  # fixed value: noise sd as a share of each column's sd
 
@@ -57,19 +60,31 @@ def multiple_after(df: DataFrame, id_col: str, cols: list[str], M: int = 5, base
 def multiple_before(df: DataFrame, id_col: str, cols: list[str], M: int = 5, em_max_iter: int = 50,
                     seed: int = 0) -> DataFrame:
     """MOD14: per replicate, noise on the observed training cells, an EM fit, and
-    the fill of the original table.  Each replicate is one pattern-moment
-    aggregation; the fills are lazy."""
+    the fill of the original table.  One scan sums the pattern moments of all replicates, one
+    fills them; with more patterns than moments are kept for, each replicate is fitted by passes."""
     sds = df.agg(*[F.stddev_samp(clean(df, c)).alias(c) for c in cols]).first().asDict()
-    parts = []
-    from functools import reduce
-    for m in range(1, M + 1):
-        noisy = df
-        for c in cols:
-            noisy = noisy.withColumn(c, clean(df, c) + F.lit(NOISE_SCALE * (sds[c] or 0.0)) *
-                                     gaussian_noise(id_col, noise_salt(m, c, seed)))
-        model = EMImputer(max_iter=em_max_iter, columns=cols).fit(noisy)
-        parts.append(model.transform(df).withColumn("imputation", F.lit(m)))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    em = EMImputer(max_iter=em_max_iter, columns=cols)
+    held = df.select(id_col, *[clean(df, c).cast("double").alias(c) for c in cols])
+    noisy = add_noise(replicate(held, M), id_col, cols, sds, M, seed=seed)
+    try:
+        fitted = {int(m): em.fit_moments(pm) for m, pm in PatternMoments.by_group(noisy, "imputation", cols).items()}
+    except TooManyPatterns:
+        fitted = {m: em.fit(noisy.where(F.col("imputation") == m)) for m in range(1, M + 1)}
+    params = {m: (np.asarray(g.mu_), np.asarray(g.sigma_)) for m, g in fitted.items()}
+    bc = df.sparkSession.sparkContext.broadcast(params)  # (d + 1) d numbers per replicate
+    rep = replicate(df.select(*[clean(df, c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns]), M)
+
+    def fill(it):
+        for pdf in it:
+            X = pdf[cols].to_numpy(dtype="float64", na_value=np.nan)
+            which = pdf["imputation"].to_numpy()
+            for m in np.unique(which):
+                X[which == m] = estep_batch(X[which == m], *bc.value[int(m)])
+            for j, c in enumerate(cols):
+                pdf[c] = X[:, j]
+            yield pdf
+
+    return rep.mapInPandas(fill, rep.schema)
 
 
 def pool(long: DataFrame, id_col: str, cols: list[str], how: str = "mean") -> DataFrame:
