@@ -52,6 +52,25 @@ def stack_methods(results: dict[str, DataFrame], columns: list[str], keys: list[
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def stack_models(df: DataFrame, models: dict, columns: list[str]) -> DataFrame:
+    """``stack_methods`` of several fitted models over one table in one scan: each model fills the
+    observed columns in turn, its fills are set aside, and one explode stacks them (as doubles).
+    For models whose ``transform`` is a projection or a join on the row's own columns."""
+    raw = {c: f"__raw{i}" for i, c in enumerate(columns)}
+    rest = [c for c in df.columns if c not in columns]
+    cur, fills = df.select("*", *[F.col(c).alias(r) for c, r in raw.items()]), []
+    for i, model in enumerate(models.values()):
+        own = {c: f"__fill{i}_{j}" for j, c in enumerate(columns)}
+        cur = model.transform(cur).select(*rest, *raw.values(), *fills, *[F.col(r).alias(c) for c, r in raw.items()],
+                                          *[F.col(c).cast("double").alias(f) for c, f in own.items()])
+        fills += own.values()
+    per = F.array(*[F.struct(F.lit(name).alias("method"), *[F.col(f"__fill{i}_{j}").alias(f"f{j}") for j in range(len(columns))])
+                    for i, name in enumerate(models)])
+    extra = [x for c in columns for x in (c + TRUTH, c + MASK)]
+    return (cur.select(*extra, F.explode(per).alias("x"))
+            .select("x.method", *[F.col(f"x.f{j}").alias(c) for j, c in enumerate(columns)], *extra))
+
+
 def _unpivot(scored: DataFrame, columns: list[str], kind: str = "double") -> DataFrame:
     cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast(kind).alias("f"),
                                F.col(c + TRUTH).cast(kind).alias("t"), F.col(c + MASK).alias("m"))

@@ -416,8 +416,8 @@ query("q42b_noise_before_em_two_columns", _q42b_sql())(q42b)
 def q47b(spark, sf):
     """The comparison of the methods that SQL can compute, per column as in q47."""
     from lacuna.operators import evaluate as E
-    from lacuna.plans.scoring import Q19_METHODS, doc_fills
-    sc = E.numeric_scores(E.stack_methods(doc_fills(spark, sf, Q19_METHODS), DOC_FEATS), DOC_FEATS)
+    from lacuna.plans.scoring import Q19_METHODS, doc_scored
+    sc = E.numeric_scores(doc_scored(spark, sf, Q19_METHODS), DOC_FEATS)
     return sc.select("method", "column_name", "n_scored", F.round("rmse", 4).alias("rmse"),
                      F.round("nrmse", 6).alias("nrmse"), F.round("r2", 4).alias("r2"))
 

@@ -69,8 +69,7 @@ def fill_sql(kind: str, cols_all: list[str], targets: list[str], key: str | None
 DOC_METHODS = ("mean", "median", "group_mean", "group_median", "zero", "quartile_partial_mean")
 
 
-def doc_fills(spark, sf, names=DOC_METHODS, m=None):
-    m = doc_masked(spark, sf) if m is None else m
+def _doc_models(m, names):
     makers = {
         "mean": lambda: MeanImputer(columns=DOC_FEATS),
         "median": lambda: MedianImputer(columns=DOC_FEATS),
@@ -79,7 +78,18 @@ def doc_fills(spark, sf, names=DOC_METHODS, m=None):
         "zero": lambda: ConstantImputer({c: 0.0 for c in DOC_FEATS}),
         "quartile_partial_mean": lambda: PartialMeanImputer(columns=DOC_FEATS),
     }
-    return {n: makers[n]().fit_transform(m) for n in names}
+    return {n: makers[n]().fit(m) for n in names}
+
+
+def doc_fills(spark, sf, names=DOC_METHODS, m=None):
+    m = doc_masked(spark, sf) if m is None else m
+    return {n: model.transform(m) for n, model in _doc_models(m, names).items()}
+
+
+def doc_scored(spark, sf, names=DOC_METHODS):
+    """All methods' fills of the document features, stacked from one scan."""
+    m = doc_masked(spark, sf)
+    return E.stack_models(m, _doc_models(m, names), DOC_FEATS)
 
 
 def doc_fills_sql(names=DOC_METHODS) -> str:
@@ -256,7 +266,7 @@ Q19_METHODS = ("mean", "median", "group_mean")
 
 
 def q19(spark, sf):
-    p = E.pooled_scores(E.stack_methods(doc_fills(spark, sf, Q19_METHODS), DOC_FEATS), DOC_FEATS)
+    p = E.pooled_scores(doc_scored(spark, sf, Q19_METHODS), DOC_FEATS)
     return p.select("method", "n_scored", *[F.round(c, 4).alias(c) for c in
                                             ("rmse", "mae", "r2_score", "mean_abs_bias")])
 
@@ -269,7 +279,7 @@ query("q19_pooled_scores", Q19_SQL)(q19)
 
 
 def q19b(spark, sf):
-    per_col = E.numeric_scores(E.stack_methods(doc_fills(spark, sf, Q19_METHODS), DOC_FEATS), DOC_FEATS)
+    per_col = E.numeric_scores(doc_scored(spark, sf, Q19_METHODS), DOC_FEATS)
     o = E.overall_scores(per_col)
     return o.select("method", *[F.round(c, 4).alias(c) for c in ("rmse", "mae", "r2_score")],
                     F.lit(None).cast("double").alias("categorical_accuracy"),
@@ -338,7 +348,7 @@ query("q21c_best_methods_numeric_and_text", _mixed_short_sql() + "\n" + " UNION
 
 # ------------------------------------------------------------------ Q20 compare and rank
 def _pooled_all(spark, sf):
-    return E.pooled_scores(E.stack_methods(doc_fills(spark, sf), DOC_FEATS), DOC_FEATS)
+    return E.pooled_scores(doc_scored(spark, sf), DOC_FEATS)
 
 
 def q20(spark, sf):

@@ -46,3 +46,16 @@ def test_average_rank_ties(spark):
     assert [r[m]["rmse_rank"] for m in "abcd"] == [1.0, 2.5, 2.5, 4.0]
     assert r["a"]["mae_rank"] == 2.5
     assert r["d"]["r2_rank"] is None
+
+
+def test_stacking_models_equals_stacking_their_tables(spark):
+    from lacuna.operators import evaluate as E
+    from lacuna.operators.group import GroupCenterImputer, PartialMeanImputer
+    from lacuna.operators.simple import ConstantImputer, MeanImputer
+    rows = [(i, "abc"[i % 3] if i % 7 else None, float(i * i % 11), float(i % 5)) for i in range(60)]
+    m = E.holdout(spark.createDataFrame(rows, "id long, k string, x double, y double"), "id", {"x": 1, "y": 2}, 300)
+    models = {"mean": MeanImputer(columns=["x", "y"]).fit(m), "group": GroupCenterImputer("k", columns=["x", "y"]).fit(m),
+              "zero": ConstantImputer({"x": 0.0, "y": 0.0}).fit(m), "bands": PartialMeanImputer(columns=["x", "y"]).fit(m)}
+    a = E.stack_models(m, models, ["x", "y"])
+    b = E.stack_methods({n: model.transform(m) for n, model in models.items()}, ["x", "y"])
+    assert sorted(map(tuple, a.select(b.columns).collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
