@@ -333,16 +333,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataF
 def one_per_group(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     """``docs`` with one row of each component: the one of least doc_id (nulls last), then of
     least text hash; of rows equal in both, one."""
-    rows = stash(fingerprints(docs.withColumn("__h", F.xxhash64("text")), shingle, ["doc_id", "__h"])
-                 .groupBy("doc_id", "__h", "fp").agg(F.count("*").alias("n")))
+    src = docs.select(F.struct("*").alias("__row"), "doc_id", F.xxhash64("text").alias("h"))
+    rows = stash(fingerprints(docs.select("doc_id", F.xxhash64("text").alias("h"), "text"), shingle, ["doc_id", "h"])
+                 .groupBy("doc_id", "h", "fp").agg(F.count("*").alias("n")))
     first = stash(rows.groupBy("fp").agg(F.min("doc_id").alias("doc_id")))
     roots = components(links(first, radius))
     named = rows.join(stash(first.join(roots, first.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))), "fp")
-    best = stash(named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "__h", "n")).alias("k"))
-                 .select(F.col("k.doc_id").alias("__d"), F.col("k.__h").alias("__k"), F.col("k.n").alias("__n")))
-    kept = docs.join(best, docs["doc_id"].eqNullSafe(F.col("__d")) & (F.xxhash64(docs["text"]) == F.col("__k")))
-    if best.filter("__n > 1").isEmpty():
-        return kept.select(*[docs[c] for c in docs.columns])
-    once = kept.filter("__n = 1").select(*[docs[c] for c in docs.columns])
-    again = kept.filter("__n > 1").dropDuplicates(["__d", "__k"]).select(*[docs[c] for c in docs.columns])
-    return once.unionAll(again)
+    best = stash(named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "h", "n")).alias("k"))
+                 .select(F.col("k.doc_id").alias("bd"), F.col("k.h").alias("bh"), F.col("k.n").alias("bn")))
+    kept = src.join(best, src["doc_id"].eqNullSafe(F.col("bd")) & (src["h"] == F.col("bh")))
+    if best.filter("bn > 1").isEmpty():
+        return kept.select("__row.*")
+    again = kept.filter("bn > 1").dropDuplicates(["bd", "bh"])
+    return kept.filter("bn = 1").select("__row.*").unionAll(again.select("__row.*"))
