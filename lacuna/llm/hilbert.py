@@ -94,13 +94,18 @@ def shard(docs: DataFrame, shards: int = 8, group_rows: int = 4096) -> DataFrame
     curve = F.broadcast(spark.createDataFrame(curve_cells(), "cell int, h int"))  # 4,096 rows
     placed = stash(rows.withColumn("cell", cell).join(curve, "cell").select(
         "doc_id", "size", "crc", "idh", "h", (F.col("crc") % TEXT_BUCKETS).alias("tb"), (F.col("idh") % salts).alias("salt")))
-    groups = placed.groupBy("h", "tb", "salt").agg(F.count("*").alias("n"))
-    in_cell = Window.partitionBy("h").orderBy("tb", "salt").rowsBetween(Window.unboundedPreceding, -1)
-    cells = placed.groupBy("h").agg(F.count("*").alias("n"))
-    by_h = Window.orderBy("h").rowsBetween(Window.unboundedPreceding, -1)  # at most 4,096 rows
-    offs = cells.select("h", F.coalesce(F.sum("n").over(by_h), F.lit(0)).alias("first_h"))
-    first = stash(groups.withColumn("first_g", F.coalesce(F.sum("n").over(in_cell), F.lit(0)))
-                  .join(F.broadcast(offs), "h").select("h", "tb", "salt", (F.col("first_g") + F.col("first_h")).alias("first")))
+    groups = stash(placed.groupBy("h", "tb", "salt").agg(F.count("*").alias("n")))
+
+    def before(*keys, of):
+        """Rows before each value of ``of`` among the groups of equal ``keys``: one short window
+        per level, so no task holds all groups of a hot cell."""
+        w = Window.partitionBy(*keys).orderBy(of).rowsBetween(Window.unboundedPreceding, -1)
+        per = groups.groupBy(*keys, of).agg(F.sum("n").alias("n"))
+        return per.select(*keys, of, F.coalesce(F.sum("n").over(w), F.lit(0)).alias(f"first_{of}"))
+
+    cells, buckets = before(of="h"), stash(before("h", of="tb"))  # at most 4,096 rows in one window
+    first = stash(before("h", "tb", of="salt").join(small(buckets, buckets.count()), ["h", "tb"]).join(F.broadcast(cells), "h")
+                  .select("h", "tb", "salt", (F.col("first_h") + F.col("first_tb") + F.col("first_salt")).alias("first")))
     place = F.row_number().over(Window.partitionBy("h", "tb", "salt").orderBy("crc", "idh", "doc_id", "size")) - 1
     n = max(n_rows, 1)
     ranked = (placed.withColumn("place", place).join(small(first, first.count()), ["h", "tb", "salt"])
