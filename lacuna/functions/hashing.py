@@ -38,7 +38,9 @@ def rate_limit(rate: float) -> int:
 
 
 def missing_at(id_col: Column | str, salt, rate: float) -> Column:
-    return full_hash(id_col, salt) < F.lit(rate_limit(rate))
+    """``full_hash < rate_limit``, on the hexadecimal digits themselves (they sort as numbers)."""
+    limit = rate_limit(rate)
+    return F.lit(True) if limit == SPACE else _md5_key(id_col, salt) < F.lit(f"{limit:0{BITS // 4}x}")
 
 
 def missing_flag(id_col: Column | str, salt, permille: float) -> Column:

@@ -87,69 +87,80 @@ def kth_values(base: DataFrame, keys: list[str], state: DataFrame, max_collect:
         state = cut(n.select(*keys, "t", "r", new.alias("s")).select(*keys, "t", "r", "s.lo", "s.hi", "s.below", "s.cnt"))
 
 
-def exact_kth(df: DataFrame, cols: list[str] | None, ranks: dict[int, list[int]],
-              max_collect: int = 200_000, stats=None) -> dict[tuple[int, int], float]:
-    """Values of 0-based ranks per column index: {(k, rank): value}.
-
-    ``cols=None`` means ``df`` is already a long (k int, v double) table of
-    non-null values, e.g. one key per (method, column).
-    """
-    spark = df.sparkSession
-    long = df if cols is None else _long_values(df, cols)
-    if stats is None:
-        stats = {r["k"]: (r["n"], r["lo"], r["hi"]) for r in
-                 long.groupBy("k").agg(F.count("*").alias("n"), F.min("v").alias("lo"),
-                                       F.max("v").alias("hi")).collect()}
-    rows = [(k, r, r, float(stats[k][1]), float(stats[k][2]), 0, stats[k][0])
-            for k, rs in ranks.items() if k in stats for r in sorted(set(rs))]
-    if not rows:
-        return {}
-    state = spark.createDataFrame(rows, "k int, t long, r long, lo double, hi double, below long, cnt long")
-    return {(r["k"], r["t"]): r["val"] for r in kth_values(long, ["k"], state, max_collect).collect()}
-
-
-def exact_quantiles_long(long: DataFrame, probs: list[float], **kw) -> dict[int, list]:
-    """Quantiles per key of a long (k int, v double) table."""
-    long = long.where(F.col("v").isNotNull())
-    stats = {r["k"]: (r["n"], r["lo"], r["hi"]) for r in
-             long.groupBy("k").agg(F.count("*").alias("n"), F.min("v").alias("lo"),
-                                   F.max("v").alias("hi")).collect()}
-    ranks = {k: [r for p in probs for r in (math.floor((n - 1) * p), math.ceil((n - 1) * p))]
-             for k, (n, _, _) in stats.items()}
-    vals = exact_kth(long, None, ranks, stats=stats, **kw)
-    out = {}
-    for k, (n, _, _) in stats.items():
-        qs = []
-        for p in probs:
-            h = (n - 1) * p
-            lo, hi = math.floor(h), math.ceil(h)
-            a, b = vals[(k, lo)], vals[(k, hi)]
-            qs.append(a if a == b else a + (h - lo) * (b - a))
-        out[k] = qs
+def _sketches(df: DataFrame, cols: list[str]) -> dict[int, tuple]:
+    """Per column index (n, least, greatest, grid of approximate quantiles), from one scan."""
+    grid = [i / GRID for i in range(GRID + 1)]
+    row = df.agg(*[x for i, c in enumerate(cols) for v in [clean(df, c).cast("double")] for x in (
+        F.count(v).alias(f"n{i}"), F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}"),
+        F.percentile_approx(v, grid, ACCURACY).alias(f"g{i}"))]).first()
+    return {i: (row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"], row[f"g{i}"]) for i in range(len(cols)) if row[f"n{i}"]}
+
+
+def _pick(df: DataFrame, cols: list[str], sketches: dict[int, tuple], ranks: dict[int, list[int]],
+          max_collect: int) -> dict[tuple[int, int], float]:
+    """Values of the ranks: a second scan counts what lies below each bracket and at its ends and
+    brings the values strictly inside, where those are few; the rest goes to ``kth_values``."""
+    out, slow, targets, brackets = {}, [], [], {}
+    for k, rs in ranks.items():
+        if k not in sketches:
+            continue
+        n, lo, hi, g = sketches[k]
+        for r in sorted(set(rs)):
+            if lo == hi:
+                out[k, r] = lo
+            elif 4 * n // GRID > max_collect:
+                slow.append((k, r))
+            else:
+                step = r * GRID // n
+                b0 = lo if step < 1 else g[step - 1]
+                b1 = hi if step + 2 > GRID else g[step + 2]
+                targets.append((k, r, brackets.setdefault((k, b0, b1), len(brackets))))
+    if brackets:
+        aggs = []
+        for (k, b0, b1), i in brackets.items():
+            v, lo, hi = clean(df, cols[k]).cast("double"), F.lit(b0), F.lit(b1)
+            aggs += [F.count_if(v < lo).alias(f"lt{i}"), F.count_if(v == lo).alias(f"at{i}"),
+                     F.collect_list(F.when((v > lo) & (v < hi), v)).alias(f"in{i}"), F.count_if((v == hi) & (hi > lo)).alias(f"to{i}")]
+        row = df.agg(*aggs).first()
+        ends = {i: (b0, b1) for (_, b0, b1), i in brackets.items()}
+        inside = {i: sorted(row[f"in{i}"]) for i in ends}
+        for k, r, i in targets:
+            at = r - row[f"lt{i}"]
+            if at < 0 or at >= row[f"at{i}"] + len(inside[i]) + row[f"to{i}"]:
+                slow.append((k, r))  # the sketch erred by more than a grid step
+            elif at < row[f"at{i}"]:
+                out[k, r] = ends[i][0]
+            elif at < row[f"at{i}"] + len(inside[i]):
+                out[k, r] = inside[i][at - row[f"at{i}"]]
+            else:
+                out[k, r] = ends[i][1]
+    if slow:
+        rows = [(k, r, r, float(sketches[k][1]), float(sketches[k][2]), 0, sketches[k][0]) for k, r in slow]
+        state = df.sparkSession.createDataFrame(rows, "k int, t long, r long, lo double, hi double, below long, cnt long")
+        out |= {(r["k"], r["t"]): r["val"] for r in kth_values(_long_values(df, cols), ["k"], state, max_collect).collect()}
     return out
 
 
-def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float], **kw) -> dict[str, list]:
-    """Linear-interpolated quantiles (pandas default) for several columns in shared passes."""
-    long = _long_values(df, cols)
-    stats = {r["k"]: (r["n"], r["lo"], r["hi"]) for r in
-             long.groupBy("k").agg(F.count("*").alias("n"), F.min("v").alias("lo"),
-                                   F.max("v").alias("hi")).collect()}
-    ranks: dict[int, list[int]] = {}
-    for k, (n, _, _) in stats.items():
-        for p in probs:
-            h = (n - 1) * p
-            ranks.setdefault(k, []).extend([math.floor(h), math.ceil(h)])
-    vals = exact_kth(df, cols, ranks, stats=stats, **kw)
+def exact_kth(df: DataFrame, cols: list[str], ranks: dict[int, list[int]],
+              max_collect: int = 200_000) -> dict[tuple[int, int], float]:
+    """Values of 0-based ranks per column index: {(k, rank): value}."""
+    return _pick(df, cols, _sketches(df, cols), ranks, max_collect)
+
+
+def exact_quantiles_multi(df: DataFrame, cols: list[str], probs: list[float], max_collect: int = 200_000) -> dict[str, list]:
+    """Linear-interpolated quantiles (pandas default) for several columns, in two shared scans
+    unless a column is very long."""
+    sketches = _sketches(df, cols)
+    ranks = {k: [r for p in probs for r in (math.floor((s[0] - 1) * p), math.ceil((s[0] - 1) * p))] for k, s in sketches.items()}
+    vals = _pick(df, cols, sketches, ranks, max_collect)
     res = {}
     for k, c in enumerate(cols):
-        if k not in stats:
+        if k not in sketches:
             res[c] = [None] * len(probs)
             continue
-        n = stats[k][0]
         qs = []
         for p in probs:
-            h = (n - 1) * p
+            h = (sketches[k][0] - 1) * p
             lo, hi = math.floor(h), math.ceil(h)
             a, b = vals[(k, lo)], vals[(k, hi)]
             qs.append(a if a == b else a + (h - lo) * (b - a))
@@ -162,7 +173,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], **kw) -> list:
 
 
 def grouped_exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
-                            max_collect: int = 200_000) -> DataFrame:
+                            max_collect: int = 1_000_000) -> DataFrame:
     """Exact linear quantiles per group, for any number of groups and any skew.
 
     Returns one row per group (keys, q0, q1, ...).  Per-group state is a DataFrame, never a
