@@ -189,7 +189,8 @@ def passing(rows: DataFrame, key: str, bits, hit: bool = True) -> DataFrame:
         held = bits.value
         for b in batches:
             on = _in_filter(held, b.column(key).to_numpy()) == hit
-            yield b.filter(pa.array(on)).select(names)
+            for at in range(0, b.num_rows, 2048):  # a slice at a time, so that copies stay small
+                yield b.slice(at, 2048).filter(pa.array(on[at:at + 2048])).select(names)
 
     return rows.mapInArrow(run, rows.select(*names).schema)
 
@@ -346,8 +347,8 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(k1, k2, whole, spans): per text that loses words whether it loses all, and else its
-    (start, mask) reports; ``docs`` has k1, k2 and text."""
+    """(k1, k2, whole, starts, masks): per text that loses words whether it loses all, and else
+    its reports (first window of a segment, bits of its windows); ``docs`` has k1, k2 and text."""
     twice = docs.select("text").mapInArrow(_minimizers, "mh long").groupBy("mh").agg(F.count("*").alias("n")).filter("n > 1").select("mh")
     segs = stash(docs.select("k1", "k2", "text").mapInArrow(_emit_segments(hash_filter(twice)), SEGMENT)
                  .withColumn("rid", F.monotonically_increasing_id()))
@@ -371,29 +372,20 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     spans = placed.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "mask")).alias("spans"), F.max("n_words").alias("n_words"))
     windows = F.aggregate("spans", F.lit(0), lambda a, s: a + F.bit_count(s["mask"]))
     return stash(spans.withColumn("whole", windows == F.col("n_words") - LENGTH + 1)
-                 .select("k1", "k2", "whole", F.when(~F.col("whole"), F.col("spans")).alias("spans")))
+                 .select("k1", "k2", "whole", F.when(~F.col("whole"), F.transform("spans", lambda s: s["start"])).alias("starts"),
+                         F.when(~F.col("whole"), F.transform("spans", lambda s: s["mask"])).alias("masks")))
 
 
-def covered(n: int, spans) -> np.ndarray:
+def covered(n: int, starts, masks) -> np.ndarray:
     """Which of n words lie in a reported window."""
-    edge = np.zeros(n + 1, np.int64)
-    for s in spans or ():
-        mask, start = s["mask"], s["start"]
-        i = 0
-        while mask:
-            if mask & 1:
-                edge[start + i] += 1
-                edge[start + i + LENGTH] -= 1
-            mask >>= 1
-            i += 1
+    at, bit = np.nonzero((np.asarray(masks, np.int64)[:, None] >> np.arange(63)) & 1)
+    first = np.asarray(starts, np.int64)[at] + bit
+    edge = np.bincount(first, minlength=n + 1) - np.bincount(first + LENGTH, minlength=n + 1)
     return np.cumsum(edge[:n]) > 0
 
 
-def _strip(ws, spans):
-    if not spans:
-        return ws
-    gone = covered(len(ws), spans)
-    return [w for w, g in zip(ws, gone.tolist()) if not g]
+def _strip(ws, starts, masks):
+    return [w for w, g in zip(ws, covered(len(ws), starts, masks).tolist()) if not g]
 
 
 def _partly(spans: DataFrame):
@@ -429,11 +421,11 @@ def digests(docs: DataFrame) -> DataFrame:
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part, out = b.slice(at, 512), []
-                for n, sha, text, whole, spans in zip(*(part.column(c).to_pylist() for c in ("n_words", "sha", "text", "whole", "spans"))):
+                for n, sha, text, whole, starts, masks in zip(*(part.column(c).to_pylist() for c in ("n_words", "sha", "text", "whole", "starts", "masks"))):
                     if whole:
                         out.append((n, n, nothing))
-                    elif spans:
-                        kept = _strip(text.split(), spans)
+                    elif starts:
+                        kept = _strip(text.split(), starts, masks)
                         out.append((n, n - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
                     else:
                         out.append((n, 0, sha))
@@ -443,7 +435,7 @@ def digests(docs: DataFrame) -> DataFrame:
 
     light = rows.select("doc_id", "k1", "k2", "text", F.xxhash64("k1", "k2").alias("h")).mapInArrow(
         measure, "doc_id long, k1 long, k2 long, n_words long, sha string, text binary")
-    return (light.join(spans, ["k1", "k2"], "left").select("doc_id", "n_words", "sha", "text", "whole", "spans")
+    return (light.join(spans, ["k1", "k2"], "left").select("doc_id", "n_words", "sha", "text", "whole", "starts", "masks")
             .mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string"))
 
 
@@ -456,10 +448,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("__h", F.xxhash64("k1", "k2"))
 
     @F.pandas_udf("string")
-    def strip(text, spans):
+    def strip(text, starts, masks):
         import pandas as pd
-        return pd.Series([t if s is None or t is None else b" ".join(_strip(t.encode().split(), list(s))).decode()
-                          for t, s in zip(text, spans)])
+        return pd.Series([t if s is None or t is None else b" ".join(_strip(t.encode().split(), s, m)).decode()
+                          for t, s, m in zip(text, starts, masks)])
 
     def fields(changed):
         return [changed.get(c, F.col("__row").getField(c)).alias(c) for c in docs.columns]
@@ -467,8 +459,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     # only texts that may lose words are joined with the reports
     same = passing(rows.select("__row", "__h"), "__h", losing, hit=False).select(*fields({}))
     some = passing(rows.select("__row", "text", "k1", "k2", "__h"), "__h", losing).join(spans, ["k1", "k2"], "left")
-    text = F.when(F.col("whole"), F.lit("")).when(F.col("spans").isNotNull(), strip("text", "spans")).otherwise(F.col("text"))
-    some = some.select("__row", "text", "whole", "spans", text.alias("__text"))
+    text = F.when(F.col("whole"), F.lit("")).when(F.col("starts").isNotNull(), strip("text", "starts", "masks")).otherwise(F.col("text"))
+    some = some.select("__row", "text", "whole", text.alias("__text"))
     lost = F.col("whole").isNotNull()
     changed = {"text": F.col("__text"), "n_chars": F.when(lost, F.length("__text").cast("long")).otherwise(
         F.col("__row.n_chars") if "n_chars" in docs.columns else None)}
