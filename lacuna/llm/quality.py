@@ -1,13 +1,13 @@
 """Quality rules with cross-document line frequency (operator 6).
 
 Two scans, no row of text shuffled.  The first hashes the normalised lines (ASCII lower case,
-numbers as 0, white space runs as one space) of every whole text and counts, per host and line,
-the distinct texts that hold it.  A line above the limit (``min_texts`` and ``share`` of the
+numbers as 0, white space runs as one space), long or short, of every text and counts, per host
+and line, the distinct texts that hold it.  A line above the limit (``min_texts`` and ``share`` of the
 host's texts) is boilerplate of that host.  The second scan measures each text, removes its
 boilerplate lines and rejects a document of which fewer than ``min_left`` words, or less than
-``left_share`` of its words, remain.  Lines of more than ``max_line_words`` words are paragraphs,
-not boilerplate: a long paragraph that many documents share is the near-duplicate operators'
-work.  The host of a document is its ``source``.
+``left_share`` of its words, remain.  In lines of more than LONG_LINE words only numbers that
+stand alone become 0: paragraphs that differ in words such as w12 and w13 are different lines.
+The host of a document is its ``source``.
 
 Counting distinct texts, not rows, keeps a document that was merely copied many times.  The
 frequent lines of a host are few by arithmetic: at most (lines per text / share).
@@ -22,9 +22,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lacuna.llm.common import BLANKS, SPACE, WORD, ascii_lower, keep_where, let, small, stash, words
+from lacuna.llm.common import WORD, ascii_lower, keep_where, let, small, stash, words
 
 SYMBOLS = "[#*$%&|<>]"
+#: white space inside a line that is not one space already
+BLANK_RUN = r"[\x20\x09\x0B-\x0D]{2,}|[\x09\x0B-\x0D]"
+#: digits between characters that are neither letters nor digits
+NUMBER = r"[0-9](?<![\p{L}0-9][0-9])[0-9]*+(?!\p{L})"
+#: in lines of more words, digits that touch a letter (w12, 3rd) are part of a word and stay
+LONG_LINE = 20
 WINDOW = 5
 
 
@@ -58,19 +64,21 @@ def repeated_words(grams: Column) -> Column:
     return F.when(F.size(F.array_distinct(grams)) == F.size(grams), F.lit(0).cast("long")).otherwise(covered)
 
 
-def short_lines(lines: Column, max_line_words: int) -> Column:
-    """(hash of the normalised line, words) of each line short enough to be boilerplate; a line
-    is split no further than that takes."""
-    parts = F.transform(lines, lambda x: F.split(F.btrim(x, F.lit(BLANKS)), SPACE, max_line_words + 1))
-    return F.transform(F.filter(parts, lambda p: F.size(p) <= max_line_words), lambda p: F.struct(
-        F.xxhash64(ascii_lower(F.regexp_replace(F.array_join(p, " "), "[0-9]+", "0"))).alias("h"), F.size(p).alias("w")))
+def line_forms(text: Column) -> Column:
+    """The normalised form of each line, whatever its length; blank lines as "".  White space,
+    case and numbers are settled on the whole text, before one split; digits that touch a letter
+    only line by line, where the line has LONG_LINE words at most."""
+    flat = F.regexp_replace(F.coalesce(text, F.lit("")), BLANK_RUN, " ")
+    flat = ascii_lower(F.regexp_replace(flat, NUMBER, "0"))
+    return F.transform(F.transform(F.split(flat, "\n", -1), lambda x: F.trim(x)),
+                       lambda x: F.when(x.rlike("^(?:[^ ]+ ){%d}" % LONG_LINE), x).otherwise(F.regexp_replace(x, "[0-9]+", "0")))
 
 
-def frequent_lines(docs: DataFrame, min_texts: int, share: float, max_line_words: int) -> tuple[DataFrame, int]:
+def frequent_lines(docs: DataFrame, min_texts: int, share: float) -> tuple[DataFrame, int]:
     """(host, array of line hashes) for the lines above the limits, and the number of hosts."""
     base = docs.select(F.col("source").alias("host"), F.xxhash64("text").alias("t"),
-                       F.array_distinct(F.transform(short_lines(lines_with_words(F.col("text")), max_line_words),
-                                                    lambda s: s["h"])).alias("hs"))
+                       F.array_distinct(F.transform(F.filter(line_forms(F.col("text")), lambda x: x != ""),
+                                                    lambda x: F.xxhash64(x))).alias("hs"))
     lines = base.select("host", "t", F.explode("hs").alias("h"))
     # a text's lines are the same in each copy, so (host, line, text) repeats fold before the shuffle
     held = lines.groupBy("host", "h", "t").agg(F.lit(1).alias("one")).groupBy("host", "h").agg(F.count("*").alias("n"))
@@ -84,8 +92,7 @@ def frequent_lines(docs: DataFrame, min_texts: int, share: float, max_line_words
     return stash(over.groupBy("host").agg(F.sort_array(F.collect_list("h")).alias("frequent"))), n
 
 
-def measured(docs: DataFrame, frequent: DataFrame, n_hosts: int, min_left: int, left_share: float,
-             max_line_words: int) -> DataFrame:
+def measured(docs: DataFrame, frequent: DataFrame, n_hosts: int, min_left: int, left_share: float) -> DataFrame:
     """``docs`` (with source and text) plus one struct column __q of the counts and verdicts."""
     f = frequent.select(F.col("host").alias("__h"), F.col("frequent").alias("__f"))
     joined = (docs.join(small(f, n_hosts), docs["source"].eqNullSafe(F.col("__h")), "left")
@@ -93,8 +100,8 @@ def measured(docs: DataFrame, frequent: DataFrame, n_hosts: int, min_left: int,
               .withColumns({"__g": window_hashes(F.col("__ws")), "__n": F.size("__ws").cast("long"),
                             "__c": F.length(F.array_join("__ws", "")).cast("long")}))
     gone = F.when(F.col("__f").isNull(), F.lit(0)).otherwise(
-        F.aggregate(F.filter(short_lines(F.col("__ls"), max_line_words), lambda s: F.array_contains(F.col("__f"), s["h"])),
-                    F.lit(0), lambda a, s: a + s["w"])).cast("long")
+        F.aggregate(F.filter(line_forms(F.col("text")), lambda x: F.array_contains(F.col("__f"), F.xxhash64(x))),
+                    F.lit(0), lambda a, x: a + F.size(F.split(x, " ")))).cast("long")
     symbols = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(SYMBOLS)).cast("long")
     left = F.col("__n") - F.col("__gone")
     failed = (F.col("__n") < 10) | (100 * F.col("__r") > 20 * F.col("__n"))
@@ -107,17 +114,16 @@ def measured(docs: DataFrame, frequent: DataFrame, n_hosts: int, min_left: int,
             .drop("__ws", "__ls", "__g", "__n", "__c", "__r", "__gone", "__h", "__f"))
 
 
-def judge(docs: DataFrame, min_texts: int = 20, share: float = 0.02, max_line_words: int = 20, min_left: int = 10,
-          left_share: float = 0.3) -> DataFrame:
+def judge(docs: DataFrame, min_texts: int = 20, share: float = 0.02, min_left: int = 10, left_share: float = 0.3) -> DataFrame:
     """One row per document: doc_id, the counts, base_failed, kept."""
-    frequent, n = frequent_lines(docs, min_texts, share, max_line_words)
+    frequent, n = frequent_lines(docs, min_texts, share)
     d = docs.select("doc_id", "source", "text")
-    return measured(d, frequent, n, min_left, left_share, max_line_words).select("doc_id", "__q.*")
+    return measured(d, frequent, n, min_left, left_share).select("doc_id", "__q.*")
 
 
-def kept_documents(docs: DataFrame, min_texts: int = 20, share: float = 0.02, max_line_words: int = 20,
-                   min_left: int = 10, left_share: float = 0.3) -> DataFrame:
+def kept_documents(docs: DataFrame, min_texts: int = 20, share: float = 0.02, min_left: int = 10,
+                   left_share: float = 0.3) -> DataFrame:
     """The rows of ``docs`` that are kept, unchanged."""
-    frequent, n = frequent_lines(docs, min_texts, share, max_line_words)
+    frequent, n = frequent_lines(docs, min_texts, share)
     d = docs.select(F.struct("*").alias("__row"), "source", "text")
-    return keep_where(measured(d, frequent, n, min_left, left_share, max_line_words), F.col("__q.kept")).select("__row.*")
+    return keep_where(measured(d, frequent, n, min_left, left_share), F.col("__q.kept")).select("__row.*")

@@ -260,6 +260,16 @@ def test_lines_above_the_limit_deplete_documents(spark):
     assert all(v for d, v in got.items() if d != 100)
 
 
+def test_long_lines_above_the_limit_count(spark):
+    rng = random.Random(12)
+    notice = "  Licensed under\tthe terms " + prose(rng, 60) + " 2024 \r\n"
+    rows = [(i, notice.replace("2024", str(i)).replace("\t", "  ") + prose(rng, 200), None, "h") for i in range(30)]
+    rows += [(100, notice, None, "h"), (101, notice + "only three words", None, "h"), (102, notice, None, "g")]
+    got = {r.doc_id: r.kept for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not got[100] and not got[101]
+    assert all(v for d, v in got.items() if d not in (100, 101))
+
+
 # --- 7
 
 HEAD = "<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a='<p>no</p>'</script></head><body>"
