@@ -6,8 +6,9 @@ starts with the rule's path; the longest wins.  Every other URL is judged by its
 The tree is built level by level from counts, one aggregation per level.  Under each node a
 segment stays literal when it holds ``min_share`` of the node's URLs and ``min_count`` of them
 and has a non-digit; all others become the wildcard ``*``.  Siblings are then put in order of
-smoothed label rates, and neighbours whose rates a two-proportion test (2 sigma) cannot tell
-apart become one branch, so thin branches borrow each other's labels.  A node's bad rate is
+smoothed label rates, and a sibling that a two-proportion test (2 sigma) cannot tell from the
+labelled one before it (nor, with SURE labels, from the branch so far) joins its branch, so thin branches borrow each other's labels; one without
+labels joins the branch before its place and ties no two branches together.  A node's bad rate is
 (bad + strength * parent rate) / (labelled + strength), from the corpus rate down; a template is
 blocked when its rate of good labels, so smoothed, is under ``min_purity``.  Segments below
 ``depth`` belong to the last node.  Siblings per node are at most 1 / min_share + 2.
@@ -19,7 +20,7 @@ empty tables give no rows; extra columns, whatever their names, are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lacuna.llm.common import ascii_lower, let, small, stash
@@ -29,6 +30,8 @@ RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org"
          ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 ANY = "*"
 END = ""
+#: labels from which a sibling and its branch so far are compared as a whole
+SURE = 30
 
 
 def parts(url: Column) -> Column:
@@ -59,6 +62,32 @@ def segments(path: Column, depth: int) -> list[Column]:
     return [F.coalesce(F.get(s, F.lit(i)), F.lit(END)) for i in range(depth)]
 
 
+def branch_starts(sib: DataFrame) -> DataFrame:
+    """From labelled siblings (host, node, rate, l, b): (host, node, starts), where the second and
+    later branches begin in order of rate.  Each sibling is held against the one before it and, when both
+    have SURE labels, against its whole branch so far, so that no chain of thin siblings ties two
+    known rates; siblings of equal counts are one entry, so a node's entries stay few."""
+    entries = sib.groupBy("host", "node", "rate", "l", "b").agg(F.count("*").cast("double").alias("c"))
+    lists = entries.groupBy("host", "node").agg(F.sort_array(F.collect_list(F.struct("rate", "l", "b", "c"))).alias("e"))
+
+    def differ(pl, pb, ln, bn):
+        d = bn * pl - pb * ln
+        return d * d * (pl + ln) > 4.0 * (pb + bn) * (pl + ln - pb - bn) * pl * ln
+
+    def step(a, x):
+        ln, bn = x["l"].cast("double"), x["b"].cast("double")
+        known = (ln >= SURE) & (a["l"] >= SURE)
+        apart = differ(a["pl"], a["pb"], ln, bn) | (known & differ(a["l"], a["b"], ln, bn))
+        key = F.struct(x["rate"].alias("rate"), x["l"].alias("l"), x["b"].alias("b"))
+        return F.struct(ln.alias("pl"), bn.alias("pb"), (F.when(apart, 0.0).otherwise(a["l"]) + ln * x["c"]).alias("l"),
+                        (F.when(apart, 0.0).otherwise(a["b"]) + bn * x["c"]).alias("b"),
+                        F.when(apart, F.concat(a["starts"], F.array(key))).otherwise(a["starts"]).alias("starts"))
+
+    first = F.struct(*[F.lit(0.0).alias(c) for c in ("pl", "pb", "l", "b")],
+                     F.array().cast("array<struct<rate:double,l:bigint,b:bigint>>").alias("starts"))
+    return lists.select("host", "node", F.aggregate("e", first, step)["starts"].alias("starts"))
+
+
 def template_verdicts(urls: DataFrame, depth: int = 3, min_share: float = 0.05, min_count: int = 3,
                       strength: float = 5.0, min_purity: float = 0.5) -> DataFrame:
     """From (host, s1..sN, bad) rows: (host, s1..sN, template, verdict) for each distinct path."""
@@ -81,11 +110,10 @@ def template_verdicts(urls: DataFrame, depth: int = 3, min_share: float = 0.05,
         sib = kids.groupBy("host", "node", "t").agg(
             F.sum("kn").alias("n"), F.sum("kl").alias("l"), F.sum("kb").alias("b"), F.first("up_rate").alias("up_rate"))
         sib = sib.withColumn("rate", (F.col("b") + strength * F.col("up_rate")) / (F.col("l") + strength))
-        order = Window.partitionBy("host", "node").orderBy("rate", "t")
-        pl, pb = F.lag("l").over(order).cast("double"), F.lag("b").over(order).cast("double")
-        ln, bn = F.col("l").cast("double"), F.col("b").cast("double")
-        apart = (bn * pl - pb * ln) * (bn * pl - pb * ln) * (pl + ln) > 4.0 * (pb + bn) * (pl + ln - pb - bn) * pl * ln
-        sib = sib.withColumn("cut", F.when(apart, 1).otherwise(0)).withColumn("branch", F.sum("cut").over(order))
+        cuts = branch_starts(sib.filter("l > 0"))
+        at = F.struct("rate", "l", "b")
+        sib = sib.join(cuts, ["host", "node"], "left").withColumn(
+            "branch", F.coalesce(F.size(F.filter("starts", lambda x: x <= at)), F.lit(0)))
         merged = sib.groupBy("host", "node", "branch").agg(
             F.sum("n").alias("m_n"), F.sum("l").alias("m_l"), F.sum("b").alias("m_b"), F.first("up_rate").alias("m_up"),
             F.concat_ws("|", F.sort_array(F.collect_list("t"))).alias("names"))

@@ -127,6 +127,20 @@ def test_templates_follow_labels(spark):
     assert {r.template for r in got} == {"/junk/*/", "/fine|good/*/"}  # equal branches are one
 
 
+def test_unlabelled_and_thin_siblings_tie_no_branches(spark):
+    def verdicts(rows):
+        df = spark.createDataFrame([(i, u, b) for i, (u, b) in enumerate(rows)], "page_id long, url string, bad int")
+        return {r.path.split("/")[1]: r.verdict for r in urls.judge_urls(df).collect()}
+
+    rows = [(f"http://h.net/{kind}/{i}", int(kind == "junk")) for kind in ("junk", "good") for i in range(60)]
+    rows += [("http://h.net/", None)] * 3 + [(f"http://h.net/new/{i}", None) for i in range(40)]
+    got = verdicts(rows)
+    assert got["junk"] == "block" and got["good"] == "allow"
+    rows += [(f"http://h.net/mix{b}/{i}", int(i < b)) for b in range(11) for i in range(10)]
+    got = verdicts(rows)  # neighbours in a chain of thin sections are never apart, its ends are
+    assert got["junk"] == "block" and got["good"] == "allow"
+
+
 # --- 3
 
 def test_mixing_meets_targets(odd, none):
