@@ -141,6 +141,16 @@ def test_unlabelled_and_thin_siblings_tie_no_branches(spark):
     assert got["junk"] == "block" and got["good"] == "allow"
 
 
+def test_thin_and_deep_sections_have_their_own_verdicts(spark):
+    rows = [(f"http://wide.net/s{chr(97 + k)}/{i}", int(k == 7)) for k in range(25) for i in range(40)]
+    rows += [(f"http://deep.net/a/b/c/{kind}/d/{i}", int(kind == "bad")) for kind in ("good", "bad") for i in range(30)]
+    rows += [("http://lone.net/" + "x/" * 300, None)]
+    df = spark.createDataFrame([(i, u, b) for i, (u, b) in enumerate(rows)], "page_id long, url string, bad int")
+    got = urls.judge_urls(df).collect()
+    assert len(got) == len(rows)
+    assert all((r.verdict == "block") == ("/sh/" in r.path or "/bad/" in r.path) for r in got)
+
+
 # --- 3
 
 def test_mixing_meets_targets(odd, none):
