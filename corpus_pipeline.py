@@ -18,8 +18,8 @@ from lacuna.session import checkpoint_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: documents that the rules reject go."""
-    return quality.kept_documents(docs)
+    """Operator 6: documents that the rules reject go, and boilerplate lines of the others."""
+    return quality.cleaned_documents(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,8 +3,8 @@
 Two scans, no row of text shuffled.  The first hashes the normalised lines (ASCII lower case,
 numbers as 0, white space runs as one space), long or short, of every text and counts, per host
 and line, the distinct texts that hold it.  A line above the limit (``min_texts`` and ``share`` of the
-host's texts) is boilerplate of that host.  The second scan measures each text, removes its
-boilerplate lines and rejects a document of which fewer than ``min_left`` words, or less than
+host's texts) is boilerplate of that host.  The second scan measures each text less its
+boilerplate lines (``cleaned_documents`` also returns it so) and rejects a document of which fewer than ``min_left`` words, or less than
 ``left_share`` of its words, remain.  In lines of more than LONG_LINE words only numbers that
 stand alone become 0: paragraphs that differ in words such as w12 and w13 are different lines.
 The host of a document is its ``source``.
@@ -14,7 +14,7 @@ frequent lines of a host are few by arithmetic: at most (lines per text / share)
 
 Cases: a null or empty text has no words and fails the base rules; null is a host of its own;
 ties and repeated rows count once per distinct text; empty tables give no rows; extra columns
-pass through in ``kept_documents`` and are not read by ``judge``.
+pass through in ``kept_documents`` and ``cleaned_documents`` and are not read by ``judge``.
 """
 
 from __future__ import annotations
@@ -127,3 +127,25 @@ def kept_documents(docs: DataFrame, min_texts: int = 20, share: float = 0.02, mi
     frequent, n = frequent_lines(docs, min_texts, share)
     d = docs.select(F.struct("*").alias("__row"), "source", "text")
     return keep_where(measured(d, frequent, n, min_left, left_share), F.col("__q.kept")).select("__row.*")
+
+
+def cleaned_documents(docs: DataFrame, min_texts: int = 20, share: float = 0.02, min_left: int = 10,
+                      left_share: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` that are kept, their texts without the boilerplate lines of their host
+    and ``n_chars`` counted anew where a line went; all other rows and columns as they were."""
+    frequent, n = frequent_lines(docs, min_texts, share)
+    d = docs.select(F.struct("*").alias("__row"), "source", "text")
+    kept = keep_where(measured(d, frequent, n, min_left, left_share), F.col("__q.kept")).select("__row", "source", "text")
+    f = frequent.select(F.col("host").alias("__h"), F.col("frequent").alias("__f"))
+    lines = F.split("text", "\n", -1)
+    rest = let(line_forms(F.col("text")), lambda k: F.filter(
+        lines, lambda x, i: ~F.array_contains(F.col("__f"), F.xxhash64(F.get(k, i)))))
+    out = (kept.join(small(f, n), kept["source"].eqNullSafe(F.col("__h")), "left")
+           .withColumn("__rest", F.when(F.col("__f").isNotNull(), rest))
+           .withColumn("__less", F.coalesce(F.size("__rest") < F.size(lines), F.lit(False)))
+           .withColumn("__text", F.when(F.col("__less"), F.array_join("__rest", "\n")).otherwise(F.col("text"))))
+    changed = {"text": F.col("__text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = (F.when(F.col("__less"), F.length("__text").cast("long"))
+                              .otherwise(F.col("__row.n_chars")).cast(docs.schema["n_chars"].dataType))
+    return out.select(*[changed.get(c, F.col("__row").getField(c)).alias(c) for c in docs.columns])

@@ -294,6 +294,20 @@ def test_long_lines_above_the_limit_count(spark):
     assert all(v for d, v in got.items() if d not in (100, 101))
 
 
+def test_boilerplate_lines_leave_the_stage(spark, odd, none):
+    rng = random.Random(13)
+    line = "Home 7 | About us"
+    body = [prose(rng, 60) + "\n\n " + prose(rng, 30) for _ in range(30)]
+    rows = [(i, "\r\n" + line.replace("7", str(i)) + "\n" + b, "en", "h", 5) for i, b in enumerate(body)]
+    rows += [(50, line + "\n" + body[0], "en", "g", 5), (51, "a\n" + body[1], None, None, 5), (52, line + " only", "en", "h", 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    stage = dict(importlib.import_module("corpus_pipeline").STAGES)["quality_rules"]
+    want = [(i, "\r\n" + b, len(b) + 2) for i, b in enumerate(body)] + [(r[0], r[1], 5) for r in rows[30:32]]
+    assert key(pairs(stage(spark, df, SF), "doc_id", "text", "n_chars")) == key(want)
+    assert quality.cleaned_documents(odd).columns == odd.columns and quality.cleaned_documents(none).count() == 0
+    assert key(docs_of(quality.cleaned_documents(odd))) == key(docs_of(quality.kept_documents(odd)))
+
+
 # --- 7
 
 HEAD = "<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a='<p>no</p>'</script></head><body>"
