@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacuna.session import checkpoint_dir
+from lacuna.session import checkpoint_dir, delete_on_exit
 
 #: one run of white space and one word, as regular expressions (fixed values of the contracts)
 SPACE = r"[\x20\x09-\x0D]+"
@@ -31,14 +31,16 @@ def stash(df: DataFrame) -> DataFrame:
     them.  The folder goes when the session's file system closes.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/lacuna-llm/{uuid.uuid4().hex}"
+    path = scratch(spark)
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new path in the shared checkpoint folder; it goes when the session's file system closes."""
+    return delete_on_exit(spark, f"{checkpoint_dir(spark).rstrip('/')}/lacuna-llm/{uuid.uuid4().hex}")
+
+
 def words(text: Column) -> Column:
     """The words of a text, in order; a null text has none."""
     bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
@@ -65,6 +67,27 @@ def keep_where(df: DataFrame, condition: Column) -> DataFrame:
             .filter(condition & (F.col("__row_number_in_part") >= 0)).drop("__row_number_in_part"))
 
 
+#: keys that hold over one part in this many of all rows are joined by broadcast
+HEAVY_KEYS = 10_000
+
+
+def lookup(rows: DataFrame, table: DataFrame, key: str, weight: str) -> DataFrame:
+    """Left join of ``rows`` with a written ``table`` of unique keys and a few fixed-width columns.
+
+    ``weight`` is the number of ``rows`` with the key.  A short table is broadcast.  Of a long one
+    the keys that hold more than 1 / HEAVY_KEYS of the rows are, fewer than HEAVY_KEYS of them by
+    that measure; the rest meet by a shuffle in which no key is large.
+    """
+    n, total = table.agg(F.count("*"), F.coalesce(F.sum(weight), F.lit(0))).first()
+    if n <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(table.drop(weight)), key, "left")
+    heavy = table.filter(F.col(weight) * HEAVY_KEYS > total).drop(weight).withColumn("__heavy", F.lit(True))
+    light = table.filter(F.col(weight) * HEAVY_KEYS <= total).drop(weight)
+    met = rows.join(F.broadcast(heavy), key, "left")
+    rest = met.filter(F.col("__heavy").isNull()).select(*rows.columns)
+    return met.filter("__heavy").drop("__heavy").unionByName(rest.join(light, key, "left"))
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """``df`` marked for broadcast when its counted rows are within the bound."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df

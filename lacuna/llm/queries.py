@@ -1,11 +1,11 @@
-"""The registered queries op1 to op10: each applies its operator to the whole table."""
+"""The registered queries op1 to op13: each applies its operator to the whole table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacuna.llm import chat, hilbert, html_text, mixing, packing, quality, simhash, substring, topk, urls
+from lacuna.llm import chat, hilbert, html_text, mixing, negatives, packing, quality, simhash, substring, topk, trie, urls, warc
 from lacuna.llm.common import table
 from lacuna.llm.sql import ORACLES
 
@@ -67,8 +67,21 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.render(chat.reconstruct(chat.row_events(rows.unionByName(extra)))))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0, segment_bytes=4096, chunk_bytes=1024)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(trie.rebuilt(trie.turn_lists(table(spark, sf_dir, "conversations"))))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_url_filters, op3_mixing, op4_packing, op5_topk, op6_quality, op7_html,
-                                   op8_substring, op9_sharding, op10_chat)}
+                                   op8_substring, op9_sharding, op10_chat, op11_warc, op12_prefix_trie, op13_hard_negatives)}
 
 
 def queries() -> dict:
