@@ -8,8 +8,8 @@ UTF-8, is in chunked transfer framing) or, where another record holds the same p
 length.  Spark's text writer puts one record after another into gzip files, byte for byte, on
 whatever file system the folder lies.
 
-Reading: a gzip file is read in order by one task, cut at ``CRLF CRLF WARC/``.  Payloads may hold
-that string too, so a record is put together again from as many pieces as its Content-Length
+Reading: a gzip file is read in order by one task, cut at ``WARC/``.  Payloads may hold that string
+too, so a record is put together again from as many pieces as its Content-Length
 asks for.  Uncut records are done then.  Segments, wherever they lie, are grouped by origin,
 ordered by number and checked: numbers from 1 without a gap, total length as stated.  Then the
 HTTP head goes, chunked framing is decoded, and the payload's SHA-1 is held against the header.
@@ -42,7 +42,8 @@ from lacuna.llm.common import lookup, scratch, stash
 
 CRLF = b"\r\n"
 END = b"\r\n\r\n"
-CUT = "\r\n\r\nWARC/"
+#: where files are cut; no part of it repeats inside it, so a reader's buffer end cannot hide one
+CUT = "WARC/"
 SEGMENT_BYTES = 1 << 30
 CHUNK_BYTES = 4096
 DATE = "1970-01-01T00:00:00Z"
@@ -152,7 +153,7 @@ class _Open:
             self.size += len(CUT)
         self.parts.append(piece)
         self.size += len(piece)
-        if self.need is None:  # the cut itself holds the end of a head: two pieces at most
+        if self.need is None:
             data = b"".join(self.parts)
             at = data.find(END)
             if at >= 0:
@@ -198,7 +199,8 @@ def records(spark: SparkSession, folder: str, plain: bool = False) -> DataFrame:
                     if now:
                         held.append(now.row())
                     file, now = name, None
-                    piece = piece.removeprefix(CUT[4:].encode())
+                    if not piece:  # before the first record
+                        continue
                 now = now or _Open()
                 now.add(piece)
                 if now.done():
