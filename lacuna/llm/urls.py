@@ -12,7 +12,9 @@ labelled one before it (nor, with SURE labels, from the branch so far) joins its
 labels joins the branch before its place and ties no two branches together.  A node's bad rate is
 (bad + strength * parent rate) / (labelled + strength), from the corpus rate down; a template is
 blocked when its rate of good labels, so smoothed, is under ``min_purity``.  A path ends with an
-empty segment.  A branch of more than NAMES segments is named by its first and their number.
+empty segment.  Nodes are told apart by their parent and the number of their branch; the template shown is made of
+names, in which a literal ``|``, ``*`` or ``\\`` has a backslash, and a branch of more than NAMES segments shows its first and
+their number.
 
 Cases: null or no ``://`` gives empty host and path, which form a host like any other; null
 labels are unlabelled; repeated rows each count; without any label everything is allowed;
@@ -64,6 +66,11 @@ def segments(path: Column) -> Column:
     return F.filter(F.split(path, "/"), lambda x: x != "")
 
 
+def shown(segment: Column) -> Column:
+    """A literal segment as part of a name: never the wildcard, never two segments."""
+    return F.regexp_replace(segment, r"([\\|*])", r"\\$1")
+
+
 def branch_starts(sib: DataFrame) -> DataFrame:
     """From labelled siblings (host, node, rate, l, b): (host, node, starts), where the second and
     later branches begin in order of rate.  Each sibling is held against the one before it and, when both
@@ -100,7 +107,7 @@ def template_verdicts(urls: DataFrame, min_share: float = 0.05, min_count: int =
     hosts = stash(leaf.groupBy("host").agg(F.sum("labelled").alias("hl"), F.sum("bad").alias("hb"), F.sum("n").alias("up_n"),
                                            F.count("*").alias("up_k")))
     top = bad / labelled if labelled else 0.0
-    tree = stash(leaf.join(small(hosts, hosts.count()), "host").withColumn("node", F.lit(""))
+    tree = stash(leaf.join(small(hosts, hosts.count()), "host").withColumns({"node": F.lit(""), "name": F.lit("")})
                  .withColumn("up_rate", (F.col("hb") + strength * F.lit(top)) / (F.col("hl") + strength)).drop("hl", "hb"))
     out, level = None, 0
     while True:
@@ -122,11 +129,11 @@ def alone(tree: DataFrame, level: int, min_count: int, strength: float) -> DataF
 
     def step(a, x):
         literal = (x == END) | ((F.col("n") >= min_count) & x.rlike("[^0-9]"))
-        return F.struct(F.concat(a["node"], F.lit("/"), F.when(literal, x).otherwise(ANY)).alias("node"),
+        return F.struct(F.concat(a["name"], F.lit("/"), F.when(literal, shown(x)).otherwise(ANY)).alias("name"),
                         ((F.col("bad") + strength * a["rate"]) / (F.col("labelled") + strength)).alias("rate"))
 
-    end = F.aggregate(left, F.struct(F.col("node"), F.col("up_rate").alias("rate")), step)
-    return tree.withColumn("end", end).select("host", "segs", F.col("end.node").alias("template"), F.col("end.rate").alias("bad_rate"))
+    end = F.aggregate(left, F.struct(F.col("name"), F.col("up_rate").alias("rate")), step)
+    return tree.withColumn("end", end).select("host", "segs", F.col("end.name").alias("template"), F.col("end.rate").alias("bad_rate"))
 
 
 def grown(tree: DataFrame, level: int, min_share: float, min_count: int, strength: float) -> DataFrame:
@@ -137,7 +144,7 @@ def grown(tree: DataFrame, level: int, min_share: float, min_count: int, strengt
         F.first("up_n").alias("up_n"), F.first("up_rate").alias("up_rate"))
     own = (F.col("kn") >= F.col("up_n") * min_share) | (F.col("kl") >= min_count) | (F.col("kn") >= F.sqrt("up_n"))
     literal = (F.col("seg") == END) | ((F.col("kn") >= min_count) & own & F.col("seg").rlike("[^0-9]"))
-    kids = stash(kids.withColumn("t", F.when(literal, F.col("seg")).otherwise(ANY)))
+    kids = stash(kids.withColumn("t", F.when(literal, shown(F.col("seg"))).otherwise(ANY)))
     sib = kids.groupBy("host", "node", "t").agg(
         F.sum("kn").alias("n"), F.sum("kl").alias("l"), F.sum("kb").alias("b"), F.sum("kk").alias("k"), F.first("up_rate").alias("up_rate"))
     sib = sib.withColumn("rate", (F.col("b") + strength * F.col("up_rate")) / (F.col("l") + strength))
@@ -152,12 +159,13 @@ def grown(tree: DataFrame, level: int, min_share: float, min_count: int, strengt
     named = few.groupBy("host", "node", "branch").agg(F.concat_ws("|", F.sort_array(F.collect_list("t"))).alias("all"))
     names = F.coalesce("all", F.concat("m_first", F.lit("|+"), F.col("m_t") - 1))
     merged = (sib.select("host", "node", "branch", "t").join(merged.join(named, ["host", "node", "branch"], "left"), ["host", "node", "branch"])
-              .withColumn("to", F.concat("node", F.lit("/"), names))
+              .withColumns({"to": F.concat("node", F.lit("/"), F.col("branch").cast("string")), "as": names})
               .withColumn("m_rate", (F.col("m_b") + strength * F.col("m_up")) / (F.col("m_l") + strength)))
     # every distinct segment's new node, joined back to the leaves below it
     step = (kids.select("host", "node", "seg", "t").join(merged, ["host", "node", "t"])
-            .select("host", "node", "seg", "to", "m_n", "m_k", "m_rate"))
-    return stash(tree.drop("up_n", "up_k", "up_rate").join(step, ["host", "node", "seg"]).drop("node", "seg")
+            .select("host", "node", "seg", "to", "as", "m_n", "m_k", "m_rate"))
+    return stash(tree.drop("up_n", "up_k", "up_rate").join(step, ["host", "node", "seg"])
+                 .withColumn("name", F.concat("name", F.lit("/"), "as")).drop("node", "seg", "as")
                  .withColumnsRenamed({"to": "node", "m_n": "up_n", "m_k": "up_k", "m_rate": "up_rate"}))
 
 
