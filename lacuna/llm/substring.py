@@ -94,6 +94,22 @@ class Chunk:
         return self.raw[self.start[first]:self.end[first + n - 1]]
 
 
+def minimizer_places(grams: np.ndarray, w: int) -> np.ndarray:
+    """Place of the least of each ``w`` grams, the first of equal ones.  Places are OR-ed into the low
+    bits of the hashes; a longer run is read in overlapping slices that those bits can number."""
+    out, step = np.zeros(len(grams) - w + 1, np.int64), int(_PLACE) + 2 - w
+    for at in range(0, len(out), step):
+        part = grams[at:at + step + w - 1]
+        least = (part & ~_PLACE) | np.arange(len(part), dtype=np.uint64)
+        span = 1
+        while 2 * span <= w:
+            least = np.minimum(least[:-span], least[span:])
+            span *= 2
+        least = np.minimum(least[:len(least) - (w - span)], least[w - span:])
+        out[at:at + len(least)] = (least & _PLACE).astype(np.int64) + at
+    return out
+
+
 def segments(chunk: Chunk, length: int = LENGTH, gram: int = GRAM):
     """Segments of a chunk: arrays text, start (word of the text), windows, minimizer hash,
     content hash, and first word in the chunk."""
@@ -105,19 +121,13 @@ def segments(chunk: Chunk, length: int = LENGTH, gram: int = GRAM):
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * up[:n], dtype=np.uint64)))
     sums2 = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(h, 1) * up[:n], dtype=np.uint64)))
     grams = mixed((sums[gram:] - sums[:n - gram + 1]) * down[:n - gram + 1], 2)
-    w = length - gram + 1
-    least = (grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64)
-    span = 1
-    while 2 * span <= w:
-        least = np.minimum(least[:-span], least[span:])
-        span *= 2
-    least = np.minimum(least[:len(least) - (w - span)], least[w - span:])
-    doc = np.repeat(np.arange(len(sizes)), sizes)[:len(least)]
-    at = np.flatnonzero(np.arange(len(least)) + length <= ends[doc])
+    places = minimizer_places(grams, length - gram + 1)
+    doc = np.repeat(np.arange(len(sizes)), sizes)[:len(places)]
+    at = np.flatnonzero(np.arange(len(places)) + length <= ends[doc])
     if not len(at):
         z = np.zeros(0, np.int64)
         return z, z, z, z.view(np.uint64), z.view(np.uint64), z
-    place = (least[at] & _PLACE).astype(np.int64)
+    place = places[at]
     new = np.concatenate(([True], (np.diff(place) != 0) | (np.diff(at) != 1) | (np.diff(doc[at]) != 0)))
     first = np.flatnonzero(new)
     count = np.diff(np.concatenate((first, [len(at)])))
