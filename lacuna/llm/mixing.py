@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lacuna.llm.common import keep_where, n_words, small, stash, words
+from lacuna.llm.common import keep_where, n_words, small, stash
 
 HASH_BITS = 60
 LEVEL_BITS = 10
@@ -134,16 +134,12 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: tuple = (3, 2), repeat
 
 def mixed_documents(docs: DataFrame, weights: tuple = WEIGHTS, share: tuple = (3, 2), repeat: int = 2,
                     seed: int = 7) -> DataFrame:
-    """The mix itself, with the columns of ``docs``: a row per copy taken; a copy taken in part
-    keeps its first words, joined by one space."""
+    """The mix itself, with the columns of ``docs``: an unchanged row per copy taken; of the row at the
+    threshold, which ``mix`` counts in part, one more copy when at least half of it is due."""
     rows = sized(docs.select(F.struct("*").alias("__row"), "doc_id", "source", "text"), seed)
     plan, n = plan_mix(stash(rows.select("source", "__size", "__hash")), weights, share, repeat)
     took = keep_where(apply_mix(rows, plan, n), F.col("__taken") > 0)
     whole = F.expr("__taken div __size")
     rest = F.col("__taken") - whole * F.col("__size")
-    out = took.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), whole + F.when(rest > 0, 1).otherwise(0))))
-    cut = F.array_join(F.slice(words(F.col("text")), 1, rest.cast("int")), " ")
-    part = F.col("__copy") > whole
-    changed = {"text": F.when(part, cut).otherwise(F.col("text")),
-               "n_chars": F.when(part, F.length(cut).cast("long")).otherwise(F.col("__row.n_chars") if "n_chars" in docs.columns else None)}
-    return out.select(*[(changed[c] if c in changed else F.col("__row").getField(c)).alias(c) for c in docs.columns])
+    copies = whole + F.when(2 * rest >= F.col("__size"), 1).otherwise(0)
+    return took.select("__row", F.explode(F.array_repeat(F.lit(0), copies.cast("int"))).alias("__copy")).select("__row.*")
