@@ -5,9 +5,8 @@ numbers as 0, white space runs as one space), long or short, of every text and c
 and line, the distinct texts that hold it.  A line above the limit (``min_texts`` and ``share`` of the
 host's texts) is boilerplate of that host.  The second scan measures each text less its
 boilerplate lines (``cleaned_documents`` also returns it so) and rejects a document of which fewer than ``min_left`` words, or less than
-``left_share`` of its words, remain.  In lines of more than LONG_LINE words only numbers that
-stand alone become 0: paragraphs that differ in words such as w12 and w13 are different lines.
-The host of a document is its ``source``.
+``left_share`` of its words, remain.  Numbers that stand alone become 0; digits that touch a letter (w12,
+3rd) are part of a word and stay, in lines of any length.  The host of a document is its ``source``.
 
 Counting distinct texts, not rows, keeps a document that was merely copied many times.  The
 frequent lines of a host are few by arithmetic: at most (lines per text / share).
@@ -29,9 +28,9 @@ SYMBOLS = "[#*$%&|<>]"
 BLANK_RUN = r"[\x20\x09\x0B-\x0D]{2,}|[\x09\x0B-\x0D]"
 #: digits between characters that are neither letters nor digits
 NUMBER = r"[0-9](?<![\p{L}0-9][0-9])[0-9]*+(?!\p{L})"
-#: in lines of more words, digits that touch a letter (w12, 3rd) are part of a word and stay
-LONG_LINE = 20
 WINDOW = 5
+#: the frequent lines of all hosts are broadcast up to this size
+BROADCAST_BYTES = 64 << 20
 
 
 def lines_with_words(text: Column) -> Column:
@@ -66,16 +65,15 @@ def repeated_words(grams: Column) -> Column:
 
 def line_forms(text: Column) -> Column:
     """The normalised form of each line, whatever its length; blank lines as "".  White space,
-    case and numbers are settled on the whole text, before one split; digits that touch a letter
-    only line by line, where the line has LONG_LINE words at most."""
+    case and numbers are settled on the whole text, before one split."""
     flat = F.regexp_replace(F.coalesce(text, F.lit("")), BLANK_RUN, " ")
     flat = ascii_lower(F.regexp_replace(flat, NUMBER, "0"))
-    return F.transform(F.transform(F.split(flat, "\n", -1), lambda x: F.trim(x)),
-                       lambda x: F.when(x.rlike("^(?:[^ ]+ ){%d}" % LONG_LINE), x).otherwise(F.regexp_replace(x, "[0-9]+", "0")))
+    return F.transform(F.split(flat, "\n", -1), lambda x: F.trim(x))
 
 
-def frequent_lines(docs: DataFrame, min_texts: int, share: float) -> tuple[DataFrame, int]:
-    """(host, array of line hashes) for the lines above the limits, and the number of hosts."""
+def frequent_lines(docs: DataFrame, min_texts: int, share: float) -> DataFrame:
+    """(host, array of line hashes) for the lines above the limits, marked for broadcast when its
+    measured bytes are within the bound."""
     base = docs.select(F.col("source").alias("host"), F.xxhash64("text").alias("t"),
                        F.array_distinct(F.transform(F.filter(line_forms(F.col("text")), lambda x: x != ""),
                                                     lambda x: F.xxhash64(x))).alias("hs"))
@@ -89,13 +87,15 @@ def frequent_lines(docs: DataFrame, min_texts: int, share: float) -> tuple[DataF
     hosts = hosts.select(F.col("host").alias("__h"), "texts")
     over = (often.join(small(hosts, n), often.host.eqNullSafe(F.col("__h")))
             .filter(F.col("n") >= F.col("texts") * share))
-    return stash(over.groupBy("host").agg(F.sort_array(F.collect_list("h")).alias("frequent"))), n
+    got = stash(over.groupBy("host").agg(F.sort_array(F.collect_list("h")).alias("frequent")))
+    size = got.agg(F.sum(8 * F.size("frequent") + 64 + F.length(F.coalesce("host", F.lit(""))))).first()[0] or 0
+    return F.broadcast(got) if size <= BROADCAST_BYTES else got
 
 
-def measured(docs: DataFrame, frequent: DataFrame, n_hosts: int, min_left: int, left_share: float) -> DataFrame:
+def measured(docs: DataFrame, frequent: DataFrame, min_left: int, left_share: float) -> DataFrame:
     """``docs`` (with source and text) plus one struct column __q of the counts and verdicts."""
     f = frequent.select(F.col("host").alias("__h"), F.col("frequent").alias("__f"))
-    joined = (docs.join(small(f, n_hosts), docs["source"].eqNullSafe(F.col("__h")), "left")
+    joined = (docs.join(f, docs["source"].eqNullSafe(F.col("__h")), "left")
               .withColumns({"__ws": words(F.col("text")), "__ls": lines_with_words(F.col("text"))})
               .withColumns({"__g": window_hashes(F.col("__ws")), "__n": F.size("__ws").cast("long"),
                             "__c": F.length(F.array_join("__ws", "")).cast("long")}))
@@ -116,31 +116,31 @@ def measured(docs: DataFrame, frequent: DataFrame, n_hosts: int, min_left: int,
 
 def judge(docs: DataFrame, min_texts: int = 20, share: float = 0.02, min_left: int = 10, left_share: float = 0.3) -> DataFrame:
     """One row per document: doc_id, the counts, base_failed, kept."""
-    frequent, n = frequent_lines(docs, min_texts, share)
+    frequent = frequent_lines(docs, min_texts, share)
     d = docs.select("doc_id", "source", "text")
-    return measured(d, frequent, n, min_left, left_share).select("doc_id", "__q.*")
+    return measured(d, frequent, min_left, left_share).select("doc_id", "__q.*")
 
 
 def kept_documents(docs: DataFrame, min_texts: int = 20, share: float = 0.02, min_left: int = 10,
                    left_share: float = 0.3) -> DataFrame:
     """The rows of ``docs`` that are kept, unchanged."""
-    frequent, n = frequent_lines(docs, min_texts, share)
+    frequent = frequent_lines(docs, min_texts, share)
     d = docs.select(F.struct("*").alias("__row"), "source", "text")
-    return keep_where(measured(d, frequent, n, min_left, left_share), F.col("__q.kept")).select("__row.*")
+    return keep_where(measured(d, frequent, min_left, left_share), F.col("__q.kept")).select("__row.*")
 
 
 def cleaned_documents(docs: DataFrame, min_texts: int = 20, share: float = 0.02, min_left: int = 10,
                       left_share: float = 0.3) -> DataFrame:
     """The rows of ``docs`` that are kept, their texts without the boilerplate lines of their host
     and ``n_chars`` counted anew where a line went; all other rows and columns as they were."""
-    frequent, n = frequent_lines(docs, min_texts, share)
+    frequent = frequent_lines(docs, min_texts, share)
     d = docs.select(F.struct("*").alias("__row"), "source", "text")
-    kept = keep_where(measured(d, frequent, n, min_left, left_share), F.col("__q.kept")).select("__row", "source", "text")
+    kept = keep_where(measured(d, frequent, min_left, left_share), F.col("__q.kept")).select("__row", "source", "text")
     f = frequent.select(F.col("host").alias("__h"), F.col("frequent").alias("__f"))
     lines = F.split("text", "\n", -1)
     rest = let(line_forms(F.col("text")), lambda k: F.filter(
         lines, lambda x, i: ~F.array_contains(F.col("__f"), F.xxhash64(F.get(k, i)))))
-    out = (kept.join(small(f, n), kept["source"].eqNullSafe(F.col("__h")), "left")
+    out = (kept.join(f, kept["source"].eqNullSafe(F.col("__h")), "left")
            .withColumn("__rest", F.when(F.col("__f").isNotNull(), rest))
            .withColumn("__less", F.coalesce(F.size("__rest") < F.size(lines), F.lit(False)))
            .withColumn("__text", F.when(F.col("__less"), F.array_join("__rest", "\n")).otherwise(F.col("text"))))
