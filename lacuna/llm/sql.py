@@ -9,7 +9,8 @@ from lacuna.llm.hilbert import curve_cells
 WORDS = f"list_filter(regexp_split_to_array(coalesce(text, ''), '{SPACE}'), lambda x: x <> '')"
 
 
-def url_filters(depth: int = 3) -> str:
+def url_filters(depth: int = 6) -> str:
+    """The template tree level by level, for paths of fewer than ``depth`` segments."""
     segs = [f"s{i}" for i in range(1, depth + 1)]
     cols = ", ".join(segs)
     rules = [("example.org", "/es/", "block"), ("example.org", "/en/1", "allow"), ("com", "/fr/", "allow"),
@@ -18,31 +19,50 @@ def url_filters(depth: int = 3) -> str:
     rule = "CASE " + " ".join(f"WHEN {c} THEN '{r}'" for c, r, _ in case) + " END"
     verdict = "CASE " + " ".join(f"WHEN {c} THEN '{v}'" for c, _, v in case) + " END"
     five = "5.0::DOUBLE"
+
+    def differ(pl, pb, ln, bn):
+        d = f"({bn} * {pl} - {pb} * {ln})"
+        return f"{d} * {d} * ({pl} + {ln}) > 4.0::DOUBLE * ({pb} + {bn}) * ({pl} + {ln} - {pb} - {bn}) * {pl} * {ln}"
+
+    # a sibling as a state of the fold over siblings: its own counts are the last ones, its branch is empty
+    apart = (f"({differ('a.pl', 'a.pb', 'x.pl', 'x.pb')}) OR (x.pl >= 30 AND a.l >= 30 AND ({differ('a.l', 'a.b', 'x.pl', 'x.pb')}))")
+    fold = (f"list_reduce(e, lambda a, x: {{'rate': x.rate, 'pl': x.pl, 'pb': x.pb, 'c': x.c, "
+            f"'l': CASE WHEN {apart} THEN 0.0::DOUBLE ELSE a.l END + x.pl * x.c, 'b': CASE WHEN {apart} THEN 0.0::DOUBLE ELSE a.b END + x.pb * x.c, "
+            f"'starts': CASE WHEN {apart} THEN list_append(a.starts, {{'rate': x.rate, 'l': x.pl, 'b': x.pb}}) ELSE a.starts END}}, "
+            "{'rate': 0.0::DOUBLE, 'pl': 0.0::DOUBLE, 'pb': 0.0::DOUBLE, 'c': 0.0::DOUBLE, 'l': 0.0::DOUBLE, 'b': 0.0::DOUBLE, 'starts': e[1].starts})")
+    none = "CAST([] AS STRUCT(rate DOUBLE, l DOUBLE, b DOUBLE)[])"
+    every = f"{cols}, host, n, labelled, bad, node, name, ended, up_n, up_rate"
     steps, tree = [], "tree0"
     for k, seg in enumerate(segs, 1):
-        left = [s for s in segs]
+        own = "(kn >= up_n * 0.05::DOUBLE OR kl >= 3 OR kn >= sqrt(up_n))"
+        escaped = rf"regexp_replace({seg}, '([\\|*])', '\\\1', 'g')"
         steps.append(f"""
 kids{k} AS (
-  SELECT *, CASE WHEN {seg} = '' OR (kn >= 3 AND kn >= up_n * 0.05::DOUBLE AND regexp_matches({seg}, '[^0-9]')) THEN {seg} ELSE '*' END AS t
+  SELECT *, CASE WHEN {seg} = '' OR (kn >= 3 AND {own} AND regexp_matches({seg}, '[^0-9]')) THEN {escaped} ELSE '*' END AS t
   FROM (SELECT host, node, {seg}, sum(n) AS kn, sum(labelled) AS kl, sum(bad) AS kb, any_value(up_n) AS up_n, any_value(up_rate) AS up_rate
-        FROM {tree} GROUP BY host, node, {seg})),
+        FROM {tree} WHERE NOT ended GROUP BY host, node, {seg})),
 sib{k} AS (
   SELECT *, (b + {five} * up_rate) / (l + {five}) AS rate
   FROM (SELECT host, node, t, sum(kn) AS n, sum(kl)::DOUBLE AS l, sum(kb)::DOUBLE AS b, any_value(up_rate) AS up_rate
         FROM kids{k} GROUP BY host, node, t)),
-lag{k} AS (
-  SELECT *, lag(l) OVER w AS pl, lag(b) OVER w AS pb FROM sib{k} WINDOW w AS (PARTITION BY host, node ORDER BY rate, t)),
+lists{k} AS (
+  SELECT host, node, list({{'rate': rate, 'pl': l, 'pb': b, 'c': c, 'l': 0.0::DOUBLE, 'b': 0.0::DOUBLE, 'starts': {none}}} ORDER BY rate, l, b) AS e
+  FROM (SELECT host, node, rate, l, b, count(*)::DOUBLE AS c FROM sib{k} WHERE l > 0 GROUP BY host, node, rate, l, b) GROUP BY host, node),
+starts{k} AS (SELECT host, node, ({fold}).starts AS starts FROM lists{k}),
 cut{k} AS (
-  SELECT *, sum(CASE WHEN (b * pl - pb * l) * (b * pl - pb * l) * (pl + l) > 4.0::DOUBLE * (pb + b) * (pl + l - pb - b) * pl * l
-                     THEN 1 ELSE 0 END) OVER (PARTITION BY host, node ORDER BY rate, t) AS branch FROM lag{k}),
+  SELECT s.*, len(list_filter(coalesce(starts, {none}), lambda x: x <= {{'rate': rate, 'l': l, 'b': b}})) AS branch
+  FROM sib{k} s LEFT JOIN starts{k} USING (host, node)),
 merged{k} AS (
   SELECT host, node, branch, sum(n) AS m_n, (sum(b) + {five} * any_value(up_rate)) / (sum(l) + {five}) AS m_rate,
-         string_agg(t, '|' ORDER BY t) AS names FROM cut{k} GROUP BY host, node, branch),
+         CASE WHEN count(*) <= 64 THEN string_agg(t, '|' ORDER BY t) ELSE min(t) || '|+' || (count(*) - 1) END AS names
+  FROM cut{k} GROUP BY host, node, branch),
 tree{k} AS (
-  SELECT {', '.join('f.' + s for s in left)}, f.host, f.n, f.labelled, f.bad, f.node || '/' || m.names AS node, m.m_n AS up_n, m.m_rate AS up_rate
+  SELECT {every} FROM {tree} WHERE ended UNION ALL
+  SELECT {', '.join('f.' + s for s in segs)}, f.host, f.n, f.labelled, f.bad, f.node || '/' || m.branch AS node,
+         f.name || '/' || m.names AS name, f.{seg} = '' AS ended, m.m_n AS up_n, m.m_rate AS up_rate
   FROM {tree} f JOIN kids{k} c ON c.host = f.host AND c.node = f.node AND c.{seg} = f.{seg}
   JOIN cut{k} u ON u.host = c.host AND u.node = c.node AND u.t = c.t
-  JOIN merged{k} m ON m.host = u.host AND m.node = u.node AND m.branch = u.branch)""")
+  JOIN merged{k} m ON m.host = u.host AND m.node = u.node AND m.branch = u.branch WHERE NOT f.ended)""")
         tree = f"tree{k}"
     seg_of = ", ".join(f"coalesce(list_filter(string_split(path, '/'), lambda x: x <> '')[{i}], '') AS s{i}" for i in range(1, depth + 1))
     return rf"""
@@ -61,11 +81,11 @@ leaf AS (SELECT host, {cols}, count(*) AS n, count(bad) AS labelled, coalesce(su
 top AS (SELECT coalesce(sum(bad)::DOUBLE / nullif(sum(labelled), 0)::DOUBLE, 0.0::DOUBLE) AS top FROM leaf),
 host_n AS (SELECT host, sum(labelled)::DOUBLE AS hl, sum(bad)::DOUBLE AS hb, sum(n) AS up_n FROM leaf GROUP BY host),
 tree0 AS (
-  SELECT leaf.*, '' AS node, up_n, (hb + {five} * top) / (hl + {five}) AS up_rate FROM leaf JOIN host_n USING (host), top),
+  SELECT {', '.join('leaf.' + s for s in segs)}, host, n, labelled, bad, '' AS node, '' AS name, false AS ended, up_n, (hb + {five} * top) / (hl + {five}) AS up_rate FROM leaf JOIN host_n USING (host), top),
 {','.join(steps)}
 SELECT page_id, r.host, path, {rule.replace('host', 'r.host')} AS rule,
        coalesce({verdict.replace('host', 'r.host')}, CASE WHEN 1.0::DOUBLE - up_rate < 0.5::DOUBLE THEN 'block' ELSE 'allow' END) AS verdict,
-       t.node AS template, t.up_rate AS bad_rate
+       t.name AS template, t.up_rate AS bad_rate
 FROM rows r JOIN {tree} t ON t.host = r.host AND {' AND '.join(f't.{s} = r.{s}' for s in segs)}"""
 
 
@@ -100,6 +120,13 @@ SELECT doc_id, size, ss::BIGINT AS source_size, target,
 FROM r"""
 
 
+def _numbers(column: str) -> str:
+    """Numbers that touch no letter as one character, which is no digit; twice, as neighbours share a separator."""
+    for _ in range(2):
+        column = rf"regexp_replace({column}, '(^|[^\p{{L}}0-9])[0-9]+([^\p{{L}}0-9]|$)', '\1' || chr(1) || '\2', 'g')"
+    return column
+
+
 QUALITY = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, source, text, {WORDS} AS ws,
@@ -110,17 +137,17 @@ twice AS (SELECT rid, g FROM grams GROUP BY rid, g HAVING count(*) > 1),
 hit AS (
   SELECT rid, count(DISTINCT i + k) AS n FROM grams JOIN twice USING (rid, g), (SELECT unnest(range(0, 5)) AS k) GROUP BY rid),
 keyed AS (
-  SELECT rid, source, text, translate(regexp_replace(trim(regexp_replace(l, '{SPACE}', ' ', 'g')), '[0-9]+', '0', 'g'), '{UPPER}', '{LOWER}') AS line
+  SELECT rid, source, text, translate({_numbers(f"trim(regexp_replace(l, '{SPACE}', ' ', 'g'))")}, '{UPPER}', '{LOWER}') AS line
   FROM (SELECT rid, source, text, unnest(ls) AS l FROM d)),
 short AS (SELECT *, length(line) - length(replace(line, ' ', '')) + 1 AS w FROM keyed),
-held AS (SELECT source, line, count(DISTINCT text) AS n FROM short WHERE w <= 20 GROUP BY source, line),
+held AS (SELECT source, line, count(DISTINCT text) AS n FROM short GROUP BY source, line),
 hosts AS (SELECT source, count(DISTINCT coalesce(md5(text), '~')) AS texts FROM documents GROUP BY source),
 often AS (
   SELECT held.source, line FROM held JOIN hosts ON held.source IS NOT DISTINCT FROM hosts.source
   WHERE n >= 20 AND n >= texts * 0.02::DOUBLE),
 gone AS (
   SELECT rid, sum(w) AS gone FROM short JOIN often ON short.source IS NOT DISTINCT FROM often.source AND short.line = often.line
-  WHERE w <= 20 GROUP BY rid),
+  GROUP BY rid),
 m AS (
   SELECT doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
          (length(coalesce(text, '')) - length(regexp_replace(coalesce(text, ''), '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
@@ -176,20 +203,28 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
 FROM d LEFT JOIN kept USING (rid) LEFT JOIN gone USING (rid)"""
 
 
+#: the CRC32 table, from its rule: eight conditional shifts of each byte
+CRC_TABLE = """tab AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i::BIGINT, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                          lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c FROM range(256) r(i)))"""
+
+
+def crc32(codes: str) -> str:
+    """CRC32 of a list of byte values, folded over ``t`` of CRC_TABLE."""
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda a, y: xor(a >> 8, t[(xor(a, y) & 255) + 1])), 4294967295)"
+
+
 def sharding() -> str:
-    """CRC32 by its table (itself from the rule: eight conditional shifts) folded over the bytes."""
     cells = ", ".join(f"({c},{h})" for c, h in curve_cells())
     return f"""
-WITH tab AS (
-  SELECT list(c ORDER BY i) AS t FROM (
-    SELECT i, list_reduce(list_prepend(i::BIGINT, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
-                          lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c FROM range(256) r(i))),
+WITH {CRC_TABLE},
 b AS (SELECT doc_id, lang, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS x FROM documents),
 l AS (
   SELECT doc_id, lang, (length(x) // 2 + 1)::BIGINT AS size, length(text) - length(replace(text, chr(10), '')) + 1 AS lines,
          list_transform(range(0, length(x) // 2), lambda i: ('0x' || x[2 * i + 1:2 * i + 2])::BIGINT) AS v FROM b),
 d AS (
-  SELECT doc_id, size, xor(list_reduce(list_prepend(4294967295::BIGINT, v), lambda a, y: xor(a >> 8, t[(xor(a, y) & 255) + 1])), 4294967295) AS crc,
+  SELECT doc_id, size, {crc32('v')} AS crc,
          ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS idh,
          ('0x' || substr(md5(coalesce(lang, '~')), 1, 1))::INTEGER * 256 + least(15, greatest(0, length(bin(size)) - 4)) * 16
          + least(15, greatest(0, length(bin(lines)) - 1)) AS cell FROM l, tab),
@@ -203,6 +238,64 @@ SELECT doc_id, size, crc AS text_crc32, 'rows' AS law, shard::INTEGER AS shard,
 FROM s"""
 
 
+BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+WARC = f"""
+WITH p AS (SELECT row_number() OVER () AS rid, page_id, coalesce(html, '') AS x FROM pages),
+r AS (SELECT *, sha1(x) AS h, row_number() OVER same AS k, first_value(page_id) OVER same AS top
+      FROM p WINDOW same AS (PARTITION BY x ORDER BY page_id DESC NULLS LAST, rid))
+SELECT page_id, strlen(x)::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i:
+         '{BASE32}'[((('0x' || h[(i * 5) // 4 + 1:(i * 5) // 4 + 2])::BIGINT >> (3 - (i * 5) % 4)) & 31) + 1]), '') AS payload_digest,
+       CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN k > 1 THEN top END AS refers_to, 'ok' AS status
+FROM r"""
+
+
+#: a node's members share a list of turn digests; a node's ancestors are the prefixes of its smallest member
+TRIE = f"""
+WITH {CRC_TABLE},
+turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS x, len({WORDS}) AS w FROM conversations WHERE conv_id IS NOT NULL),
+l AS (
+  SELECT conv_id, list(md5(length(role) || '|' || role || x) ORDER BY turn NULLS FIRST, role, md5(x)) AS d,
+         list(w ORDER BY turn NULLS FIRST, role, md5(x)) AS w FROM turns GROUP BY conv_id),
+c AS (
+  SELECT l.*, {crc32("list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda i: ascii((conv_id::VARCHAR)[i])::BIGINT)")} % 4 AS h FROM l, tab),
+r AS (
+  SELECT c.conv_id, list_concat(coalesce(b.d, [])[1:h], c.d[h + 1:]) AS d, list_concat(coalesce(b.w, [])[1:h], c.w[h + 1:]) AS w
+  FROM c LEFT JOIN l b ON b.conv_id = c.conv_id - c.conv_id % 20),
+p AS (
+  SELECT conv_id, k AS depth, md5(coalesce(array_to_string(d[1:k], ','), '')) AS node,
+         CASE WHEN k > 0 THEN md5(coalesce(array_to_string(d[1:k - 1], ','), '')) END AS parent,
+         CASE WHEN k > 0 THEN w[k] ELSE 0 END AS w, k = len(d) AS ends
+  FROM (SELECT *, unnest(range(0, len(d) + 1)) AS k FROM r)),
+n AS (
+  SELECT node, any_value(parent) AS parent, any_value(depth) AS depth, min(conv_id) AS conv, count(*) AS n, any_value(w) AS w,
+         string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends) AS ids FROM p GROUP BY node),
+kids AS (SELECT parent AS node, count(*) AS kids FROM n WHERE parent IS NOT NULL GROUP BY parent),
+under AS (
+  SELECT p.node, count(*) FILTER (kids IS NULL) AS leaves, sum((n.n - 1) * n.w) AS saved
+  FROM n LEFT JOIN kids USING (node) JOIN p ON p.conv_id = n.conv AND p.depth <= n.depth GROUP BY p.node)
+SELECT n.conv AS conv_id, n.depth::BIGINT AS depth, up.conv AS parent_conv_id, n.n::BIGINT AS n_convs, coalesce(kids, 0)::BIGINT AS n_children,
+       leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(coalesce(n.ids, '')) AS ends_sha256
+FROM n LEFT JOIN n up ON up.node = n.parent LEFT JOIN kids ON kids.node = n.node JOIN under ON under.node = n.node"""
+
+
+NEGATIVES = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS alike, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND (a.vec_id <> b.vec_id OR a.label <> b.label)),
+p AS (SELECT * FROM s WHERE alike QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5),
+n AS (
+  SELECT p.a AS anchor_id, p.b AS positive_id, s.b AS negative_id, p.score AS positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b) AS rank
+  FROM p JOIN s ON s.a = p.a AND NOT s.alike AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3"""
+
+
 ORACLES: dict[str, str] = {
     "op2_url_filters": url_filters(),
     "op3_mixing": MIXING,
@@ -211,4 +304,7 @@ ORACLES: dict[str, str] = {
     "op8_substring": SUBSTRING,
     "op9_sharding": sharding(),
     "op10_chat": CHAT,
+    "op11_warc": WARC,
+    "op12_prefix_trie": TRIE,
+    "op13_hard_negatives": NEGATIVES,
 }

@@ -127,6 +127,18 @@ def test_templates_follow_labels(spark):
     assert {r.template for r in got} == {"/junk/*/", "/fine|good/*/"}  # equal branches are one
 
 
+def test_names_of_branches_are_not_keys(spark):
+    def verdicts(rows):
+        df = spark.createDataFrame([(i, u, b) for i, (u, b) in enumerate(rows)], "page_id long, url string, bad int")
+        return {(r.path.split("/")[1], r.template, r.verdict) for r in urls.judge_urls(df).collect()}
+
+    rows = [(f"http://h.net/{kind}/{i}", int(kind == "a|b")) for kind in ("a", "b", "a|b") for i in range(60)]
+    assert verdicts(rows) == {("a", "/a|b/*/", "allow"), ("b", "/a|b/*/", "allow"), ("a|b", r"/a\|b/*/", "block")}
+    rows = [(f"http://h.net/*/{i}", 1) for i in range(60)] + [(f"http://h.net/{i}/{i}", 0) for i in range(60)]
+    got = verdicts(rows)  # a segment named like the wildcard
+    assert all((v == "block") == (s == "*") for s, _, v in got) and {t for s, t, _ in got if s == "*"} == {r"/\*/*/"}
+
+
 def test_unlabelled_and_thin_siblings_tie_no_branches(spark):
     def verdicts(rows):
         df = spark.createDataFrame([(i, u, b) for i, (u, b) in enumerate(rows)], "page_id long, url string, bad int")
@@ -169,11 +181,19 @@ def test_mixing_meets_targets(odd, none):
     assert mixing.mix(none).count() == mixing.mixed_documents(none).count() == 0
 
 
-def test_mixed_documents_hold_the_taken_words(odd):
-    taken = sum(r[0] for r in pairs(mixing.mix(odd), "taken"))
+def test_mixed_documents_are_whole(odd):
+    """The row at the threshold comes whole or not at all, whichever is nearer."""
     out = mixing.mixed_documents(odd)
     assert out.columns == odd.columns
-    assert sum(len(brute.WORD.findall(t)) for _, t in docs_of(out)) == taken
+    want = []
+    taken = defaultdict(list)
+    for d, size, k in pairs(mixing.mix(odd), "doc_id", "size", "taken"):
+        taken[d, size].append(k)
+    for d, t in docs_of(odd):
+        size = len(brute.WORD.findall(t or ""))
+        k = taken[d, size].pop()
+        want += [(d, t)] * (k // size + (2 * (k % size) >= size) if size else 0)
+    assert key(docs_of(out)) == key(want)
 
 
 # --- 4
@@ -181,7 +201,6 @@ def test_mixed_documents_hold_the_taken_words(odd):
 def test_packing_holds_every_token(odd, none):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(tokenizer_path())
-    tok.encode_special_tokens = True
     want, total = [], 0
     for d, t in docs_of(odd):
         ids = np.array([*tok.encode(t or "", add_special_tokens=False).ids, 0], "<u4")
@@ -226,11 +245,12 @@ def test_nonnegative_fit_is_optimal():
 def test_fast_encoder_gives_the_same_ids():
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(tokenizer_path())
-    tok.encode_special_tokens = True
+    assert list(packing.encoder(tokenizer_path())("a <|endoftext|> b")) == tok.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
     encode, rng = packing.encoder(tokenizer_path()), random.Random(9)
     alphabet = "ab Z'st1 \n\t\r\u00a0é漢字🙂<|endoftext|>\x00\u2028.,-#"
     for _ in range(400):
         t = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60)))
+        t += "<|endoftext|>" * rng.randint(0, 2) + t[:5]
         assert list(encode(t)) == tok.encode(t, add_special_tokens=False).ids
 
 
@@ -294,6 +314,16 @@ def test_long_lines_above_the_limit_count(spark):
     assert all(v for d, v in got.items() if d not in (100, 101))
 
 
+@pytest.mark.parametrize("words", [20, 21])
+def test_one_rule_for_lines_of_any_length(spark, words):
+    rest = " ".join("abcdefghijklmnopqrstuvwxyz"[:words - 2])
+    own = ["".join("abcdefghij"[int(c)] for c in str(i)) for i in range(60)]
+    rows = [(i, f"item{i} {i} {rest}\nonly mine {own[i]}", None, "h") for i in range(60)]  # differ in a word
+    rows += [(100 + i, f"item {i} {rest}\nonly mine {own[i]}", None, "g") for i in range(60)]  # differ in a number
+    got = {r.doc_id: r.kept for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert all(v == (d < 100) for d, v in got.items())
+
+
 def test_boilerplate_lines_leave_the_stage(spark, odd, none):
     rng = random.Random(13)
     line = "Home 7 | About us"
@@ -382,6 +412,28 @@ def test_substring_equals_brute_force(odd, none):
     assert sha == key((w[0], w[3]) for w in want)
 
 
+def test_places_beyond_their_bits(monkeypatch):
+    """Minimizers of a text with more grams than a place can number are those of its parts."""
+    rng = np.random.default_rng(4)
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [(" ".join(f"w{i}" for i in rng.integers(0, 900, n)) + " " + passage).encode() for n in (40, 5000, 9000)]
+    monkeypatch.setattr(substring, "_PLACE", np.uint64(255))
+    found = []
+    for t in texts:
+        chunk = substring.Chunk([t])
+        d, start, count, mh, sh, a = substring.segments(chunk)
+        inside = start + count + 34 > len(chunk.hash) - 60 + 34
+        found.append(set(mh[inside].tolist()))
+        at = np.concatenate([np.arange(s, s + c) for s, c in zip(start, count)])
+        assert (at == np.arange(len(chunk.hash) - 34)).all()  # every window is in one segment
+    assert len(found[0] & found[1] & found[2]) > 0
+    rng = np.random.default_rng(5)
+    grams = substring.mixed(rng.integers(0, 2 ** 60, 3000).astype(np.uint64), 1)
+    got = substring.minimizer_places(grams, 23)
+    low = grams & ~np.uint64(255)
+    assert (got == [i + int(np.argmin(low[i:i + 23])) for i in range(len(grams) - 22)]).all()
+
+
 @pytest.mark.parametrize("hot", [1, 3, 4096])
 def test_substring_with_hot_minimizers(spark, monkeypatch, hot):
     monkeypatch.setattr(substring, "HOT", hot)
@@ -486,7 +538,8 @@ def test_chats_round_trip(spark):
 
 # --- SQL and the pipeline
 
-@pytest.mark.parametrize("name", ["op2_url_filters", "op3_mixing", "op5_topk", "op6_quality", "op8_substring", "op9_sharding", "op10_chat"])
+@pytest.mark.parametrize("name", ["op2_url_filters", "op3_mixing", "op5_topk", "op6_quality", "op8_substring", "op9_sharding", "op10_chat", "op11_warc",
+                                  "op12_prefix_trie", "op13_hard_negatives"])
 def test_sql_oracles(spark, name):
     import duckdb
     from lacuna.llm.sql import ORACLES
@@ -519,11 +572,9 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     want = {d: r[2] for (d, _), r in zip(fed, brute.repeats([t for _, t in fed]))}
     got = {d: hashlib.sha256(" ".join(brute.WORD.findall(t)).encode()).hexdigest() for d, t in docs_of(out["substring_dedup"])}
     assert got == want
-    taken = {r[0]: r[1] for r in pairs(mixing.mix(out["substring_dedup"]), "doc_id", "taken") if r[1]}
-    words = defaultdict(int)
-    for d, t in docs_of(out["mix_sources"]):
-        words[d] += len(brute.WORD.findall(t))
-    assert words == taken
+    copies = {d: k // n + (2 * (k % n) >= n) for d, n, k in pairs(mixing.mix(out["substring_dedup"]), "doc_id", "size", "taken") if n}
+    text = dict(docs_of(out["substring_dedup"]))
+    assert key(docs_of(out["mix_sources"])) == key((d, text[d]) for d, n in copies.items() for _ in range(n))
     assert key(pairs(pipeline.run(spark, SF), "doc_id", "piece", "length")) == key(pairs(out["pack_sequences"], "doc_id", "piece", "length"))
     seqs = pairs(out["pack_sequences"].groupBy("sequence_id").agg(F.sum("length").alias("n"), F.count("*").alias("k")), "n")
     assert max(s[0] for s in seqs) <= 2048
