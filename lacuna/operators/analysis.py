@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lacuna.functions.quantiles import grouped_exact_quantiles
+from lacuna.operators import gram
 
 
 def long_values(stacked: DataFrame, columns: list[str]) -> DataFrame:
@@ -38,9 +39,15 @@ def moment_table(long: DataFrame) -> DataFrame:
     return mom.join(med.withColumnRenamed("q0", "median"), ["method", "column_name"], "left")
 
 
-def pair_stats(stacked: DataFrame, columns: list[str]) -> DataFrame:
+#: above this many columns, pairs come from matrix products of Arrow batches instead of an aggregate each
+GRAM_COLUMNS = 12
+
+
+def pair_stats(stacked: DataFrame, columns: list[str], gram_columns: int = GRAM_COLUMNS) -> DataFrame:
     """Per method and column pair: Pearson correlation and sample covariance over
     pairwise-complete rows (EVL19, EVL20, AGG19, AGG20); one aggregation job."""
+    if len(columns) > gram_columns:
+        return gram.pair_stats(stacked, columns, "method")
     pairs = list(combinations(columns, 2))
     aggs = []
     for i, (a, b) in enumerate(pairs):

@@ -46,12 +46,15 @@ class ImputerModel:
     def _stat_rows(self):
         return []
 
+    #: whether ``transform`` is a projection, or a join that keeps every row once
+    PER_ROW = False
+
     #: attributes that only fitting needs
     _fit_only = ()
 
     def save(self, path: str) -> None:
         """Write the fitted model: tables as Parquet, everything else as one JSON text, both under
-        ``path``.  A model that holds Python functions (a caller's predicate) cannot be saved."""
+        ``path``.  (A caller's predicate was turned into SQL text by the fit.)"""
         import json
         spark = SparkSession.getActiveSession()
         plain, tables = {}, []

@@ -55,7 +55,11 @@ def stack_methods(results: dict[str, DataFrame], columns: list[str], keys: list[
 def stack_models(df: DataFrame, models: dict, columns: list[str]) -> DataFrame:
     """``stack_methods`` of several fitted models over one table in one scan: each model fills the
     observed columns in turn, its fills are set aside, and one explode stacks them (as doubles).
-    For models whose ``transform`` is a projection or a join on the row's own columns."""
+    For models whose ``transform`` is a projection or a join on the row's own columns; the others,
+    which run Python over the rows or shuffle them, are refused."""
+    for name, model in models.items():
+        if not getattr(model, "PER_ROW", False):
+            raise TypeError(f"{name}: {type(model).__name__} is no projection; stack its transform with stack_methods")
     raw = {c: f"__raw{i}" for i, c in enumerate(columns)}
     rest = [c for c in df.columns if c not in columns]
     cur, fills = df.select("*", *[F.col(c).alias(r) for c, r in raw.items()]), []
@@ -104,6 +108,12 @@ def numeric_scores(scored: DataFrame, columns: list[str]) -> DataFrame:
         "bias")
 
 
+def wide_scores(per_column: DataFrame, columns: list[str], metrics: tuple[str, ...] = ("rmse", "mae", "r2", "bias")) -> DataFrame:
+    """One row per method with a column per scored column and metric, ``<column>_<metric>`` (EVL12)."""
+    cells = [F.max(F.when(F.col("column_name") == c, F.col(m))).alias(f"{c}_{m}") for c in columns for m in metrics]
+    return per_column.groupBy("method").agg(*cells)
+
+
 def overall_scores(per_column: DataFrame) -> DataFrame:
     """Unweighted mean over columns per method (EVL4, EVL9); null r2 skipped."""
     return per_column.groupBy("method").agg(

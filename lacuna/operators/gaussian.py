@@ -20,6 +20,15 @@ from lacuna.operators.base import Imputer, ImputerModel
 from lacuna.operators.moments import PatternMoments, TooManyPatterns, missing_patterns
 
 RIDGE = 1e-6  # fixed value: ridge added to covariance blocks before inversion
+MODES = ("auto", "patterns", "table", "scan")
+
+
+def table_pays(df: DataFrame, cols: list[str]) -> bool:
+    """Whether a row of moments per missing pattern is less than the rows themselves."""
+    from pyspark.sql import functions as F
+    from lacuna.functions.columns import pattern_bits
+    n, patterns = df.agg(F.count(F.lit(1)), F.approx_count_distinct(pattern_bits(df, cols), 0.02)).first()
+    return patterns * (len(cols) + 1) * (len(cols) + 2) // 2 < n * len(cols)
 
 
 def conditional_maps(pm: PatternMoments, mu: np.ndarray, cov: np.ndarray, patterns) -> dict[str, np.ndarray]:
@@ -27,28 +36,28 @@ def conditional_maps(pm: PatternMoments, mu: np.ndarray, cov: np.ndarray, patter
 
     The ridge is 1e-6 in the original units, i.e. 1e-6 / s^2 in z units, so the
     result equals the computation on raw values."""
-    d = len(pm.cols)
-    out = {}
-    for p in patterns:
-        miss = pm.missing(p)
-        obs = ~miss
-        W = np.zeros((d, d + 1))
-        for i in np.nonzero(obs)[0]:
-            W[i, i + 1] = 1.0
-        if miss.any():
-            if obs.any():
-                Soo = cov[np.ix_(obs, obs)] + np.diag(RIDGE / pm.s[obs] ** 2)
-                Smo = cov[np.ix_(miss, obs)]
-                try:
-                    B = np.linalg.solve(Soo, Smo.T).T
-                    W[np.ix_(miss, [0])] = (mu[miss] - B @ mu[obs])[:, None]
-                    W[np.ix_(miss, 1 + np.nonzero(obs)[0])] = B
-                except np.linalg.LinAlgError:
-                    W[miss, 0] = mu[miss]
-            else:
+    return {p: conditional_map(pm.missing(p), mu, cov, pm.s) for p in patterns}
+
+
+def conditional_map(miss: np.ndarray, mu: np.ndarray, cov: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """The E-step map of one missing pattern on [1, z]."""
+    d, obs = len(miss), ~miss
+    W = np.zeros((d, d + 1))
+    for i in np.nonzero(obs)[0]:
+        W[i, i + 1] = 1.0
+    if miss.any():
+        if obs.any():
+            Soo = cov[np.ix_(obs, obs)] + np.diag(RIDGE / s[obs] ** 2)
+            Smo = cov[np.ix_(miss, obs)]
+            try:
+                B = np.linalg.solve(Soo, Smo.T).T
+                W[np.ix_(miss, [0])] = (mu[miss] - B @ mu[obs])[:, None]
+                W[np.ix_(miss, 1 + np.nonzero(obs)[0])] = B
+            except np.linalg.LinAlgError:
                 W[miss, 0] = mu[miss]
-        out[p] = W
-    return out
+        else:
+            W[miss, 0] = mu[miss]
+    return W
 
 
 def log_likelihood(pm: PatternMoments, W, ridge: float = RIDGE) -> float:
@@ -146,8 +155,8 @@ class EMImputer(Imputer):
 
     def __init__(self, max_iter: int = 100, tol: float = 1e-6, stop: str = "change", init: str = "mean",
                  columns=None, exclude=(), max_patterns: int = 4096, mode: str = "auto"):
-        if mode not in ("auto", "patterns", "scan"):
-            raise ValueError("mode must be 'auto', 'patterns' or 'scan'")
+        if mode not in MODES:
+            raise ValueError(f"mode must be one of {MODES}")
         self.mode = mode
         if init not in ("mean", "median", "zero"):
             raise ValueError(f"init is mean, median or zero, not {init!r}")
@@ -163,19 +172,28 @@ class EMImputer(Imputer):
             raise ValueError("EM needs at least one numeric column")
         if self.mode == "scan":
             return self._fit_scan(df, cols)
+        if self.mode == "table":
+            return self._fit_table(df, cols)
         try:
             pm = PatternMoments(df, cols, self.max_patterns)
         except TooManyPatterns:
             if self.mode == "auto":
-                return self._fit_scan(df, cols)
+                return self._fit_table(df, cols) if table_pays(df, cols) else self._fit_scan(df, cols)
             raise
-        start = None
+        return self.fit_moments(pm, self._start(df, cols, pm.m))
+
+    def _start(self, df: DataFrame, cols: list[str], means: np.ndarray) -> np.ndarray | None:
+        """Values that holes start at; None for the means."""
         if self.init == "median":
             q = exact_quantiles_multi(df, cols, [0.5])
-            start = np.array([(q[c][0] if q[c][0] is not None else pm.m[i]) for i, c in enumerate(cols)])
-        elif self.init == "zero":
-            start = np.zeros(len(cols))
-        return self.fit_moments(pm, start)
+            return np.array([(q[c][0] if q[c][0] is not None else means[i]) for i, c in enumerate(cols)])
+        return np.zeros(len(cols)) if self.init == "zero" else None
+
+    def _fit_table(self, df: DataFrame, cols: list[str]) -> GaussianModel:
+        """More patterns than the driver should hold: their moments stay a table (states.py)."""
+        from lacuna.operators.states import MomentState, em_over_patterns
+        table = MomentState.of(df, cols).table()
+        return em_over_patterns(table, self.max_iter, self.tol, self.stop, self._start(df, cols, table.m))
 
     def fit_moments(self, pm: PatternMoments, start: np.ndarray | None = None) -> GaussianModel:
         """The iteration on given moments; holes start at ``start``, or at the means."""
@@ -364,25 +382,31 @@ class IterativeImputer(Imputer):
     largest observed magnitude.
 
     Pattern mode runs the whole chain on per-pattern moments (one data pass);
-    above ``max_patterns`` (or with ``mode='scan'``) each regression is one pass
-    in which tasks replay the chain so far and return a partial Gram."""
+    above ``max_patterns`` (or with ``mode='table'``) each regression is a pass over the
+    table of pattern moments; ``mode='scan'``, and tables with nearly as many patterns as rows, pass
+    over the rows, where tasks replay the chain so far and return a partial Gram."""
 
     def __init__(self, max_iter: int = 10, tol: float = 1e-3, columns=None, exclude=(), max_patterns: int = 4096,
                  mode: str = "auto"):
-        if mode not in ("auto", "patterns", "scan"):
-            raise ValueError("mode must be 'auto', 'patterns' or 'scan'")
+        if mode not in MODES:
+            raise ValueError(f"mode must be one of {MODES}")
         self.max_iter, self.tol, self.mode = max_iter, tol, mode
         self.columns, self.exclude, self.max_patterns = columns, tuple(exclude), max_patterns
 
     def fit(self, df):
         self._check_input(df)
         cols = resolve_columns(df, self.columns, "numeric", self.exclude)
-        if self.mode != "scan":
+        table = self.mode == "table"
+        if self.mode in ("auto", "patterns"):
             try:
                 return self._fit_patterns(PatternMoments(df, cols, self.max_patterns))
             except TooManyPatterns:
                 if self.mode == "patterns":
                     raise
+                table = table_pays(df, cols)
+        if table:
+            from lacuna.operators.states import MomentState, iterative_over_patterns
+            return iterative_over_patterns(MomentState.of(df, cols).table(), self.max_iter, self.tol)
         return self._fit_scan(df, cols)
 
     def _fit_patterns(self, pm):

@@ -3,13 +3,17 @@
 Distances are sums of elementwise differences, so they do not depend on how rows are grouped and
 nothing cancels.  When the donor matrix is small (its measured size is under ``broadcast_bytes``)
 it is shipped to every task, only receivers move, and matrices span ``DONOR_ROWS`` donors at a
-time.  Beyond that, donors lie in the cells of a quantile grid, and a receiver meets only the
-cells that can hold one of its k nearest (``_pruned``): exact, and far from all pairs unless
-there are many features.  Tasks emit only the k best candidates per receiver, never pairs; a
-window keeps the global k best by (distance, donor id), so ties are deterministic.
+time.  Beyond that donors lie in a packed tree (index.py): leaves of ``leaf_rows`` donors, as deep as
+the rows ask for.
 
-The similarity partial mean takes a fraction of all donors, so its large path meets every donor
-block, with histograms in place of candidates.
+* k nearest: each receiver first scans the nearest leaves that hold k donors; the k-th distance
+  found there is its radius, and only nodes that reach into it are opened.  Exact.
+* nearest fraction: k grows with the table, so donors are counted instead.  Nodes wholly inside the
+  range that must hold the k-th distance add their count and sum, nodes cut by it are opened, rounds
+  narrow the range until few donors are left in it, and those are ranked.
+
+Tasks emit candidates or counts, never pairs, and ties go to the smaller donor id.  Ids of any
+type: those that are not integers are numbered in their order.
 """
 
 from __future__ import annotations
@@ -22,169 +26,133 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lacuna.functions.columns import clean, resolve_columns
+from lacuna.operators import index
 from lacuna.operators.base import Imputer, ImputerModel
 from lacuna.session import cut
 
 BLOCK_ROWS = 2048
 BROADCAST_BYTES = 64 << 20
 DONOR_ROWS = 8192  # donors that one distance matrix spans
-MAX_CELLS = 8192  # cells of the grid that prunes exact neighbour search
-ROUTE_ROWS = 256
+LEAF_ROWS = index.LEAF_ROWS
+SLACK = 1e-9  # of bounds, for rounding
 
 CAND_SCHEMA = "rid long, j int, sid long, dist2 double, v double"
 
 
-def _blocked(rec: DataFrame, don: DataFrame, block_rows: int, broadcast_bytes: int, width: int,
-             block_fn, schema: str, merge=None, prune=None) -> DataFrame:
-    """Run ``block_fn(rec_pdf, don_pdf) -> pdf`` over every receiver/donor block pair.
+class _Ids:
+    """Row ids as longs in the ids' order: integers as they are, others by rank."""
 
-    Distances are elementwise, so they don't depend on how rows are cut into blocks.  Broadcast
-    donors are visited ``DONOR_ROWS`` at a time; ``merge`` folds the results of two visits."""
-    spark = rec.sparkSession
-    n_don = don.count()
-    if n_don == 0:
-        return spark.createDataFrame([], schema)
-    if n_don * (width + 2) * 8 <= broadcast_bytes:
-        # donor side has a measured, bounded size: ship it once to every task
-        dpdf = don.toPandas()
-        bc = spark.sparkContext.broadcast(dpdf)
-        # spread receivers so every core gets blocks to work on
-        n_rec = rec.count()
-        parts = max(spark.sparkContext.defaultParallelism, math.ceil(n_rec / block_rows))
-        rec = rec.repartition(parts)
-
-        def run(it):
-            d = bc.value
-            for rpdf in it:
-                for start in range(0, len(rpdf), block_rows):
-                    part, held = rpdf.iloc[start:start + block_rows], None
-                    for at in range(0, len(d), DONOR_ROWS):
-                        out = block_fn(part, d.iloc[at:at + DONOR_ROWS])
-                        if merge is None and len(out):
-                            yield out
-                        elif merge is not None:
-                            held = out if held is None else merge(held, out)
-                    if held is not None and len(held):
-                        yield held
-        return rec.mapInPandas(run, schema)
-    if prune is not None:
-        return prune(rec, don)
-    n_rec = rec.count()
-    R = max(1, math.ceil(n_rec / block_rows))
-    D = max(1, math.ceil(n_don / block_rows))
-    r = rec.withColumn("__rb", F.pmod(F.xxhash64("__id"), F.lit(R)).cast("int")) \
-           .withColumn("__db", F.explode(F.sequence(F.lit(0), F.lit(D - 1))))
-    d = don.withColumn("__db", F.pmod(F.xxhash64("__id"), F.lit(D)).cast("int")) \
-           .withColumn("__rb", F.explode(F.sequence(F.lit(0), F.lit(R - 1))))
-
-    def pair(rp, dp):
-        if len(rp) == 0 or len(dp) == 0:
-            return pd.DataFrame({c.split()[0]: [] for c in schema.split(", ")})
-        return block_fn(rp.drop(columns=["__rb", "__db"]), dp.drop(columns=["__rb", "__db"]))
-    return r.groupBy("__rb", "__db").cogroup(d.groupBy("__rb", "__db")).applyInPandas(pair, schema)
-
-
-def _cell_of(feats: list[str], cuts: dict[str, list[float]]):
-    """Grid cell of a row: per feature 0 when missing, else 1 + the number of cuts below it."""
-    cell = F.lit(0).cast("long")
-    for f in feats:
-        bin_ = F.lit(1)
-        for c in cuts[f]:
-            bin_ = bin_ + F.when(F.col(f) > c, 1).otherwise(0)
-        cell = cell * (len(cuts[f]) + 2) + F.when(F.col(f).isNull(), 0).otherwise(bin_)
-    return cell
-
-
-def _bounds(X: np.ndarray, lo: np.ndarray, hi: np.ndarray, scaled: bool):
-    """Least and greatest squared distance of rows to the boxes of the cells (NaN: missing), over
-    the features both have; infinite where there are none."""
-    least, most, shared = (np.zeros((len(X), len(lo))) for _ in range(3))
-    for i in range(X.shape[1]):
-        x, a, b = X[:, i, None], lo[None, :, i], hi[None, :, i]
-        both = ~np.isnan(x) & ~np.isnan(a)
-        gap, far = np.maximum(np.maximum(a - x, x - b), 0.0), np.maximum(np.abs(x - a), np.abs(x - b))
-        least += np.where(both, gap * gap, 0.0)
-        most += np.where(both, far * far, 0.0)
-        shared += both
-    with np.errstate(divide="ignore", invalid="ignore"):
-        s = np.where(shared > 0, X.shape[1] / shared if scaled else 1.0, np.inf)
-        return np.where(shared > 0, least * s, np.inf), np.where(shared > 0, most * s, np.inf)
+    def __init__(self, df: DataFrame, id_col: str):
+        self.id_col, self.ranks = id_col, None
+        if df.schema[id_col].dataType.typeName() not in ("byte", "short", "integer", "long"):
+            sorted_ids = df.select(F.col(id_col).alias("__key")).distinct().repartitionByRange("__key").sortWithinPartitions("__key")
+            self.ranks = cut(sorted_ids.withColumn("__id", F.monotonically_increasing_id()))
 
+    def number(self, df: DataFrame) -> DataFrame:
+        if self.ranks is None:
+            return df.withColumn("__id", F.col(self.id_col).cast("long"))
+        return df.join(self.ranks, F.col(self.id_col).eqNullSafe(F.col("__key")), "left").drop("__key")
 
-def _pruned(rec: DataFrame, don: DataFrame, feats: list[str], targets: list[int] | None, k: int, block_fn, schema: str,
-            scaled: bool) -> DataFrame:
-    """``block_fn`` over receivers and only those donors that can be among their k nearest.
+    def back(self, df: DataFrame, *cols: str) -> DataFrame:
+        """The columns of numbers as ids again."""
+        if self.ranks is None:
+            return df
+        out = df
+        for c in cols:
+            out = out.withColumnRenamed(c, "__id").join(self.ranks, "__id").drop("__id").withColumnRenamed("__key", c)
+        return out.select(*df.columns)
 
-    Donors lie in the cells of a quantile grid (at most ``MAX_CELLS``; a missing feature is a bin
-    of its own), each known by its box and row count.  For a receiver the k-th distance is at most
-    the greatest distance to the nearest cells that hold k donors together; cells that lie wholly
-    beyond that are left out.  The bound is exact, so the answer is that of all pairs.  Cells of
-    more than ``DONOR_ROWS`` donors are dealt out in parts."""
+
+def _is_small(don: DataFrame, width: int, broadcast_bytes: int) -> bool:
+    return don.count() * (width + 2) * 8 <= broadcast_bytes
+
+
+def _shipped(rec: DataFrame, don: DataFrame, block_rows: int, block_fn, schema: str, merge=None) -> DataFrame:
+    """``block_fn(rec_pdf, don_pdf) -> pdf`` over blocks of receivers and a donor table of a measured,
+    bounded size, which goes to every task; donors are visited ``DONOR_ROWS`` at a time and
+    ``merge`` folds the results of two visits."""
     spark = rec.sparkSession
-    per = int(MAX_CELLS ** (1 / len(feats))) - 1
-    probs = [i / per for i in range(1, per)] if per > 1 else []
-    got = don.agg(*[F.percentile_approx(f, probs).alias(f) for f in feats]).first() if probs else {}
-    cuts = {f: sorted(set((got[f] if probs else None) or [])) for f in feats}
-    don = don.withColumn("__cell", _cell_of(feats, cuts))
-    boxes = don.groupBy("__cell").agg(F.count("*").alias("n"), *[x for i, f in enumerate(feats) for x in (
-        F.min(f).alias(f"lo{i}"), F.max(f).alias(f"hi{i}"))]).orderBy("__cell").toPandas()  # at most MAX_CELLS rows
-    if boxes.empty:
-        return spark.createDataFrame([], schema)
-    lo, hi = (boxes[[f"{e}{i}" for i in range(len(feats))]].to_numpy(dtype="float64", na_value=np.nan) for e in ("lo", "hi"))
-    n, ids = boxes["n"].to_numpy(), boxes["__cell"].to_numpy()
-    parts = -(-n // DONOR_ROWS)
-    bc = spark.sparkContext.broadcast((lo, hi, n, ids, parts))
-    deal = spark.createDataFrame(list(zip(ids.tolist(), parts.tolist())), "__cell long, __parts long")  # at most MAX_CELLS rows
-    don = (don.join(F.broadcast(deal), "__cell")
-           .withColumn("__sub", F.pmod(F.xxhash64("__id"), F.col("__parts")).cast("int"))
-           .withColumn("__rsub", F.explode(F.sequence(F.lit(0), (F.col("__parts") - 1).cast("int")))).drop("__parts"))
-    names = rec.columns
-    out_schema = rec.schema.simpleString()[7:-1].replace(":", " ").replace(",", ", ") + ", __cell long, __sub int, __rsub int"
-
-    def route(it):
-        lo, hi, n, ids, parts = bc.value
-        for pdf in it:
-            for at in range(0, len(pdf), ROUTE_ROWS):
-                part = pdf.iloc[at:at + ROUTE_ROWS]
-                X = part[feats].to_numpy(dtype="float64", na_value=np.nan)
-                least, most = _bounds(X, lo, hi, scaled)
-                wanted = np.zeros(least.shape, bool)
-                for j in (targets if targets is not None else [None]):
-                    rows = np.flatnonzero(np.isnan(X[:, j])) if j is not None else np.arange(len(X))
-                    cells = np.flatnonzero(~np.isnan(lo[:, j])) if j is not None else np.arange(len(n))
-                    if not len(rows) or not len(cells):
-                        continue
-                    m = most[np.ix_(rows, cells)]
-                    order = np.argsort(m, axis=1)
-                    enough = np.cumsum(n[cells][order], axis=1) >= k
-                    first = np.where(enough.any(axis=1), enough.argmax(axis=1), len(cells) - 1)
-                    kth = np.take_along_axis(m, np.take_along_axis(order, first[:, None], 1), 1)
-                    kth = np.where(enough.any(axis=1)[:, None], kth, np.inf)
-                    near = least[np.ix_(rows, cells)]
-                    wanted[np.ix_(rows, cells)] |= (near <= kth * (1 + 1e-9)) & np.isfinite(near)
-                r, c = np.nonzero(wanted)
-                r, c = np.repeat(r, parts[c]), np.repeat(c, parts[c])
-                start = np.flatnonzero(np.concatenate(([True], (np.diff(r) != 0) | (np.diff(c) != 0)))) if len(r) else np.zeros(0, int)
-                within = np.arange(len(r)) - np.repeat(start, np.diff(np.append(start, len(r))))
-                res = part.iloc[r].reset_index(drop=True)
-                res["__cell"], res["__sub"] = ids[c], within.astype("int32")
-                res["__rsub"] = (res["__id"].to_numpy() % np.maximum(parts[c], 1)).astype("int32")
-                yield res
-
-    key = ["__cell", "__sub", "__rsub"]
-    empty = {c.split()[0]: [] for c in schema.split(", ")}
-
-    def pair(rp, dp):
-        if len(rp) == 0 or len(dp) == 0:
-            return pd.DataFrame(empty)
-        dp, held = dp.drop(columns=key), []
-        for at in range(0, len(rp), BLOCK_ROWS):
-            held.append(block_fn(rp[names].iloc[at:at + BLOCK_ROWS], dp))
-        held = [h for h in held if len(h)]
-        return pd.concat(held, ignore_index=True) if held else pd.DataFrame(empty)
-
-    routed = rec.mapInPandas(route, out_schema)
-    return routed.groupBy(*key).cogroup(don.groupBy(*key)).applyInPandas(pair, schema)
+    bc = spark.sparkContext.broadcast(don.toPandas())
+    # spread receivers so every core gets blocks to work on
+    parts = max(spark.sparkContext.defaultParallelism, math.ceil(rec.count() / block_rows))
+
+    def run(it):
+        d = bc.value
+        for rpdf in it:
+            for start in range(0, len(rpdf), block_rows):
+                part, held = rpdf.iloc[start:start + block_rows], None
+                for at in range(0, len(d), DONOR_ROWS):
+                    out = block_fn(part, d.iloc[at:at + DONOR_ROWS])
+                    if merge is None and len(out):
+                        yield out
+                    elif merge is not None:
+                        held = out if held is None else merge(held, out)
+                if held is not None and len(held):
+                    yield held
+    return rec.repartition(parts).mapInPandas(run, schema)
+
+
+def _distances(units: index.Units, x: np.ndarray, metric: str = "euclidean", scaled: bool = False) -> np.ndarray:
+    """Units against donors, over the features both have; infinite where there are none."""
+    ss, shared = np.zeros((len(units.x), len(x))), np.zeros((len(units.x), len(x)))
+    for i in range(x.shape[1]):
+        both = ~np.isnan(units.x[:, i, None]) & ~np.isnan(x[None, :, i])
+        diff = np.where(both, units.x[:, i, None] - x[None, :, i], 0.0)
+        ss += diff * diff if metric == "euclidean" else np.abs(diff)
+        shared += both
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(shared > 0, x.shape[1] * ss / shared if scaled else ss, np.inf)
+
+
+def _indexed(rec: DataFrame, don: DataFrame, feats: list[str], targets: list[int] | None, k: int, scaled: bool, leaf_rows: int) -> DataFrame:
+    """(rid, j, sid, dist2, v): candidates that hold the k nearest donors of every unit.
+
+    Without ``targets`` a unit is a receiver, every row is a donor but the receiver itself."""
+    tree = index.build(don, feats, leaf_rows)
+    if tree is None:
+        return rec.sparkSession.createDataFrame([], CAND_SCHEMA)
+    used, need = list(range(len(feats))), k + (targets is None)
+
+    def nearest(units, boxes):
+        """The nearest nodes that hold enough comparable donors; all that hold any where there are too few."""
+        low, top = boxes.distances(units.x, used, scaled=scaled)
+        count = boxes.n if units.j < 0 else boxes.count[:, units.j]
+        order = np.argsort(top, axis=1, kind="stable")
+        sure = np.where(np.isfinite(np.take_along_axis(top, order, 1)), count[order], 0)
+        before = np.cumsum(sure, axis=1) - sure
+        wanted = np.zeros(low.shape, bool)
+        np.put_along_axis(wanted, order, before < need, 1)
+        return units.state, wanted & np.isfinite(low) & (count > 0), None
+
+    def within(units, boxes):
+        low, _ = boxes.distances(units.x, used, scaled=scaled)
+        count = boxes.n if units.j < 0 else boxes.count[:, units.j]
+        return units.state, (low <= units.state[:, :1] * (1 + SLACK)) & np.isfinite(low) & (count > 0), None
+
+    def scan(units, ids, x):
+        if units.j >= 0:
+            has = ~np.isnan(x[:, units.j])
+            ids, x = ids[has], x[has]
+        if not len(ids):
+            return pd.DataFrame()
+        dist = _distances(units, x, scaled=scaled)
+        if units.j < 0:
+            dist[units.rids[:, None] == ids[None, :]] = np.inf  # never a neighbour of itself
+        idx = _topk_idx(dist, ids, k)
+        got = np.take_along_axis(dist, idx, 1)
+        ok = np.isfinite(got)
+        if units.state.shape[1]:
+            ok &= got <= units.state[:, :1] * (1 + SLACK)
+        at = np.nonzero(ok)[0]
+        return pd.DataFrame({"rid": units.rids[at], "j": np.int32(units.j), "sid": ids[idx[ok]], "dist2": got[ok],
+                             "v": x[idx[ok], units.j] if units.j >= 0 else 0.0})
+
+    units = cut(index.units_of_holes(rec, feats, targets))
+    first = index.scanned(tree, index.descend(tree, units, 0, nearest, nearest), 0, scan, CAND_SCHEMA)
+    radius = (_merge_topk(first, k).groupBy("rid", "j").agg(F.count("*").alias("n"), F.max("dist2").alias("__s0")).where(F.col("n") == k)
+              .select(F.col("rid").alias("__id"), F.col("j").alias("__j"), "__s0"))
+    bounded = units.join(radius, ["__id", "__j"], "left").withColumn("__s0", F.coalesce("__s0", F.lit(math.inf)))
+    return index.scanned(tree, index.descend(tree, bounded, 1, within, within), 1, scan, CAND_SCHEMA)
 
 
 def _topk_idx(dist: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -270,12 +238,13 @@ def _weighted(cand: DataFrame, weights: str) -> DataFrame:
                    F.sum(F.when(F.col("dist2") > 0, F.lit(1.0) / d))).alias("fill"))
 
 
-def _apply_fills(df: DataFrame, id_col: str, cols: list[str], fills: DataFrame, fallback: dict) -> DataFrame:
+def _apply_fills(df: DataFrame, columns: list[str], cols: list[str], fills: DataFrame, fallback: dict) -> DataFrame:
+    """``columns`` of ``df`` (numbered by __id), holes of ``cols`` filled."""
     wide = fills.groupBy("rid").agg(*[
         F.max(F.when(F.col("j") == i, F.col("fill"))).alias(f"__f{i}") for i in range(len(cols))])
-    j = df.join(wide, df[id_col] == wide["rid"], "left")
+    j = df.join(wide, df["__id"] == wide["rid"], "left")
     out = []
-    for name in df.columns:
+    for name in columns:
         if name in cols:
             i = cols.index(name)
             out.append(F.coalesce(clean(df, name).cast("double"), F.col(f"__f{i}"),
@@ -286,34 +255,35 @@ def _apply_fills(df: DataFrame, id_col: str, cols: list[str], fills: DataFrame,
 
 
 class KNNModel(ImputerModel):
-    def __init__(self, id_col, feats, targets, k, weights, donors, means, block_rows, broadcast_bytes):
+    def __init__(self, id_col, feats, targets, k, weights, donors, means, block_rows, broadcast_bytes, leaf_rows=LEAF_ROWS):
         self.id_col, self.feats, self.targets, self.k, self.weights = id_col, feats, targets, k, weights
         self.donors, self.means = donors, means
-        self.block_rows, self.broadcast_bytes = block_rows, broadcast_bytes
+        self.block_rows, self.broadcast_bytes, self.leaf_rows = block_rows, broadcast_bytes, leaf_rows
 
     def candidates(self, df: DataFrame, k: int | None = None) -> DataFrame:
+        """Of rows numbered by __id, the k best donors per hole."""
         k = k or self.k
         tj = [self.feats.index(c) for c in self.targets]
         any_hole = None
         for c in self.targets:
             h = clean(df, c).isNull()
             any_hole = h if any_hole is None else (any_hole | h)
-        sel = [F.col(self.id_col).cast("long").alias("__id")] + \
-              [clean(df, c).cast("double").alias(c) for c in self.feats]
-        rec = df.where(any_hole).select(*sel)
+        rec = df.where(any_hole).select("__id", *[clean(df, c).cast("double").alias(c) for c in self.feats])
         don = self.donors
-        cand = _blocked(rec, don, self.block_rows, self.broadcast_bytes, len(self.feats),
-                        _nan_euclid_block(self.feats, tj, k), CAND_SCHEMA, _keep_best(k, ["rid", "j"], "dist2"),
-                        lambda r, d: _pruned(r, d, self.feats, tj, k, _nan_euclid_block(self.feats, tj, k), CAND_SCHEMA, True))
+        if _is_small(don, len(self.feats), self.broadcast_bytes):
+            cand = _shipped(rec, don, self.block_rows, _nan_euclid_block(self.feats, tj, k), CAND_SCHEMA, _keep_best(k, ["rid", "j"], "dist2"))
+        else:
+            cand = _indexed(rec, don, self.feats, tj, k, True, self.leaf_rows)
         return _merge_topk(cand, k)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        cand = self.candidates(df)
+        numbered = _Ids(df, self.id_col).number(df)
+        cand = self.candidates(numbered)
         fills = _weighted(cand, self.weights)
         # j indexes feats; map to target order
         tj = [self.feats.index(c) for c in self.targets]
         fills = fills.withColumn("j", F.array_position(F.array(*[F.lit(x) for x in tj]), F.col("j")) - 1)
-        return _apply_fills(df, self.id_col, self.targets, fills, self.means)
+        return _apply_fills(numbered, df.columns, self.targets, fills, self.means)
 
 
 class KNNImputer(Imputer):
@@ -326,14 +296,15 @@ class KNNImputer(Imputer):
     """
 
     def __init__(self, id_col: str, n_neighbors: int = 5, weights: str = "uniform", columns=None,
-                 features=None, exclude=(), block_rows: int = BLOCK_ROWS, broadcast_bytes: int = BROADCAST_BYTES):
+                 features=None, exclude=(), block_rows: int = BLOCK_ROWS, broadcast_bytes: int = BROADCAST_BYTES,
+                 leaf_rows: int = LEAF_ROWS):
         if weights not in ("uniform", "distance"):
             raise ValueError("weights must be 'uniform' or 'distance'")
         if n_neighbors < 1:
             raise ValueError("n_neighbors must be >= 1")
         self.id_col, self.k, self.weights = id_col, n_neighbors, weights
         self.columns, self.features, self.exclude = columns, features, tuple(exclude)
-        self.block_rows, self.broadcast_bytes = block_rows, broadcast_bytes
+        self.block_rows, self.broadcast_bytes, self.leaf_rows = block_rows, broadcast_bytes, leaf_rows
 
     def fit(self, df):
         self._check_input(df)
@@ -344,10 +315,9 @@ class KNNImputer(Imputer):
             raise ValueError("no numeric feature columns")
         row = df.agg(*[F.avg(clean(df, c)).alias(c) for c in targets]).first()
         means = {c: row[c] for c in targets}
-        donors = df.select(F.col(self.id_col).cast("long").alias("__id"),
-                           *[clean(df, c).cast("double").alias(c) for c in feats])
+        donors = _Ids(df, self.id_col).number(df).select("__id", *[clean(df, c).cast("double").alias(c) for c in feats])
         return KNNModel(self.id_col, feats, targets, self.k, self.weights, donors, means,
-                        self.block_rows, self.broadcast_bytes)
+                        self.block_rows, self.broadcast_bytes, self.leaf_rows)
 
 
 # ---------------------------------------------------------------- MOD2 enhanced KNN
@@ -376,10 +346,10 @@ def _euclid_block(feats: list[str], k: int):
 
 class EnhancedKNNModel(ImputerModel):
     def __init__(self, id_col, dist_feats, num_cols, cat_cols, k, weights, means, modes,
-                 block_rows, broadcast_bytes):
+                 block_rows, broadcast_bytes, leaf_rows=LEAF_ROWS):
         self.id_col, self.dist_feats, self.num_cols, self.cat_cols = id_col, dist_feats, num_cols, cat_cols
         self.k, self.weights, self.means, self.modes = k, weights, means, modes
-        self.block_rows, self.broadcast_bytes = block_rows, broadcast_bytes
+        self.block_rows, self.broadcast_bytes, self.leaf_rows = block_rows, broadcast_bytes, leaf_rows
 
     def neighbours(self, df: DataFrame, k: int | None = None) -> DataFrame:
         """(rid, sid, dist, rank): the k nearest other rows of every row with a hole,
@@ -392,21 +362,26 @@ class EnhancedKNNModel(ImputerModel):
         for i, (c, f) in enumerate(zip(self.dist_feats, filled)):
             sd = st[f"s{i}"] if st[f"s{i}"] else 1.0
             z.append(((f - F.lit(st[f"m{i}"])) / F.lit(sd)).alias(c))
-        allz = df.select(F.col(self.id_col).cast("long").alias("__id"), *z)
+        ids = _Ids(df, self.id_col)
+        numbered = ids.number(df)
+        allz = numbered.select("__id", *z)
         hole = None
         for c in self.num_cols + self.cat_cols:
             h = clean(df, c).isNull()
             hole = h if hole is None else (hole | h)
-        rec = df.where(hole).select(F.col(self.id_col).cast("long").alias("__id"), *z)
-        cand = _blocked(rec, allz, self.block_rows, self.broadcast_bytes, len(self.dist_feats),
-                        _euclid_block(self.dist_feats, k), NEIGH_SCHEMA, _keep_best(k, ["rid"], "ss"),
-                        lambda r, d: _pruned(r, d, self.dist_feats, None, k + 1, _euclid_block(self.dist_feats, k), NEIGH_SCHEMA, False))
+        rec = numbered.where(hole).select("__id", *z)
+        if _is_small(allz, len(self.dist_feats), self.broadcast_bytes):
+            cand = _shipped(rec, allz, self.block_rows, _euclid_block(self.dist_feats, k), NEIGH_SCHEMA, _keep_best(k, ["rid"], "ss"))
+        else:
+            cand = _indexed(rec, allz, self.dist_feats, None, k, False, self.leaf_rows).withColumnRenamed("dist2", "ss")
         w = Window.partitionBy("rid").orderBy("ss", "sid")
-        return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+        best = (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
                 .select("rid", "sid", F.sqrt("ss").alias("dist"), "rank"))
+        return ids.back(best, "rid", "sid")
 
     def fill_from(self, df: DataFrame, neigh: DataFrame) -> DataFrame:
-        vals = df.select(F.col(self.id_col).cast("long").alias("sid"),
+        kind = neigh.schema["sid"].dataType
+        vals = df.select(F.col(self.id_col).cast(kind).alias("sid"),
                          *[clean(df, c).alias(c) for c in self.num_cols + self.cat_cols])
         nv = neigh.join(vals, "sid")
         aggs = []
@@ -424,7 +399,7 @@ class EnhancedKNNModel(ImputerModel):
             m = cnt.groupBy("rid").agg(F.min_by(F.col(c), F.struct(-F.col("cnt"), F.col(c))).alias(c))
             fills = fills.join(m, "rid", "left")
         fills = fills.select("rid", *[F.col(c).alias(f"__f_{c}") for c in self.num_cols + self.cat_cols])
-        j = df.join(fills, df[self.id_col].cast("long") == fills["rid"], "left")
+        j = df.join(fills, df[self.id_col].cast(kind) == fills["rid"], "left")
         out = []
         for name in df.columns:
             if name in self.num_cols:
@@ -450,7 +425,7 @@ class EnhancedKNNImputer(Imputer):
 
     def __init__(self, id_col: str, n_neighbors: int = 5, weights: str = "distance", distance_features=None,
                  categorical_strategy: str = "mode", columns=None, exclude=(),
-                 block_rows: int = BLOCK_ROWS, broadcast_bytes: int = BROADCAST_BYTES):
+                 block_rows: int = BLOCK_ROWS, broadcast_bytes: int = BROADCAST_BYTES, leaf_rows: int = LEAF_ROWS):
         if categorical_strategy not in ("mode", "ignore"):
             raise ValueError("categorical_strategy must be 'mode' or 'ignore'")
         if weights not in ("uniform", "distance"):
@@ -460,7 +435,7 @@ class EnhancedKNNImputer(Imputer):
         self.id_col, self.k, self.weights = id_col, n_neighbors, weights
         self.distance_features, self.categorical_strategy = distance_features, categorical_strategy
         self.columns, self.exclude = columns, tuple(exclude)
-        self.block_rows, self.broadcast_bytes = block_rows, broadcast_bytes
+        self.block_rows, self.broadcast_bytes, self.leaf_rows = block_rows, broadcast_bytes, leaf_rows
 
     def fit(self, df):
         self._check_input(df)
@@ -476,18 +451,18 @@ class EnhancedKNNImputer(Imputer):
         from lacuna.operators.simple import column_modes
         modes = column_modes(df, cat)
         return EnhancedKNNModel(self.id_col, dist, num, cat, self.k, self.weights, means, modes,
-                                self.block_rows, self.broadcast_bytes)
+                                self.block_rows, self.broadcast_bytes, self.leaf_rows)
 
 
 # ---------------------------------------------------------------- MOD3 similarity partial mean
 #
 # Each hole takes the mean of its k = max(1, int(n_available * fraction)) most
 # similar donors.  k grows with the table, so candidate lists are never built.
-# Pass 1 counts donors (and sums their values) per receiver in fine
-# logarithmic distance bins; a window over those small per-receiver
-# histograms finds the bin holding the k-th donor.  Pass 2 revisits the block
-# pairs and emits only the donors that fall in that one bin, ordered by
-# (distance, donor id) to take exactly the ones still needed.
+# With donors in every task, pass 1 counts donors (and sums their values) per
+# receiver in fine logarithmic distance bins; a window over those small
+# per-receiver histograms finds the bin holding the k-th donor, and pass 2 emits
+# only the donors that fall in that one bin, ordered by (distance, donor id) to
+# take exactly the ones still needed.  With donors in a tree see ``_counted``.
 
 BINS_PER_OCTAVE = 8
 INF_BIN = 1 << 20
@@ -586,17 +561,181 @@ def _boundary_block(feats, targets, metric, n_fracs: int = 1):
     return fn
 
 
+# State of a unit in range counting: k, the least and greatest distance that the k-th may have, and
+# the range of donor ids among equals of one distance (two halves each: a double holds 32 bits).
+RANGE = ("k", "lo", "hi", "ilo_a", "ilo_b", "ihi_a", "ihi_b")
+RANGE_BINS = 64
+FEW = 512  # donors left in a range that are ranked one by one
+LOW_ID, HIGH_ID = -(1 << 63), (1 << 63) - 1
+
+
+def _keys(distance: np.ndarray) -> np.ndarray:
+    """Distances (0 or more) as integers in the same order."""
+    return np.ascontiguousarray(distance, np.float64).view(np.int64)
+
+
+def _halves(i: int) -> tuple[float, float]:
+    return float(i >> 32), float(i & 0xFFFFFFFF)
+
+
+def _whole_id(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (a.astype(np.int64) << 32) | b.astype(np.int64)
+
+
+def _ranges(units: index.Units):
+    """Per unit the key range, whether it is one key, and the id range."""
+    s = units.state
+    lo, hi = _keys(s[:, 1]), _keys(s[:, 2])
+    return lo, hi, lo == hi, _whole_id(s[:, 3], s[:, 4]), _whole_id(s[:, 5], s[:, 6])
+
+
+def _inside(units: index.Units, ids: np.ndarray, keys: np.ndarray):
+    """Below the range, and in it: masks of units by donors."""
+    lo, hi, one, ilo, ihi = (a[:, None] for a in _ranges(units))
+    below = (keys < lo) | (one & (keys == lo) & (ids[None, :] < ilo))
+    return below, ~below & (keys <= hi) & ~(one & (ids[None, :] > ihi))
+
+
+#: counts of a bin, and the least and greatest distance and id in it
+COUNTS = "rid long, j int, bin int, n long, s double, lo double, hi double, ilo long, ihi long"
+LAST = "rid long, j int, sid long, dist2 double, v double"
+
+
+def _counted(rec: DataFrame, don: DataFrame, cols: list[str], available: list[int], fractions: list[float], metric: str, leaf_rows: int) -> DataFrame:
+    """(rid, j, f, fill): mean of the nearest share of donors by range counting on a tree."""
+    spark = rec.sparkSession
+    tree = index.build(don, cols, leaf_rows)
+    if tree is None or rec.isEmpty():
+        return spark.createDataFrame([], "rid long, j int, f int, fill double")
+    used = list(range(len(cols)))
+
+    def start(units, boxes):
+        """Least and greatest distance that the k-th donor may have, where they are not known yet."""
+        low, top = boxes.distances(units.x, used, metric)
+        count = boxes.count[:, units.j]
+        state = units.state.copy()
+        for column, bound in ((1, low), (2, top)):
+            order = np.argsort(bound, axis=1, kind="stable")
+            first = (np.cumsum(count[order], axis=1) >= state[:, :1]).argmax(axis=1)
+            edge = np.take_along_axis(bound, np.take_along_axis(order, first[:, None], 1), 1)[:, 0]
+            slack = 1 - SLACK if column == 1 else 1 + SLACK
+            state[:, column] = np.where(np.isnan(state[:, column]), edge * slack, state[:, column])
+        return (state, *sorted_out(state, low, top, count))
+
+    def sorted_out(state, low, top, count):
+        whole = top < state[:, 1:2] * (1 - SLACK)
+        return ~whole & (low <= state[:, 2:3] * (1 + SLACK)) & (count > 0), whole
+
+    def later(units, boxes):
+        low, top = boxes.distances(units.x, used, metric)
+        return (units.state, *sorted_out(units.state, low, top, boxes.count[:, units.j]))
+
+    def has(units, ids, x):
+        at = ~np.isnan(x[:, units.j])
+        return ids[at], x[at]
+
+    def tally(units, ids, x):
+        ids, x = has(units, ids, x)
+        if not len(ids):
+            return pd.DataFrame()
+        keys = _keys(_distances(units, x, metric))
+        below, inside = _inside(units, ids, keys)
+        lo, hi, one, ilo, ihi = _ranges(units)
+        width = np.maximum((hi - lo) // RANGE_BINS + 1, 1)[:, None]
+        # a range of ids may span more than a signed long
+        id_at = (ids[None, :].astype(np.uint64) - ilo[:, None].astype(np.uint64))
+        id_width = ((ihi.astype(np.uint64) - ilo.astype(np.uint64)) // np.uint64(RANGE_BINS) + np.uint64(1))[:, None]
+        bins = np.where(one[:, None], (id_at // id_width).astype(np.int64), (keys - lo[:, None]) // width)
+        slot = np.where(below, 0, np.where(inside, bins + 1, RANGE_BINS + 1)) + np.arange(len(units.x))[:, None] * (RANGE_BINS + 2)
+        size = len(units.x) * (RANGE_BINS + 2)
+        n = np.bincount(slot.ravel(), minlength=size)
+        s = np.bincount(slot.ravel(), weights=np.broadcast_to(x[:, units.j], slot.shape).ravel(), minlength=size)
+        ends = [np.full(size, v) for v in (np.int64(HIGH_ID), np.int64(LOW_ID), np.int64(HIGH_ID), np.int64(LOW_ID))]
+        every = np.broadcast_to(ids, slot.shape).ravel()
+        for least, greatest, values in ((ends[0], ends[1], keys.ravel()), (ends[2], ends[3], every)):
+            np.minimum.at(least, slot.ravel(), values)
+            np.maximum.at(greatest, slot.ravel(), values)
+        at = np.flatnonzero(n)
+        at = at[at % (RANGE_BINS + 2) <= RANGE_BINS]
+        return pd.DataFrame({"rid": units.rids[at // (RANGE_BINS + 2)], "j": np.int32(units.j), "bin": (at % (RANGE_BINS + 2) - 1).astype(np.int32),
+                             "n": n[at], "s": s[at], "lo": ends[0][at].view(np.float64), "hi": ends[1][at].view(np.float64),
+                             "ilo": ends[2][at], "ihi": ends[3][at]})
+
+    def listed(units, ids, x):
+        ids, x = has(units, ids, x)
+        dist = _distances(units, x, metric)
+        a, b = np.nonzero(_inside(units, ids, _keys(dist))[1])
+        return pd.DataFrame({"rid": units.rids[a], "j": np.int32(units.j), "sid": ids[b], "dist2": dist[a, b], "v": x[b, units.j]})
+
+    def wholes(it):
+        for pdf in it:
+            for r in pdf.itertuples(index=False):
+                yield pd.DataFrame({"rid": np.frombuffer(r.rids, np.int64), "j": np.int32(r.j), "bin": np.int32(-1),
+                                    "n": np.frombuffer(r.count, np.float64).astype(np.int64), "s": np.frombuffer(r.sum, np.float64),
+                                    "lo": 0.0, "hi": 0.0, "ilo": 0, "ihi": 0})
+
+    states = [f"__s{i}" for i in range(len(RANGE))]
+    begin = dict(zip(states[1:], [math.nan, math.nan, *_halves(LOW_ID), *_halves(HIGH_ID)]))
+    holes = cut(index.units_of_holes(rec, cols, list(range(len(cols)))))
+    out = []
+    for f, fraction in enumerate(fractions):
+        ks = F.array(*[F.lit(float(max(1, int(n * fraction)) if n else 0)) for n in available])
+        units = holes.withColumn("__s0", F.element_at(ks, F.col("__j") + 1)).where("__s0 > 0").select(
+            "*", *[F.lit(v).alias(s) for s, v in begin.items()])
+        while True:
+            blocks = index.descend(tree, units, len(RANGE), start, later)
+            counts = (index.scanned(tree, blocks.where("node IS NOT NULL"), len(RANGE), tally, COUNTS)
+                      .unionByName(blocks.where("node IS NULL").mapInPandas(wholes, COUNTS)))
+            narrowed = cut(_narrowed(counts, units, states))
+            few = narrowed.where(F.col("n") <= FEW)
+            done = few.select("rid", "j", "k", "n", "before", "sbefore", *states)
+            last = index.descend(tree, _with_state(holes, done, states), len(RANGE), start, later)
+            ranked = index.scanned(tree, last.where("node IS NOT NULL"), len(RANGE), listed, LAST)
+            rank = F.row_number().over(Window.partitionBy("rid", "j").orderBy("dist2", "sid"))
+            taken = (ranked.withColumn("rank", rank).join(done.select("rid", "j", "k", "before", "sbefore"), ["rid", "j"])
+                     .where(F.col("rank") <= F.col("k") - F.col("before")).groupBy("rid", "j", "k", "sbefore").agg(F.sum("v").alias("s")))
+            out.append(cut(taken.select("rid", "j", F.lit(f).alias("f"), ((F.col("sbefore") + F.col("s")) / F.col("k")).alias("fill"))))
+            rest = narrowed.where(F.col("n") > FEW)
+            if rest.isEmpty():
+                break
+            units = cut(_with_state(holes, rest, states))
+    fills = out[0]
+    for o in out[1:]:
+        fills = fills.unionByName(o)
+    return fills
+
+
+def _with_state(holes: DataFrame, found: DataFrame, states: list[str]) -> DataFrame:
+    return holes.join(found.select(F.col("rid").alias("__id"), F.col("j").alias("__j"), *states), ["__id", "__j"])
+
+
+def _narrowed(counts: DataFrame, units: DataFrame, states: list[str]) -> DataFrame:
+    """Per unit the bin that holds the k-th donor as its new range, as narrow as the donors in it:
+    n of them, ``before`` and ``sbefore`` of those below.  Donors of one distance are told apart by id."""
+    per = counts.groupBy("rid", "j", "bin").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+                                                F.min("ilo").alias("ilo"), F.max("ihi").alias("ihi"))
+    by = Window.partitionBy("rid", "j").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    per = (per.withColumn("before", F.coalesce(F.sum("n").over(by), F.lit(0))).withColumn("sbefore", F.coalesce(F.sum("s").over(by), F.lit(0.0)))
+           .join(units.select(F.col("__id").alias("rid"), F.col("__j").alias("j"), F.col("__s0").alias("k")), ["rid", "j"])
+           .where((F.col("before") < F.col("k")) & (F.col("before") + F.col("n") >= F.col("k")) & (F.col("bin") >= 0)))
+    one = F.col("lo") == F.col("hi")
+    ilo, ihi = F.when(one, F.col("ilo")).otherwise(F.lit(LOW_ID)), F.when(one, F.col("ihi")).otherwise(F.lit(HIGH_ID))
+    halves = [h.cast("double") for i in (ilo, ihi) for h in (F.shiftright(i, 32), i.bitwiseAND(F.lit(0xFFFFFFFF)))]
+    return per.select("rid", "j", "k", "n", "before", "sbefore",
+                      *[c.alias(s) for s, c in zip(states, [F.col("k"), F.col("lo"), F.col("hi"), *halves])])
+
+
 class SimilarityPartialMeanModel(ImputerModel):
-    def __init__(self, id_col, cols, fraction, means, block_rows, broadcast_bytes, metric="euclidean"):
+    def __init__(self, id_col, cols, fraction, means, block_rows, broadcast_bytes, metric="euclidean", leaf_rows=LEAF_ROWS):
         self.id_col, self.cols, self.fraction, self.metric = id_col, cols, fraction, metric
-        self.means, self.block_rows, self.broadcast_bytes = means, block_rows, broadcast_bytes
+        self.means, self.block_rows, self.broadcast_bytes, self.leaf_rows = means, block_rows, broadcast_bytes, leaf_rows
 
     def _fills(self, df: DataFrame, fractions: list[float]) -> DataFrame:
-        """(rid, j, f, fill) for every fraction f: the distance histograms are
-        computed once and shared; pass 2 emits the donors of every boundary bin."""
+        """(rid, j, f, fill) of rows numbered by __id for every fraction f: the distance histograms
+        are computed once and shared; pass 2 emits the donors of every boundary bin."""
         cols = self.cols
         targets = list(range(len(cols)))
-        sel = [F.col(self.id_col).cast("long").alias("__id")] + [clean(df, c).cast("double").alias(c) for c in cols]
+        sel = ["__id"] + [clean(df, c).cast("double").alias(c) for c in cols]
         hole = None
         for c in cols:
             h = clean(df, c).isNull()
@@ -604,8 +743,9 @@ class SimilarityPartialMeanModel(ImputerModel):
         rec = df.where(hole).select(*sel)
         don = df.select(*sel)
         n_avail = df.agg(*[F.count(clean(df, c)).alias(c) for c in cols]).first()
-        hist = _blocked(rec, don, self.block_rows, self.broadcast_bytes, len(cols),
-                        _hist_block(cols, targets, self.metric), "rid long, j int, bin long, cnt long, sv double")
+        if not _is_small(don, len(cols), self.broadcast_bytes):
+            return _counted(rec, don, cols, [n_avail[c] for c in cols], fractions, self.metric, self.leaf_rows)
+        hist = _shipped(rec, don, self.block_rows, _hist_block(cols, targets, self.metric), "rid long, j int, bin long, cnt long, sv double")
         hist = hist.groupBy("rid", "j", "bin").agg(F.sum("cnt").alias("cnt"), F.sum("sv").alias("sv"))
         w = Window.partitionBy("rid", "j").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
         total = Window.partitionBy("rid", "j")
@@ -629,8 +769,7 @@ class SimilarityPartialMeanModel(ImputerModel):
             F.max(F.when((F.col("j") == i) & (F.col("f") == fi), F.col("bin"))).alias(f"__bin{i}_{fi}")
             for i in targets for fi in range(len(fractions))])
         rec2 = rec.join(wide, rec["__id"] == wide["rid"]).drop("rid")
-        cand = _blocked(rec2, don, self.block_rows, self.broadcast_bytes, len(cols),
-                        _boundary_block(cols, targets, self.metric, len(fractions)), CAND_SCHEMA_F)
+        cand = _shipped(rec2, don, self.block_rows, _boundary_block(cols, targets, self.metric, len(fractions)), CAND_SCHEMA_F)
         cw = Window.partitionBy("rid", "j", "f").orderBy("dist2", "sid")
         taken = cand.withColumn("rank", F.row_number().over(cw)).join(
             bnd.select("rid", "j", "f", "need"), ["rid", "j", "f"]).where(F.col("rank") <= F.col("need")) \
@@ -642,13 +781,15 @@ class SimilarityPartialMeanModel(ImputerModel):
         return {c: (self.means[c] if self.means.get(c) is not None else 0.0) for c in self.cols}
 
     def transform(self, df: DataFrame) -> DataFrame:
-        fills = self._fills(df, [self.fraction]).drop("f")
-        return _apply_fills(df, self.id_col, self.cols, fills, self._fallback())
+        numbered = _Ids(df, self.id_col).number(df)
+        fills = self._fills(numbered, [self.fraction]).drop("f")
+        return _apply_fills(numbered, df.columns, self.cols, fills, self._fallback())
 
     def sweep(self, df: DataFrame, fractions: list[float]) -> dict[float, DataFrame]:
         """Filled tables for several subset fractions from one pair of block passes (EVL23)."""
-        fills = cut(self._fills(df, list(fractions)))
-        return {frac: _apply_fills(df, self.id_col, self.cols, fills.where(F.col("f") == fi).drop("f"),
+        numbered = _Ids(df, self.id_col).number(df)
+        fills = cut(self._fills(numbered, list(fractions)))
+        return {frac: _apply_fills(numbered, df.columns, self.cols, fills.where(F.col("f") == fi).drop("f"),
                                    self._fallback())
                 for fi, frac in enumerate(fractions)}
 
@@ -661,18 +802,19 @@ class SimilarityPartialMeanImputer(Imputer):
     """
 
     def __init__(self, id_col: str, subset_size: float = 0.3, similarity_metric: str = "euclidean",
-                 columns=None, exclude=(), block_rows: int = BLOCK_ROWS, broadcast_bytes: int = BROADCAST_BYTES):
+                 columns=None, exclude=(), block_rows: int = BLOCK_ROWS, broadcast_bytes: int = BROADCAST_BYTES,
+                 leaf_rows: int = LEAF_ROWS):
         if similarity_metric not in ("euclidean", "manhattan"):
             raise ValueError(f"similarity_metric is euclidean or manhattan, not {similarity_metric!r}")
         if not 0 < subset_size <= 1:
             raise ValueError("subset_size must be in (0, 1]")
         self.id_col, self.fraction, self.metric = id_col, subset_size, similarity_metric
         self.columns, self.exclude = columns, tuple(exclude)
-        self.block_rows, self.broadcast_bytes = block_rows, broadcast_bytes
+        self.block_rows, self.broadcast_bytes, self.leaf_rows = block_rows, broadcast_bytes, leaf_rows
 
     def fit(self, df):
         self._check_input(df)
         cols = resolve_columns(df, self.columns, "numeric", list(self.exclude) + [self.id_col])
         row = df.agg(*[F.avg(clean(df, c)).alias(c) for c in cols]).first()
         return SimilarityPartialMeanModel(self.id_col, cols, self.fraction, row.asDict(),
-                                          self.block_rows, self.broadcast_bytes, self.metric)
+                                          self.block_rows, self.broadcast_bytes, self.metric, self.leaf_rows)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from lacuna.functions.columns import clean, resolve_columns
 from lacuna.operators.base import Imputer, ImputerModel
+from lacuna.operators.gaussian import MODES, table_pays
 from lacuna.operators.moments import PatternMoments, TooManyPatterns, missing_patterns
 from lacuna.session import cut
 
@@ -121,8 +122,8 @@ class SVDImputer(Imputer):
     def __init__(self, n_components: int | None = 5, max_iter: int = 100, tol: float = 1e-4,
                  center: bool = False, scale: bool = True, columns=None, exclude=(), max_patterns: int = 4096,
                  mode: str = "auto"):
-        if mode not in ("auto", "patterns", "scan"):
-            raise ValueError("mode must be 'auto', 'patterns' or 'scan'")
+        if mode not in MODES:
+            raise ValueError(f"mode must be one of {MODES}")
         self.mode = mode
         self.k, self.max_iter, self.tol = n_components, max_iter, tol
         self.center, self.scale = center, scale
@@ -181,12 +182,17 @@ class SVDImputer(Imputer):
 def _moments(df: DataFrame, cols: list[str], mode: str, max_patterns: int):
     """Pattern moments where they fit on the driver, else passes over the data: the same sums of
     the same completed rows, so the same iteration."""
-    if mode != "scan":
+    table = mode == "table"
+    if mode in ("auto", "patterns"):
         try:
             return _FromPatterns(PatternMoments(df, cols, max_patterns))
         except TooManyPatterns:
             if mode == "patterns":
                 raise
+            table = table_pays(df, cols)
+    if table:
+        from lacuna.operators.states import FromTable, MomentState
+        return FromTable(MomentState.of(df, cols).table())
     return _FromRows(df, cols)
 
 

@@ -18,6 +18,8 @@ from lacuna.operators.base import Imputer, ImputerModel, fill_with
 
 
 class ConstantModel(ImputerModel):
+    PER_ROW = True
+
     def __init__(self, values: dict):
         self.statistics_ = values
 
@@ -72,6 +74,8 @@ class ConstantImputer(Imputer):
 
 
 class ValueModel(ImputerModel):
+    PER_ROW = True
+
     def __init__(self, statistic: str, values: dict, keep_type: bool = False):
         self.statistic = statistic
         self.statistics_ = values

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lacuna.functions.hashing import gaussian_noise_sql, missing_flag, missing_flag_sql
+from lacuna.functions.hashing import full_hash_sql, gaussian_noise_sql, missing_flag, missing_flag_sql
 from lacuna.operators.gaussian import EMImputer, IterativeImputer
 from lacuna.operators.lowrank import SVDImputer
 from lacuna.operators.mixture import GaussianMixtureImputer, select_components
@@ -392,6 +392,66 @@ SELECT 1 AS n_components, round(ll, 2) AS log_likelihood, round(2 * 5 - 2 * ll,
 query("q41d_mixture_information_criteria", Q41D_SQL)(q41d)
 
 
+MIX_STEPS, MIX_FILLS = 6, 3
+
+
+def q41e(spark, sf):
+    """Two components: a fixed number of EM steps from the hash-picked start, then of fill steps."""
+    imp = GaussianMixtureImputer(2, MIX_FILLS, tol=0.0, columns=TWO, id_col="doc_id", fit_iter=MIX_STEPS, fit_tol=0.0)
+    return _words(imp.fit_transform(_two(spark, sf)))
+
+
+def q41f(spark, sf):
+    s = select_components(_two(spark, sf), TWO, ks=(1, 2), id_col="doc_id", max_iter=MIX_STEPS, tol=0.0)
+    return s.select("n_components", *[F.round(c, 2).alias(c) for c in ("log_likelihood", "aic", "bic")])
+
+
+def _mixture_sql() -> str:
+    """CTEs z (rows in standard units), p<i> (parameters after i steps) and e<i> (log densities under them)."""
+    def density(k, norm=True):
+        a, b, c = f"(vxx{k} + 1e-6)", f"vxy{k}", f"(vyy{k} + 1e-6)"
+        dx, dy, det = f"(x - mx{k})", f"(y - my{k})", f"({a} * {c} - {b} * {b})"
+        quad = f"({c} * {dx} * {dx} - 2 * {b} * {dx} * {dy} + {a} * {dy} * {dy}) / {det}"
+        return f"ln(w{k}) - 0.5 * ({'2 * ln(2 * pi()) + ' if norm else ''}ln({det}) + {quad})"
+
+    def after(k, r):
+        mean = {v: f"sum({r} * {v}) / sum({r})" for v in "xy"}
+        cov = {u + v: f"sum({r} * {u} * {v}) / sum({r}) - ({mean[u]}) * ({mean[v]})" for u, v in ("xx", "xy", "yy")}
+        return f"sum({r}) / count(*) AS w{k}, {mean['x']} AS mx{k}, {mean['y']} AS my{k}, " + ", ".join(f"{e} AS v{n}{k}" for n, e in cov.items())
+
+    ctes = [TWO_CTE, f"""c AS (SELECT avg(n_chars) AS ax, stddev_pop(n_chars) AS sx, avg(n_words) AS ay, stddev_pop(n_words) AS sy FROM m),
+z AS MATERIALIZED (SELECT doc_id, (n_chars - ax) / sx AS x, coalesce((n_words - ay) / sy, 0.0) AS y, n_words IS NULL AS hole,
+  {full_hash_sql('doc_id', 'mixture42')} AS h FROM m, c)""",
+            """s AS (SELECT x, y, row_number() OVER (ORDER BY h) AS k FROM z QUALIFY k <= 2)""",
+            "p0 AS MATERIALIZED (SELECT " + ", ".join(
+                f"0.5::DOUBLE AS w{k}, (SELECT x FROM s WHERE k = {k}) AS mx{k}, (SELECT y FROM s WHERE k = {k}) AS my{k}, "
+                f"covar_pop(x, x) AS vxx{k}, covar_pop(x, y) AS vxy{k}, covar_pop(y, y) AS vyy{k}" for k in (1, 2)) + " FROM z)"]
+    for i in range(MIX_STEPS + 1):
+        ctes.append(f"e{i} AS MATERIALIZED (SELECT x, y, {density(1)} AS l1, {density(2)} AS l2 FROM z, p{i})")
+        if i < MIX_STEPS:
+            ctes.append(f"p{i + 1} AS MATERIALIZED (SELECT {after(1, 'r')}, {after(2, '(1 - r)')} FROM (SELECT x, y, 1 / (1 + exp(l2 - l1)) AS r FROM e{i}))")
+    last = f"p{MIX_STEPS}"
+    y = "f0 AS MATERIALIZED (SELECT doc_id, hole, x, y FROM z)"
+    ctes.append(y)
+    for i in range(MIX_FILLS):
+        given = ", ".join(f"my{k} + vxy{k} / (vxx{k} + 1e-6) * (x - mx{k}) AS g{k}" for k in (1, 2))
+        ctes.append(f"f{i + 1} AS MATERIALIZED (SELECT doc_id, hole, x, CASE WHEN hole THEN (g1 + g2 * exp(l2 - l1)) / (1 + exp(l2 - l1)) ELSE y END AS y "
+                    f"FROM (SELECT f{i}.*, {density(1, False)} AS l1, {density(2, False)} AS l2, {given} FROM f{i}, {last}))")
+    return "WITH " + ",\n".join(ctes)
+
+
+Q41E_SQL = _mixture_sql() + f"""
+SELECT m.doc_id, round(coalesce(m.n_words, ay + sy * f.y), 2) AS n_words FROM m JOIN f{MIX_FILLS} f USING (doc_id), c"""
+query("q41e_mixture_two_components", Q41E_SQL)(q41e)
+
+Q41F_SQL = _mixture_sql() + f""",
+one AS (SELECT count(*) AS n, var_pop(x) * var_pop(y) - covar_pop(x, y) * covar_pop(x, y) AS det FROM z),
+l AS (SELECT 1 AS k, 5 AS q, -0.5 * n * (2 * ln(2 * pi()) + ln(det) + 2) AS ll FROM one
+      UNION ALL SELECT 2, 11, sum(greatest(l1, l2) + ln(1 + exp(-abs(l1 - l2)))) FROM e{MIX_STEPS})
+SELECT k AS n_components, round(ll, 2) AS log_likelihood, round(2 * q - 2 * ll, 2) AS aic, round(q * ln(n) - 2 * ll, 2) AS bic FROM l, one"""
+query("q41f_mixture_two_components_criteria", Q41F_SQL)(q41f)
+
+
 def q42b(spark, sf):
     """Noise before EM: each replicate's fill is the regression on its noisy complete rows."""
     out = MI.multiple_before(_two(spark, sf), "doc_id", TWO, 3, em_max_iter=100)

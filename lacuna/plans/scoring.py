@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lacuna.functions.hashing import full_hash_sql, missing_flag_sql
@@ -14,6 +16,7 @@ from lacuna.plans.common import (DOC_COLS, DOC_FEATS, LINEITEM_ID, _mask, doc_ma
 from lacuna.plans.fills import LI_COLS, LI_MASKS, LI_NUM, ORD_COLS
 from lacuna.plans.registry import query
 from lacuna.plans.sqlgen import avg_rank_sql, cells_sql, numeric_scores_sql, pooled_scores_sql
+from lacuna.session import checkpoint_dir, delete_on_exit
 from lacuna.sources.tables import load
 
 SCORE_COLS = ["method", "column_name", "n_scored", "n_unfilled", "mse", "rmse", "mae", "r2", "nrmse",
@@ -346,6 +349,28 @@ query("q21c_best_methods_numeric_and_text", _mixed_short_sql() + "\n" + " UNION
     for c, o in (("rmse", "ASC"), ("mae", "ASC"), ("r2_score", "DESC"), ("categorical_accuracy", "DESC"))))(q21c)
 
 
+# ------------------------------------------------------------------ Q17c scores of separate frames
+FRAME_METHODS = ("mean", "median", "group_mean")
+
+
+def q17c(spark, sf):
+    """Scores from separate Parquet folders of truth, mask and fills, paired by id."""
+    from lacuna.operators.align import FrameScores
+    base = delete_on_exit(spark, f"{checkpoint_dir(spark).rstrip('/')}/lacuna-frames/q17c-{uuid.uuid4().hex}")
+    m = doc_masked(spark, sf)
+    m.select("doc_id", *[F.col(f"{c}__truth").alias(c) for c in DOC_FEATS]).write.parquet(f"{base}/truth")
+    m.select("doc_id", *[F.col(f"{c}__mask").alias(c) for c in DOC_FEATS]).write.parquet(f"{base}/mask")
+    frames = FrameScores(spark.read.parquet(f"{base}/truth"), spark.read.parquet(f"{base}/mask"), "doc_id", DOC_FEATS)
+    for name, fill in doc_fills(spark, sf, FRAME_METHODS, m).items():
+        fill.select("doc_id", *DOC_FEATS).write.parquet(f"{base}/{name}")
+        frames.add(name, spark.read.parquet(f"{base}/{name}"))
+    return _round_scores(E.numeric_scores(frames.scored(), DOC_FEATS), mse_digits=0)
+
+
+Q17C_SQL = doc_fills_sql(FRAME_METHODS) + "\n" + _round_scores_sql(numeric_scores_sql(_doc_cells(FRAME_METHODS)), 0)
+query("q17c_aligned_frames", Q17C_SQL)(q17c)
+
+
 # ------------------------------------------------------------------ Q20 compare and rank
 def _pooled_all(spark, sf):
     return E.pooled_scores(doc_scored(spark, sf), DOC_FEATS)
@@ -367,6 +392,22 @@ SELECT *, round((rmse_rank + mae_rank + r2_rank + bias_rank) / 4.0, 4) AS overal
 query("q20_compare_and_rank", Q20_SQL)(q20)
 
 
+WIDE = ("rmse", "mae", "r2", "bias")
+
+
+def q20b(spark, sf):
+    """One row per method, the scores of every column beside each other."""
+    w = E.wide_scores(E.numeric_scores(doc_scored(spark, sf), DOC_FEATS), DOC_FEATS, WIDE)
+    return w.select("method", *[F.round(f"{c}_{m}", 4).alias(f"{c}_{m}") for c in DOC_FEATS for m in WIDE])
+
+
+Q20B_SQL = doc_fills_sql() + f""",
+s AS ({numeric_scores_sql(_doc_cells())})
+SELECT method, """ + ", ".join(f"round(max(CASE WHEN column_name = '{c}' THEN {m} END), 4) + 0.0 AS {c}_{m}" for c in DOC_FEATS for m in WIDE) + """
+FROM s GROUP BY method"""
+query("q20b_compare_wide", Q20B_SQL)(q20b)
+
+
 # ------------------------------------------------------------------ Q21 best methods, improvement
 def q21(spark, sf):
     b = E.best_methods(_pooled_all(spark, sf))
@@ -453,6 +494,13 @@ def q23(spark, sf):
                      F.round("covariance", 2).alias("covariance"))
 
 
+def q23b(spark, sf):
+    """The pairs from matrix products, as for wide tables."""
+    ps = A.pair_stats(_doc_views(spark, sf), DOC_FEATS, gram_columns=1)
+    return ps.select("method", "col_a", "col_b", (F.round("corr", 6) + 0.0).alias("corr"),
+                     (F.round("covariance", 2) + 0.0).alias("covariance"))
+
+
 def _pairs():
     from itertools import combinations
     return list(combinations(DOC_FEATS, 2))
@@ -462,6 +510,7 @@ Q23_SQL = _doc_views_sql() + "\n" + " UNION ALL ".join(
     f"SELECT method, '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 6) + 0.0 AS corr, "
     f"round(covar_samp({a}, {b}), 2) + 0.0 AS covariance FROM views GROUP BY method" for a, b in _pairs())
 query("q23_correlation_covariance", Q23_SQL)(q23)
+query("q23b_correlation_covariance_gram", Q23_SQL)(q23b)
 
 Q24_METHODS = ("group_mean", "mean")
 

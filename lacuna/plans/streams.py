@@ -8,7 +8,7 @@ from lacuna.functions.hashing import missing_flag
 from lacuna.operators.simple import MeanImputer
 from lacuna.plans.common import masked, masked_sql
 from lacuna.plans.registry import query
-from lacuna.streaming import missing_rate_by_window, run_to_table, stream_apply, stream_ffill
+from lacuna.streaming import latest, missing_rate_by_window, run_to_table, stream_apply, stream_ffill
 
 EV_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 EV_MASKS = {"value": (31, 250)}
@@ -30,20 +30,27 @@ def _event_stream(spark, sf):
     return _as_events(raw)
 
 
-def _event_batches(spark, sf, batches=4):
-    """The events as a stream of several micro-batches: time ranges written one after another."""
+BATCH_FILES = 8
+
+
+def _event_batches(spark, sf, batches=4, by_time=True):
+    """The events as a stream of several micro-batches: time ranges written one after another, or
+    (``by_time`` off) parts by hash of the event, so that every part holds rows of all times."""
     import uuid
     from lacuna.session import checkpoint_dir, delete_on_exit
     events = spark.read.parquet(f"{sf}/events.parquet")
     key = F.unix_micros(F.col("ts").cast("timestamp"))
-    cuts = events.agg(F.percentile_approx(key, [i / batches for i in range(1, batches)])).first()[0] or []
+    cuts = (events.agg(F.percentile_approx(key, [i / batches for i in range(1, batches)])).first()[0] or []) if by_time else []
     base = delete_on_exit(spark, f"{checkpoint_dir(spark).rstrip('/')}/lacuna-streams/events-{uuid.uuid4().hex}")
     part = F.lit(0)
     for c in cuts:
         part = part + F.when(key > c, 1).otherwise(0)
-    for i in range(len(cuts) + 1):  # a handful of ranges; each write is a Spark job
-        events.where(F.coalesce(part, F.lit(0)) == i).coalesce(1).write.parquet(f"{base}/b{i}")
-    return _as_events(spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/b*"))
+    part = F.coalesce(part, F.lit(0)) if by_time else F.pmod(F.hash("event_id"), F.lit(batches))
+    events.withColumn("__part", part).write.partitionBy("__part").parquet(f"{base}/parts")
+    dealt = spark.read.parquet(f"{base}/parts")
+    for i in range(batches):  # a handful of jobs, each reads its own part only
+        dealt.where(F.col("__part") == i).drop("__part").repartition(BATCH_FILES).write.parquet(f"{base}/stream/b{i}")
+    return _as_events(spark.readStream.schema(events.schema).option("maxFilesPerTrigger", BATCH_FILES).parquet(f"{base}/stream/b*"))
 
 
 def q46(spark, sf):
@@ -57,11 +64,15 @@ SELECT event_id, round(coalesce(value, (SELECT avg(value) FROM m)), 4) AS value
 query("q46_stream_apply", Q46_SQL)(q46)
 
 
+def _stream_filled(spark, sf, name, by_time):
+    out = stream_ffill(_event_batches(spark, sf, by_time=by_time), "user_id", "ts", "value", order_tiebreak="event_id",
+                       watermark="60 days", timeout_ms=3650 * 24 * 3600 * 1000, bucket_ms=10 * 24 * 3600 * 1000)
+    res = run_to_table(spark, out.select("event_id", "user_id", "value", "revision"), name)
+    return latest(res, "event_id", "user_id").select("event_id", "user_id", F.round("value", 4).alias("value"))
+
+
 def q46b(spark, sf):
-    out = stream_ffill(_event_batches(spark, sf), "user_id", "ts", "value", order_tiebreak="event_id",
-                       watermark="30 days", timeout_ms=3650 * 24 * 3600 * 1000)
-    res = run_to_table(spark, out.select("event_id", "user_id", "value"), "stream_ffill")
-    return res.select("event_id", "user_id", F.round("value", 4).alias("value"))
+    return _stream_filled(spark, sf, "stream_ffill", by_time=True)
 
 
 Q46B_SQL = f"""WITH m AS ({masked_sql('events', EV_COLS, 'event_id', EV_MASKS)})
@@ -70,6 +81,27 @@ SELECT event_id, user_id, round(coalesce(value, last_value(value IGNORE NULLS) O
 query("q46b_stream_ffill", Q46B_SQL)(q46b)
 
 
+def q46h(spark, sf):
+    """Three quarters of the rows come late: corrections bring every fill to the batch answer."""
+    return _stream_filled(spark, sf, "stream_ffill_late", by_time=False)
+
+
+query("q46h_stream_ffill_late_rows", Q46B_SQL)(q46h)
+
+
+def q46i(spark, sf):
+    """Rows sent once, when the watermark has passed their day."""
+    out = stream_ffill(_event_batches(spark, sf), "user_id", "ts", "value", order_tiebreak="event_id", watermark="5 days",
+                       timeout_ms=3650 * 24 * 3600 * 1000, bucket_ms=24 * 3600 * 1000, emit="final")
+    res = run_to_table(spark, out.select("event_id", "user_id", "value"), "stream_ffill_final")
+    return res.select("event_id", "user_id", F.round("value", 4).alias("value"))
+
+
+Q46I_SQL = f"""WITH f AS (SELECT ts, m.* FROM ({Q46B_SQL}) m JOIN events USING (event_id))
+SELECT event_id, user_id, value FROM f WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 5 DAY FROM events)"""
+query("q46i_stream_ffill_final", Q46I_SQL)(q46i)
+
+
 def q46c(spark, sf):
     agg = missing_rate_by_window(_event_stream(spark, sf), "ts", ["value", "event_type"], "1 day")
     res = run_to_table(spark, agg, "stream_missing_rate", mode="complete")

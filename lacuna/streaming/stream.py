@@ -3,10 +3,8 @@
 * ``stream_apply``: any fitted model whose ``transform`` is a projection or a
   stream-static join (constant, mean, median, mode, group center, partial
   mean) runs unchanged on a streaming DataFrame.
-* ``stream_ffill``: per-key forward fill with ``applyInPandasWithState``: the
-  state per key is the last observed value, its event time and the current
-  run of holes, so ``limit`` holds across micro-batches; keys idle longer than
-  ``timeout_ms`` are dropped; an event-time watermark discards late rows.
+* ``stream_ffill`` (ffill.py): per-key forward fill with late rows, on
+  ``transformWithStateInPandas``.
 * ``missing_rate_by_window``: tumbling or sliding event-time windows with a
   watermark, counting rows and missing cells per column.
 """
@@ -16,11 +14,8 @@ from __future__ import annotations
 import os
 import uuid
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from lacuna.session import checkpoint_dir, delete_on_exit
 
@@ -29,62 +24,6 @@ def stream_apply(model, stream: DataFrame) -> DataFrame:
     return model.transform(stream)
 
 
-def _sorted_frames(pdfs, order):
-    """A key's rows of one micro-batch in event order."""
-    frames = list(pdfs)
-    if frames:
-        yield pd.concat(frames, ignore_index=True).sort_values(order, kind="mergesort")
-
-
-def stream_ffill(stream: DataFrame, key: str, ts: str, value: str, order_tiebreak: str | None = None,
-                 limit: int | None = None, watermark: str = "1 day", timeout_ms: int = 7 * 24 * 3600 * 1000) -> DataFrame:
-    """Forward-fill ``value`` per ``key`` along event time ``ts`` on a stream.
-
-    Output: every input row with ``value`` filled (append mode)."""
-    value_type = stream.schema[value].dataType
-    is_float = value_type.typeName() in ("float", "double")
-    is_int = value_type.typeName() in ("byte", "short", "integer", "long")
-    state_schema = f"last {value_type.simpleString()}, run long"
-    order = [ts] + ([order_tiebreak] if order_tiebreak else [])
-    zone = stream.sparkSession.conf.get("spark.sql.session.timeZone")
-
-    def fn(k, pdfs, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        last, run = (state.get if state.exists else (None, 0))
-        newest = None
-        for pdf in _sorted_frames(pdfs, order):
-            seen = pdf[value].notna().to_numpy()
-            n = np.arange(len(seen))
-            prev = np.maximum.accumulate(np.where(seen, n, -1)) if len(n) else n
-            gap = np.where(prev >= 0, n - prev, run + n + 1)
-            old = pdf[value].astype("object").to_numpy()
-            fill = np.array([last], dtype="object").repeat(len(n))
-            fill[prev >= 0] = old[prev[prev >= 0]]
-            ok = ~seen & (gap <= (limit if limit is not None else np.iinfo("int64").max))
-            new = np.where(seen, old, None)
-            new[ok] = fill[ok]
-            if len(n):
-                last, run = (fill[-1], int(gap[-1])) if not seen[-1] else (int(old[-1]) if is_int else old[-1], 0)
-                newest = pdf[ts].max() if newest is None else max(newest, pdf[ts].max())
-            if is_int:
-                new = np.array([None if x is None else int(x) for x in new], dtype="object")
-            pdf[value] = new.astype("float64") if is_float else pd.Series(new, index=pdf.index, dtype="object")
-            yield pdf
-        state.update((last, int(run)))
-        # event-time timeout: a key idle for timeout_ms of event time is dropped
-        if newest is not None and not pd.isna(newest):
-            at = pd.Timestamp(newest)
-            at = at if at.tzinfo else at.tz_localize(zone, ambiguous=True, nonexistent="shift_forward")
-            state.setTimeoutTimestamp(max(int(at.value // 1_000_000) + int(timeout_ms), state.getCurrentWatermarkMs() + 1))
-
-    return (stream.withWatermark(ts, watermark)
-            .groupBy(key)
-            .applyInPandasWithState(fn, stream.schema, state_schema, "append",
-                                    GroupStateTimeout.EventTimeTimeout))
-
-
 def missing_rate_by_window(stream: DataFrame, ts: str, columns: list[str], window: str = "1 day",
                            slide: str | None = None, watermark: str = "1 day") -> DataFrame:
     w = F.window(ts, window, slide) if slide else F.window(ts, window)

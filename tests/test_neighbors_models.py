@@ -300,7 +300,7 @@ def test_mixture_fill_does_not_depend_on_partitions(spark, table):
 
 @pytest.mark.parametrize("seed", range(3))
 def test_pruned_search_equals_all_pairs(spark, monkeypatch, seed):
-    from lacuna.operators import knn
+    from lacuna.operators import index
     rng = np.random.default_rng(seed)
     n = 500
     X = np.round(rng.normal(size=(n, 3)) * [1, 50, 0.1], 2)
@@ -309,7 +309,7 @@ def test_pruned_search_equals_all_pairs(spark, monkeypatch, seed):
     cols = list("pqr")
     df = spark.createDataFrame(pd.DataFrame(X, columns=cols).assign(id=np.arange(n)))
     want = _sorted(KNNImputer("id", 4, "distance", columns=cols, features=cols).fit_transform(df))[cols].to_numpy()
-    monkeypatch.setattr(knn, "DONOR_ROWS", 50)
-    monkeypatch.setattr(knn, "MAX_CELLS", 200)
-    got = _sorted(KNNImputer("id", 4, "distance", columns=cols, features=cols, broadcast_bytes=0).fit_transform(df))[cols].to_numpy()
+    for name, small in (("FAN", 3), ("TOP_NODES", 4 + 30 * seed), ("UNITS", 16)):
+        monkeypatch.setattr(index, name, small)
+    got = _sorted(KNNImputer("id", 4, "distance", columns=cols, features=cols, broadcast_bytes=0, leaf_rows=11).fit_transform(df))[cols].to_numpy()
     assert np.allclose(got, want, atol=1e-9, equal_nan=True)

@@ -69,3 +69,85 @@ def test_partial_mean_and_mixture_on_a_stream(spark, tmp_path):
         batch = model.transform(static).toPandas().sort_values("id")
         streamed = run_to_table(spark, stream_apply(model, stream), f"t_{name}").toPandas().sort_values("id")
         assert np.allclose(batch["y"].to_numpy(), streamed["y"].to_numpy(), atol=1e-9), name
+
+
+EVENTS = "event_id long, ts timestamp, user_id string, value long, note string"
+
+
+def _event_rows(n=600, seed=3):
+    rng = np.random.default_rng(seed)
+    start = pd.Timestamp("2024-03-01")
+    rows = []
+    for i in range(n):
+        at = start + pd.Timedelta(seconds=int(rng.integers(0, 4000)) * 200)  # ties among them
+        value = None if rng.random() < 0.5 else int(rng.integers(2 ** 60, 2 ** 61))
+        rows.append((i, at.to_pydatetime(), [None, "a", "b", "hot", "hot"][rng.integers(0, 5)], value, None if i % 7 else f'n"{i}\n'))
+    return rows + [(n + i, None, "a", None, "no time") for i in range(3)]
+
+
+def _batch_fill(rows, limit=None):
+    out, carry = {}, {}
+    for r in sorted((r for r in rows if r[1] is not None), key=lambda r: (r[1], r[0])):
+        last, run = carry.get(r[2], (None, 0))
+        last, run = (r[3], 0) if r[3] is not None else (last, run + 1)
+        carry[r[2]] = last, run
+        out[r[0]] = r[3] if r[3] is not None else last if limit is None or run <= limit else None
+    return out | {r[0]: r[3] for r in rows if r[1] is None}
+
+
+def _files(spark, rows, folder, cuts):
+    for i in range(len(cuts) - 1):
+        spark.createDataFrame(rows[cuts[i]:cuts[i + 1]], EVENTS).coalesce(1).write.parquet(str(folder / f"part{i}"))
+    return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 1).parquet(str(folder / "part*"))
+
+
+def test_late_rows_correct_earlier_fills(spark, tmp_path):
+    from lacuna.streaming import latest
+    rows = _event_rows()
+    for limit in (None, 2):
+        stream = _files(spark, rows, tmp_path / f"s{limit}", [0, 200, 400, len(rows)])
+        sent = run_to_table(spark, stream_ffill(stream, "user_id", "ts", "value", "event_id", limit=limit, watermark="60 days",
+                                                bucket_ms=6 * 3600 * 1000), "t_late")
+        got = latest(sent, "event_id").collect()
+        assert {r.event_id: r.value for r in got} == _batch_fill(rows, limit)
+        assert sent.where("revision > 0").count() > 10 and sent.count() > len(got) == len(rows)
+        assert {r.event_id: (r.ts, r.user_id, r.note) for r in got} == {r[0]: (r[1], r[2], r[4]) for r in rows}
+
+
+def test_final_rows_come_once(spark, tmp_path):
+    rows = sorted((r for r in _event_rows() if r[1]), key=lambda r: r[1])
+    stream = _files(spark, rows, tmp_path / "s", [0, 250, 500, len(rows)])
+    sent = run_to_table(spark, stream_ffill(stream, "user_id", "ts", "value", "event_id", watermark="1 day",
+                                            bucket_ms=3600 * 1000, emit="final"), "t_final").collect()
+    closed = rows[-1][1] - pd.Timedelta(days=1)
+    want = _batch_fill(rows)
+    late = {r[0] for r in rows if pd.Timestamp(r[1]).floor("h") + pd.Timedelta(hours=1) <= closed}
+    assert len(sent) == len({r.event_id for r in sent}) and {r.event_id: r.value for r in sent} == {i: want[i] for i in late}
+
+
+def test_idle_keys_lose_their_state(spark, tmp_path):
+    def at(day):
+        return pd.Timestamp("2024-03-01").to_pydatetime() + pd.Timedelta(days=day).to_pytimedelta()
+
+    rows = [(1, at(0), "a", 5, None), (2, at(0), "b", 6, None), (3, at(30), "b", None, None), (4, at(31), "b", None, None),
+            (5, at(40), "a", None, None), (6, at(41), "b", None, None)]
+    for days, want in ((7, None), (300, 5)):
+        stream = _files(spark, rows, tmp_path / f"s{days}", [0, 2, 3, 4, 5, 6])
+        sent = run_to_table(spark, stream_ffill(stream, "user_id", "ts", "value", "event_id", watermark="1 day",
+                                                timeout_ms=days * 24 * 3600 * 1000), "t_idle")
+        got = {r.event_id: r.value for r in sent.collect()}
+        assert got == {1: 5, 2: 6, 3: None if want is None else 6, 4: None if want is None else 6, 5: want, 6: None if want is None else 6}
+
+
+def test_state_survives_a_restart(spark, tmp_path):
+    from lacuna.streaming import latest
+    rows = _event_rows(300)
+    src = tmp_path / "s"
+    for part in ((0, 100), (100, 200), (200, len(rows))):  # a new query on the same checkpoint for every file
+        spark.createDataFrame(rows[part[0]:part[1]], EVENTS).coalesce(1).write.parquet(str(src / f"part{part[0]}"))
+        stream = spark.readStream.schema(EVENTS).parquet(str(src / "part*"))
+        q = (stream_ffill(stream, "user_id", "ts", "value", "event_id", watermark="60 days").writeStream.outputMode("append").format("parquet")
+             .option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start())
+        q.awaitTermination()
+    got = latest(spark.read.parquet(str(tmp_path / "out")), "event_id").collect()
+    assert {r.event_id: r.value for r in got} == _batch_fill(rows)
