@@ -9,8 +9,12 @@ exact on a tree, and the text of nodes whose content marginal exceeds one half i
 Training counts states, features and parent-child pairs over labelled pages, added up by Spark;
 only the table of counts (bounded by the features, see ``FEATURES``) reaches the driver.  The
 labelled pages are a bounded sample (``train_pages``, least URL hashes) of pages whose document
-is known: a text block is content when it belongs to that document's text.  ``PRIOR`` adds a few
-invented observations, so that hints never seen in training still count.
+is known: a text block is content when it belongs to that document's text.  ``PRIOR`` adds one
+invented observation per kind of hint, so that hints never seen in training still count.
+
+Hints are read from whole names, weak ones give way to names that speak for content, a form around
+most of the page and the header of an article are no hint at all, and an article or main inside a
+weakly hinted element starts anew; what stands in comments, footers or sidebars stays there.
 
 Cases: null html is empty and gives an empty text; unclosed, stray and upper-case tags, comments
 and cut-off markup are read as browsers do, in one pass; a page without any tag is one block;
@@ -53,30 +57,49 @@ comments complementary consent contentinfo cookie cookies copyright dialog disqu
 modal nav navbar navigation newsletter notice notification pager pagination popup promo promotion recommended related replies
 reply respond rss search share sharing sidebar signup social sponsor sponsored subscribe subscription tags toolbar widget""".split())
 AGAINST_STEMS = ("adsby", "adslot", "adunit", "advert", "breadcrumb", "comment", "cookie", "footer", "menu", "navig", "newsletter", "promo", "sidebar", "social", "sponsor", "subscri")
+#: of these, names that hold whatever other names an element has
+STRONG = frozenset("""ad ads aside comment comments complementary contentinfo disqus footer nav navbar navigation recommended related
+replies reply respond sponsor sponsored""".split())
+STRONG_STEMS = tuple(x for x in AGAINST_STEMS if x != "menu")
 FOR = frozenset("article main post entry story content body text page".split())
+#: first parts of names that tell of another element
+MODIFIERS = frozenset("has hide is no show with without".split())
 
 LENGTHS = (0, 2, 5, 10, 20, 40)
 FEATURES = ("tag", "hint", "inherited", "words", "links")
 #: tags follow from where they stand (list items are mostly seen in menus), so they count for a little less
 WEIGHT = {"tag": 0.9}
-#: invented observations (feature, value, state, times)
-PRIOR = [("inherited", "against", 0, 200.0), ("inherited", "for", 1, 20.0), ("inherited", "none", 1, 10.0), ("inherited", "none", 0, 10.0),
-         ("hint", "against", 0, 50.0), ("hint", "for", 1, 10.0), ("hint", "none", 1, 20.0), ("hint", "none", 0, 20.0),
-         ("words", "6", 1, 10.0), ("words", "5", 1, 8.0), ("words", "0", 1, 8.0), ("words", "0", 0, 8.0), ("words", "1", 0, 4.0),
-         ("links", "all", 0, 20.0), ("links", "most", 0, 8.0), ("links", "few", 1, 10.0), ("links", "few", 0, 3.0),
-         ("edge", "0", 0, 50.0), ("edge", "1", 1, 50.0), ("edge", "0", 1, 5.0), ("edge", "1", 0, 5.0),
-         ("state", "", 0, 1.0), ("state", "", 1, 1.0)]
+#: one invented observation (feature, value, state) of each kind that hints stand for, for hints that no
+#: labelled page shows
+PRIOR = [("inherited", "against", 0, 1.0), ("inherited", "for", 1, 1.0), ("hint", "against", 0, 1.0), ("hint", "for", 1, 1.0),
+         ("words", "6", 1, 1.0), ("words", "0", 0, 1.0), ("links", "all", 0, 1.0), ("links", "few", 1, 1.0),
+         ("edge", "0", 0, 1.0), ("edge", "1", 1, 1.0), ("state", "", 0, 1.0), ("state", "", 1, 1.0)]
+
+
+def name_hint(name: str) -> str:
+    """What one class, id or role says, as a whole: "has-sidebar" is no sidebar."""
+    parts = [x.lower() for x in NAME.findall(name)]
+    if not parts or parts[0] in MODIFIERS:
+        return "none"
+    if any(p in STRONG or p.startswith(STRONG_STEMS) for p in parts):
+        return "strong"
+    if any(p in AGAINST for p in parts):
+        return "against"
+    return "for" if any(p in FOR for p in parts) else "none"
 
 
 def hint_of(tag: str, attrs: str) -> str:
-    names = {tag}
-    for m in ATTR.finditer(attrs):
-        names.update(x.lower() for x in NAME.findall(m[2] or m[3] or m[4] or ""))
+    """for, none, against or strong (against, whatever stands beside it) of an element by its tag and names.
+    A weak name against meets a name for: neither; on an article or main it yields to the tag."""
     if tag in ("body", "html"):
         return "none"
-    if names & AGAINST or any(n.startswith(AGAINST_STEMS) for n in names):
-        return "against"
-    return "for" if names & FOR else "none"
+    said = {name_hint(x) for m in ATTR.finditer(attrs) for x in (m[2] or m[3] or m[4] or "").split()}
+    said.add("strong" if tag in STRONG else "against" if tag in AGAINST else "for" if tag in FOR else "none")
+    if "strong" in said:
+        return "strong"
+    if "for" in said and "against" in said:
+        return "for" if tag in ("article", "main") else "none"
+    return "against" if "against" in said else "for" if "for" in said else "none"
 
 
 class Page:
@@ -87,14 +110,32 @@ class Page:
         self.parent, self.tag, self.hint, self.inherited, self.words, self.links = [-1], ["html"], ["none"], ["none"], [0], [0]
         self.blocks: list[list[tuple[int, str]]] = [[]]
         self._read(source)
+        self._settle()
         self.blocks = [b for b in self.blocks if any(t.strip() for _, t in b)]
 
+    def _settle(self):
+        """Hints that need the whole page, and what is inherited: strong hints by all below, weak ones
+        up to the next article or main."""
+        below = list(self.words)
+        for i in range(len(below) - 1, 0, -1):
+            below[self.parent[i]] += below[i]
+        sections = [False] * len(below)  # inside an article or main
+        above = ["none"] * len(below)
+        for i in range(1, len(below)):
+            up, tag, hint = self.parent[i], self.tag[i], self.hint[i]
+            if hint == "against" and (tag == "form" and 2 * below[i] > below[0] or tag == "header" and sections[up]):
+                hint = "none"
+            sections[i] = sections[up] or tag in ("article", "main")
+            anew = tag in ("article", "main") and hint == "for"
+            above[i] = "strong" if "strong" in (hint, above[up]) else hint if hint != "none" and (anew or above[up] != "against") else above[up]
+            self.hint[i] = "against" if hint == "strong" else hint
+            self.inherited[i] = "against" if above[i] == "strong" else above[i]
+
     def _node(self, parent, tag, hint):
         self.parent.append(parent)
         self.tag.append(tag if tag in KNOWN else "other")
         self.hint.append(hint)
-        above = self.inherited[parent]
-        self.inherited.append("against" if "against" in (hint, above) else hint if hint != "none" else above)
+        self.inherited.append("none")
         self.words.append(0)
         self.links.append(0)
         return len(self.parent) - 1
@@ -165,7 +206,7 @@ class Page:
                 continue
             hint = hint_of(tag, m[3])
             node = stack[-1][1]
-            if block or hint == "against":
+            if block or hint in ("against", "strong"):
                 node = self._node(node, tag, hint)
             links += tag == "a"
             paragraphs += tag == "p"

@@ -365,6 +365,44 @@ def test_main_text(model, page, want):
     assert model.text(page or "") == want
 
 
+UNSEEN = "The first paragraph of a text has words enough to stand alone.\nThe second one has as many words as that, or some more."
+
+
+@pytest.mark.parametrize("before, after", [
+    ("<div class='layout has-sidebar'><article>", "</article></div>"),
+    ("<form id=aspnetForm method=post><div id=wrap><article>", "</article></div><input type=hidden></form>"),
+    ("<div class=row>", "</div>"),
+    ("<article><header>", "</article>"),
+    ("<main class='search'>", "</main>"),
+    ("<div class='entry tags'>", "</div>"),
+    ("<div id=post class='menu-item'>", "</div>"),
+    ("<div class=no-comments><section class='story with-footer'>", "</section></div>"),
+])
+def test_misleading_names_of_unseen_templates(model, before, after):
+    h1 = "A heading of the text"
+    ps = [f"<p>{x}</p>" for x in UNSEEN.split("\n")]
+    close = "</header>" if before.endswith("<header>") else ""
+    body = f"{before}<h1>{h1}</h1>{close}{''.join(ps)}{after}"
+    noise = ("<nav class=top><ul><li><a href=/>Home</a><li><a href=/b>More of it</a></ul></nav>",
+             "<section id=comments><article class=comment><p>I liked this text a lot, thank you very much.</p></article></section>"
+             "<div class='post-footer'><p>All rights are reserved by the owners of it.</p></div><aside><p>Other stories that you may like to read.</p></aside>")
+    page = noise[0] + body + noise[1]
+    assert model.text(HEAD + page) == model.text(f"{HEAD}<form id=aspnetForm>{page}</form>") == h1 + "\n" + UNSEEN
+
+
+def test_learning_alone_finds_the_articles(spark, monkeypatch):
+    """Half of the pages train, without any invented observation; the other half is held out."""
+    import html as h
+    import re
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    monkeypatch.setattr(html_text, "PRIOR", [])
+    got = html_text.train(html_text.labelled_sample(pages.filter("page_id % 2 = 0"), spark.read.parquet(f"{SF}/documents.parquet")))
+    for r in pages.filter("page_id % 2 = 1").collect():
+        body = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
+        blocks = [" ".join(h.unescape(re.sub("<[^>]+>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", body)]
+        assert got.text(r.html) == "\n".join(b for b in blocks if b)
+
+
 def test_marginals_equal_enumeration(model):
     from itertools import product
     page = html_text.Page(HEAD + "<nav>a</nav><article><p>some words here</p><div class=ad>b</div></article>")
