@@ -5,7 +5,10 @@ block is laid out by term as postings (places and weights of its non-zero compon
 of queries meets a block of candidates, and for each term the weights of the queries that have
 it are scattered, times the posting's weights, into a dense (queries x candidates) array of
 scores.  A partition of that array yields each query's best k; per lane of candidate blocks the
-best k are carried along, and the lanes' lists (``k`` x ``lanes`` entries at most) are merged.
+best k are carried along, and the lanes' lists are merged, by groups of lanes first where there are many.
+
+A task has one lane of candidate blocks and one group of query blocks, ``LANE_BLOCKS`` and
+``GROUP_BLOCKS`` of them, so tasks follow both tables and their size does not.
 
 Scores are exact: 64-bit integers when the largest components allow, Python integers otherwise;
 a score beyond a long is held to its range, and ranks follow the scores so held.  Every query meets every candidate; no pair is left out.
@@ -28,7 +31,11 @@ from lacuna.llm.common import stash
 SCALE = 64
 QUERY_ROWS = 256
 BLOCK_ROWS = 2048
+#: lanes for few blocks, so that small tables are shared out too
 LANES = 64
+LANE_BLOCKS, GROUP_BLOCKS = 64, 64
+#: lists of one query that are merged at once
+MERGED_LANES = 64
 LONG = np.iinfo(np.int64)
 
 
@@ -99,13 +106,10 @@ def scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
         if not len(have) or not len(at):
             continue
         w = postings[term]
-        if 2 * len(at) >= len(w):  # a dense posting list: all places, zeros add nothing
-            for i in have:
-                out[i] += qi[i, term] * w
+        if 2 * len(at) >= len(w) and 2 * len(have) >= len(out):  # dense on both sides: zeros add nothing
+            out += qi[:, term, None] * w
         else:
-            w = w[at]
-            for i in have:
-                out[i, at] += qi[i, term] * w
+            out[np.ix_(have, at)] += qi[have, term, None] * w[at]
     if out.dtype == object:
         out = np.array([[max(-LONG.max, min(LONG.max, x)) for x in row] for row in out], np.int64).reshape(out.shape)
     return out
@@ -127,21 +131,27 @@ def best(score, ids, qids, k):
     return out
 
 
-HITS = "qkey long, query_id long, hits array<struct<neg:long,vec_id:long>>"
+HITS = "lane long, qkey long, query_id long, hits array<struct<neg:long,vec_id:long>>"
 
 
-def search(rows: DataFrame, is_query, k: int = 20, lanes: int = LANES) -> DataFrame:
+def search(rows: DataFrame, is_query, k: int = 20) -> DataFrame:
     """query_id, rank, vec_id, score for every row where ``is_query`` holds, against all rows."""
     v = stash(quantised(rows))
     deal = F.xxhash64("vec_id")
-    cand = stash(blocks(v.repartition(deal), BLOCK_ROWS).withColumn("lane", F.pmod(F.xxhash64("ids"), F.lit(lanes))))
+    cand = stash(blocks(v.repartition(deal), BLOCK_ROWS))
     asks = stash(blocks(v.filter(is_query).repartition(deal), QUERY_ROWS).withColumn("qb", F.xxhash64("ids", "m")))
-    used = cand.select("lane").distinct()  # at most ``lanes`` rows
+    n_cand, n_asks = cand.count(), asks.count()
+    lanes = max(1, min(n_cand, LANES), -(-n_cand // LANE_BLOCKS))
+    groups = max(1, -(-n_asks // GROUP_BLOCKS))
+
+    def copies(n):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
     # the merge join gives all candidate blocks of a lane for one query block after another, so a
     # query block's best are carried along; any other order is right too and emits more lists
     pairs = (asks.select(F.col("ids").alias("qids"), F.col("m").alias("qm"), F.col("dims").alias("qdims"), "qb")
-             .withColumn("lane", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lanes - 1).cast("long"))))
-             .join(F.broadcast(used), "lane").join(cand.hint("merge"), "lane"))
+             .withColumn("qg", F.pmod("qb", F.lit(groups))).withColumn("lane", copies(lanes))
+             .join(cand.withColumn("lane", F.pmod(F.xxhash64("ids"), F.lit(lanes))).withColumn("qg", copies(groups)).hint("merge"), ["lane", "qg"]))
 
     def run(batches):
         now, held = None, None
@@ -172,10 +182,13 @@ def search(rows: DataFrame, is_query, k: int = 20, lanes: int = LANES) -> DataFr
         keys = [xxhash.xxh64_intdigest(q[n].tobytes()) - 2 ** 63 for n in range(len(qids))]
         hits = [[{"neg": -int(s), "vec_id": int(i)} for s, i in zip(*g)] for g in got]
         return pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.int64()), pa.array(qids), pa.array(hits, pa.list_(pa.struct([("neg", pa.int64()), ("vec_id", pa.int64())])))],
-            ["qkey", "query_id", "hits"])
+            [pa.array([key[0]] * len(keys), pa.int64()), pa.array(keys, pa.int64()), pa.array(qids), pa.array(hits, pa.list_(pa.struct([("neg", pa.int64()), ("vec_id", pa.int64())])))],
+            ["lane", "qkey", "query_id", "hits"])
 
     lists = pairs.select("lane", "qb", "qids", "qm", "qdims", "ids", "m", "dims").mapInArrow(run, HITS)
-    top = lists.groupBy("query_id", "qkey").agg(F.slice(F.array_sort(F.flatten(F.collect_list("hits"))), 1, k).alias("h"))
+    merge = F.slice(F.array_sort(F.flatten(F.collect_list("hits"))), 1, k)
+    if lanes > MERGED_LANES:
+        lists = lists.groupBy("query_id", "qkey", F.expr(f"lane div {MERGED_LANES}").alias("lane")).agg(merge.alias("hits"))
+    top = lists.groupBy("query_id", "qkey").agg(merge.alias("h"))
     return (top.select("query_id", F.posexplode("h"))
             .select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), "col.vec_id", (-F.col("col.neg")).alias("score")))

@@ -273,7 +273,8 @@ def top_by_hand(rows, k=20):
 
 def test_topk_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK_ROWS", 7)
-    monkeypatch.setattr(topk, "QUERY_ROWS", 2)
+    for name, n in (("QUERY_ROWS", 2), ("LANE_BLOCKS", 2), ("GROUP_BLOCKS", 2), ("MERGED_LANES", 3)):
+        monkeypatch.setattr(topk, name, n)
     rng = random.Random(4)
     rows = [(i, [rng.choice([0.0, 0.01, -0.2, 0.3]) for _ in range(rng.choice([3, 6]))], i) for i in range(90)]
     rows += [(None, [1.0], 0), (200, None, 0), (201, [None, 1.0], 0), (202, [float("nan")], 0), (203, [float("inf")], 0), (220, [], 0)]
