@@ -226,12 +226,15 @@ l AS (
 d AS (
   SELECT doc_id, size, {crc32('v')} AS crc,
          ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS idh,
-         ('0x' || substr(md5(coalesce(lang, '~')), 1, 1))::INTEGER * 256 + least(15, greatest(0, length(bin(size)) - 4)) * 16
-         + least(15, greatest(0, length(bin(lines)) - 1)) AS cell FROM l, tab),
+         step * 256 + least(15, greatest(0, length(bin(size)) - 4)) * 16
+         + least(15, greatest(0, length(bin(lines)) - 1)) AS cell
+  FROM l JOIN (SELECT lang AS name, CASE WHEN count(*) OVER () <= 16 THEN k ELSE k * 16 // count(*) OVER () END AS step
+               FROM (SELECT lang, row_number() OVER (ORDER BY lang NULLS LAST) - 1 AS k FROM (SELECT DISTINCT lang FROM documents)))
+         ON name IS NOT DISTINCT FROM lang, tab),
 n AS (SELECT count(*) AS n FROM documents),
 k AS (SELECT n, (SELECT min(s) FROM (SELECT 32 * (1::BIGINT << i) AS s FROM range(0, 40) g(i)) z WHERE n <= 3 * s * 4096) AS salts FROM n),
 r AS (
-  SELECT d.*, n, row_number() OVER (ORDER BY h, crc % 64, idh % salts, crc, idh, doc_id NULLS FIRST, size) - 1 AS rank
+  SELECT d.*, n, row_number() OVER (ORDER BY h, crc, idh % salts, idh, doc_id NULLS FIRST, size) - 1 AS rank
   FROM d JOIN (VALUES {cells}) c(cell, h) USING (cell), k),
 s AS (SELECT *, rank * 8 // n AS shard FROM r)
 SELECT doc_id, size, crc AS text_crc32, 'rows' AS law, shard::INTEGER AS shard, (rank - (shard * n + 7) // 8)::BIGINT AS slot, NULL::INTEGER AS grown_shard

@@ -520,6 +520,31 @@ def test_shards(odd, none, spark):
     assert sorted(r[0] for r in pairs(hilbert.shard(odd.limit(3)), "shard")) == [0, 2, 5]
 
 
+def test_equal_texts_lie_together_and_files_tell_their_bounds(spark, odd, tmp_path):
+    rows = pairs(hilbert.ranked(odd, 4, 2), "crc", "rank")
+    assert sorted(r for _, r in rows) == list(range(len(rows)))
+    places = defaultdict(list)
+    for c, r in rows:
+        places[c].append(r)
+    assert all(max(p) - min(p) + 1 == len(p) for p in places.values()) and max(map(len, places.values())) >= 12
+    bounds = {b.shard: b for b in hilbert.write(odd, str(tmp_path / "s"), 4, 2).collect()}
+    back = spark.read.parquet(str(tmp_path / "s" / "data"))
+    assert key(tuple(r) for r in back.drop("__shard").collect()) == key(tuple(r) for r in odd.collect())
+    for r in back.collect():
+        b = bounds[r["__shard"]]
+        size, lines = len((r.text or "").encode()) + 1, (r.text or "").count("\n") + 1
+        assert b.size_min <= size <= b.size_max and b.lines_min <= lines <= b.lines_max
+        assert r.lang is None or b.lang_min <= r.lang <= b.lang_max
+    assert sum(b.rows for b in bounds.values()) == len(rows)
+
+
+def test_many_languages_share_steps_with_neighbours(spark):
+    df = spark.createDataFrame([(i, "t", None if i == 40 else f"l{i:02d}") for i in range(41)], "doc_id long, text string, lang string")
+    steps, n = hilbert.language_steps(df)
+    got = {r["__lang"]: r.step for r in steps.collect()}
+    assert n == 41 and got == {None if i == 40 else f"l{i:02d}": i * 16 // 41 for i in range(41)}
+
+
 def test_curve_visits_neighbours():
     cells = sorted(hilbert.curve_cells(3, 3), key=lambda c: c[1])
     assert [c[1] for c in cells] == list(range(512))
