@@ -27,7 +27,10 @@ from pyspark.sql import functions as F
 from lacuna.functions.columns import clean
 
 GRID = 128
-ACCURACY = 10_000
+#: of the sketches: a rank error of GRID / ACCURACY grid steps, well inside the bracket
+ACCURACY = 1_000
+#: ranges to search in at once that are broadcast; more are joined by a shuffle on the group
+BROADCAST_ROWS = 20_000
 
 
 def _long_values(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -42,36 +45,47 @@ def kth_values(base: DataFrame, keys: list[str], state: DataFrame, max_collect:
     t, val.  Null keys match null keys."""
     from lacuna.session import cut
     state_cols = [*keys, "t", "r", "lo", "hi", "below", "cnt"]
+    span = ["lo", "hi", "below", "cnt"]
 
-    def inside(todo, *more):
-        s = todo.select(*[F.col(k).alias(f"s_{k}") for k in keys], "t", "r", "lo", "hi", "below", "cnt", *more)
+    def inside(ranges, *cols):
+        """The values of ``base`` in each range, with the range's columns; targets of one range share it."""
+        s = ranges.select(*[F.col(k).alias(f"s_{k}") for k in keys], *cols)
+        s = F.broadcast(s) if n_state <= BROADCAST_ROWS else s
         on = F.col("v").between(F.col("lo"), F.col("hi"))
         for k in keys:
             on = F.col(k).eqNullSafe(F.col(f"s_{k}")) & on
         return base.join(s, on)
 
+    def by_range(targets, *cols):
+        return targets.groupBy(*keys, *cols).agg(F.sort_array(F.collect_list(F.struct("t", "r"))).alias("ts"))
+
     done = None
     state = cut(state.select(*state_cols))
+    n_state = state.count()
     while True:
         known = state.where(F.col("lo") == F.col("hi")).select(*keys, "t", F.col("lo").alias("val"))
-        few = state.where((F.col("lo") < F.col("hi")) & (F.col("cnt") <= max_collect))
-        sorted_few = (inside(few).groupBy(*keys, "t", "r", "below").agg(F.sort_array(F.collect_list("v")).alias("vs"))
-                      .select(*keys, "t", F.element_at("vs", (F.col("r") - F.col("below") + 1).cast("int")).alias("val")))
+        few = by_range(state.where((F.col("lo") < F.col("hi")) & (F.col("cnt") <= max_collect)), *span)
+        sorted_few = (inside(few, *span, "ts").groupBy(*keys, *span, "ts").agg(F.sort_array(F.collect_list("v")).alias("vs"))
+                      .select(*keys, "below", "vs", F.explode("ts").alias("x"))
+                      .select(*keys, "x.t", F.element_at("vs", (F.col("x.r") - F.col("below") + 1).cast("int")).alias("val")))
         part = known.unionByName(sorted_few)
         done = part if done is None else done.unionByName(part)
         todo = state.where((F.col("lo") < F.col("hi")) & (F.col("cnt") > max_collect))
         if todo.isEmpty():
             return done
         grid = F.percentile_approx("v", [i / GRID for i in range(GRID + 1)], ACCURACY)
-        sketch = inside(todo).groupBy(*keys, "t", "r", "lo", "hi", "below", "cnt").agg(grid.alias("g"))
+        sketch = (inside(by_range(todo, *span), *span, "ts").groupBy(*keys, *span, "ts").agg(grid.alias("g"))
+                  .select(*keys, *span, "g", F.explode("ts").alias("x")).select(*keys, "x.t", "x.r", *span, "g"))
         step = F.floor((F.col("r") - F.col("below")) * GRID / F.col("cnt")).cast("int")
         bracket = cut(sketch.select(*state_cols, F.element_at("g", F.greatest(step, F.lit(1))).alias("b0"),
                                     F.element_at("g", F.least(step + 3, F.lit(GRID + 1))).alias("b1")))
         v, b0, b1 = F.col("v"), F.col("b0"), F.col("b1")
-        n = (inside(bracket, "b0", "b1").groupBy(*keys, "t", "r", "lo", "hi", "below", "cnt", "b0", "b1").agg(
+        ends = [*span, "b0", "b1"]
+        n = (inside(by_range(bracket, *ends), *ends, "ts").groupBy(*keys, *ends, "ts").agg(
             F.count_if(v < b0).alias("lt"), F.count_if(v == b0).alias("at0"), F.count_if((v > b0) & (v < b1)).alias("mid"),
             F.count_if(v == b1).alias("at1"), F.max(F.when(v < b0, v)).alias("under"), F.min(F.when((v > b0) & (v < b1), v)).alias("in0"),
-            F.max(F.when((v > b0) & (v < b1), v)).alias("in1"), F.min(F.when(v > b1, v)).alias("over")))
+            F.max(F.when((v > b0) & (v < b1), v)).alias("in1"), F.min(F.when(v > b1, v)).alias("over"))
+             .withColumn("x", F.explode("ts")).withColumns({"t": F.col("x.t"), "r": F.col("x.r")}).drop("x", "ts"))
         at1 = F.when(b1 > b0, F.col("at1")).otherwise(0)
         place = F.col("r") - F.col("below")
         e0, e1 = F.col("lt") + F.col("at0"), F.col("lt") + F.col("at0") + F.col("mid")
@@ -99,8 +113,9 @@ def _sketches(df: DataFrame, cols: list[str]) -> dict[int, tuple]:
 def _pick(df: DataFrame, cols: list[str], sketches: dict[int, tuple], ranks: dict[int, list[int]],
           max_collect: int) -> dict[tuple[int, int], float]:
     """Values of the ranks: a second scan counts what lies below each bracket and at its ends and
-    brings the values strictly inside, where those are few; the rest goes to ``kth_values``."""
-    out, slow, targets, brackets = {}, [], [], {}
+    brings the values strictly inside, at most about ``max_collect`` over all brackets; the rest goes
+    to ``kth_values``."""
+    out, slow, targets, brackets, brought = {}, [], [], {}, 0
     for k, rs in ranks.items():
         if k not in sketches:
             continue
@@ -108,12 +123,15 @@ def _pick(df: DataFrame, cols: list[str], sketches: dict[int, tuple], ranks: dic
         for r in sorted(set(rs)):
             if lo == hi:
                 out[k, r] = lo
-            elif 4 * n // GRID > max_collect:
+                continue
+            step = r * GRID // n
+            b0 = lo if step < 1 else g[step - 1]
+            b1 = hi if step + 2 > GRID else g[step + 2]
+            cost = 0 if (k, b0, b1) in brackets else 4 * n // GRID
+            if brought + cost > max_collect:
                 slow.append((k, r))
             else:
-                step = r * GRID // n
-                b0 = lo if step < 1 else g[step - 1]
-                b1 = hi if step + 2 > GRID else g[step + 2]
+                brought += cost
                 targets.append((k, r, brackets.setdefault((k, b0, b1), len(brackets))))
     if brackets:
         aggs = []
