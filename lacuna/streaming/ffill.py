@@ -10,8 +10,8 @@ key's share of a micro-batch (its rows are filed batch by batch as Arrow hands t
 ``emit="early"`` returns every row in the micro-batch that brings it, and again with the next
 ``revision`` whenever a late row changes its fill; the highest revision of a row is the batch
 answer.  ``emit="final"`` returns every row once, when the watermark passes the end of its bucket
-(revision 0).  A key without rows for ``idle`` of event time loses its state; what comes after that
-starts anew.  State that follows event time is dropped by event-time timers (Spark's state TTL
+(revision 0).  A key without rows for ``timeout_ms`` of event time loses its state when the watermark passes
+that (after the rows of the micro-batch); what comes later starts anew.  State that follows event time is dropped by event-time timers (Spark's state TTL
 counts processing time and is not offered together with them).
 
 Rows travel as JSON beside their order key, written and read by Spark with the stream's own

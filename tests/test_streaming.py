@@ -136,7 +136,8 @@ def test_idle_keys_lose_their_state(spark, tmp_path):
         sent = run_to_table(spark, stream_ffill(stream, "user_id", "ts", "value", "event_id", watermark="1 day",
                                                 timeout_ms=days * 24 * 3600 * 1000), "t_idle")
         got = {r.event_id: r.value for r in sent.collect()}
-        assert got == {1: 5, 2: 6, 3: None if want is None else 6, 4: None if want is None else 6, 5: want, 6: None if want is None else 6}
+        # rows come before the timers of their micro-batch, so b, which moves the watermark itself, goes on
+        assert got == {1: 5, 2: 6, 3: 6, 4: 6, 5: want, 6: 6}
 
 
 def test_state_survives_a_restart(spark, tmp_path):
