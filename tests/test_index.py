@@ -100,4 +100,5 @@ def test_one_feature_equal_rows_and_empty_tables(spark):
     two = spark.createDataFrame([(i, 2.0, None if i % 5 == 0 else float(i)) for i in range(60)], "id long, p double, q double")
     want = KNNImputer("id", 3, columns=["q"], features=["p", "q"]).fit_transform(two).orderBy("id").collect()
     assert KNNImputer("id", 3, columns=["q"], features=["p", "q"], broadcast_bytes=0, leaf_rows=4).fit_transform(two).orderBy("id").collect() == want
-    assert KNNImputer("id", 3, columns=["q"], features=["p", "q"], broadcast_bytes=-1, leaf_rows=4).fit_transform(two.limit(0)).count() == 0
+    model = KNNImputer("id", 3, columns=["q"], features=["p", "q"], broadcast_bytes=-1, leaf_rows=4).fit(two)
+    assert model.transform(two.limit(0)).count() == 0
