@@ -51,7 +51,7 @@ def test_every_row_is_in_one_leaf_and_bounds_hold(spark, shape):
     assert (low.min(axis=1) <= dist.min(axis=1) + 1e-9).all() and (top.max(axis=1) >= dist.max(axis=1) - 1e-9).all()
 
 
-@pytest.mark.parametrize("metric, few", [("euclidean", 9), ("manhattan", 40)])
+@pytest.mark.parametrize("shape, metric, few", [((3, 4), "euclidean", 9), ((64, 4096), "manhattan", 40)], indirect=["shape"])
 def test_range_counting_equals_all_pairs(spark, shape, monkeypatch, metric, few):
     monkeypatch.setattr(knn, "FEW", few)
     df = _table(spark, _holes(7, 150, 40))

@@ -54,14 +54,14 @@ def test_merged_moments_equal_the_fit_on_all(spark, holes, tmp_path):
     state = merged([MomentState.of(p, COLS) for p in parts])
     state.save(spark, str(tmp_path / "s"))
     state = load_state(spark, str(tmp_path / "s"))
-    for got, want in ((state.em(50, 1e-8), EMImputer(50, 1e-8, columns=COLS)), (state.svd(n_components=2, max_iter=30), SVDImputer(2, 30, columns=COLS)),
-                      (state.svd(n_components=2, max_iter=20, center=True, scale=False), SVDImputer(2, 20, center=True, scale=False, columns=COLS)),
-                      (state.iterative(6), IterativeImputer(6, columns=COLS))):
+    for got, want in ((state.em(12, 1e-8), EMImputer(12, 1e-8, columns=COLS)), (state.svd(n_components=2, max_iter=10), SVDImputer(2, 10, columns=COLS)),
+                      (state.svd(n_components=2, max_iter=6, center=True, scale=False), SVDImputer(2, 6, center=True, scale=False, columns=COLS)),
+                      (state.iterative(3), IterativeImputer(3, columns=COLS))):
         assert np.allclose(_filled(got, df), _filled(want.fit(df), df), rtol=1e-8, atol=1e-8)
 
 
-@pytest.mark.parametrize("make", [lambda **k: EMImputer(25, 1e-7, columns=COLS, **k), lambda **k: EMImputer(8, init="median", columns=COLS, **k),
-                                  lambda **k: SVDImputer(2, 15, columns=COLS, **k), lambda **k: IterativeImputer(5, columns=COLS, **k)])
+@pytest.mark.parametrize("make", [lambda **k: EMImputer(8, 1e-7, init="median", columns=COLS, **k), lambda **k: SVDImputer(2, 8, columns=COLS, **k),
+                                  lambda **k: IterativeImputer(3, columns=COLS, **k)])
 def test_pattern_table_equals_scan(holes, make):
     _, df, _ = holes
     a, b = _filled(make(mode="table").fit(df), df), _filled(make(mode="scan").fit(df), df)
