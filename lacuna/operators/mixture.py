@@ -72,7 +72,7 @@ class Mixture:
         return np.concatenate(parts)
 
     def update(self, sums: np.ndarray, n: int, d: int, tol: float) -> None:
-        done = abs(sums[0] - self.log_likelihood) < tol
+        done = abs(sums[0] - self.log_likelihood) < tol * n
         self.log_likelihood = float(sums[0])
         per = sums[1:].reshape(len(self.weights), 1 + d + d * d)
         if not done:
@@ -216,7 +216,7 @@ def _cond_means(Z, M, mu, cov):
 class GaussianMixtureImputer(Imputer):
     """Fill from a K-component full-covariance Gaussian mixture (seed 42).
 
-    ``fit_iter`` and ``fit_tol`` (change of the log-likelihood) bound the fit, ``max_iter`` and ``tol``
+    ``fit_iter`` and ``fit_tol`` (change of the mean log-likelihood of a row) bound the fit, ``max_iter`` and ``tol``
     the fill of a row."""
 
     def __init__(self, n_components: int = 2, max_iter: int = 100, tol: float = 1e-4, columns=None, exclude=(),
