@@ -168,8 +168,8 @@ def talks(spark):
             rows.append((c, t, rng.choice(["user", "assistant"]), rng.choice(["hi", "hi there", "a b\tc", "", "ünder   x"])))
     rows += [(200 + c, t, "user", f"same {t}") for c in range(60) for t in range(12)]  # a hot conversation
     rows += [(400 + c, t, "user", "common" if t < 3 else f"{c} {t}") for c in range(40) for t in range(6)]  # hot first turns
-    rows += [(c, t, "user", f"long {t}") for c in (600, 601, 603) for t in range(25)]
-    rows += [(601, 25, "user", "more"), (700, None, "user", "first"), (700, 5, None, None), (700, 5, "a", None), (700, 5, "a", "b"), (700, 5, "a", "b"),
+    rows += [(c, t, "user", f"long {t}") for c in (600, 601, 603) for t in range(18)]
+    rows += [(601, 18, "user", "more"), (700, None, "user", "first"), (700, 5, None, None), (700, 5, "a", None), (700, 5, "a", "b"), (700, 5, "a", "b"),
              (701, 1, "user", "x"), (None, 1, "user", "lost"), (None, None, None, None), (722, 0, "user", "gone"), (723, 0, "user", "z")]
     return spark.createDataFrame([(*r, "p", 1, 2, "s") for r in rows], TURN)
 
