@@ -13,7 +13,7 @@ def url_filters(depth: int = 6) -> str:
     """The template tree level by level, for paths of fewer than ``depth`` segments."""
     segs = [f"s{i}" for i in range(1, depth + 1)]
     cols = ", ".join(segs)
-    rules = [("example.org", "/es/", "block"), ("example.org", "/en/1", "allow"), ("com", "/fr/", "allow"),
+    rules = [("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"),
              ("com", "/de/", "block"), ("org", "/", "allow")]  # longest first
     case = [(f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')", h + p, v) for h, p, v in rules]
     rule = "CASE " + " ".join(f"WHEN {c} THEN '{r}'" for c, r, _ in case) + " END"

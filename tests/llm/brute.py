@@ -95,7 +95,7 @@ def url_parts(url):
     return lower(host), re.match(r"[^?#]*", rest[len(host):])[0]
 
 
-RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "allow"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
 
 def rule(host, path):
