@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from lacuna.functions.columns import clean
 from lacuna.operators.base import Imputer, ImputerModel
-from lacuna.operators.ordered import order_context
+from lacuna.operators.ordered import CHUNK_ROWS, order_context
 from lacuna.session import cut
 
 HALO = 64
@@ -79,6 +79,16 @@ def spline_at(xs: np.ndarray, ys: np.ndarray, xq: np.ndarray, order: int) -> np.
     return out
 
 
+def halo_ranks(per: DataFrame, m: int) -> DataFrame:
+    """(__key, __tb, __rank): the m observations just before and just after each chunk, by exact rank.
+    A chunk that holds all observations of its series needs none, so short series cost nothing."""
+    off, upto, every = F.col("__off"), F.col("__off") + F.col("__nobs"), F.col("__all")
+    none = F.array().cast("array<bigint>")
+    before = F.when(off > 0, F.sequence(F.greatest(off - (m - 1), F.lit(1)), off)).otherwise(none)
+    after = F.when(upto < every, F.sequence(upto + 1, F.least(upto + m, every))).otherwise(none)
+    return per.where((off > 0) | (upto < every)).select("__key", "__tb", F.explode(F.concat(before, after)).alias("__rank"))
+
+
 class CurveModel(ImputerModel):
     def __init__(self, method, order, column, order_by, partition_by, buckets):
         self.method, self.order, self.column = method, order, column
@@ -101,14 +111,14 @@ class CurveModel(ImputerModel):
         wl = Window.partitionBy("__key", "__tb").orderBy("__pos")
         per = own.groupBy(series, "__tb").agg(F.count(c).alias("__nobs"))
         ws = Window.partitionBy("__key").orderBy("__tb").rowsBetween(Window.unboundedPreceding, -1)
-        per = per.withColumn("__off", F.coalesce(F.sum("__nobs").over(ws), F.lit(0)))
-        ranked = obs.withColumn("__lr", F.row_number().over(wl)).join(per, ["__key", "__tb"]) \
+        per = (per.withColumn("__off", F.coalesce(F.sum("__nobs").over(ws), F.lit(0)))
+               .withColumns({"__all": F.sum("__nobs").over(Window.partitionBy("__key")),
+                             "__chunks": F.count("*").over(Window.partitionBy("__key"))}))
+        # only series that more than one chunk shares give halo rows, so only those are ranked
+        shared = per.where("__chunks > 1").select("__key", "__tb", "__off")
+        ranked = obs.join(shared, ["__key", "__tb"]).withColumn("__lr", F.row_number().over(wl)) \
                     .select("__key", "__pos", c, (F.col("__off") + F.col("__lr")).alias("__rank"))
-        # halo: the m observations just before and just after each chunk, by exact rank
-        want = per.select("__key", "__tb", F.explode(F.concat(
-            F.sequence(F.col("__off") - (m - 1), F.col("__off")),
-            F.sequence(F.col("__off") + F.col("__nobs") + 1, F.col("__off") + F.col("__nobs") + m))).alias("__rank"))
-        halo = want.where(F.col("__rank") >= 1).join(ranked, ["__key", "__rank"]).select(
+        halo = halo_ranks(per, m).join(ranked, ["__key", "__rank"]).select(
             *[F.col(x) if x == c else F.col("__key").getField(x).alias(x) if x in part
               else F.lit(None).cast(own.schema[x].dataType).alias(x) for x in names], "__pos", "__tb", F.lit(False).alias("__own"), F.lit(True).alias("__hp"),
             F.lit(True).alias("__hn"))
@@ -117,9 +127,12 @@ class CurveModel(ImputerModel):
         method, order = self.method, self.order
         # many short series share one Python call of about SLOT_ROWS rows: group by a hash of the
         # series key and the chunk (a long series is already split by the chunks)
-        n_slots = max(1, -(-own.count() // SLOT_ROWS))
+        n_rows, last = own.agg(F.count("*"), F.max("__tb")).first()
+        n_slots = max(1, -(-n_rows // (SLOT_ROWS * ((last or 0) + 1))))
         slot = F.pmod(F.xxhash64(*part), F.lit(n_slots)) if part else F.lit(0)
         both = both.withColumn("__slot", slot)
+        if n_rows > CHUNK_ROWS:  # what a task sorts doesn't grow with the table
+            both = both.repartition(-(-n_rows // SLOT_ROWS), "__slot", "__tb")
 
         def one(pdf: pd.DataFrame) -> pd.DataFrame:
             pts = pdf[pdf[c].notna()].drop_duplicates("__pos").sort_values("__pos")

@@ -62,13 +62,19 @@ def order_context(df: DataFrame, order_by: list[str], columns: list[str],
         longest = n_rows = df.count()
     single = longest <= CHUNK_ROWS if buckets is None else buckets <= 1
     base = base.withColumn("__s", F.struct(*part) if part else F.struct(F.lit(0).alias("one")))
+    # what a task sorts doesn't grow with the table
+    tasks = -(-n_rows // CHUNK_ROWS)
     if single:
         base = base.withColumn("__b", F.lit(0))
+        if tasks > 1:
+            base = base.repartition(tasks, "__s")
     else:
         chunks = buckets or -(-n_rows // CHUNK_ROWS)
         ranged = base.repartitionByRange(chunks, *[F.col(c).asc_nulls_first() for c in part], *order_cols)
         # written: a chunk must keep its rows whichever branch of the plan reads it
         base = cut(ranged.withColumn("__b", F.spark_partition_id()))
+        if tasks > chunks:
+            base = base.repartition(tasks, "__s", "__b")
     w = Window.partitionBy("__s", "__b").orderBy(*order_cols)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     # "from here to the end" as a running frame over the reversed order: Spark

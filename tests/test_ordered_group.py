@@ -165,3 +165,18 @@ def test_fills_do_not_depend_on_the_number_of_chunks(spark, method, kw):
     for part in ("s", None):
         out = [cls(method, ["t", "id"], part, columns=["v"], buckets=b, **kw).fit_transform(df).orderBy("id").collect() for b in (1, 4, 64)]
         assert out[0] == out[1] == out[2]
+
+
+def test_chunks_of_whole_series_ask_for_no_halo(spark):
+    from lacuna.operators.curves import halo_ranks
+    per = spark.createDataFrame([("whole", 0, 5, 0, 5), ("empty", 0, 0, 0, 0), ("cut", 0, 5, 0, 9), ("cut", 1, 0, 5, 9), ("cut", 2, 4, 5, 9)],
+                                "__key string, __tb int, __nobs long, __off long, __all long")
+    got = sorted((r["__key"], r["__tb"], r["__rank"]) for r in halo_ranks(per, 2).collect())
+    assert got == [("cut", 0, 6), ("cut", 0, 7), ("cut", 1, 4), ("cut", 1, 5), ("cut", 1, 6), ("cut", 1, 7), ("cut", 2, 4), ("cut", 2, 5)]
+
+
+def test_curve_of_chunks_without_observations(spark):
+    rows = [(i, "a", float(i * i % 7) if i < 20 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, s string, v double")
+    one, many = ([r["v"] for r in CurveInterpolationImputer("spline", 3, "id", "s", "v", buckets=b).fit_transform(df).orderBy("id").collect()] for b in (1, 9))
+    assert None not in one and np.allclose(one, many)
