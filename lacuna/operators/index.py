@@ -8,12 +8,13 @@ size and fan are bounded, the depth follows the rows.  A node knows per feature
 rows that have the feature, count and sum; boxes are real minima and maxima, so bounds hold
 whatever the order looks like, and equal rows are no special case.
 
-Searching: units (a receiver and the column to fill) travel in blocks of bytes.  The top nodes are
-broadcast, every deeper level is a join of blocks with the children of their nodes, and the last
-join streams each leaf once past all blocks that reached it.  What to do at a node is the caller's
+Searching: units (a receiver and the column to fill) travel in blocks of bytes, cut from units in the
+order of the tree, so the units of a block reach the same few nodes.  The top nodes are broadcast;
+every deeper level, and last the leaves, stream each node once past all blocks that reached it, and
+blocks that meet there are worked on together.  What to do at a node is the caller's
 ``choose``: which children to open, and which to count whole without opening them.
 
-Every join is on a node, and a node may be near to a third of all units.  Blocks hold ``UNITS`` units,
+Every meeting is at a node, and a node may be near to a third of all units.  Blocks hold ``UNITS`` units,
 and a node that more than one part in ``HOT`` of all units reached is copied to several tasks that
 share its blocks (fewer than ``HOT`` such nodes by that measure, so their list is broadcast).
 """
@@ -25,8 +26,9 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lacuna.session import cut
 
@@ -34,6 +36,10 @@ LEAF_ROWS = 1024
 FAN = 64
 TOP_NODES = 4096
 UNITS = 256
+MEET = 1024  # units that a node looks at together
+TASK_UNITS = 16384  # units of a task at the top
+TASK_MEETINGS = 131072  # units that meet their nodes in one task
+OUT_ROWS = 20000
 HOT = 512
 BINS = 256
 
@@ -125,6 +131,7 @@ def _box(node: int, n: int, every, some, lo, hi, count, total) -> tuple:
 @dataclass
 class Tree:
     feats: list[str]
+    cuts: list[np.ndarray]
     leaves: DataFrame  # node, ids, x
     levels: list[DataFrame]  # from below the top down to the leaves' boxes: parent and its children
     top: Boxes
@@ -190,7 +197,7 @@ def build(rows: DataFrame, feats: list[str], leaf_rows: int | None = None) -> Tr
         levels.insert(0, level)
         boxes, place = cut(above), F.col("node")
     top = boxes_of(boxes.toPandas(), d)  # ``top_nodes`` rows at most
-    return Tree(feats, whole.select("node", "ids", "x"), levels, top)
+    return Tree(feats, cuts, whole.select("node", "ids", "x"), levels, top)
 
 
 def _joined(it, d):
@@ -257,12 +264,14 @@ def _frames(rows):
 def descend(tree: Tree, units: DataFrame, width: int, choose_top, choose) -> DataFrame:
     """Blocks at the leaves that the units reach, and blocks counted whole (node null), written.
 
-    ``units``: __id, the features, __j (the column, -1 for none) and __s0 ... the state.
+    ``units``: as of ``units_of_holes``, written, and __s0 ... the state.
     ``choose(units, boxes)`` -> (state, children to open, children to count whole or None).
     """
     spark, d, feats = units.sparkSession, len(tree.feats), tree.feats
     top = spark.sparkContext.broadcast(tree.top)
     states = [f"__s{i}" for i in range(width)]
+    tasks = max(spark.sparkContext.defaultParallelism, -(-units.count() // TASK_UNITS))
+    order = ["__j", "__pattern", "__code", "__id"]
 
     def first(it):
         def blocks():
@@ -275,75 +284,98 @@ def descend(tree: Tree, units: DataFrame, width: int, choose_top, choose) -> Dat
                         yield from opened(u, top.value, choose_top)
         yield from _frames(blocks())
 
-    def units_of(r):
-        return Units(r.j, _of(r.rids, np.int64), _of(r.x, np.float64, d), _of(r.state, np.float64, width) if width else np.zeros((r.m, 0)))
-
     def deeper(it):
         def blocks():
-            for pdf in it:
-                for r in pdf.itertuples(index=False):
-                    yield from opened(units_of(r), kid_boxes(r.kids, d), choose)
+            for units, boxes in _meetings(it, d, width, lambda r: kid_boxes(r.kids, d)):
+                yield from opened(units, boxes, choose)
         yield from _frames(blocks())
 
-    got, counted = cut(units.mapInPandas(first, BLOCK)), []
+    near = units.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    got, counted = cut(near.mapInPandas(first, BLOCK)), []
     for level in tree.levels:
         counted.append(got.where("node IS NULL"))
-        met = _dealt(got.where("node IS NOT NULL"), level.withColumnRenamed("parent", "node"))
-        got = cut(met.mapInPandas(deeper, BLOCK))
+        got = cut(_dealt(got.where("node IS NOT NULL"), level.withColumnRenamed("parent", "node")).mapInPandas(deeper, BLOCK))
     for c in counted:
         got = got.unionByName(c)
     return got
 
 
-def _heavy(blocks: DataFrame) -> DataFrame:
-    """node, copies: of the nodes that over one part in HOT of all units reached."""
+def _dealt(blocks: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Nodes and the blocks that reached them side by side: sorted by node, the node first.
+
+    Nodes that over one part in HOT of all units reached are copied, their blocks dealt to the
+    copies; nodes that no block reached are left out before they move."""
     total = blocks.agg(F.coalesce(F.sum("m"), F.lit(0))).first()[0]
     share = max(4 * UNITS, total // HOT)
-    return blocks.groupBy("node").agg(F.sum("m").alias("m")).where(F.col("m") > share).select(
-        "node", F.ceil(F.col("m") / share).cast("int").alias("copies"))
-
-
-def _dealt(blocks: DataFrame, nodes: DataFrame, key: str = "node") -> DataFrame:
-    """Inner join on the node; heavy nodes are copied, their blocks dealt to the copies."""
-    heavy = F.broadcast(_heavy(blocks))
+    met = blocks.groupBy("node").agg(F.sum("m").alias("m"))
+    heavy = F.broadcast(met.where(F.col("m") > share).select("node", F.ceil(F.col("m") / share).cast("int").alias("copies")))
     spread = F.coalesce("copies", F.lit(1))
-    left = blocks.join(heavy, key, "left").withColumn("copy", F.pmod(F.xxhash64("rids"), spread).cast("int")).drop("copies")
-    right = nodes.join(heavy, key, "left").withColumn("copy", F.explode(F.sequence(F.lit(0), spread - 1))).drop("copies")
-    return left.join(right, [key, "copy"])
+    left = (nodes.join(met.select("node"), "node", "left_semi").join(heavy, "node", "left")
+            .withColumns({"copy": F.explode(F.sequence(F.lit(0), spread - 1)), "kind": F.lit(0)}).drop("copies"))
+    right = (blocks.drop("count", "sum").join(heavy, "node", "left")
+             .withColumns({"copy": F.pmod(F.xxhash64("rids"), spread).cast("int"), "kind": F.lit(1)}).drop("copies"))
+    tasks = max(blocks.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_MEETINGS))
+    both = left.unionByName(right, allowMissingColumns=True)
+    return both.repartition(tasks, "node", "copy").sortWithinPartitions("node", "copy", "kind", "j")
+
+
+def _meetings(it, d: int, width: int, node_of):
+    """(units, node) of rows in the order of ``_dealt``: blocks of one node and column joined, MEET units at a time."""
+    def joined(held):
+        rids = np.frombuffer(b"".join(r.rids for r in held), np.int64)
+        state = np.frombuffer(b"".join(r.state for r in held), np.float64).reshape(len(rids), width)
+        return Units(int(held[0].j), rids, np.frombuffer(b"".join(r.x for r in held), np.float64).reshape(-1, d), state)
+
+    node, held, m = None, [], 0
+    for pdf in it:
+        for r in pdf.itertuples(index=False):
+            if held and (r.kind == 0 or r.j != held[0].j or m >= MEET):
+                yield joined(held), node
+                held, m = [], 0
+            if r.kind == 0:
+                node = node_of(r)
+            else:
+                held.append(r)
+                m += int(r.m)
+    if held:
+        yield joined(held), node
+
+
+def gathered(frames):
+    """Small frames as fewer larger ones."""
+    held, n = [], 0
+    for f in frames:
+        if len(f):
+            held.append(f)
+            n += len(f)
+        if n >= OUT_ROWS:
+            yield pd.concat(held, ignore_index=True)
+            held, n = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
 
 
 def scanned(tree: Tree, blocks: DataFrame, width: int, scan, schema: str) -> DataFrame:
-    """``scan(units, ids, x) -> DataFrame`` of every block with the rows of its leaf.
-
-    Blocks and leaves are sorted together by leaf, the leaf first, so a task holds one leaf and one
-    batch of blocks; leaves that no block reached are left out before they move.
-    """
+    """``scan(units, ids, x) -> DataFrame`` of all blocks with the rows of their leaf; a task holds one
+    leaf and a batch of blocks."""
     d = len(tree.feats)
-    heavy = F.broadcast(_heavy(blocks))
-    spread = F.coalesce("copies", F.lit(1))
-    reached = blocks.select("node").distinct()
-    leaves = (tree.leaves.join(reached, "node", "left_semi").join(heavy, "node", "left")
-              .select("node", F.explode(F.sequence(F.lit(0), spread - 1)).alias("copy"), F.lit(0).alias("kind"), F.lit(None).cast("int").alias("j"),
-                      F.col("ids").alias("rids"), "x", F.lit(None).cast("binary").alias("state")))
-    units = (blocks.join(heavy, "node", "left")
-             .select("node", F.pmod(F.xxhash64("rids"), spread).cast("int").alias("copy"), F.lit(1).alias("kind"), "j", "rids", "x", "state"))
-    both = leaves.unionByName(units).repartition("node", "copy").sortWithinPartitions("node", "copy", "kind")
 
     def run(it):
-        ids = x = None
-        for pdf in it:
-            for r in pdf.itertuples(index=False):
-                if r.kind == 0:
-                    ids, x = _of(r.rids, np.int64), _of(r.x, np.float64, d)
-                    continue
-                rids = _of(r.rids, np.int64)
-                out = scan(Units(int(r.j), rids, _of(r.x, np.float64, d), _of(r.state, np.float64, width) if width else np.zeros((len(rids), 0))), ids, x)
-                if len(out):
-                    yield out
-    return both.mapInPandas(run, schema)
-
-
-def units_of_holes(rec: DataFrame, feats: list[str], targets: list[int] | None, states: dict[str, Column] | None = None) -> DataFrame:
-    """A unit per missing target of every receiver (or one with __j = -1 per receiver)."""
+        leaf = lambda r: (_of(r.ids, np.int64), _of(r.rows, np.float64, d))
+        yield from gathered(scan(units, *rows) for units, rows in _meetings(it, d, width, leaf))
+    return _dealt(blocks, tree.leaves.withColumnRenamed("x", "rows")).mapInPandas(run, schema)
+
+
+def units_of_holes(tree: Tree, rec: DataFrame, targets: list[int] | None) -> DataFrame:
+    """A unit per missing target of every receiver (or one with __j = -1 per receiver), and its place in
+    the order of the tree."""
+    feats, cuts = tree.feats, tree.cuts
     j = F.lit(-1) if targets is None else F.explode(F.array_compact(F.array(*[F.when(F.col(feats[t]).isNull(), F.lit(t)) for t in targets])))
-    return rec.select("__id", *feats, j.alias("__j"), *[c.alias(n) for n, c in (states or {}).items()])
+    units = rec.select("__id", *feats, j.alias("__j"))
+
+    def place(it):
+        for pdf in it:
+            x = pdf[feats].to_numpy(dtype="float64", na_value=np.nan)
+            yield pdf.assign(__pattern=pattern(x), __code=morton(x, cuts))
+    schema = T.StructType([*units.schema.fields, T.StructField("__pattern", T.LongType()), T.StructField("__code", T.LongType())])
+    return cut(units.mapInPandas(place, schema))

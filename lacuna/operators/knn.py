@@ -1,9 +1,9 @@
 """Nearest-neighbour fills on a top-k similarity join (MOD1-MOD3, JOI4-JOI6, TOP4).
 
 Distances are sums of elementwise differences, so they do not depend on how rows are grouped and
-nothing cancels.  When the donor matrix is small (its measured size is under ``broadcast_bytes``)
-it is shipped to every task, only receivers move, and matrices span ``DONOR_ROWS`` donors at a
-time.  Beyond that donors lie in a packed tree (index.py): leaves of ``leaf_rows`` donors, as deep as
+nothing cancels.  When the donors are few (``FEW_DONORS``, and their measured size is under
+``broadcast_bytes``) they are shipped to every task, only receivers move, and matrices span
+``DONOR_ROWS`` donors at a time; more donors would make more pairs than the tree looks at.  Beyond that donors lie in a packed tree (index.py): leaves of ``leaf_rows`` donors, as deep as
 the rows ask for.
 
 * k nearest: each receiver first scans the nearest leaves that hold k donors; the k-th distance
@@ -33,6 +33,7 @@ from lacuna.session import cut
 BLOCK_ROWS = 2048
 BROADCAST_BYTES = 64 << 20
 DONOR_ROWS = 8192  # donors that one distance matrix spans
+FEW_DONORS = 20_000  # up to so many every receiver is held against every donor
 LEAF_ROWS = index.LEAF_ROWS
 SLACK = 1e-9  # of bounds, for rounding
 
@@ -64,7 +65,8 @@ class _Ids:
 
 
 def _is_small(don: DataFrame, width: int, broadcast_bytes: int) -> bool:
-    return don.count() * (width + 2) * 8 <= broadcast_bytes
+    n = don.count()
+    return n <= FEW_DONORS and n * (width + 2) * 8 <= broadcast_bytes
 
 
 def _shipped(rec: DataFrame, don: DataFrame, block_rows: int, block_fn, schema: str, merge=None) -> DataFrame:
@@ -95,11 +97,16 @@ def _shipped(rec: DataFrame, don: DataFrame, block_rows: int, block_fn, schema:
 def _distances(units: index.Units, x: np.ndarray, metric: str = "euclidean", scaled: bool = False) -> np.ndarray:
     """Units against donors, over the features both have; infinite where there are none."""
     ss, shared = np.zeros((len(units.x), len(x))), np.zeros((len(units.x), len(x)))
-    for i in range(x.shape[1]):
-        both = ~np.isnan(units.x[:, i, None]) & ~np.isnan(x[None, :, i])
-        diff = np.where(both, units.x[:, i, None] - x[None, :, i], 0.0)
+    has_u, has_x = ~np.isnan(units.x), ~np.isnan(x)
+    for i in np.flatnonzero(has_u.any(axis=0) & has_x.any(axis=0)):
+        diff = units.x[:, i, None] - x[None, :, i]
+        if has_u[:, i].all() and has_x[:, i].all():
+            shared += 1
+        else:
+            both = has_u[:, i, None] & has_x[None, :, i]
+            diff[~both] = 0.0
+            shared += both
         ss += diff * diff if metric == "euclidean" else np.abs(diff)
-        shared += both
     with np.errstate(divide="ignore", invalid="ignore"):
         return np.where(shared > 0, x.shape[1] * ss / shared if scaled else ss, np.inf)
 
@@ -138,21 +145,23 @@ def _indexed(rec: DataFrame, don: DataFrame, feats: list[str], targets: list[int
         dist = _distances(units, x, scaled=scaled)
         if units.j < 0:
             dist[units.rids[:, None] == ids[None, :]] = np.inf  # never a neighbour of itself
-        idx = _topk_idx(dist, ids, k)
-        got = np.take_along_axis(dist, idx, 1)
-        ok = np.isfinite(got)
-        if units.state.shape[1]:
-            ok &= got <= units.state[:, :1] * (1 + SLACK)
-        at = np.nonzero(ok)[0]
-        return pd.DataFrame({"rid": units.rids[at], "j": np.int32(units.j), "sid": ids[idx[ok]], "dist2": got[ok],
-                             "v": x[idx[ok], units.j] if units.j >= 0 else 0.0})
-
-    units = cut(index.units_of_holes(rec, feats, targets))
+        if units.state.shape[1]:  # what lies behind the k-th donor found before (ids by their doubles, so never one too few)
+            dist[(dist > units.state[:, :1]) | ((dist == units.state[:, :1]) & (ids[None, :] > units.state[:, 1:]))] = np.inf
+        near = np.isfinite(dist)
+        many = near.sum(axis=1) > k
+        a, b = np.nonzero(near & ~many[:, None])
+        if many.any():
+            rows = np.flatnonzero(many)
+            idx = _topk_idx(dist[rows], ids, k)
+            a, b = np.concatenate((a, np.repeat(rows, k))), np.concatenate((b, idx.ravel()))
+        return pd.DataFrame({"rid": units.rids[a], "j": np.int32(units.j), "sid": ids[b], "dist2": dist[a, b], "v": x[b, units.j] if units.j >= 0 else 0.0})
+
+    units = index.units_of_holes(tree, rec, targets)
     first = index.scanned(tree, index.descend(tree, units, 0, nearest, nearest), 0, scan, CAND_SCHEMA)
-    radius = (_merge_topk(first, k).groupBy("rid", "j").agg(F.count("*").alias("n"), F.max("dist2").alias("__s0")).where(F.col("n") == k)
-              .select(F.col("rid").alias("__id"), F.col("j").alias("__j"), "__s0"))
-    bounded = units.join(radius, ["__id", "__j"], "left").withColumn("__s0", F.coalesce("__s0", F.lit(math.inf)))
-    return index.scanned(tree, index.descend(tree, bounded, 1, within, within), 1, scan, CAND_SCHEMA)
+    last = _merge_topk(first, k).where(F.col("rank") == k)
+    radius = last.select(F.col("rid").alias("__id"), F.col("j").alias("__j"), F.col("dist2").alias("__s0"), F.col("sid").cast("double").alias("__s1"))
+    bounded = cut(units.join(radius, ["__id", "__j"], "left").fillna(math.inf, ["__s0", "__s1"]))
+    return index.scanned(tree, index.descend(tree, bounded, 2, within, within), 2, scan, CAND_SCHEMA)
 
 
 def _topk_idx(dist: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -668,15 +677,13 @@ def _counted(rec: DataFrame, don: DataFrame, cols: list[str], available: list[in
         return pd.DataFrame({"rid": units.rids[a], "j": np.int32(units.j), "sid": ids[b], "dist2": dist[a, b], "v": x[b, units.j]})
 
     def wholes(it):
-        for pdf in it:
-            for r in pdf.itertuples(index=False):
-                yield pd.DataFrame({"rid": np.frombuffer(r.rids, np.int64), "j": np.int32(r.j), "bin": np.int32(-1),
-                                    "n": np.frombuffer(r.count, np.float64).astype(np.int64), "s": np.frombuffer(r.sum, np.float64),
-                                    "lo": 0.0, "hi": 0.0, "ilo": 0, "ihi": 0})
+        yield from index.gathered(pd.DataFrame({"rid": np.frombuffer(r.rids, np.int64), "j": np.int32(r.j), "bin": np.int32(-1),
+                                                "n": np.frombuffer(r.count, np.float64).astype(np.int64), "s": np.frombuffer(r.sum, np.float64),
+                                                "lo": 0.0, "hi": 0.0, "ilo": 0, "ihi": 0}) for pdf in it for r in pdf.itertuples(index=False))
 
     states = [f"__s{i}" for i in range(len(RANGE))]
     begin = dict(zip(states[1:], [math.nan, math.nan, *_halves(LOW_ID), *_halves(HIGH_ID)]))
-    holes = cut(index.units_of_holes(rec, cols, list(range(len(cols)))))
+    holes = index.units_of_holes(tree, rec, list(range(len(cols))))
     out = []
     for f, fraction in enumerate(fractions):
         ks = F.array(*[F.lit(float(max(1, int(n * fraction)) if n else 0)) for n in available])
@@ -689,7 +696,7 @@ def _counted(rec: DataFrame, don: DataFrame, cols: list[str], available: list[in
             narrowed = cut(_narrowed(counts, units, states))
             few = narrowed.where(F.col("n") <= FEW)
             done = few.select("rid", "j", "k", "n", "before", "sbefore", *states)
-            last = index.descend(tree, _with_state(holes, done, states), len(RANGE), start, later)
+            last = index.descend(tree, cut(_with_state(holes, done, states)), len(RANGE), start, later)
             ranked = index.scanned(tree, last.where("node IS NOT NULL"), len(RANGE), listed, LAST)
             rank = F.row_number().over(Window.partitionBy("rid", "j").orderBy("dist2", "sid"))
             taken = (ranked.withColumn("rank", rank).join(done.select("rid", "j", "k", "before", "sbefore"), ["rid", "j"])
