@@ -35,6 +35,7 @@ BROADCAST_BYTES = 64 << 20
 DONOR_ROWS = 8192  # donors that one distance matrix spans
 FEW_DONORS = 20_000  # up to so many every receiver is held against every donor
 LEAF_ROWS = index.LEAF_ROWS
+CLOSE = 6  # nodes that a unit's first radius comes from besides
 SLACK = 1e-9  # of bounds, for rounding
 
 CAND_SCHEMA = "rid long, j int, sid long, dist2 double, v double"
@@ -129,6 +130,9 @@ def _indexed(rec: DataFrame, don: DataFrame, feats: list[str], targets: list[int
         before = np.cumsum(sure, axis=1) - sure
         wanted = np.zeros(low.shape, bool)
         np.put_along_axis(wanted, order, before < need, 1)
+        # and those that lie next to the unit, so that the radius is near the true one
+        close = np.lexsort((top, np.where(count > 0, low, np.inf)), axis=1)[:, :CLOSE]
+        np.put_along_axis(wanted, close, True, 1)
         return units.state, wanted & np.isfinite(low) & (count > 0), None
 
     def within(units, boxes):
