@@ -1,9 +1,9 @@
 """Nearest-neighbour fills on a top-k similarity join (MOD1-MOD3, JOI4-JOI6, TOP4).
 
 Distances are sums of elementwise differences, so they do not depend on how rows are grouped and
-nothing cancels.  When the donors are few (``FEW_DONORS``, and their measured size is under
-``broadcast_bytes``) they are shipped to every task, only receivers move, and matrices span
-``DONOR_ROWS`` donors at a time; more donors would make more pairs than the tree looks at.  Beyond that donors lie in a packed tree (index.py): leaves of ``leaf_rows`` donors, as deep as
+nothing cancels.  When the donor matrix is small (its measured size is under ``broadcast_bytes``, and
+for k nearest it has ``FEW_DONORS`` rows at most, as all pairs soon outnumber those the tree looks at)
+it is shipped to every task, only receivers move, and matrices span ``DONOR_ROWS`` donors at a time.  Beyond that donors lie in a packed tree (index.py): leaves of ``leaf_rows`` donors, as deep as
 the rows ask for.
 
 * k nearest: each receiver first scans the nearest leaves that hold k donors; the k-th distance
@@ -33,7 +33,7 @@ from lacuna.session import cut
 BLOCK_ROWS = 2048
 BROADCAST_BYTES = 64 << 20
 DONOR_ROWS = 8192  # donors that one distance matrix spans
-FEW_DONORS = 20_000  # up to so many every receiver is held against every donor
+FEW_DONORS = 20_000  # up to so many, k nearest hold every receiver against every donor
 LEAF_ROWS = index.LEAF_ROWS
 CLOSE = 6  # nodes that a unit's first radius comes from besides
 SLACK = 1e-9  # of bounds, for rounding
@@ -65,9 +65,9 @@ class _Ids:
         return out.select(*df.columns)
 
 
-def _is_small(don: DataFrame, width: int, broadcast_bytes: int) -> bool:
+def _is_small(don: DataFrame, width: int, broadcast_bytes: int, most: float = math.inf) -> bool:
     n = don.count()
-    return n <= FEW_DONORS and n * (width + 2) * 8 <= broadcast_bytes
+    return n <= most and n * (width + 2) * 8 <= broadcast_bytes
 
 
 def _shipped(rec: DataFrame, don: DataFrame, block_rows: int, block_fn, schema: str, merge=None) -> DataFrame:
@@ -283,7 +283,7 @@ class KNNModel(ImputerModel):
             any_hole = h if any_hole is None else (any_hole | h)
         rec = df.where(any_hole).select("__id", *[clean(df, c).cast("double").alias(c) for c in self.feats])
         don = self.donors
-        if _is_small(don, len(self.feats), self.broadcast_bytes):
+        if _is_small(don, len(self.feats), self.broadcast_bytes, FEW_DONORS):
             cand = _shipped(rec, don, self.block_rows, _nan_euclid_block(self.feats, tj, k), CAND_SCHEMA, _keep_best(k, ["rid", "j"], "dist2"))
         else:
             cand = _indexed(rec, don, self.feats, tj, k, True, self.leaf_rows)
@@ -383,7 +383,7 @@ class EnhancedKNNModel(ImputerModel):
             h = clean(df, c).isNull()
             hole = h if hole is None else (hole | h)
         rec = numbered.where(hole).select("__id", *z)
-        if _is_small(allz, len(self.dist_feats), self.broadcast_bytes):
+        if _is_small(allz, len(self.dist_feats), self.broadcast_bytes, FEW_DONORS):
             cand = _shipped(rec, allz, self.block_rows, _euclid_block(self.dist_feats, k), NEIGH_SCHEMA, _keep_best(k, ["rid"], "ss"))
         else:
             cand = _indexed(rec, allz, self.dist_feats, None, k, False, self.leaf_rows).withColumnRenamed("dist2", "ss")

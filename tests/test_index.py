@@ -102,3 +102,34 @@ def test_one_feature_equal_rows_and_empty_tables(spark):
     assert KNNImputer("id", 3, columns=["q"], features=["p", "q"], broadcast_bytes=0, leaf_rows=4).fit_transform(two).orderBy("id").collect() == want
     model = KNNImputer("id", 3, columns=["q"], features=["p", "q"], broadcast_bytes=-1, leaf_rows=4).fit(two)
     assert model.transform(two.limit(0)).count() == 0
+
+
+def test_blocks_hold_units_that_reach_the_same_leaves(spark, monkeypatch):
+    monkeypatch.setattr(index, "UNITS", 16)
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"__id": rng.permutation(640), "p": rng.permutation(640) * 1.0})
+    rows = spark.createDataFrame(pdf).repartition(1)
+    tree = index.build(rows, ["p"], 20)
+    units = index.units_of_holes(tree, rows, None)
+
+    def inside(units, boxes):
+        low, _ = boxes.distances(units.x, [0])
+        return units.state, low == 0, None
+    blocks = index.descend(tree, units, 0, inside, inside).collect()
+    assert sum(b.m for b in blocks) == 640 and len(blocks) <= 2 * 640 / 16 + len(tree.top.node)
+
+    def met(units, ids, x):
+        assert sorted(units.rids) == sorted(i for i in units.rids if i in set(ids))
+        return pd.DataFrame({"rid": units.rids})
+    got = index.scanned(tree, index.descend(tree, units, 0, inside, inside), 0, met, "rid long").collect()
+    assert sorted(r.rid for r in got) == list(range(640))
+
+
+def test_many_donors_go_through_the_tree(spark, monkeypatch):
+    df = _table(spark, _holes(11, 120, 30))
+    makers = (lambda: KNNImputer("id", 4, columns=COLS, features=COLS), lambda: EnhancedKNNImputer("id", 4, columns=COLS))
+    want = [m().fit_transform(df).orderBy("id").toPandas()[COLS].to_numpy(float) for m in makers]
+    monkeypatch.setattr(knn, "FEW_DONORS", 100)
+    monkeypatch.setattr(knn, "_shipped", None)
+    for make, w in zip(makers, want):
+        assert np.allclose(make().fit_transform(df).orderBy("id").toPandas()[COLS].to_numpy(float), w, atol=1e-9)
