@@ -3,8 +3,8 @@
 Distances are sums of elementwise differences, so they do not depend on how rows are grouped and
 nothing cancels.  When the donor matrix is small (its measured size is under ``broadcast_bytes``, and
 for k nearest it has ``FEW_DONORS`` rows at most, as all pairs soon outnumber those the tree looks at)
-it is shipped to every task, only receivers move, and matrices span ``DONOR_ROWS`` donors at a time.  Beyond that donors lie in a packed tree (index.py): leaves of ``leaf_rows`` donors, as deep as
-the rows ask for.
+it is shipped to every task, only receivers move, and matrices span ``DONOR_ROWS`` donors at a time.
+Beyond that donors lie in a packed tree (index.py): leaves of ``leaf_rows`` donors, as deep as the rows ask for.
 
 * k nearest: each receiver first scans the nearest leaves that hold k donors; the k-th distance
   found there is its radius, and only nodes that reach into it are opened.  Exact.
