@@ -3,7 +3,8 @@
 Distances are sums of elementwise differences, so they do not depend on how rows are grouped and
 nothing cancels.  When the donor matrix is small (its measured size is under ``broadcast_bytes``, and
 for k nearest it has ``FEW_DONORS`` rows at most, as all pairs soon outnumber those the tree looks at)
-it is shipped to every task, only receivers move, and matrices span ``DONOR_ROWS`` donors at a time.
+it is shipped to every task, only receivers move, and matrices span ``DONOR_ROWS`` donors at a time
+(the nearest fraction instead lays the shipped donors in leaves and looks at those the k-th may be in).
 Beyond that donors lie in a packed tree (index.py): leaves of ``leaf_rows`` donors, as deep as the rows ask for.
 
 * k nearest: each receiver first scans the nearest leaves that hold k donors; the k-th distance
@@ -18,6 +19,7 @@ type: those that are not integers are numbered in their order.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -471,107 +473,156 @@ class EnhancedKNNImputer(Imputer):
 #
 # Each hole takes the mean of its k = max(1, int(n_available * fraction)) most
 # similar donors.  k grows with the table, so candidate lists are never built.
-# With donors in every task, pass 1 counts donors (and sums their values) per
-# receiver in fine logarithmic distance bins; a window over those small
-# per-receiver histograms finds the bin holding the k-th donor, and pass 2 emits
-# only the donors that fall in that one bin, ordered by (distance, donor id) to
-# take exactly the ones still needed.  With donors in a tree see ``_counted``.
-
-BINS_PER_OCTAVE = 8
-INF_BIN = 1 << 20
-ZERO_BIN = -(1 << 20)
-
-
-def _ss_other(Xr, Xd, Mr, Md, j, metric="euclidean"):
-    """Unscaled squared Euclidean, or Manhattan, distance over the other columns both rows have;
-    inf if none."""
-    cols = [i for i in range(Xr.shape[1]) if i != j]
-    ss = np.zeros((len(Xr), len(Xd)))
-    sh = np.zeros((len(Xr), len(Xd)))
-    for i in cols:
-        both = Mr[:, i, None] & Md[None, :, i]
-        diff = np.where(both, Xr[:, i, None] - Xd[None, :, i], 0.0)
-        ss += diff * diff if metric == "euclidean" else np.abs(diff)
-        sh += both
-    return np.where(sh > 0, ss, np.inf)
-
-
-def _bin_of(ss: np.ndarray) -> np.ndarray:
-    with np.errstate(divide="ignore", invalid="ignore"):
-        b = np.floor(np.log2(ss) * BINS_PER_OCTAVE)
-    b = np.where(ss == 0, ZERO_BIN, b)
-    b = np.where(np.isinf(ss), INF_BIN, b)
-    return b.astype("int64")
-
-
-def _bin_counts(rids: np.ndarray, b: np.ndarray, v: np.ndarray, j: int) -> pd.DataFrame:
-    """Per (receiver, bin): donor count and value sum, by one bincount over compact bin ids."""
-    finite = (b != ZERO_BIN) & (b != INF_BIN)
-    lo = int(b[finite].min()) if finite.any() else 0
-    hi = int(b[finite].max()) if finite.any() else 0
-    nb = hi - lo + 3  # slot 0: zero distance, slots 1..: finite bins, last: no shared column
-    compact = np.where(b == ZERO_BIN, 0, np.where(b == INF_BIN, nb - 1, b - lo + 1))
-    key = (np.arange(len(rids))[:, None] * nb + compact).ravel()
-    size = len(rids) * nb
-    cnt = np.bincount(key, minlength=size)
-    sv = np.bincount(key, weights=np.broadcast_to(v, b.shape).ravel(), minlength=size)
-    nz = np.nonzero(cnt)[0]
-    slot = nz % nb
-    orig = np.where(slot == 0, ZERO_BIN, np.where(slot == nb - 1, INF_BIN, slot - 1 + lo))
-    return pd.DataFrame({"rid": rids[nz // nb], "j": np.full(len(nz), j, dtype="int32"),
-                         "bin": orig.astype("int64"), "cnt": cnt[nz].astype("int64"), "sv": sv[nz]})
-
-
-def _hist_block(feats, targets, metric):
-    def fn(rp, dp):
-        Xr = rp[feats].to_numpy(dtype="float64")
-        Xd = dp[feats].to_numpy(dtype="float64")
-        Mr, Md = ~np.isnan(Xr), ~np.isnan(Xd)
-        rid = rp["__id"].to_numpy()
-        outs = []
-        for j in targets:
-            ri, di = np.nonzero(~Mr[:, j])[0], np.nonzero(Md[:, j])[0]
-            if len(ri) == 0 or len(di) == 0:
+# With donors in every task, they lie in leaves of near rows: bounds of the leaves
+# tell which are nearer than the k-th donor can be (added whole by their sums) and
+# which may hold it (ranked by (distance, donor id) to take exactly the ones still
+# needed).  Only fills leave the task.  With donors in a tree see ``_counted``.
+
+SHARE_LEAF_ROWS = 128
+SHARE_UNITS = 64  # holes whose bounds are computed at a time
+
+
+class _Laid:
+    """Donors of one column in leaves of near rows that have the same features: places, leaf starts, boxes."""
+
+    def __init__(self, x: np.ndarray, ids: np.ndarray, j: int, order: np.ndarray, starts: np.ndarray):
+        self.others = [i for i in range(x.shape[1]) if i != j]
+        self.x, self.ids, self.v = [np.ascontiguousarray(x[order, i]) for i in self.others], ids[order], x[order, j]
+        self.starts, self.ends = starts, np.append(starts[1:], len(order))
+        self.n = self.ends - starts
+        if len(order):
+            self.sum = np.add.reduceat(self.v, starts)
+            self.lo, self.hi = ([f.reduceat(c, starts) for c in self.x] for f in (np.minimum, np.maximum))
+
+    def bounds(self, rows: np.ndarray, metric: str):
+        """Least and greatest distance of rows to the donors of every leaf; infinite without a shared feature."""
+        low, top = np.zeros((len(rows), len(self.n))), np.zeros((len(rows), len(self.n)))
+        shared = np.zeros(low.shape, bool)
+        for c, lo, hi in zip(self.others, self.lo, self.hi):
+            v = rows[:, c, None]
+            both = ~np.isnan(v) & ~np.isnan(lo)[None, :]
+            gap, far = np.maximum(np.maximum(lo - v, v - hi), 0.0), np.maximum(np.abs(v - lo), np.abs(v - hi))
+            if metric == "euclidean":
+                gap, far = gap * gap, far * far
+            low += np.where(both, gap, 0.0)
+            top += np.where(both, far, 0.0)
+            shared |= both
+        return np.where(shared, low, np.inf), np.where(shared, top, np.inf)
+
+    def distances(self, row: np.ndarray, at: np.ndarray, metric: str) -> np.ndarray:
+        """Unscaled squared Euclidean, or Manhattan, distance of a row to the donors at places ``at``, over
+        the other columns both have; infinite if none."""
+        ss, shared = np.zeros(len(at)), np.zeros(len(at), bool)
+        for c, x in zip(self.others, self.x):
+            if np.isnan(row[c]):
                 continue
-            b = _bin_of(_ss_other(Xr[ri], Xd[di], Mr[ri], Md[di], j, metric))
-            outs.append(_bin_counts(rid[ri], b, Xd[di, j], j))
-        if not outs:
-            return pd.DataFrame({"rid": [], "j": [], "bin": [], "cnt": [], "sv": []})
-        return pd.concat(outs, ignore_index=True)[["rid", "j", "bin", "cnt", "sv"]]
-    return fn
-
-
-CAND_SCHEMA_F = "rid long, j int, f int, sid long, dist2 double, v double"
+            diff = row[c] - x[at]
+            both = diff == diff
+            diff[~both] = 0.0
+            ss += diff * diff if metric == "euclidean" else np.abs(diff)
+            shared |= both
+        return np.where(shared, ss, np.inf)
+
+    def nearest_mean(self, rows: np.ndarray, low: np.ndarray, top: np.ndarray, ks: list[int], metric: str) -> list[float]:
+        """Mean of the k nearest donors for every k: leaves nearer than the k-th can be are added whole, those
+        that may hold it are ranked, ties by id.  Rows (of one id) share the k."""
+        low, top, leaf = low.ravel(), top.ravel(), np.tile(np.arange(len(self.n)), len(rows))
+        n = self.n[leaf]
+        by_low, by_top = np.argsort(low), np.argsort(top)
+        below_low, below_top = np.cumsum(n[by_low]), np.cumsum(n[by_top])
+        out = []
+        for k in ks:
+            least = low[by_low[np.searchsorted(below_low, k)]] * (1 - SLACK)
+            most = top[by_top[np.searchsorted(below_top, k)]] * (1 + SLACK)
+            whole = top < least
+            opened = np.flatnonzero(~whole & (low <= most))
+            places, dists = [], []
+            for i, row in enumerate(rows):
+                leaves = leaf[opened[opened // len(self.n) == i]]
+                ends = np.cumsum(self.n[leaves])
+                places.append(np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.ends[leaves] - ends, self.n[leaves]))
+                dists.append(self.distances(row, places[-1], metric))
+            at, dist = np.concatenate(places), np.concatenate(dists)
+            need = k - int(n[whole].sum())
+            kth = np.partition(dist, need - 1)[need - 1]
+            near, tied = dist < kth, at[dist == kth]
+            tied = tied[np.argsort(self.ids[tied], kind="stable")[:need - int(near.sum())]]
+            out.append((self.sum[leaf[whole]].sum() + self.v[at[near]].sum() + self.v[tied].sum()) / k)
+        return out
+
+
+def _leaf_order(x: np.ndarray, j: int, leaf_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the rows that have column j, leaf by leaf, and where leaves start.  Rows of one leaf have the
+    same features; leaves are halved along their widest other column, which distances follow."""
+    has = ~np.isnan(x)
+    places = np.flatnonzero(has[:, j])
+    kinds, kind = np.unique(np.packbits(has[places], axis=1), axis=0, return_inverse=True)
+    leaves = []
+    for i in range(len(kinds)):
+        left = [places[kind.ravel() == i]]
+        cols = [i for i in np.flatnonzero(has[left[0][0]]) if i != j]
+        while left:
+            at = left.pop()
+            span = np.ptp(x[np.ix_(at, cols)], axis=0) if cols else np.zeros(1)
+            if len(at) <= leaf_rows or not span.any():
+                leaves.append(at)
+                continue
+            half = len(at) // 2
+            order = np.argpartition(x[at, cols[int(span.argmax())]], half)
+            left += [at[order[half:]], at[order[:half]]]
+    if not leaves:
+        return places.astype(np.int32), np.zeros(0, np.int64)
+    return np.concatenate(leaves).astype(np.int32), np.cumsum([0, *map(len, leaves[:-1])])
+
+
+def _shared_out(rec: DataFrame, don: DataFrame, cols: list[str], available: list[int], fractions: list[float], metric: str,
+                block_rows: int) -> DataFrame:
+    """(rid, j, f, fill): mean of the nearest share of a donor table of a measured, bounded size, which goes to
+    every task with the order of its leaves per column; a hole is filled where it lies."""
+    spark = rec.sparkSession
+    d = don.select("__id", *cols).toPandas()
+    ids, x = d["__id"].to_numpy(np.int64), d[cols].to_numpy(dtype="float64", na_value=np.nan)
+    held = spark.sparkContext.broadcast((ids, x, [_leaf_order(x, j, SHARE_LEAF_ROWS) for j in range(len(cols))]))
+    ks = [[max(1, int(n * f)) for f in fractions] if n else [] for n in available]
+    # a task has holes of one column or a few, rows of one id side by side (fills of null ids would find no row)
+    holes = rec.where(F.col("__id").isNotNull()).select(
+        F.explode(F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(j)) for j, c in enumerate(cols)]))).alias("__j"), "__id", *cols)
+    parts = max(spark.sparkContext.defaultParallelism, math.ceil(rec.count() / block_rows))
 
+    def filled(laid, j, part):
+        rids, rows = part["__id"].to_numpy(np.int64), part[cols].to_numpy(dtype="float64", na_value=np.nan)
+        starts = np.flatnonzero(np.append(True, rids[1:] != rids[:-1]))
+        ends = np.append(starts[1:], len(rids))
+        fills = []
+        for block in range(0, len(starts), SHARE_UNITS):
+            s, e = starts[block:block + SHARE_UNITS], ends[block:block + SHARE_UNITS]
+            low, top = laid.bounds(rows[s[0]:e[-1]], metric)
+            fills += [laid.nearest_mean(rows[a:b], low[a - s[0]:b - s[0]], top[a - s[0]:b - s[0]], ks[j], metric) for a, b in zip(s, e)]
+        return pd.DataFrame({"rid": np.repeat(rids[starts], len(fractions)), "j": np.int32(j),
+                             "f": np.tile(np.arange(len(fractions), dtype=np.int32), len(starts)), "fill": np.ravel(fills)})
 
-def _boundary_block(feats, targets, metric, n_fracs: int = 1):
-    def fn(rp, dp):
-        Xr = rp[feats].to_numpy(dtype="float64")
-        Xd = dp[feats].to_numpy(dtype="float64")
-        Mr, Md = ~np.isnan(Xr), ~np.isnan(Xd)
-        rid, sid = rp["__id"].to_numpy(), dp["__id"].to_numpy()
-        outs = []
-        for j in targets:
-            di = np.nonzero(Md[:, j])[0]
-            ri_all = np.nonzero(~Mr[:, j])[0]
-            if len(ri_all) == 0 or len(di) == 0:
-                continue
-            ss_all = _ss_other(Xr[ri_all], Xd[di], Mr[ri_all], Md[di], j, metric)
-            bins = _bin_of(ss_all)
-            for fi in range(n_fracs):
-                want = rp[f"__bin{j}_{fi}"].to_numpy()[ri_all]
-                ok = ~pd.isna(want)
-                if not ok.any():
+    def run(it):
+        ids, x, orders = held.value
+        now, laid, rest = None, None, None
+        for pdf in itertools.chain(it, [None]):
+            if pdf is not None:  # the last id may go on in the next batch
+                pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+                if not len(pdf):
                     continue
-                hit = (bins == np.where(ok, want, -(1 << 40)).astype("int64")[:, None]) & ok[:, None]
-                a, b = np.nonzero(hit)
-                outs.append(pd.DataFrame({"rid": rid[ri_all][a], "j": np.full(len(a), j, dtype="int32"),
-                                          "f": np.full(len(a), fi, dtype="int32"), "sid": sid[di][b],
-                                          "dist2": ss_all[a, b], "v": Xd[di[b], j]}))
-        if not outs:
-            return pd.DataFrame({"rid": [], "j": [], "f": [], "sid": [], "dist2": [], "v": []})
-        return pd.concat(outs, ignore_index=True)
-    return fn
+                last = (pdf["__j"] == pdf["__j"].iloc[-1]) & (pdf["__id"] == pdf["__id"].iloc[-1])
+                pdf, rest = pdf[~last], pdf[last]
+            elif rest is not None:
+                pdf = rest
+            else:
+                return
+            for j, part in pdf.groupby("__j"):
+                if not ks[j]:
+                    continue
+                if now != j:
+                    now, laid = j, _Laid(x, ids, j, *orders[j])
+                yield filled(laid, j, part)
+    return (holes.repartitionByRange(parts, "__j", "__id").sortWithinPartitions("__j", "__id")
+            .mapInPandas(run, "rid long, j int, f int, fill double"))
 
 
 # State of a unit in range counting: k, the least and greatest distance that the k-th may have, and
@@ -745,7 +796,6 @@ class SimilarityPartialMeanModel(ImputerModel):
         """(rid, j, f, fill) of rows numbered by __id for every fraction f: the distance histograms
         are computed once and shared; pass 2 emits the donors of every boundary bin."""
         cols = self.cols
-        targets = list(range(len(cols)))
         sel = ["__id"] + [clean(df, c).cast("double").alias(c) for c in cols]
         hole = None
         for c in cols:
@@ -756,37 +806,7 @@ class SimilarityPartialMeanModel(ImputerModel):
         n_avail = df.agg(*[F.count(clean(df, c)).alias(c) for c in cols]).first()
         if not _is_small(don, len(cols), self.broadcast_bytes):
             return _counted(rec, don, cols, [n_avail[c] for c in cols], fractions, self.metric, self.leaf_rows)
-        hist = _shipped(rec, don, self.block_rows, _hist_block(cols, targets, self.metric), "rid long, j int, bin long, cnt long, sv double")
-        hist = hist.groupBy("rid", "j", "bin").agg(F.sum("cnt").alias("cnt"), F.sum("sv").alias("sv"))
-        w = Window.partitionBy("rid", "j").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-        total = Window.partitionBy("rid", "j")
-        hist = hist.withColumn("before", F.coalesce(F.sum("cnt").over(w), F.lit(0))) \
-                   .withColumn("sbefore", F.coalesce(F.sum("sv").over(w), F.lit(0.0))) \
-                   .withColumn("avail", F.sum("cnt").over(total))
-        # one k per (column, fraction); k is capped by the donors available, as a sort would do
-        per_f = []
-        for fi, frac in enumerate(fractions):
-            karr = F.array(*[F.lit(max(1, int(n_avail[c] * frac))) for c in cols])
-            per_f.append(F.struct(F.lit(fi).alias("f"), F.element_at(karr, F.col("j") + 1).alias("k")))
-        hist = hist.withColumn("fk", F.explode(F.array(*per_f))).select(
-            "rid", "j", "bin", "cnt", "before", "sbefore", "fk.f",
-            F.least(F.col("fk.k"), F.col("avail")).alias("k"))
-        bnd = hist.where((F.col("before") < F.col("k")) & (F.col("before") + F.col("cnt") >= F.col("k"))) \
-                  .select("rid", "j", "f", "bin", (F.col("k") - F.col("before")).alias("need"),
-                          F.col("sbefore"), "k")
-        bnd = cut(bnd)
-        # pass 2: receivers carry their boundary bin per (column, fraction)
-        wide = bnd.groupBy("rid").agg(*[
-            F.max(F.when((F.col("j") == i) & (F.col("f") == fi), F.col("bin"))).alias(f"__bin{i}_{fi}")
-            for i in targets for fi in range(len(fractions))])
-        rec2 = rec.join(wide, rec["__id"] == wide["rid"]).drop("rid")
-        cand = _shipped(rec2, don, self.block_rows, _boundary_block(cols, targets, self.metric, len(fractions)), CAND_SCHEMA_F)
-        cw = Window.partitionBy("rid", "j", "f").orderBy("dist2", "sid")
-        taken = cand.withColumn("rank", F.row_number().over(cw)).join(
-            bnd.select("rid", "j", "f", "need"), ["rid", "j", "f"]).where(F.col("rank") <= F.col("need")) \
-            .groupBy("rid", "j", "f").agg(F.sum("v").alias("sb"))
-        return bnd.join(taken, ["rid", "j", "f"], "left").select(
-            "rid", "j", "f", ((F.col("sbefore") + F.coalesce("sb", F.lit(0.0))) / F.col("k")).alias("fill"))
+        return _shared_out(rec, don, cols, [n_avail[c] for c in cols], fractions, self.metric, self.block_rows)
 
     def _fallback(self):
         return {c: (self.means[c] if self.means.get(c) is not None else 0.0) for c in self.cols}

@@ -133,3 +133,50 @@ def test_many_donors_go_through_the_tree(spark, monkeypatch):
     monkeypatch.setattr(knn, "_shipped", None)
     for make, w in zip(makers, want):
         assert np.allclose(make().fit_transform(df).orderBy("id").toPandas()[COLS].to_numpy(float), w, atol=1e-9)
+
+
+def _share_means(pdf, cols, fraction, metric):
+    """Row by row: mean of the nearest share, ties by id, rows without a shared feature last."""
+    x, out = pdf[cols].to_numpy(float), {}
+    for j, c in enumerate(cols):
+        don = np.flatnonzero(~np.isnan(x[:, j]))
+        for i in np.flatnonzero(np.isnan(x[:, j])):
+            diff = np.delete(x[don] - x[i], j, axis=1)
+            dist = np.nansum(diff * diff if metric == "euclidean" else np.abs(diff), axis=1)
+            dist[np.isnan(diff).all(axis=1)] = np.inf
+            near = np.lexsort((pdf["id"].to_numpy()[don], dist))[:max(1, int(len(don) * fraction))]
+            out[int(pdf["id"][i]), j] = x[don[near], j].mean()
+    return out
+
+
+def test_nearest_share_is_ranked_inside_the_task(spark, monkeypatch):
+    """Only fills leave a task, no counts per block of donors; leaves of one donor up, ties, rows without a feature."""
+    from lacuna.operators import knn
+    monkeypatch.setattr(knn, "_shipped", None)
+    rng = np.random.default_rng(8)
+    x = np.round(rng.lognormal(3, 1, (300, 3)) * [10, 1, 0.1])
+    x[rng.random(x.shape) < 0.3] = np.nan
+    x[100:160] = x[100]  # equal rows: ties
+    pdf = pd.DataFrame(x, columns=["a", "b", "c"]).assign(id=rng.permutation(300) * 7)
+    df = spark.createDataFrame(pdf)
+    for leaf_rows, metric in ((1, "euclidean"), (17, "manhattan"), (256, "euclidean")):
+        monkeypatch.setattr(knn, "SHARE_LEAF_ROWS", leaf_rows)
+        got = SimilarityPartialMeanImputer("id", 0.3, metric, columns=["a", "b", "c"]).fit_transform(df).toPandas().set_index("id")
+        for (i, j), v in _share_means(pdf, ["a", "b", "c"], 0.3, metric).items():
+            assert abs(got.loc[i].iloc[j] - v) < 1e-9, (leaf_rows, i, j)
+
+
+def test_nearest_share_looks_at_few_donors(monkeypatch):
+    from lacuna.operators import knn
+    rng = np.random.default_rng(9)
+    x = np.column_stack([rng.normal(size=20_000), rng.lognormal(5, 1, 20_000), rng.normal(size=20_000)])
+    laid = knn._Laid(x, np.arange(20_000), 0, *knn._leaf_order(x, 0, 64))
+    seen, distances = [], knn._Laid.distances
+    monkeypatch.setattr(knn._Laid, "distances", lambda self, row, at, metric: seen.append(len(at)) or distances(self, row, at, metric))
+    rows = x[:20] * [np.nan, 1, 1]
+    low, top = laid.bounds(rows, "euclidean")
+    for r, a, b in zip(rows, low, top):
+        dist = ((x[:, 1:] - r[1:]) ** 2).sum(axis=1)
+        want = x[np.argsort(dist, kind="stable")[:6000], 0].mean()
+        assert abs(laid.nearest_mean(r[None], a, b, [6000], "euclidean")[0] - want) < 1e-9
+    assert max(seen) < 2_000
