@@ -1,10 +1,12 @@
 """Stateful forward fill of a stream, with late rows (STR2).
 
 A row's fill is the last observed value of its key at or before it, in order of event time and
-tie-break, whatever order the rows arrive in.  State lives in RocksDB, per key and bucket of event
-time: the rows of the buckets that the watermark has not passed, and of the passed ones the last
-observation only.  A late row opens its own bucket again and the following ones just as far as
-the carried observation changes, so work and memory follow a bucket, not a key's history or a
+tie-break, whatever order the rows arrive in.  State lives in RocksDB, per key and segment: the rows
+of the buckets of event time that the watermark has not passed, and of the passed ones the last
+observation only.  A segment is a run of neighbouring buckets with up to ``SEGMENT_ROWS`` rows (or one
+bucket with more), so a key with few rows takes a handful of state calls and one timer, however many
+buckets they fall in.  A late row opens its own segment again and the following ones just as far as
+the carried observation changes, so work and memory follow a segment, not a key's history or a
 key's share of a micro-batch (its rows are filed batch by batch as Arrow hands them over).
 
 ``emit="early"`` returns every row in the micro-batch that brings it, and again with the next
@@ -24,6 +26,7 @@ order; rows behind the watermark are dropped by Spark.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +43,8 @@ from lacuna.functions.columns import clean
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: every column travels in this notation and is read back from it
 JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ignoreNullFields": "false"}
-HELD = ["t", "tie", "body", "v", "fill", "revision"]
+#: rows of a segment of more than one bucket
+SEGMENT_ROWS = 4096
 #: order key of rows without event time
 NO_TIME = -(1 << 63)
 SENT = "body string, fill string, revision long"
@@ -58,116 +62,201 @@ def holes_filled(v: np.ndarray, carry: str | None, run: int, limit: int | None):
     return fill, last[-1], int(gap[-1])
 
 
+class Segment:
+    """Buckets ``first`` to ``last`` of a key: number of stored parts and rows; what it hands on, where
+    fills are sent early (carry is null before the first observation)."""
+
+    def __init__(self, number: int, first: int, last: int, parts: int = 0, rows: int = 0, carry: str | None = None, run: int = 0):
+        self.number, self.first, self.last, self.parts, self.rows, self.carry, self.run = number, first, last, parts, rows, carry, run
+        self.new: list[pa.Table] = []  # rows not stored yet
+
+    def packed(self) -> list:
+        return [self.number, self.first, self.last, self.parts, self.rows, self.carry, self.run]
+
+
+class Held:
+    """What is known of a key: the observation before its segments, its newest row, its next timer (0: none), segments in order."""
+
+    def __init__(self, got: tuple | None):
+        self.carry, self.run, self.newest, self.timer, self.next = got[:5] if got else (None, 0, None, 0, 0)
+        self.segments = [Segment(*s) for s in json.loads(got[5])] if got else []
+
+    def packed(self) -> tuple:
+        return self.carry, self.run, self.newest, self.timer, self.next, json.dumps([s.packed() for s in self.segments])
+
+    def segment(self, first: int, last: int) -> Segment:
+        self.next += 1
+        return Segment(self.next - 1, first, last)
+
+
 class ForwardFill(StatefulProcessor):
-    def __init__(self, bucket: int, idle: int, limit: int | None, early: bool, tie_type: pa.DataType):
-        self.bucket, self.idle, self.limit, self.early = bucket, idle, limit, early
+    def __init__(self, bucket: int, idle: int, limit: int | None, early: bool, tie_type: pa.DataType, segment_rows: int = SEGMENT_ROWS):
+        self.bucket, self.idle, self.limit, self.early, self.segment_rows = bucket, idle, limit, early, segment_rows
         self.schema = pa.schema([("t", pa.int64()), ("tie", tie_type), ("body", pa.string()), ("v", pa.string()), ("fill", pa.string()),
                                  ("revision", pa.int64())])
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.parts = handle.getMapState("parts", "bucket long, part long", "rows binary")
-        # what a bucket hands on, and how many parts it has; carry is null before the first observation
-        self.buckets = handle.getMapState("buckets", "bucket long", "parts long, carry string, run long")
-        self.base = handle.getValueState("base", "carry string, run long, newest long")
+        self.parts = handle.getMapState("parts", "segment long, part long", "rows binary")
+        self.held = handle.getValueState("held", "carry string, run long, newest long, timer long, next long, segments string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        touched, newest = set(), None
+        held, touched = None, set()
         for frame in rows:
-            timeless = frame["t"] == NO_TIME
-            if timeless.any():
-                yield self._sent(frame[timeless], None, 0)
-                frame = frame[~timeless]
-            if frame.empty:
+            t = frame["t"].to_numpy(np.int64)
+            if t.min(initial=0) == NO_TIME:
+                timeless = t == NO_TIME
+                yield self._sent(frame["body"].to_numpy(object)[timeless], None, 0)
+                frame, t = frame[~timeless], t[~timeless]
+            if not len(t):
                 continue
-            frame = frame.assign(fill=None, revision=-1)
-            newest = max(int(frame["t"].max()), newest if newest is not None else int(frame["t"].max()))
-            for b, part in frame.groupby(frame["t"] // self.bucket):
-                self._file(int(b), part)
-                touched.add(int(b))
-        if not touched:
+            held = held or Held(self.held.get())
+            held.newest = max(int(t.max()), held.newest if held.newest is not None else int(t.max()))
+            texts = [pa.array(frame[c].to_numpy(object), self.schema.field(c).type, from_pandas=True) for c in ("tie", "body", "v")]
+            table = pa.Table.from_arrays([pa.array(t), *texts, pa.nulls(len(t), pa.string()), pa.array(np.full(len(t), -1))], schema=self.schema)
+            self._file(held, table, t // self.bucket, touched)
+        if held is None:
             return
-        carry, run, old = self.base.get() if self.base.exists() else (None, 0, newest)
-        self.base.update((carry, run, max(old, newest)))
         if self.early:
-            yield from self._refilled(touched)
+            yield from self._refilled(held, touched)
+        else:
+            for s in held.segments:
+                self._store(s)
+        self._set_timer(held, self._end(held.segments[0]))
+        self.held.update(held.packed())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        passed = timerValues.getCurrentWatermarkInMs()
-        for (b,) in sorted(self.buckets.keys()):
-            if (b + 1) * self.bucket > passed * 1000:
-                break
-            parts, carry, run = self.buckets.getValue((b,))
-            if not self.early:
-                before, run = self.base.get()[:2]
-                table = self._read(b, parts)
-                fill, carry, run = holes_filled(table["v"].to_numpy(object), before, run, self.limit)
-                yield self._sent(table, fill, np.zeros(len(table), np.int64))
-            self.base.update((carry, run, self.base.get()[2]))
-            for n in range(parts):
-                self.parts.removeKey((b, n))
-            self.buckets.removeKey((b,))
-        if not self.base.exists() or list(self.buckets.keys()):
+        got = self.held.get()
+        if got is None:
             return
-        idle_at = self.base.get()[2] // 1000 + self.idle
-        if passed >= idle_at:
-            self.base.clear()
+        held, passed = Held(got), timerValues.getCurrentWatermarkInMs()
+        held.timer = held.timer if held.timer > passed else 0
+        opened = passed * 1000 // self.bucket  # the first bucket that the watermark has not passed
+        while held.segments and held.segments[0].first < opened:
+            s = held.segments.pop(0)
+            if self.early and s.last < opened:
+                held.carry, held.run = s.carry, s.run
+                self._forget(s)
+                continue
+            table = self._read(s)
+            n = int(np.searchsorted(table["t"].to_numpy(), opened * self.bucket))
+            fill, held.carry, held.run = holes_filled(table["v"].to_numpy()[:n], held.carry, held.run, self.limit)
+            if not self.early:
+                yield self._sent(table["body"].to_numpy()[:n], fill, np.zeros(n, np.int64))
+            self._forget(s, 1 if n < s.rows else 0)
+            if n < s.rows:
+                s.first, s.new = int(table["t"][n].as_py() // self.bucket), [table.slice(n)]
+                s.rows, s.parts = s.rows - n, 0
+                self._store(s)
+                held.segments.insert(0, s)
+                break
+        if held.segments:
+            self._set_timer(held, self._end(held.segments[0]))
         else:
-            self.handle.registerTimer(idle_at)
+            idle_at = held.newest // 1000 + self.idle
+            if passed >= idle_at:
+                self.held.clear()
+                return
+            self._set_timer(held, idle_at)
+        self.held.update(held.packed())
 
     def close(self) -> None:
         pass
 
-    def _file(self, b: int, part: pd.DataFrame) -> None:
-        """Add rows to a bucket; a new bucket sets the timer that will close it."""
-        if self.buckets.containsKey((b,)):
-            n, carry, run = self.buckets.getValue((b,))
-        else:
-            n, carry, run = 0, None, 0
-            self.handle.registerTimer(-(-(b + 1) * self.bucket // 1000))
-        self._write(b, n, part)
-        self.buckets.updateValue((b,), (n + 1, carry, run))
+    def _end(self, s: Segment) -> int:
+        return -(-(s.first + 1) * self.bucket // 1000)
 
-    def _write(self, b: int, n: int, part: pd.DataFrame) -> None:
+    def _set_timer(self, held: Held, at: int) -> None:
+        """One timer a key: for its first bucket, or for its end; set again where that is earlier."""
+        if not held.timer or at < held.timer:
+            held.timer = at
+            self.handle.registerTimer(at)
+
+    def _file(self, held: Held, table: pa.Table, buckets: np.ndarray, touched: set) -> None:
+        """Add rows to the segments that their buckets fall in, splitting those that grow too long."""
+        if not held.segments:
+            held.segments.append(held.segment(int(buckets.min()), int(buckets.max())))
+        at = np.searchsorted([s.first for s in held.segments[1:]], buckets, "right")
+        for i in np.unique(at)[::-1]:  # from the last, as splits move the following
+            s, mine = held.segments[i], at == i
+            own = buckets[mine]
+            s.new.append(table if mine.all() else table.filter(pa.array(mine)))
+            s.first, s.last, s.rows = min(s.first, int(own.min())), max(s.last, int(own.max())), s.rows + len(own)
+            touched.add(s.number)
+            if s.rows > self.segment_rows:
+                if s.first < s.last:
+                    held.segments[i:i + 1] = pieces = self._split(held, s)
+                    touched.update(p.number for p in pieces)
+                else:
+                    self._store(s)
+
+    def _split(self, held: Held, s: Segment) -> list[Segment]:
+        """Segments of about half the rows at most, or of one bucket."""
+        table = self._read(s)
+        b = table["t"].to_numpy() // self.bucket
+        starts = np.flatnonzero(np.append(True, b[1:] != b[:-1]))
+        ends, cuts = np.append(starts[1:], len(b)), [0]
+        for start, end in zip(starts[1:], ends[1:]):
+            if end - cuts[-1] > self.segment_rows // 2:
+                cuts.append(int(start))
+        self._forget(s)
+        out = []
+        for start, end in zip(cuts, [*cuts[1:], len(b)]):
+            p = held.segment(int(b[start]), int(b[end - 1]))
+            p.rows, p.new = int(end - start), [table.slice(start, end - start)]
+            self._store(p)
+            out.append(p)
+        return out
+
+    def _store(self, s: Segment) -> None:
+        """The rows not stored yet become a part."""
+        if not s.new:
+            return
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, self.schema) as w:
-            w.write_table(pa.Table.from_pandas(part[HELD], self.schema, preserve_index=False))
-        self.parts.updateValue((b, n), (sink.getvalue().to_pybytes(),))
+            for table in s.new:
+                w.write_table(table)
+        self.parts.updateValue((s.number, s.parts), (sink.getvalue().to_pybytes(),))
+        s.parts, s.new = s.parts + 1, []
+
+    def _forget(self, s: Segment, kept: int = 0) -> None:
+        for n in range(kept, s.parts):
+            self.parts.removeKey((s.number, n))
 
-    def _read(self, b: int, parts: int) -> pd.DataFrame:
-        tables = [pa.ipc.open_stream(bytes(self.parts.getValue((b, n))[0])).read_all() for n in range(parts)]
-        table = pa.concat_tables(tables)
+    def _read(self, s: Segment) -> pa.Table:
+        """All rows of a segment in order."""
+        stored = [pa.ipc.open_stream(bytes(self.parts.getValue((s.number, n))[0])).read_all() for n in range(s.parts)]
+        table = pa.concat_tables([*stored, *s.new])
         table = table.append_column("n", pa.array(np.arange(table.num_rows)))  # ties keep arrival order
         order = pc.sort_indices(table, [(c, "ascending") for c in ("t", "tie", "n")], null_placement="at_start")
-        return table.take(order).to_pandas()
+        return table.take(order).drop_columns("n").combine_chunks()
 
-    def _refilled(self, touched: set) -> Iterator[pd.DataFrame]:
+    def _refilled(self, held: Held, touched: set) -> Iterator[pd.DataFrame]:
         """New rows with their fills, and earlier ones whose fill changed."""
-        carry, run, _ = self.base.get()
+        carry, run = held.carry, held.run
         changed = False
-        for (b,) in sorted(self.buckets.keys()):
-            parts, old_carry, old_run = self.buckets.getValue((b,))
-            if b not in touched and not changed:
-                carry, run = old_carry, old_run
+        for s in held.segments:
+            if s.number not in touched and not changed:
+                carry, run = s.carry, s.run
                 continue
-            table = self._read(b, parts)
-            fill, carry, run = holes_filled(table["v"].to_numpy(object), carry, run, self.limit)
-            was = table["fill"].to_numpy(object)
-            revision = table["revision"].to_numpy(np.int64)
+            table = self._read(s)
+            fill, carry, run = holes_filled(table["v"].to_numpy(), carry, run, self.limit)
+            was = table["fill"].to_numpy()
+            revision = table["revision"].to_numpy()
             out = (revision < 0) | ((fill != was) & ~(pd.isna(fill) & pd.isna(was)))
             if out.any():
                 revision = revision + out
-                yield self._sent(table[out], fill[out], revision[out])
-            for n in range(1, parts):
-                self.parts.removeKey((b, n))
-            if out.any() or parts > 1:
-                self._write(b, 0, table.assign(fill=fill, revision=revision))
-            self.buckets.updateValue((b,), (1, carry, run))
-            changed = (carry, run) != (old_carry, old_run)
+                yield self._sent(table["body"].to_numpy()[out], fill[out], revision[out])
+            if out.any() or s.parts != 1 or s.new:
+                self._forget(s, 1)
+                s.parts, s.new = 0, [pa.Table.from_arrays([*table.columns[:4], pa.array(fill, pa.string()), pa.array(revision)], schema=self.schema)]
+                self._store(s)
+            changed = (carry, run) != (s.carry, s.run)
+            s.carry, s.run = carry, run
 
     @staticmethod
-    def _sent(table, fill, revision) -> pd.DataFrame:
-        return pd.DataFrame({"body": table["body"].to_numpy(object), "fill": fill, "revision": revision})
+    def _sent(body, fill, revision) -> pd.DataFrame:
+        return pd.DataFrame({"body": body, "fill": fill, "revision": revision})
 
 
 def _ordinal(c: Column, kind: T.DataType) -> tuple[Column, pa.DataType]:

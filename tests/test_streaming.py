@@ -152,3 +152,115 @@ def test_state_survives_a_restart(spark, tmp_path):
         q.awaitTermination()
     got = latest(spark.read.parquet(str(tmp_path / "out")), "event_id").collect()
     assert {r.event_id: r.value for r in got} == _batch_fill(rows)
+
+
+class _Handle:
+    """State of one key in memory; counts the calls."""
+
+    def __init__(self):
+        self.calls, self.timers, self.parts, self.value = 0, set(), {}, None
+
+    def getMapState(self, *_):
+        return self
+
+    def getValueState(self, *_):
+        return self
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+    def updateValue(self, k, v):
+        self.calls += 1
+        self.parts[k] = v
+
+    def getValue(self, k):
+        self.calls += 1
+        return self.parts[k]
+
+    def removeKey(self, k):
+        self.calls += 1
+        del self.parts[k]
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, v):
+        self.calls += 1
+        self.value = v
+
+    def clear(self):
+        self.calls += 1
+        self.value = None
+
+
+class _Now:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def _key_frames(seed, n):
+    """Frames of one key in any order of time: 10 ms buckets."""
+    rng = np.random.default_rng(seed)
+    t = rng.integers(0, 300, n) * 1000
+    v = np.where(rng.random(n) < 0.5, None, np.arange(n).astype(str))
+    return pd.DataFrame({"t": t, "tie": [f"{i:05d}" for i in range(n)], "body": [str(i) for i in range(n)], "v": v})
+
+
+def _in_order(pdf):
+    return pdf.sort_values(["t", "tie"]).v.ffill()
+
+
+def test_state_calls_follow_segments_not_buckets():
+    import pyarrow as pa
+    from lacuna.streaming.ffill import ForwardFill
+    pdf = _key_frames(1, 90)  # about 30 buckets
+    for early in (True, False):
+        h = _Handle()
+        p = ForwardFill(10_000, 10 ** 9, None, early, pa.string())
+        p.init(h)
+        sent = list(p.handleInputRows(("k",), iter([pdf]), None))
+        assert h.calls <= 4 and len(h.timers) == 1
+        h.calls = 0
+        sent += list(p.handleExpiredTimer(("k",), _Now(300), None))
+        assert h.calls <= 6 and not h.parts
+        got = pd.concat(sent).set_index("body").fill
+        want = _in_order(pdf)
+        holes = pdf.v.isna().to_numpy()
+        assert len(got) == len(pdf) and all((pd.isna(a) and pd.isna(b)) or a == b for a, b in
+                                            ((got[str(i)], want[i]) for i in pdf.index[holes]))
+
+
+def test_segments_split_and_close_in_any_order():
+    import pyarrow as pa
+    from lacuna.streaming.ffill import ForwardFill
+    for seed, rows, early in ((2, 1, True), (3, 7, True), (4, 7, False), (5, 40, False), (6, 4096, True)):
+        h = _Handle()
+        p = ForwardFill(10_000, 10 ** 9, None, early, pa.string(), rows)
+        p.init(h)
+        pdf, mark, sent, kept = _key_frames(seed, 400), 0, [], []
+        for batch in range(4):
+            part = pdf.iloc[batch * 100:(batch + 1) * 100]
+            part = part[part.t >= mark * 1000]  # Spark drops rows behind the watermark
+            kept.append(part)
+            sent += list(p.handleInputRows(("k",), iter([part.iloc[:30], part.iloc[30:]]), _Now(mark)))
+            mark = 55 * (batch + 1)
+            while h.timers and min(h.timers) <= mark:
+                h.timers.remove(min(h.timers))
+                sent += list(p.handleExpiredTimer(("k",), _Now(mark), None))
+        mark = 300
+        for at in sorted(h.timers):
+            sent += list(p.handleExpiredTimer(("k",), _Now(mark), None))
+        assert not h.parts
+        pdf = pd.concat(kept)
+        got = pd.concat(sent).sort_values("revision", kind="stable").groupby("body").tail(1).set_index("body").fill
+        assert sum(map(len, sent)) == len(pdf) or early
+        want = _in_order(pdf)
+        for i in pdf.index[pdf.v.isna()]:
+            a, b = got[str(i)], want[i]
+            assert (pd.isna(a) and pd.isna(b)) or a == b, (seed, i)
+        assert len(got) == len(pdf)
