@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lacuna.functions.quantiles import grouped_exact_quantiles
 from lacuna.operators import gram
+from lacuna.session import cut
 
 
 def long_values(stacked: DataFrame, columns: list[str]) -> DataFrame:
@@ -26,8 +27,9 @@ def long_values(stacked: DataFrame, columns: list[str]) -> DataFrame:
 
 def grouped_quantiles(long: DataFrame, keys: list[str], value: str, probs: list[float]) -> DataFrame:
     """Exact linear quantiles per group of a long table, one row per group (keys of any type,
-    null keys are a group); nothing is collected."""
-    return grouped_exact_quantiles(long, keys, value, probs)
+    null keys are a group); nothing is collected.  The selection scans the values several times, so they are
+    written once (keys and value only): the fits and masks behind a long table are not computed again by each scan."""
+    return grouped_exact_quantiles(cut(long.select(*keys, value)), keys, value, probs)
 
 
 def moment_table(long: DataFrame) -> DataFrame:
