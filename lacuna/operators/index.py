@@ -55,15 +55,18 @@ def _of(raw: bytes, dtype, width: int | None = None) -> np.ndarray:
     return a if width is None else a.reshape(-1, width)
 
 
-def morton(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
-    """Interleaved bits of the quantile bins of all features; a missing one is in bin 0."""
+def morton(x: np.ndarray, cuts: list[np.ndarray], wide: bool = False) -> np.ndarray:
+    """Interleaved bits of the quantile bins of all features; a missing one is in bin 0.  With ``wide`` the
+    next bit is that of the feature whose cells are widest, which unscaled distances follow."""
     d = len(cuts)
     bits = max(1, min(8, 62 // max(d, 1)))
     code = np.zeros(len(x), np.int64)
     bins = [np.where(np.isnan(x[:, i]), 0, np.searchsorted(c, x[:, i])).astype(np.int64) >> (8 - bits) for i, c in enumerate(cuts)]
-    for bit in range(bits - 1, -1, -1):
-        for b in bins[:62]:
-            code = (code << 1) | (b >> bit & 1)
+    left, width = [bits] * min(d, 62), [float(c[-1] - c[0]) if len(c) else 0.0 for c in cuts]
+    while any(left):
+        i = max((i for i in range(len(left)) if left[i]), key=lambda i: (width[i] if wide else left[i], -i))
+        left[i], width[i] = left[i] - 1, width[i] / 2
+        code = (code << 1) | (bins[i] >> left[i] & 1)
     return code
 
 
@@ -135,9 +138,10 @@ class Tree:
     leaves: DataFrame  # node, ids, x
     levels: list[DataFrame]  # from below the top down to the leaves' boxes: parent and its children
     top: Boxes
+    wide: bool = False
 
 
-def build(rows: DataFrame, feats: list[str], leaf_rows: int | None = None) -> Tree | None:
+def build(rows: DataFrame, feats: list[str], leaf_rows: int | None = None, wide: bool = False) -> Tree | None:
     """Tree over ``rows`` (__id long, features as doubles, null where missing); None of no rows."""
     d, leaf_rows, fan, top_nodes = len(feats), leaf_rows or LEAF_ROWS, FAN, TOP_NODES
     got = rows.agg(F.count("*").alias("__n"), *[F.percentile_approx(f, [i / BINS for i in range(1, BINS)], 2000).alias(f"q{i}")
@@ -149,7 +153,7 @@ def build(rows: DataFrame, feats: list[str], leaf_rows: int | None = None) -> Tr
     def coded(it):
         for pdf in it:
             x = pdf[feats].to_numpy(dtype="float64", na_value=np.nan)
-            yield pd.DataFrame({"__id": pdf["__id"], "__x": [r.tobytes() for r in x], "__pattern": pattern(x), "__code": morton(x, cuts)})
+            yield pd.DataFrame({"__id": pdf["__id"], "__x": [r.tobytes() for r in x], "__pattern": pattern(x), "__code": morton(x, cuts, wide)})
 
     laid = (rows.select("__id", *feats).mapInPandas(coded, "__id long, __x binary, __pattern long, __code long")
             .repartitionByRange("__pattern", "__code", "__id").sortWithinPartitions("__pattern", "__code", "__id"))
@@ -197,7 +201,7 @@ def build(rows: DataFrame, feats: list[str], leaf_rows: int | None = None) -> Tr
         levels.insert(0, level)
         boxes, place = cut(above), F.col("node")
     top = boxes_of(boxes.toPandas(), d)  # ``top_nodes`` rows at most
-    return Tree(feats, cuts, whole.select("node", "ids", "x"), levels, top)
+    return Tree(feats, cuts, whole.select("node", "ids", "x"), levels, top, wide)
 
 
 def _joined(it, d):
@@ -369,13 +373,13 @@ def scanned(tree: Tree, blocks: DataFrame, width: int, scan, schema: str) -> Dat
 def units_of_holes(tree: Tree, rec: DataFrame, targets: list[int] | None) -> DataFrame:
     """A unit per missing target of every receiver (or one with __j = -1 per receiver), and its place in
     the order of the tree."""
-    feats, cuts = tree.feats, tree.cuts
+    feats, cuts, wide = tree.feats, tree.cuts, tree.wide
     j = F.lit(-1) if targets is None else F.explode(F.array_compact(F.array(*[F.when(F.col(feats[t]).isNull(), F.lit(t)) for t in targets])))
     units = rec.select("__id", *feats, j.alias("__j"))
 
     def place(it):
         for pdf in it:
             x = pdf[feats].to_numpy(dtype="float64", na_value=np.nan)
-            yield pdf.assign(__pattern=pattern(x), __code=morton(x, cuts))
+            yield pdf.assign(__pattern=pattern(x), __code=morton(x, cuts, wide))
     schema = T.StructType([*units.schema.fields, T.StructField("__pattern", T.LongType()), T.StructField("__code", T.LongType())])
     return cut(units.mapInPandas(place, schema))

@@ -9,9 +9,9 @@ Beyond that donors lie in a packed tree (index.py): leaves of ``leaf_rows`` dono
 
 * k nearest: each receiver first scans the nearest leaves that hold k donors; the k-th distance
   found there is its radius, and only nodes that reach into it are opened.  Exact.
-* nearest fraction: k grows with the table, so donors are counted instead.  Nodes wholly inside the
-  range that must hold the k-th distance add their count and sum, nodes cut by it are opened, rounds
-  narrow the range until few donors are left in it, and those are ranked.
+* nearest fraction: k grows with the table, so donors are counted instead.  Leaves stream past groups of
+  units: those wholly below the range of the k-th distance add their count and sum, those cut by it are
+  looked at, rounds narrow the range until few donors are left in it, and those are ranked.
 
 Tasks emit candidates or counts, never pairs, and ties go to the smaller donor id.  Ids of any
 type: those that are not integers are numbered in their order.
@@ -625,166 +625,313 @@ def _shared_out(rec: DataFrame, don: DataFrame, cols: list[str], available: list
             .mapInPandas(run, "rid long, j int, f int, fill double"))
 
 
-# State of a unit in range counting: k, the least and greatest distance that the k-th may have, and
-# the range of donor ids among equals of one distance (two halves each: a double holds 32 bits).
-RANGE = ("k", "lo", "hi", "ilo_a", "ilo_b", "ihi_a", "ihi_b")
-RANGE_BINS = 64
-FEW = 512  # donors left in a range that are ranked one by one
+# Range counting: a unit (a hole and a fraction) looks for the distance of its k-th donor.  Units lie in
+# groups of neighbours, one task each; every round the leaves stream past each group, and a unit counts
+# what lies below its range and, in bins, what lies in it.  The bin that holds the k-th donor is its next
+# range; when FEW donors are left they are ranked.  The first range is a guess from the boxes of the tree,
+# the sure one follows if the k-th donor is not in it.  Between rounds only units are written, and a round
+# moves each leaf once per group.
+RANGE_BINS = 128
+FEW = 256  # donors left in a range that are ranked one by one
+GROUP_UNITS = 32768  # units of a group: its task holds their bins or their FEW donors
+LEAST_UNITS = 256  # units that are worth a group
+GUESS = 0.04  # share of the donors on either side of the guessed distance
+LOOK = 512  # units that look at a leaf together
 LOW_ID, HIGH_ID = -(1 << 63), (1 << 63) - 1
 
+#: rows of units (kind 0), a leaf (1) or fills (2) in bytes
+RANGED = "grp int, kind int, j int, ids binary, rows binary"
+
 
 def _keys(distance: np.ndarray) -> np.ndarray:
     """Distances (0 or more) as integers in the same order."""
     return np.ascontiguousarray(distance, np.float64).view(np.int64)
 
 
-def _halves(i: int) -> tuple[float, float]:
-    return float(i >> 32), float(i & 0xFFFFFFFF)
-
-
-def _whole_id(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a.astype(np.int64) << 32) | b.astype(np.int64)
-
-
-def _ranges(units: index.Units):
-    """Per unit the key range, whether it is one key, and the id range."""
-    s = units.state
-    lo, hi = _keys(s[:, 1]), _keys(s[:, 2])
-    return lo, hi, lo == hi, _whole_id(s[:, 3], s[:, 4]), _whole_id(s[:, 5], s[:, 6])
-
-
-def _inside(units: index.Units, ids: np.ndarray, keys: np.ndarray):
-    """Below the range, and in it: masks of units by donors."""
-    lo, hi, one, ilo, ihi = (a[:, None] for a in _ranges(units))
-    below = (keys < lo) | (one & (keys == lo) & (ids[None, :] < ilo))
-    return below, ~below & (keys <= hi) & ~(one & (ids[None, :] > ihi))
-
+def _unit_type(d: int) -> np.dtype:
+    """A row of a unit: its range (distances, then ids among equals), the sure range, n donors in the range
+    (-1: not counted), ``before`` and ``sbefore`` of those below."""
+    return np.dtype([("rid", "i8"), ("f", "i8"), ("k", "i8"), ("lo", "f8"), ("hi", "f8"), ("slo", "f8"), ("shi", "f8"), ("ilo", "i8"), ("ihi", "i8"),
+                     ("n", "i8"), ("before", "i8"), ("sbefore", "f8"), ("x", "f8", (d,))])
+
+
+def _first_ranges(units: np.ndarray, rows: np.ndarray, u: np.ndarray, j: int, top: index.Boxes, metric: str):
+    """Sure and guessed ranges of units (rows of unit i: u == i) by the top of the tree."""
+    count, used = top.count[:, j], [i for i in range(rows["x"].shape[1]) if i != j]
+    margin = max(GUESS, 4 / len(count)) * count.sum()
+    with np.errstate(invalid="ignore"):
+        means = top.sum / np.where(top.count > 0, top.count, np.nan)
+    by_unit = np.argsort(u, kind="stable")
+    starts = np.append(np.flatnonzero(np.append(True, np.diff(u[by_unit]) > 0)), len(u))
+
+    def ranked(bound, counts, ks):
+        """The bounds at which the counts reach ks."""
+        order = np.argsort(bound)
+        reached = np.minimum(np.searchsorted(np.cumsum(counts[order]), ks), len(order) - 1)
+        return bound[order[reached]]
+
+    for a in range(0, len(units), 256):
+        b = min(a + 256, len(units))
+        low, high = top.distances(rows["x"][by_unit[starts[a]:starts[b]]], used, metric)
+        middle = np.zeros(low.shape)
+        for i in used:  # to the mean of a node's rows
+            diff = np.abs(rows["x"][by_unit[starts[a]:starts[b]], i][:, None] - means[None, :, i])
+            middle += np.nan_to_num(diff * diff if metric == "euclidean" else diff)
+        middle = np.where(np.isfinite(low), middle, np.inf)
+        for i in range(a, b):
+            mine = slice(starts[i] - starts[a], starts[i + 1] - starts[a])
+            counts, k = np.tile(count, mine.stop - mine.start), units["k"][i]
+            slo = ranked(low[mine].ravel(), counts, k) * (1 - SLACK)
+            shi = ranked(high[mine].ravel(), counts, k) * (1 + SLACK)
+            lo, hi = ranked(middle[mine].ravel(), counts, [max(k - margin, 1), min(k + margin, counts.sum())])
+            units["slo"][i], units["shi"][i] = slo, shi
+            units["lo"][i], units["hi"][i] = min(max(lo, slo), shi), max(min(hi, shi), slo)
+
+
+class _Ranged:
+    """Units of one column and group while the leaves stream past."""
+
+    def __init__(self, j: int, rows: np.ndarray, top: index.Boxes, metric: str, bins: int, few: int):
+        self.j, self.rows, self.metric, self.bins, self.few = j, rows, metric, bins, few
+        # receivers of one id share a unit
+        order = np.lexsort((rows["rid"], rows["f"]))
+        new = np.append(True, (np.diff(rows["rid"][order]) != 0) | (np.diff(rows["f"][order]) != 0))
+        self.u = np.empty(len(rows), np.int64)
+        self.u[order] = np.cumsum(new) - 1
+        self.units = s = rows[order[new]]
+        if np.isnan(s["lo"]).any():
+            _first_ranges(s, rows, self.u, j, top, metric)
+        self.counting, self.listing = s["n"] < 0, (s["n"] >= 0) & (s["n"] <= few)
+        self.others = [i for i in range(rows["x"].shape[1]) if i != j]
+        self.x = {i: np.ascontiguousarray(rows["x"][:, i]) for i in self.others}
+        self.has = {i: ~np.isnan(self.x[i]) for i in self.others}
+        self.lo, self.hi = s["lo"][self.u], s["hi"][self.u]
+        self.n, self.s = np.zeros(len(rows), np.int64), np.zeros(len(rows))  # below the range, per row
+        # bins of the units that are not ranked in this round: equal steps of the distance (of its root in a wide
+        # range, of its key in an endless one), or of the id among equals of one distance
+        self.one = s["lo"] == s["hi"]
+        self.step = np.where(np.isinf(s["hi"]), 2, np.where(s["hi"] > 4 * s["lo"], 1, 0))
+        every = np.arange(len(s))
+        self.least = self._steps(s["lo"], every)
+        self.span = np.where(self.one, 1.0, self._steps(s["hi"], every) - self.least)
+        self.id_width = (s["ihi"].astype(np.uint64) - s["ilo"].astype(np.uint64)) // np.uint64(bins) + np.uint64(1)
+        self.slot = np.cumsum(~self.listing) - 1
+        size = int((~self.listing).sum()) * bins
+        self.bin_n, self.bin_s = np.zeros(size, np.int64), np.zeros(size)
+        self.bin_lo, self.bin_hi = np.full(size, HIGH_ID), np.full(size, LOW_ID)
+        self.listed = []
+
+    def _steps(self, dist: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """Distances of units u on the scale of their bins, in the same order."""
+        step = self.step[u]
+        out = np.where(step == 1, np.sqrt(dist), dist)
+        if (step == 2).any():
+            out = np.where(step == 2, _keys(dist).astype(np.float64), out)
+        return out
 
-#: counts of a bin, and the least and greatest distance and id in it
-COUNTS = "rid long, j int, bin int, n long, s double, lo double, hi double, ilo long, ihi long"
-LAST = "rid long, j int, sid long, dist2 double, v double"
+    def visit(self, ids: np.ndarray, x: np.ndarray):
+        """Donors of a leaf: added whole where all are below the range, looked at where some may be in it."""
+        at = ~np.isnan(x[:, self.j])
+        if not at.any():
+            return
+        ids, x, m = ids[at], x[at], len(self.rows)
+        v, has = x[:, self.j], ~np.isnan(x)
+        low, top, sure, may = np.zeros(m), np.zeros(m), np.zeros(m, bool), np.zeros(m, bool)
+        for i in self.others:
+            if not has[:, i].any():
+                continue
+            c, both, least, greatest = self.x[i], self.has[i], np.nanmin(x[:, i]), np.nanmax(x[:, i])
+            gap, far = np.maximum(np.maximum(least - c, c - greatest), 0.0), np.maximum(np.abs(c - least), np.abs(c - greatest))
+            if self.metric == "euclidean":
+                gap, far = gap * gap, far * far
+            top += np.where(both, far, 0.0)
+            may |= both
+            if has[:, i].all():
+                low += np.where(both, gap, 0.0)
+                sure |= both
+        low, top = np.where(may, low, np.inf) * (1 - SLACK), np.where(sure, top, np.inf) * (1 + SLACK)
+        below = top < self.lo
+        self.n[below] += len(ids)
+        self.s[below] += v.sum()
+        opened = np.flatnonzero(~below & (low <= self.hi))
+        for a in range(0, len(opened), LOOK):
+            self._look(opened[a:a + LOOK], ids, x, v, has)
+
+    def _distances(self, r: np.ndarray, x: np.ndarray, has: np.ndarray) -> np.ndarray:
+        ss, none = np.zeros((len(r), len(x))), np.ones((len(r), len(x)), bool)
+        for i in self.others:
+            if not has[:, i].any() or not self.has[i][r].any():
+                continue
+            diff = self.x[i][r][:, None] - x[None, :, i]
+            if has[:, i].all() and self.has[i][r].all():
+                none = None
+            else:
+                missing = np.isnan(diff)
+                diff[missing] = 0.0
+                if none is not None:
+                    none &= missing
+            if self.metric == "euclidean":
+                diff *= diff
+            else:
+                np.abs(diff, out=diff)
+            ss += diff
+        if none is not None:
+            ss[none] = np.inf
+        return ss
+
+    def _look(self, r, ids, x, v, has):
+        dist, u = self._distances(r, x, has), self.u[r]
+        below = dist < self.lo[r, None]
+        inside = ~below & (dist <= self.hi[r, None])
+        at = np.flatnonzero(self.one[u])
+        if len(at):
+            first, last = self.units["ilo"][u[at], None], self.units["ihi"][u[at], None]
+            below[at] |= inside[at] & (ids[None, :] < first)
+            inside[at] &= (ids[None, :] >= first) & (ids[None, :] <= last)
+        if self.counting.any():
+            self.n[r] += below.sum(axis=1)
+            self.s[r] += below @ v
+        a, b = np.nonzero(inside)
+        if not len(a):
+            return
+        u, dist = u[a], dist[a, b]
+        few = self.listing[u]
+        if few.any():
+            self.listed.append((u[few], dist[few], ids[b[few]], v[b[few]]))
+            u, dist, b = u[~few], dist[~few], b[~few]
+        value, one = _keys(dist), np.flatnonzero(self.one[u])
+        bin_ = np.minimum(((self._steps(dist, u) - self.least[u]) / self.span[u] * self.bins).astype(np.int64), self.bins - 1)
+        if len(one):
+            value[one] = ids[b[one]]
+            first = self.units["ilo"][u[one]].astype(np.uint64)
+            bin_[one] = ((value[one].astype(np.uint64) - first) // self.id_width[u[one]]).astype(np.int64)
+        slot = self.slot[u] * self.bins + bin_
+        np.add.at(self.bin_n, slot, 1)
+        np.add.at(self.bin_s, slot, v[b])
+        np.minimum.at(self.bin_lo, slot, value)
+        np.maximum.at(self.bin_hi, slot, value)
+
+    def result(self):
+        """(rows of units that go on, fills of the others by unit number)."""
+        s, total = self.units, len(self.units)
+        before = s["before"] + np.where(self.counting, np.bincount(self.u, self.n, total), 0).astype(np.int64)
+        sbefore = s["sbefore"] + np.where(self.counting, np.bincount(self.u, self.s, total), 0.0)
+        fills = np.full(total, np.nan)
+        done = self.listing.copy()
+        if self.listed:
+            u, dist, ids, v = (np.concatenate(c) for c in zip(*self.listed))
+            order = np.lexsort((ids, dist, u))
+            u, v = u[order], v[order]
+            rank = np.arange(len(u)) - np.searchsorted(u, u)
+            taken = rank < (s["k"] - before)[u]
+            fills = (sbefore + np.bincount(u[taken], v[taken], total)) / s["k"]
+        at = np.flatnonzero(~self.listing)
+        n, sums, lo, hi = (c.reshape(-1, self.bins) for c in (self.bin_n, self.bin_s, self.bin_lo, self.bin_hi))
+        reached = before[at, None] + np.cumsum(n, axis=1)
+        missed = (s["k"][at] <= before[at]) | (s["k"][at] > reached[:, -1])
+        # the guess was wrong: count again in the part of the sure range where the k-th donor must be
+        m = at[missed]
+        under = s["k"][m] <= before[m]
+        s["shi"][m], s["slo"][m] = np.where(under, np.nextafter(s["lo"][m], 0.0), s["shi"][m]), np.where(under, s["slo"][m], np.nextafter(s["hi"][m], np.inf))
+        s["lo"][m], s["hi"][m], s["n"][m] = s["slo"][m], s["shi"][m], -1
+        # the others: the bin that holds it
+        f, h = at[~missed], np.flatnonzero(~missed)
+        bin_ = (reached[h] >= s["k"][f, None]).argmax(axis=1)
+        n, sums, lo, hi, here = n[h, bin_], sums[h, bin_], lo[h, bin_], hi[h, bin_], np.arange(self.bins)[None, :] < bin_[:, None]
+        s["before"][f] = before[f] + (self.bin_n.reshape(-1, self.bins)[h] * here).sum(axis=1)
+        s["sbefore"][f] = sbefore[f] + (self.bin_s.reshape(-1, self.bins)[h] * here).sum(axis=1)
+        s["n"][f] = n
+        one = self.one[f]
+        s["ilo"][f], s["ihi"][f] = np.where(one, lo, s["ilo"][f]), np.where(one, hi, s["ihi"][f])
+        s["lo"][f] = np.where(one, s["lo"][f], np.ascontiguousarray(lo).view(np.float64))
+        s["hi"][f] = np.where(one, s["hi"][f], np.ascontiguousarray(hi).view(np.float64))
+        # donors of one distance and id: no order is left among them
+        equal = one & (lo == hi)
+        e = f[equal]
+        fills[e] = (s["sbefore"][e] + sums[equal] * (s["k"][e] - s["before"][e]) / n[equal]) / s["k"][e]
+        done[e] = True
+        rows = s[self.u]
+        rows["x"] = self.rows["x"]
+        return rows[~done[self.u]], s[done], fills[done]
 
 
 def _counted(rec: DataFrame, don: DataFrame, cols: list[str], available: list[int], fractions: list[float], metric: str, leaf_rows: int) -> DataFrame:
     """(rid, j, f, fill): mean of the nearest share of donors by range counting on a tree."""
-    spark = rec.sparkSession
-    tree = index.build(don, cols, leaf_rows)
+    spark, d = rec.sparkSession, len(cols)
+    tree = index.build(don, cols, leaf_rows, wide=True)
     if tree is None or rec.isEmpty():
         return spark.createDataFrame([], "rid long, j int, f int, fill double")
-    used = list(range(len(cols)))
-
-    def start(units, boxes):
-        """Least and greatest distance that the k-th donor may have, where they are not known yet."""
-        low, top = boxes.distances(units.x, used, metric)
-        count = boxes.count[:, units.j]
-        state = units.state.copy()
-        for column, bound in ((1, low), (2, top)):
-            order = np.argsort(bound, axis=1, kind="stable")
-            first = (np.cumsum(count[order], axis=1) >= state[:, :1]).argmax(axis=1)
-            edge = np.take_along_axis(bound, np.take_along_axis(order, first[:, None], 1), 1)[:, 0]
-            slack = 1 - SLACK if column == 1 else 1 + SLACK
-            state[:, column] = np.where(np.isnan(state[:, column]), edge * slack, state[:, column])
-        return (state, *sorted_out(state, low, top, count))
-
-    def sorted_out(state, low, top, count):
-        whole = top < state[:, 1:2] * (1 - SLACK)
-        return ~whole & (low <= state[:, 2:3] * (1 + SLACK)) & (count > 0), whole
-
-    def later(units, boxes):
-        low, top = boxes.distances(units.x, used, metric)
-        return (units.state, *sorted_out(units.state, low, top, boxes.count[:, units.j]))
-
-    def has(units, ids, x):
-        at = ~np.isnan(x[:, units.j])
-        return ids[at], x[at]
-
-    def tally(units, ids, x):
-        ids, x = has(units, ids, x)
-        if not len(ids):
-            return pd.DataFrame()
-        keys = _keys(_distances(units, x, metric))
-        below, inside = _inside(units, ids, keys)
-        lo, hi, one, ilo, ihi = _ranges(units)
-        width = np.maximum((hi - lo) // RANGE_BINS + 1, 1)[:, None]
-        # a range of ids may span more than a signed long
-        id_at = (ids[None, :].astype(np.uint64) - ilo[:, None].astype(np.uint64))
-        id_width = ((ihi.astype(np.uint64) - ilo.astype(np.uint64)) // np.uint64(RANGE_BINS) + np.uint64(1))[:, None]
-        bins = np.where(one[:, None], (id_at // id_width).astype(np.int64), (keys - lo[:, None]) // width)
-        slot = np.where(below, 0, np.where(inside, bins + 1, RANGE_BINS + 1)) + np.arange(len(units.x))[:, None] * (RANGE_BINS + 2)
-        size = len(units.x) * (RANGE_BINS + 2)
-        n = np.bincount(slot.ravel(), minlength=size)
-        s = np.bincount(slot.ravel(), weights=np.broadcast_to(x[:, units.j], slot.shape).ravel(), minlength=size)
-        ends = [np.full(size, v) for v in (np.int64(HIGH_ID), np.int64(LOW_ID), np.int64(HIGH_ID), np.int64(LOW_ID))]
-        every = np.broadcast_to(ids, slot.shape).ravel()
-        for least, greatest, values in ((ends[0], ends[1], keys.ravel()), (ends[2], ends[3], every)):
-            np.minimum.at(least, slot.ravel(), values)
-            np.maximum.at(greatest, slot.ravel(), values)
-        at = np.flatnonzero(n)
-        at = at[at % (RANGE_BINS + 2) <= RANGE_BINS]
-        return pd.DataFrame({"rid": units.rids[at // (RANGE_BINS + 2)], "j": np.int32(units.j), "bin": (at % (RANGE_BINS + 2) - 1).astype(np.int32),
-                             "n": n[at], "s": s[at], "lo": ends[0][at].view(np.float64), "hi": ends[1][at].view(np.float64),
-                             "ilo": ends[2][at], "ihi": ends[3][at]})
-
-    def listed(units, ids, x):
-        ids, x = has(units, ids, x)
-        dist = _distances(units, x, metric)
-        a, b = np.nonzero(_inside(units, ids, _keys(dist))[1])
-        return pd.DataFrame({"rid": units.rids[a], "j": np.int32(units.j), "sid": ids[b], "dist2": dist[a, b], "v": x[b, units.j]})
-
-    def wholes(it):
-        yield from index.gathered(pd.DataFrame({"rid": np.frombuffer(r.rids, np.int64), "j": np.int32(r.j), "bin": np.int32(-1),
-                                                "n": np.frombuffer(r.count, np.float64).astype(np.int64), "s": np.frombuffer(r.sum, np.float64),
-                                                "lo": 0.0, "hi": 0.0, "ilo": 0, "ihi": 0}) for pdf in it for r in pdf.itertuples(index=False))
-
-    states = [f"__s{i}" for i in range(len(RANGE))]
-    begin = dict(zip(states[1:], [math.nan, math.nan, *_halves(LOW_ID), *_halves(HIGH_ID)]))
-    holes = index.units_of_holes(tree, rec, list(range(len(cols))))
-    out = []
-    for f, fraction in enumerate(fractions):
-        ks = F.array(*[F.lit(float(max(1, int(n * fraction)) if n else 0)) for n in available])
-        units = holes.withColumn("__s0", F.element_at(ks, F.col("__j") + 1)).where("__s0 > 0").select(
-            "*", *[F.lit(v).alias(s) for s, v in begin.items()])
-        while True:
-            blocks = index.descend(tree, units, len(RANGE), start, later)
-            counts = (index.scanned(tree, blocks.where("node IS NOT NULL"), len(RANGE), tally, COUNTS)
-                      .unionByName(blocks.where("node IS NULL").mapInPandas(wholes, COUNTS)))
-            narrowed = cut(_narrowed(counts, units, states))
-            few = narrowed.where(F.col("n") <= FEW)
-            done = few.select("rid", "j", "k", "n", "before", "sbefore", *states)
-            last = index.descend(tree, cut(_with_state(holes, done, states)), len(RANGE), start, later)
-            ranked = index.scanned(tree, last.where("node IS NOT NULL"), len(RANGE), listed, LAST)
-            rank = F.row_number().over(Window.partitionBy("rid", "j").orderBy("dist2", "sid"))
-            taken = (ranked.withColumn("rank", rank).join(done.select("rid", "j", "k", "before", "sbefore"), ["rid", "j"])
-                     .where(F.col("rank") <= F.col("k") - F.col("before")).groupBy("rid", "j", "k", "sbefore").agg(F.sum("v").alias("s")))
-            out.append(cut(taken.select("rid", "j", F.lit(f).alias("f"), ((F.col("sbefore") + F.col("s")) / F.col("k")).alias("fill"))))
-            rest = narrowed.where(F.col("n") > FEW)
-            if rest.isEmpty():
-                break
-            units = cut(_with_state(holes, rest, states))
-    fills = out[0]
-    for o in out[1:]:
+    ks = [[max(1, int(n * f)) if n else 0 for f in fractions] for n in available]
+    unit, bins, few, top = _unit_type(d), RANGE_BINS, FEW, spark.sparkContext.broadcast(tree.top)
+    ends = don.agg(F.min("__id").alias("lo"), F.max("__id").alias("hi")).first()
+    ilo, ihi = ends["lo"], ends["hi"]
+    # rows of one id in one group (fills of null ids would find no row)
+    place = F.min(F.struct("__pattern", "__code")).over(Window.partitionBy("__j", "__id"))
+    holes = index.units_of_holes(tree, rec, list(range(d))).where("__id IS NOT NULL").withColumn("__place", place)
+    parallel = spark.sparkContext.defaultParallelism
+
+    def groups(n):
+        return max(1, min(max(parallel, -(-n // GROUP_UNITS)), -(-n // LEAST_UNITS)))
+
+    def packed(it):
+        from pyspark import TaskContext
+        for pdf in it:
+            for j, part in pdf.groupby("__j"):
+                for f, k in enumerate(ks[j]):
+                    if k:
+                        rows = np.zeros(len(part), unit)
+                        rows["rid"], rows["x"] = part["__id"].to_numpy(np.int64), part[cols].to_numpy(dtype="float64", na_value=np.nan)
+                        rows["f"], rows["k"], rows["lo"], rows["hi"], rows["ilo"], rows["ihi"], rows["n"] = f, k, np.nan, np.nan, ilo, ihi, -1
+                        yield pd.DataFrame({"grp": [TaskContext.get().partitionId()], "kind": 0, "j": j, "ids": None, "rows": rows.tobytes()})
+
+    def look(it):
+        held, work, grp = {}, None, 0
+        for pdf in it:
+            for r in pdf.itertuples(index=False):
+                if r.kind == 0:
+                    held.setdefault(r.j, []).append(np.frombuffer(r.rows, unit))
+                    grp = r.grp
+                    continue
+                if work is None:
+                    work = [_Ranged(j, np.concatenate(rows), top.value, metric, bins, few) for j, rows in held.items()]
+                    held = {}
+                for w in work:
+                    w.visit(np.frombuffer(r.ids, np.int64), np.frombuffer(r.rows, np.float64).reshape(-1, d))
+        for w in work or []:
+            rest, done, fills = w.result()
+            if len(rest):
+                yield pd.DataFrame({"grp": [grp], "kind": 0, "j": w.j, "ids": None, "rows": rest.tobytes()})
+            if len(done):
+                got = np.stack([done["rid"], done["f"]], axis=1)
+                yield pd.DataFrame({"grp": [grp], "kind": 2, "j": w.j, "ids": got.tobytes(), "rows": fills.tobytes()})
+
+    def opened(it):
+        for pdf in it:
+            for r in pdf.itertuples(index=False):
+                got = np.frombuffer(r.ids, np.int64).reshape(-1, 2)
+                yield pd.DataFrame({"rid": got[:, 0], "j": np.int32(r.j), "f": got[:, 1].astype(np.int32), "fill": np.frombuffer(r.rows, np.float64)})
+
+    order = ["__j", "__place", "__id"]
+    near = holes.repartitionByRange(groups(holes.count() * len(fractions)), *order).sortWithinPartitions(*order)
+    left, out = cut(near.select("__j", "__id", *cols).mapInPandas(packed, RANGED)), []
+    while True:
+        n = left.agg(F.sum(F.length("rows"))).first()[0]
+        if not n:
+            break
+        alive = sorted(r["grp"] for r in left.select("grp").distinct().collect())  # a number per group
+        many = min(groups(n // unit.itemsize), len(alive))
+        at = {g: i % many for i, g in enumerate(alive)}
+        dealt = F.element_at(F.array(*[F.lit(at.get(g, 0)) for g in range(alive[-1] + 1)]), F.col("grp") + 1)
+        passed = tree.leaves.select(F.explode(F.sequence(F.lit(0), F.lit(many - 1))).alias("grp"), F.lit(1).alias("kind"), F.lit(-1).alias("j"),
+                                    "ids", F.col("x").alias("rows"))
+        both = left.withColumn("grp", dealt).unionByName(passed)
+        got = cut(both.repartitionById(many, "grp").sortWithinPartitions("grp", "kind", "j").mapInPandas(look, RANGED))
+        out.append(got.where("kind = 2"))
+        left = got.where("kind = 0")
+    fills = spark.createDataFrame([], RANGED)
+    for o in out:
         fills = fills.unionByName(o)
-    return fills
-
-
-def _with_state(holes: DataFrame, found: DataFrame, states: list[str]) -> DataFrame:
-    return holes.join(found.select(F.col("rid").alias("__id"), F.col("j").alias("__j"), *states), ["__id", "__j"])
-
-
-def _narrowed(counts: DataFrame, units: DataFrame, states: list[str]) -> DataFrame:
-    """Per unit the bin that holds the k-th donor as its new range, as narrow as the donors in it:
-    n of them, ``before`` and ``sbefore`` of those below.  Donors of one distance are told apart by id."""
-    per = counts.groupBy("rid", "j", "bin").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
-                                                F.min("ilo").alias("ilo"), F.max("ihi").alias("ihi"))
-    by = Window.partitionBy("rid", "j").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    per = (per.withColumn("before", F.coalesce(F.sum("n").over(by), F.lit(0))).withColumn("sbefore", F.coalesce(F.sum("s").over(by), F.lit(0.0)))
-           .join(units.select(F.col("__id").alias("rid"), F.col("__j").alias("j"), F.col("__s0").alias("k")), ["rid", "j"])
-           .where((F.col("before") < F.col("k")) & (F.col("before") + F.col("n") >= F.col("k")) & (F.col("bin") >= 0)))
-    one = F.col("lo") == F.col("hi")
-    ilo, ihi = F.when(one, F.col("ilo")).otherwise(F.lit(LOW_ID)), F.when(one, F.col("ihi")).otherwise(F.lit(HIGH_ID))
-    halves = [h.cast("double") for i in (ilo, ihi) for h in (F.shiftright(i, 32), i.bitwiseAND(F.lit(0xFFFFFFFF)))]
-    return per.select("rid", "j", "k", "n", "before", "sbefore",
-                      *[c.alias(s) for s, c in zip(states, [F.col("k"), F.col("lo"), F.col("hi"), *halves])])
+    return fills.mapInPandas(opened, "rid long, j int, f int, fill double")
 
 
 class SimilarityPartialMeanModel(ImputerModel):

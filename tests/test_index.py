@@ -180,3 +180,49 @@ def test_nearest_share_looks_at_few_donors(monkeypatch):
         want = x[np.argsort(dist, kind="stable")[:6000], 0].mean()
         assert abs(laid.nearest_mean(r[None], a, b, [6000], "euclidean")[0] - want) < 1e-9
     assert max(seen) < 2_000
+
+
+def test_nearest_share_writes_no_row_per_hole_and_leaf(spark, monkeypatch):
+    written, cut = [], index.cut
+
+    def counted(df):
+        out = cut(df)
+        raw = [F.coalesce(F.length(f.name), F.lit(0)) for f in out.schema.fields if f.dataType.typeName() == "binary"]
+        if raw:
+            written.append(out.agg(F.coalesce(F.sum(sum(raw[1:], raw[0])), F.lit(0))).first()[0])
+        return out
+    monkeypatch.setattr(index, "cut", counted)
+    monkeypatch.setattr(knn, "cut", counted)
+    rng = np.random.default_rng(6)
+    X = np.round(rng.normal(size=(1200, 3)) * [1, 2, 1.5], 2)
+    X[rng.random(X.shape) < 0.25] = np.nan
+    df, holes = _table(spark, X), int(np.isnan(X).sum())
+    monkeypatch.setattr(knn, "GROUP_UNITS", 128, raising=False)  # several groups
+    got = SimilarityPartialMeanImputer("id", 0.3, columns=COLS, broadcast_bytes=0, leaf_rows=8).fit_transform(df).orderBy("id").toPandas()
+    want = SimilarityPartialMeanImputer("id", 0.3, columns=COLS).fit_transform(df).orderBy("id").toPandas()
+    assert np.allclose(got[COLS].to_numpy(float), want[COLS].to_numpy(float), atol=1e-9)
+    assert max(written) <= 200 * (holes + len(X))  # some 150 leaves: before, 100 bytes for each that a hole reached
+
+
+def test_a_wrong_guess_ties_and_repeated_ids_end_in_the_exact_share(spark):
+    rng = np.random.default_rng(8)
+    X = rng.integers(0, 4, size=(300, 2)).astype(float)  # many equal distances
+    ids, v = rng.permutation(300) - 150, rng.normal(size=300)
+    x = np.column_stack([X, v])
+    unit = knn._unit_type(3)
+    rows = np.zeros(7, unit)
+    rows["rid"], rows["k"], rows["ilo"], rows["ihi"], rows["n"] = [1, 2, 3, 4, 5, 6, 6], [1, 90, 90, 150, 300, 120, 120], ids.min(), ids.max(), -1
+    rows["x"] = [[i % 3, 1.0, np.nan] for i in range(7)]
+    rows["lo"], rows["hi"], rows["slo"], rows["shi"] = [5, 7, 0, 0, 0, 3, 3], [6, 8, 0.1, 0, 0.5, 4, 4], 0, 100  # k-th below, above and in the range
+    fills = {}
+    for _ in range(60):
+        work = knn._Ranged(2, rows, None, "euclidean", 4, 5)
+        for at in range(0, 300, 11):
+            work.visit(ids[at:at + 11], x[at:at + 11])
+        rows, done, got = work.result()
+        fills |= dict(zip(done["rid"].tolist(), got.tolist()))
+        if not len(rows):
+            break
+    for rid, k, mine in ((1, 1, [0]), (2, 90, [1]), (3, 90, [2]), (4, 150, [0]), (5, 300, [1]), (6, 120, [2, 0])):
+        pairs = sorted((((X[i, 0] - m) ** 2 + (X[i, 1] - 1) ** 2), ids[i], v[i]) for m in mine for i in range(300))
+        assert abs(fills[rid] - np.mean([p[2] for p in pairs[:k]])) < 1e-9, rid
