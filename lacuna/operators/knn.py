@@ -5,6 +5,8 @@ nothing cancels.  When the donor matrix is small (its measured size is under ``b
 for k nearest it has ``FEW_DONORS`` rows at most, as all pairs soon outnumber those the tree looks at)
 it is shipped to every task, only receivers move, and matrices span ``DONOR_ROWS`` donors at a time
 (the nearest fraction instead lays the shipped donors in leaves and looks at those the k-th may be in).
+Beyond that, up to ``HELD_BYTES``, donors stream into a few large tasks of units that lie near each other, and each
+task lays them in leaves for the columns and sets of features that its units have (``_held``).
 Beyond that donors lie in a packed tree (index.py): leaves of ``leaf_rows`` donors, as deep as the rows ask for.
 
 * k nearest: each receiver first scans the nearest leaves that hold k donors; the k-th distance
@@ -24,6 +26,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +42,12 @@ FEW_DONORS = 20_000  # up to so many, k nearest hold every receiver against ever
 LEAF_ROWS = index.LEAF_ROWS
 CLOSE = 6  # nodes that a unit's first radius comes from besides
 SLACK = 1e-9  # of bounds, for rounding
+HELD_BYTES = 192 << 20  # donors of a task that holds them
+HELD_UNITS = 131072  # units of a task that holds its donors
+OWN_UNITS, OWN_SHARE = 64, 1024  # units of one set of features, also as one part in so many of the donors, that are worth leaves of their own
+BLOCK_UNITS = 32  # near units whose bounds are computed together
+LOOK_ROWS = 4096  # donors that a block's units look at together
+POINT_ROWS = 32  # equal donors that are taken by their sum
 
 CAND_SCHEMA = "rid long, j int, sid long, dist2 double, v double"
 
@@ -479,20 +488,29 @@ class EnhancedKNNImputer(Imputer):
 # needed).  Only fills leave the task.  With donors in a tree see ``_counted``.
 
 SHARE_LEAF_ROWS = 128
-SHARE_UNITS = 64  # holes whose bounds are computed at a time
 
 
 class _Laid:
-    """Donors of one column in leaves of near rows that have the same features: places, leaf starts, boxes."""
+    """Donors of one column (j < 0: of all rows) in leaves of near rows that have the same features: places, leaf
+    starts, boxes over ``others``, the features that count."""
 
-    def __init__(self, x: np.ndarray, ids: np.ndarray, j: int, order: np.ndarray, starts: np.ndarray):
-        self.others = [i for i in range(x.shape[1]) if i != j]
-        self.x, self.ids, self.v = [np.ascontiguousarray(x[order, i]) for i in self.others], ids[order], x[order, j]
+    def __init__(self, x: np.ndarray, ids: np.ndarray, j: int, order: np.ndarray, starts: np.ndarray, others: list[int] | None = None):
+        self.others = [i for i in range(x.shape[1]) if i != j] if others is None else others
+        self.x, self.ids, self.v = [np.ascontiguousarray(x[order, i]) for i in self.others], ids[order], x[order, j] if j >= 0 else np.zeros(len(order))
         self.starts, self.ends = starts, np.append(starts[1:], len(order))
-        self.n = self.ends - starts
+        self.n, self.mean, self.var = self.ends - starts, None, None
         if len(order):
             self.sum = np.add.reduceat(self.v, starts)
             self.lo, self.hi = ([f.reduceat(c, starts) for c in self.x] for f in (np.minimum, np.maximum))
+            self.point = self.n >= POINT_ROWS  # equal rows, in the order of their ids
+            for lo, hi in zip(self.lo, self.hi):
+                self.point &= (lo == hi) | np.isnan(lo)
+
+    def places(self, leaves: np.ndarray, most: int | None = None) -> np.ndarray:
+        """Places of the donors of some leaves; of equal rows the first ``most``."""
+        n = self.n[leaves] if most is None else np.where(self.point[leaves], np.minimum(self.n[leaves], most), self.n[leaves])
+        ends = np.cumsum(n)
+        return np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[leaves] + n - ends, n)
 
     def bounds(self, rows: np.ndarray, metric: str):
         """Least and greatest distance of rows to the donors of every leaf; infinite without a shared feature."""
@@ -538,9 +556,7 @@ class _Laid:
             opened = np.flatnonzero(~whole & (low <= most))
             places, dists = [], []
             for i, row in enumerate(rows):
-                leaves = leaf[opened[opened // len(self.n) == i]]
-                ends = np.cumsum(self.n[leaves])
-                places.append(np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.ends[leaves] - ends, self.n[leaves]))
+                places.append(self.places(leaf[opened[opened // len(self.n) == i]]))
                 dists.append(self.distances(row, places[-1], metric))
             at, dist = np.concatenate(places), np.concatenate(dists)
             need = k - int(n[whole].sum())
@@ -550,79 +566,395 @@ class _Laid:
             out.append((self.sum[leaf[whole]].sum() + self.v[at[near]].sum() + self.v[tied].sum()) / k)
         return out
 
+    def _present(self, rows: np.ndarray) -> list[tuple[int, int]]:
+        """Places in ``others`` and numbers of the features of rows that all have the same."""
+        return [(i, c) for i, c in enumerate(self.others) if rows[0, c] == rows[0, c]]
+
+    def _box(self, rows: np.ndarray, cols, metric: str):
+        """Least and greatest distance of any of the rows to the donors of every leaf, and the number of shared features."""
+        low, top, shared = (np.zeros(len(self.n)) for _ in range(3))
+        for i, c in cols:
+            lo, hi, least, most = self.lo[i], self.hi[i], rows[:, c].min(), rows[:, c].max()
+            gap, far = np.maximum(np.maximum(lo - most, least - hi), 0.0), np.maximum(most - lo, hi - least)
+            if metric == "euclidean":
+                gap, far = gap * gap, far * far
+            has = lo == lo
+            low += np.where(has, gap, 0.0)
+            top += np.where(has, far, 0.0)
+            shared += has
+        low[shared == 0] = top[shared == 0] = np.inf
+        return low, top, shared
+
+    def _row_bounds(self, rows: np.ndarray, cols, leaves: np.ndarray, metric: str):
+        """Least and greatest distance of each of the rows to the donors of some leaves."""
+        low, top, shared = np.zeros((len(rows), len(leaves))), np.zeros((len(rows), len(leaves))), np.zeros(len(leaves), bool)
+        for i, c in cols:
+            lo, hi = self.lo[i][leaves], self.hi[i][leaves]
+            has, v = lo == lo, rows[:, c, None]
+            under, over = lo - v, v - hi
+            gap, far = np.maximum(under, over), np.maximum(-under, -over)
+            np.maximum(gap, 0.0, out=gap)
+            if metric == "euclidean":
+                gap *= gap
+                far *= far
+            if not has.all():
+                gap[:, ~has] = far[:, ~has] = 0.0
+            low += gap
+            top += far
+            shared |= has
+        low[:, ~shared] = top[:, ~shared] = np.inf
+        return low, top
+
+    def shares(self, rows: np.ndarray, ks: list[int], metric: str) -> np.ndarray:
+        """Mean of the k nearest donors of every row and k; rows lie near each other and have the same features."""
+        cols, out = self._present(rows), np.empty((len(rows), len(ks)))
+        if not cols or (len(rows) > 1 and all((rows[:, c] == rows[0, c]).all() for _, c in cols)):
+            out[:] = self.shares(rows[:1], ks, metric)[0] if len(rows) > 1 else self.nearest_mean(rows, *self.bounds(rows, metric), ks, metric)
+            return out
+        low, top, _ = self._box(rows, cols, metric)
+        by_low, by_top = np.argsort(low), np.argsort(top)
+        below_low, below_top = np.cumsum(self.n[by_low]), np.cumsum(self.n[by_top])
+        for at, k in enumerate(ks):
+            least = low[by_low[np.searchsorted(below_low, k)]] * (1 - SLACK)
+            most = top[by_top[np.searchsorted(below_top, k)]] * (1 + SLACK)
+            whole = top < least
+            out[:, at] = (self.sum[whole].sum() + self._sums(rows, cols, np.flatnonzero(~whole & (low <= most)), k - int(self.n[whole].sum()), metric)) / k
+        return out
+
+    def _middles(self, rows: np.ndarray, cols, leaves: np.ndarray, metric: str) -> np.ndarray:
+        """Of each of the rows, the mean distance to the donors of some leaves (under 'manhattan' nearly)."""
+        if self.mean is None:
+            self.mean = [np.add.reduceat(c, self.starts) / self.n for c in self.x]
+            self.var = [np.add.reduceat((c - np.repeat(m, self.n)) ** 2, self.starts) / self.n for c, m in zip(self.x, self.mean)]
+        out, shared = np.zeros((len(rows), len(leaves))), np.zeros(len(leaves), bool)
+        for i, c in cols:
+            mean, var = self.mean[i][leaves], self.var[i][leaves]
+            diff = rows[:, c, None] - mean
+            if metric == "euclidean":
+                diff *= diff
+                diff += var
+            else:
+                diff = np.maximum(np.abs(diff), 0.8 * np.sqrt(var))
+            has = mean == mean
+            if not has.all():
+                diff[:, ~has] = 0.0
+            out += diff
+            shared |= has
+        out[:, ~shared] = np.inf
+        return out
 
-def _leaf_order(x: np.ndarray, j: int, leaf_rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the rows that have column j, leaf by leaf, and where leaves start.  Rows of one leaf have the
-    same features; leaves are halved along their widest other column, which distances follow."""
-    has = ~np.isnan(x)
-    places = np.flatnonzero(has[:, j])
-    kinds, kind = np.unique(np.packbits(has[places], axis=1), axis=0, return_inverse=True)
+    def _sums(self, rows: np.ndarray, cols, leaves: np.ndarray, need: int, metric: str) -> np.ndarray:
+        """Sum of the ``need`` nearest donors among those of some leaves, row by row.  The mean distances of the leaves give
+        a guess of the distance of the last one, and only leaves that reach into its neighbourhood are looked at; a
+        guess that fails is moved by what was counted, and then gives way to the sure range."""
+        n, low, top = self.n[leaves], *self._row_bounds(rows, cols, leaves, metric)
+        middle = self._middles(rows, cols, leaves, metric)
+        order = np.argsort(middle, axis=1)
+        sums, left = np.zeros(len(rows)), np.arange(len(rows))
+        g, moved = np.empty((len(rows), 2)), np.zeros(len(rows), np.int64)
+        guess = np.empty((len(rows), 2), np.int64)
+        for again in range(3):
+            for i in left:
+                if again == 2:
+                    by_low, by_top = np.argsort(low[i]), np.argsort(top[i])
+                    g[i] = (low[i, by_low[np.searchsorted(np.cumsum(n[by_low]), need)]] * (1 - SLACK),
+                            top[i, by_top[np.searchsorted(np.cumsum(n[by_top]), need)]] * (1 + SLACK))
+                    continue
+                below = np.cumsum(n[order[i]])
+                aim = min(max(need + moved[i], 1), below[-1])
+                e = middle[i, order[i, np.searchsorted(below, aim)]]
+                cut_ = n[(low[i] <= e) & (top[i] >= e)]
+                margin = math.sqrt(np.dot(cut_, cut_)) + cut_.max(initial=0)
+                at = np.searchsorted(below, (max(aim - margin, 1), min(aim + margin, below[-1])))
+                at[1] = min(at[1], len(leaves) - 1)
+                g[i], guess[i] = middle[i, order[i, at]], below[at]
+            got, before, through = self._within(rows[left], cols, leaves, low[left], top[left], g[left], need, metric)
+            sums[left] = got
+            early, late = before >= need, through < need
+            moved[left] = np.where(early, guess[left, 0] - before, guess[left, 1] - through)
+            left = left[early | late]
+            if not len(left):
+                break
+        return sums
+
+    def _within(self, rows, cols, leaves, low, top, g, need, metric):
+        """(sums of the ``need`` nearest, numbers of donors before and through the range ``g`` of each row): a row whose last
+        one is not in its range has no sum."""
+        n, s, point = self.n[leaves], self.sum[leaves], self.point[leaves]
+        whole = top * (1 + SLACK) < g[:, :1]
+        opened = ~whole & (low * (1 - SLACK) <= g[:, 1:])
+        looked = opened.any(axis=0) & ~point
+        points = np.flatnonzero(point)
+        at = self.places(leaves[looked])
+        mine = rows[:, [c for _, c in cols]]
+        count, total = np.zeros(len(rows), np.int64), np.zeros(len(rows))  # below the range
+        # distances by products of centred values, whose rounding is far below ``off``; those of the donors in the range are exact
+        zero = mine - mine[0]
+        off = SLACK * 1e-3 * ((zero * zero).sum(axis=1).max() + np.where(np.isfinite(g[:, 1]), g[:, 1], np.where(np.isfinite(g[:, 0]), g[:, 0], 0.0)))
+        first, last = (g[:, 0] - off)[:, None], (g[:, 1] + off)[:, None]
+        by_row = np.concatenate((zero * zero, -2 * zero, np.ones((len(rows), 1))), axis=1)
+        pairs = []
+        for a in range(0, len(at), LOOK_ROWS):
+            b = at[a:a + LOOK_ROWS]
+            x = np.stack([self.x[i][b] for i, _ in cols])
+            gone = np.isnan(x)
+            if metric == "euclidean":
+                x -= mine[0][:, None]
+                x[gone] = 0.0
+                dist = by_row @ np.concatenate((~gone, x, (x * x).sum(axis=0, keepdims=True)))
+            else:
+                dist = np.zeros((len(rows), len(b)))
+                for i, values in enumerate(x):
+                    diff = np.abs(mine[:, i, None] - values)
+                    if gone[i].any():
+                        diff[:, gone[i]] = 0.0
+                    dist += diff
+            none = gone.all(axis=0)
+            if none.any():
+                dist[:, none] = np.inf
+            below = dist < first
+            count += np.count_nonzero(below, axis=1)
+            total += below @ self.v[b]
+            r, p = np.divmod(np.flatnonzero((dist <= last) ^ below), len(b))
+            pairs.append((r, b[p]))
+        r, p = (np.concatenate(c) for c in zip(*pairs)) if pairs else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        order = np.argsort(r, kind="stable")
+        r, p = r[order], p[order]
+        dist, shared = np.zeros(len(r)), np.zeros(len(r), bool)
+        for i, c in cols:
+            diff = rows[r, c] - self.x[i][p]
+            both = diff == diff
+            diff[~both] = 0.0
+            dist += diff * diff if metric == "euclidean" else np.abs(diff)
+            shared |= both
+        dist[~shared] = np.inf
+        ends = np.searchsorted(r, np.arange(len(rows) + 1))
+        sums, before, through = np.zeros(len(rows)), np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
+        for i in range(len(rows)):
+            near, where = dist[ends[i]:ends[i + 1]], p[ends[i]:ends[i + 1]]
+            full = whole[i] & ~looked
+            full[points] = low[i, points] < g[i, 0]  # equal rows: their distance itself
+            tied = points[(low[i, points] >= g[i, 0]) & (low[i, points] <= g[i, 1])]
+            left = need - int(n[full].sum()) - int(count[i])
+            before[i] = need - left + np.count_nonzero(near < g[i, 0])
+            through[i] = need - left + np.count_nonzero(near <= g[i, 1]) + n[tied].sum()
+            if before[i] >= need or through[i] < need:
+                continue
+            if len(tied):
+                every, many = np.concatenate((near, low[i, tied])), np.concatenate((np.ones(len(near), np.int64), n[tied]))
+                order = np.argsort(every, kind="stable")
+                kth = every[order[np.searchsorted(np.cumsum(many[order]), left)]]
+            else:
+                kth = np.partition(near, left - 1)[left - 1]
+            nearer, points_nearer = near < kth, tied[low[i, tied] < kth]
+            left -= int(np.count_nonzero(nearer)) + int(n[points_nearer].sum())
+            equal = where[near == kth]
+            sums[i] = (s[full].sum() + total[i] + self.v[where[nearer]].sum() + s[points_nearer].sum()
+                       + self._first_ids(self.ids[equal], self.v[equal], leaves[tied[low[i, tied] == kth]], left))
+        return sums, before, through
+
+    def _first_ids(self, ids: np.ndarray, v: np.ndarray, points: np.ndarray, need: int) -> float:
+        """Sum of the ``need`` donors of smallest id among some and those of leaves of equal rows, which are in the order of ids."""
+        if not len(points):
+            return v[np.argsort(ids, kind="stable")[:need]].sum()
+        spans = [slice(self.starts[p], self.ends[p]) for p in points]
+        if need == len(ids) + int(self.n[points].sum()):
+            return v.sum() + self.sum[points].sum()
+        order = np.argsort(ids, kind="stable")
+        ids, v = ids[order], v[order]
+        least, most = (int(f([*(self.ids[p][i] for p in spans), *ids[i:i + 1 or None]])) for f, i in ((min, 0), (max, -1)))
+        while least < most:  # the smallest id with which there are enough
+            middle = (least + most) // 2
+            if np.searchsorted(ids, middle, "right") + sum(np.searchsorted(self.ids[p], middle, "right") for p in spans) >= need:
+                most = middle
+            else:
+                least = middle + 1
+        total = 0.0
+        for some, value in [(ids, v), *((self.ids[p], self.v[p]) for p in spans)]:
+            sure = np.searchsorted(some, least, "left")
+            total, need = total + value[:sure].sum(), need - sure
+        for some, value in [(ids, v), *((self.ids[p], self.v[p]) for p in spans)]:
+            a, b = np.searchsorted(some, least, "left"), np.searchsorted(some, least, "right")
+            total, need = total + value[a:a + min(need, b - a)].sum(), need - min(need, b - a)
+        return total
+
+
+def _leaf_order(x: np.ndarray, j: int, leaf_rows: int, cols: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the rows that have column j (j < 0: of all), leaf by leaf, and where leaves start.  Rows of one leaf have
+    the same features of ``cols`` (all but j); leaves are halved along their widest one, which distances follow.
+    Rows that are equal there stay in one leaf, in their order."""
+    cols = [i for i in range(x.shape[1]) if i != j] if cols is None else cols
+    places = np.flatnonzero(~np.isnan(x[:, j])) if j >= 0 else np.arange(len(x))
+    if len(cols) <= 62:
+        kind = np.zeros(len(places), np.int64)
+        for bit, i in enumerate(cols):
+            kind |= (~np.isnan(x[places, i])).astype(np.int64) << bit
+        kind = np.unique(kind, return_inverse=True)[1]
+    else:
+        kind = np.unique(np.packbits(~np.isnan(x[places][:, cols]), axis=1), axis=0, return_inverse=True)[1].ravel()
+    by_kind = np.argsort(kind, kind="stable")
     leaves = []
-    for i in range(len(kinds)):
-        left = [places[kind.ravel() == i]]
-        cols = [i for i in np.flatnonzero(has[left[0][0]]) if i != j]
+    for same in np.split(places[by_kind], np.flatnonzero(np.diff(kind[by_kind])) + 1):
+        left, mine = [same] if len(same) else [], [i for i in cols if len(same) and x[same[0], i] == x[same[0], i]]
         while left:
             at = left.pop()
-            span = np.ptp(x[np.ix_(at, cols)], axis=0) if cols else np.zeros(1)
-            if len(at) <= leaf_rows or not span.any():
+            span = np.ptp(x[np.ix_(at, mine)], axis=0) if mine else np.zeros(1)
+            if not span.any():
+                leaves.append(np.sort(at))
+                continue
+            if len(at) <= leaf_rows:
                 leaves.append(at)
                 continue
             half = len(at) // 2
-            order = np.argpartition(x[at, cols[int(span.argmax())]], half)
+            order = np.argpartition(x[at, mine[int(span.argmax())]], half)
             left += [at[order[half:]], at[order[:half]]]
     if not leaves:
         return places.astype(np.int32), np.zeros(0, np.int64)
     return np.concatenate(leaves).astype(np.int32), np.cumsum([0, *map(len, leaves[:-1])])
 
 
+def _blocks(ids: np.ndarray, x: np.ndarray, j: int, rows: np.ndarray, leaf_rows: int):
+    """(laid donors, places of near rows that have the same features) for units of column j.  Donors, in the order of ids,
+    are laid by the features of many units: what these units lack has no part in their distances."""
+    others = [i for i in range(x.shape[1]) if i != j]
+    order, starts = _leaf_order(rows, -1, BLOCK_UNITS, others)
+    has, all_laid = ~np.isnan(rows[:, others]), None
+    blocks = np.split(order, starts[1:])
+    for _, same in itertools.groupby(blocks, lambda b: has[b[0]].tobytes()):
+        same = list(same)
+        cols, laid = [c for c, h in zip(others, has[same[0][0]]) if h], None
+        if cols and len(cols) < len(others) and sum(map(len, same)) >= max(OWN_UNITS, len(x) // OWN_SHARE):
+            laid = _Laid(x, ids, j, *_leaf_order(x, j, leaf_rows, cols), cols)
+        elif all_laid is None:
+            all_laid = _Laid(x, ids, j, *_leaf_order(x, j, leaf_rows))
+        for b in same:
+            yield laid or all_laid, b
+
+
+def _share_fills(ids, x, j, rids, rows, ks: list[int], metric: str, leaf_rows: int) -> pd.DataFrame:
+    """(rid, j, f, fill) of units of column j, all of an id together."""
+    order = np.argsort(rids, kind="stable")
+    rids, rows = rids[order], rows[order]
+    starts = np.flatnonzero(np.append(True, rids[1:] != rids[:-1]))
+    ends = np.append(starts[1:], len(rids))
+    fills = np.empty((len(starts), len(ks)))
+    once = np.flatnonzero(ends - starts == 1)
+    for laid, b in _blocks(ids, x, j, rows[starts[once]], leaf_rows):
+        fills[once[b]] = laid.shares(rows[starts[once[b]]], ks, metric)
+    again = np.flatnonzero(ends - starts > 1)
+    if len(again):  # rows of one id share the k
+        laid = _Laid(x, ids, j, *_leaf_order(x, j, leaf_rows))
+        for u in again:
+            mine = rows[starts[u]:ends[u]]
+            fills[u] = laid.nearest_mean(mine, *laid.bounds(mine, metric), ks, metric)
+    return pd.DataFrame({"rid": np.repeat(rids[starts], len(ks)), "j": np.int32(j),
+                         "f": np.tile(np.arange(len(ks), dtype=np.int32), len(starts)), "fill": np.ravel(fills)})
+
+
+FILL_SCHEMA = "rid long, j int, f int, fill double"
+
+
+def _units(rec: DataFrame, cols: list[str], targets: list[int] | None, tasks: int) -> DataFrame:
+    """A unit per missing target of every receiver (or one with __j = -1), near ones of one column in one task, all of an id too
+    (fills of null ids would find no row)."""
+    pattern = F.concat(*[F.when(F.col(c).isNull(), "0").otherwise("1") for c in cols])
+    spread = rec.agg(*[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)]).first()
+    wide = sorted(range(len(cols)), key=lambda i: -(spread[f"s{i}"] or 0.0))
+    place = F.min(F.struct(pattern.alias("p"), F.coalesce(*[F.col(cols[i]) for i in wide]).alias("x"))).over(Window.partitionBy("__id"))
+    j = F.lit(-1) if targets is None else F.explode(F.array_compact(F.array(*[F.when(F.col(cols[t]).isNull(), F.lit(t)) for t in targets])))
+    order = ["__j", "__place", "__id"]
+    return (rec.where(F.col("__id").isNotNull()).withColumn("__place", place).select(j.alias("__j"), "__place", "__id", *cols)
+            .repartitionByRange(tasks, *order).sortWithinPartitions(*order))
+
+
+def _by_column(j: np.ndarray, rids: np.ndarray, rows: np.ndarray):
+    for one in np.unique(j):
+        at = np.flatnonzero(j == one)
+        yield int(one), rids[at], rows[at]
+
+
 def _shared_out(rec: DataFrame, don: DataFrame, cols: list[str], available: list[int], fractions: list[float], metric: str,
                 block_rows: int) -> DataFrame:
     """(rid, j, f, fill): mean of the nearest share of a donor table of a measured, bounded size, which goes to
-    every task with the order of its leaves per column; a hole is filled where it lies."""
+    every task; a hole is filled where it lies."""
     spark = rec.sparkSession
-    d = don.select("__id", *cols).toPandas()
+    d = don.select(F.coalesce("__id", F.lit(LOW_ID)).alias("__id"), *cols).toPandas()
     ids, x = d["__id"].to_numpy(np.int64), d[cols].to_numpy(dtype="float64", na_value=np.nan)
-    held = spark.sparkContext.broadcast((ids, x, [_leaf_order(x, j, SHARE_LEAF_ROWS) for j in range(len(cols))]))
-    ks = [[max(1, int(n * f)) for f in fractions] if n else [] for n in available]
-    # a task has holes of one column or a few, rows of one id side by side (fills of null ids would find no row)
-    holes = rec.where(F.col("__id").isNotNull()).select(
-        F.explode(F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(j)) for j, c in enumerate(cols)]))).alias("__j"), "__id", *cols)
-    parts = max(spark.sparkContext.defaultParallelism, math.ceil(rec.count() / block_rows))
+    order = np.argsort(ids, kind="stable")
+    held = spark.sparkContext.broadcast((ids[order], x[order]))
+    ks, leaf_rows = [[max(1, int(n * f)) for f in fractions] if n else [] for n in available], SHARE_LEAF_ROWS
+    parts = max(spark.sparkContext.defaultParallelism, math.ceil(rec.count() / max(block_rows, HELD_UNITS // len(cols))))
 
-    def filled(laid, j, part):
-        rids, rows = part["__id"].to_numpy(np.int64), part[cols].to_numpy(dtype="float64", na_value=np.nan)
-        starts = np.flatnonzero(np.append(True, rids[1:] != rids[:-1]))
-        ends = np.append(starts[1:], len(rids))
-        fills = []
-        for block in range(0, len(starts), SHARE_UNITS):
-            s, e = starts[block:block + SHARE_UNITS], ends[block:block + SHARE_UNITS]
-            low, top = laid.bounds(rows[s[0]:e[-1]], metric)
-            fills += [laid.nearest_mean(rows[a:b], low[a - s[0]:b - s[0]], top[a - s[0]:b - s[0]], ks[j], metric) for a, b in zip(s, e)]
-        return pd.DataFrame({"rid": np.repeat(rids[starts], len(fractions)), "j": np.int32(j),
-                             "f": np.tile(np.arange(len(fractions), dtype=np.int32), len(starts)), "fill": np.ravel(fills)})
+    def run(it):
+        got = list(it)
+        if got:
+            pdf = pd.concat(got, ignore_index=True)
+            for j, rids, rows in _by_column(pdf["__j"].to_numpy(), pdf["__id"].to_numpy(np.int64), pdf[cols].to_numpy(dtype="float64", na_value=np.nan)):
+                if ks[j]:
+                    yield _share_fills(*held.value, j, rids, rows, ks[j], metric, leaf_rows)
+    return _units(rec, cols, list(range(len(cols))), parts).drop("__place").mapInPandas(run, FILL_SCHEMA)
+
+
+def _held(rec: DataFrame, don: DataFrame, cols: list[str], targets: list[int] | None, work, schema: str) -> DataFrame:
+    """``work(ids, x, j, rids, rows) -> frames`` for the units of every column of a task, with all donors in the order of
+    their ids.  Units near each other fill a task, and donors, of a measured, bounded size, stream into each of the
+    few tasks there are."""
+    spark, d = rec.sparkSession, len(cols)
+
+    def packed(it):
+        for pdf in it:
+            yield pd.DataFrame({"n": [len(pdf)], "ids": [pdf["__id"].to_numpy(np.int64).tobytes()],
+                                "rows": [np.ascontiguousarray(pdf[cols].to_numpy(dtype="float64", na_value=np.nan)).tobytes()]})
+
+    def placed(it):
+        from pyspark import TaskContext
+        for pdf in it:
+            yield pd.DataFrame({"grp": [TaskContext.get().partitionId()], "js": [pdf["__j"].to_numpy(np.int32).tobytes()],
+                                "ids": [pdf["__id"].to_numpy(np.int64).tobytes()],
+                                "rows": [np.ascontiguousarray(pdf[cols].to_numpy(dtype="float64", na_value=np.nan)).tobytes()]})
+
+    donors = cut(don.select(F.coalesce("__id", F.lit(LOW_ID)).alias("__id"), *cols).mapInPandas(packed, "n long, ids binary, rows binary"))
+    total = donors.agg(F.sum("n")).first()[0]
+    if not total:
+        return spark.createDataFrame([], schema)
+    holes = [F.lit(1)] if targets is None else [F.col(cols[t]).isNull().cast("int") for t in targets]
+    units = rec.agg(F.sum(sum(holes[1:], holes[0]))).first()[0] or 0
+    many = max(spark.sparkContext.defaultParallelism, -(-units // HELD_UNITS))
 
     def run(it):
-        ids, x, orders = held.value
-        now, laid, rest = None, None, None
-        for pdf in itertools.chain(it, [None]):
-            if pdf is not None:  # the last id may go on in the next batch
-                pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
-                if not len(pdf):
-                    continue
-                last = (pdf["__j"] == pdf["__j"].iloc[-1]) & (pdf["__id"] == pdf["__id"].iloc[-1])
-                pdf, rest = pdf[~last], pdf[last]
-            elif rest is not None:
-                pdf = rest
-            else:
-                return
-            for j, part in pdf.groupby("__j"):
-                if not ks[j]:
-                    continue
-                if now != j:
-                    now, laid = j, _Laid(x, ids, j, *orders[j])
-                yield filled(laid, j, part)
-    return (holes.repartitionByRange(parts, "__j", "__id").sortWithinPartitions("__j", "__id")
-            .mapInPandas(run, "rid long, j int, f int, fill double"))
+        ids, x, at, js, rids, rows = np.empty(total, np.int64), np.empty((total, d)), 0, [], [], []
+        for b in it:
+            for j, i, r in zip(b.column("js"), b.column("ids"), b.column("rows")):
+                i, r = np.frombuffer(i.as_buffer(), np.int64), np.frombuffer(r.as_buffer(), np.float64).reshape(-1, d)
+                if j.is_valid:
+                    js.append(np.frombuffer(j.as_buffer(), np.int32).copy())
+                    rids.append(i.copy())
+                    rows.append(r.copy())
+                else:
+                    ids[at:at + len(i)], x[at:at + len(i)], at = i, r, at + len(i)
+            b = i = r = j = None
+        if js:
+            order = np.argsort(ids, kind="stable")
+            ids = ids[order]
+            for c in range(d):
+                x[:, c] = x[order, c]
+            for j, mine, of in _by_column(np.concatenate(js), np.concatenate(rids), np.concatenate(rows)):
+                for out in work(ids, x, j, mine, of):
+                    yield pa.RecordBatch.from_pandas(out, preserve_index=False)
+
+    passed = donors.select(F.explode(F.sequence(F.lit(0), F.lit(many - 1))).alias("grp"), F.lit(None).cast("binary").alias("js"), "ids", "rows")
+    both = _units(rec, cols, targets, many).drop("__place").mapInPandas(placed, "grp int, js binary, ids binary, rows binary").unionByName(passed)
+    return both.repartitionById(many, "grp").mapInArrow(run, schema)
+
+
+def _held_shares(rec: DataFrame, don: DataFrame, cols: list[str], available: list[int], fractions: list[float], metric: str, leaf_rows: int) -> DataFrame:
+    """(rid, j, f, fill): mean of the nearest share, donors held by the tasks."""
+    ks, leaf_rows = [[max(1, int(n * f)) for f in fractions] if n else [] for n in available], min(leaf_rows, SHARE_LEAF_ROWS)
+
+    def work(ids, x, j, rids, rows):
+        if ks[j]:
+            yield _share_fills(ids, x, j, rids, rows, ks[j], metric, leaf_rows)
+    return _held(rec, don, cols, list(range(len(cols))), work, FILL_SCHEMA)
 
 
 # Range counting: a unit (a hole and a fraction) looks for the distance of its k-th donor.  Units lie in
@@ -951,9 +1283,12 @@ class SimilarityPartialMeanModel(ImputerModel):
         rec = df.where(hole).select(*sel)
         don = df.select(*sel)
         n_avail = df.agg(*[F.count(clean(df, c)).alias(c) for c in cols]).first()
-        if not _is_small(don, len(cols), self.broadcast_bytes):
-            return _counted(rec, don, cols, [n_avail[c] for c in cols], fractions, self.metric, self.leaf_rows)
-        return _shared_out(rec, don, cols, [n_avail[c] for c in cols], fractions, self.metric, self.block_rows)
+        available = [n_avail[c] for c in cols]
+        if _is_small(don, len(cols), self.broadcast_bytes):
+            return _shared_out(rec, don, cols, available, fractions, self.metric, self.block_rows)
+        if _is_small(don, len(cols) - 1, HELD_BYTES):
+            return _held_shares(rec, don, cols, available, fractions, self.metric, self.leaf_rows)
+        return _counted(rec, don, cols, available, fractions, self.metric, self.leaf_rows)
 
     def _fallback(self):
         return {c: (self.means[c] if self.means.get(c) is not None else 0.0) for c in self.cols}

@@ -226,3 +226,55 @@ def test_a_wrong_guess_ties_and_repeated_ids_end_in_the_exact_share(spark):
     for rid, k, mine in ((1, 1, [0]), (2, 90, [1]), (3, 90, [2]), (4, 150, [0]), (5, 300, [1]), (6, 120, [2, 0])):
         pairs = sorted((((X[i, 0] - m) ** 2 + (X[i, 1] - 1) ** 2), ids[i], v[i]) for m in mine for i in range(300))
         assert abs(fills[rid] - np.mean([p[2] for p in pairs[:k]])) < 1e-9, rid
+
+
+def _odd_rows(seed):
+    rng = np.random.default_rng(seed)
+    n, d = int(rng.integers(60, 500)), int(rng.integers(2, 5))
+    x = rng.lognormal(2, 1, (n, d)) * 10.0 ** rng.integers(-1, 3, d)
+    if seed % 2:
+        x = np.round(x / np.median(x, axis=0) * 2)  # many ties
+    if seed % 3 == 0:
+        x[:n // 3] = x[0]
+    x[rng.random(x.shape) < 0.3] = np.nan
+    return x, np.sort(rng.choice(10**6, n, replace=False)) - 500_000
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_held_shares_equal_all_pairs(monkeypatch, seed):
+    """Guesses that fail, leaves per set of features, equal rows taken whole with ties by id: always the exact donors."""
+    x, ids = _odd_rows(seed)
+    for name, values in {"POINT_ROWS": (1, 4, 32), "OWN_UNITS": (1, 20, 500), "LOOK_ROWS": (7, 64, 4096), "BLOCK_UNITS": (3, 32, 8)}.items():
+        monkeypatch.setattr(knn, name, values[seed % 3])
+    for leaf_rows, j in ((1, 0), (7, 1), (64, x.shape[1] - 1)):
+        don, u = np.flatnonzero(~np.isnan(x[:, j])), np.flatnonzero(np.isnan(x[:, j]))
+        ks = [max(1, int(len(don) * f)) for f in (0.05, 0.3, 0.8, 1.0)]
+        for metric in ("euclidean", "manhattan"):
+            got = knn._share_fills(ids, x, j, u, x[u], ks, metric, leaf_rows).set_index(["rid", "f"])["fill"]
+            for i in u:
+                diff = np.delete(x[don] - x[i], j, axis=1)
+                dist = np.nansum(diff * diff if metric == "euclidean" else np.abs(diff), axis=1)
+                dist[np.isnan(diff).all(axis=1)] = np.inf
+                near = x[don[np.lexsort((ids[don], dist))], j]
+                assert np.allclose([got[i, f] for f in range(4)], [near[:k].mean() for k in ks], rtol=1e-10)
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_shares_of_donors_too_large_to_ship_need_no_rounds(spark, monkeypatch, metric):
+    """Donors stream into tasks that hold them; only beyond HELD_BYTES are ranges counted in rounds."""
+    counted = knn._counted
+    df, fractions = _table(spark, np.vstack([_holes(7, 150, 40), _holes(8, 50, 10)])), [0.3, 0.8]
+    want = SimilarityPartialMeanImputer("id", 0.3, metric, columns=COLS, broadcast_bytes=0, leaf_rows=13).fit(df)
+    monkeypatch.setattr(knn, "HELD_BYTES", 0, raising=False)
+    want = {f: t.orderBy("id").toPandas()[COLS].to_numpy(float) for f, t in want.sweep(df, fractions).items()}
+    monkeypatch.undo()
+    monkeypatch.setattr(knn, "_counted", None)
+    got = SimilarityPartialMeanImputer("id", 0.3, metric, columns=COLS, broadcast_bytes=0).fit(df).sweep(df, fractions)
+    for f in fractions:
+        assert np.allclose(got[f].orderBy("id").toPandas()[COLS].to_numpy(float), want[f], atol=1e-9)
+    twice = df.unionByName(df.where("id % 3 = 0"))  # rows of one id share their fill
+    got = SimilarityPartialMeanImputer("id", 0.3, metric, columns=COLS, broadcast_bytes=0).fit_transform(twice).orderBy("id").toPandas()
+    monkeypatch.setattr(knn, "_counted", counted)
+    monkeypatch.setattr(knn, "HELD_BYTES", 0, raising=False)
+    want = SimilarityPartialMeanImputer("id", 0.3, metric, columns=COLS, broadcast_bytes=0, leaf_rows=13).fit_transform(twice).orderBy("id").toPandas()
+    assert np.allclose(got[COLS].to_numpy(float), want[COLS].to_numpy(float), atol=1e-9)
