@@ -44,7 +44,9 @@ CLOSE = 6  # nodes that a unit's first radius comes from besides
 SLACK = 1e-9  # of bounds, for rounding
 HELD_BYTES = 192 << 20  # donors of a task that holds them
 HELD_UNITS = 131072  # units of a task that holds its donors
+HELD_LEAF_ROWS = 64
 OWN_UNITS, OWN_SHARE = 64, 1024  # units of one set of features, also as one part in so many of the donors, that are worth leaves of their own
+NEAR_LEAVES = 8  # leaves that a first radius comes from
 BLOCK_UNITS = 32  # near units whose bounds are computed together
 LOOK_ROWS = 4096  # donors that a block's units look at together
 POINT_ROWS = 32  # equal donors that are taken by their sum
@@ -296,6 +298,8 @@ class KNNModel(ImputerModel):
         don = self.donors
         if _is_small(don, len(self.feats), self.broadcast_bytes, FEW_DONORS):
             cand = _shipped(rec, don, self.block_rows, _nan_euclid_block(self.feats, tj, k), CAND_SCHEMA, _keep_best(k, ["rid", "j"], "dist2"))
+        elif _is_small(don, len(self.feats) - 1, HELD_BYTES):
+            cand = _held_nearest(rec, don, self.feats, tj, k, True, self.leaf_rows)
         else:
             cand = _indexed(rec, don, self.feats, tj, k, True, self.leaf_rows)
         return _merge_topk(cand, k)
@@ -396,6 +400,8 @@ class EnhancedKNNModel(ImputerModel):
         rec = numbered.where(hole).select("__id", *z)
         if _is_small(allz, len(self.dist_feats), self.broadcast_bytes, FEW_DONORS):
             cand = _shipped(rec, allz, self.block_rows, _euclid_block(self.dist_feats, k), NEIGH_SCHEMA, _keep_best(k, ["rid"], "ss"))
+        elif _is_small(allz, len(self.dist_feats) - 1, HELD_BYTES):
+            cand = _held_nearest(rec, allz, self.dist_feats, None, k, False, self.leaf_rows).withColumnRenamed("dist2", "ss")
         else:
             cand = _indexed(rec, allz, self.dist_feats, None, k, False, self.leaf_rows).withColumnRenamed("dist2", "ss")
         w = Window.partitionBy("rid").orderBy("ss", "sid")
@@ -778,6 +784,71 @@ class _Laid:
             total, need = total + value[a:a + min(need, b - a)].sum(), need - min(need, b - a)
         return total
 
+    def nearest(self, rids: np.ndarray, rows: np.ndarray, k: int, scaled: bool, itself: int):
+        """(places of rows, places of donors, squared distances): the k nearest donors of every row; rows lie near each
+        other and have the same features.  ``itself`` > 0: donors of a row's own id, so many at most, are none."""
+        cols, d = self._present(rows), rows.shape[1]
+        none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        if not cols:
+            return none
+        low, top, shared = self._box(rows, cols, "euclidean")
+        with np.errstate(divide="ignore", invalid="ignore"):
+            rate = np.where(shared > 0, d / shared if scaled else 1.0, np.inf)
+            low, top = np.where(shared > 0, low * rate, np.inf), np.where(shared > 0, top * rate, np.inf)
+        some = np.flatnonzero(shared > 0)
+        if not len(some):
+            return none
+
+        def pairs(leaves):
+            at = self.places(leaves, k + itself)
+            ss, both = np.zeros((len(rows), len(at))), np.zeros(len(at))
+            for i, c in cols:
+                values = self.x[i][at]
+                diff = rows[:, c, None] - values
+                gone = np.isnan(values)
+                if gone.any():
+                    diff[:, gone] = 0.0
+                diff *= diff
+                ss += diff
+                both += ~gone
+            if scaled:
+                ss = d * ss / both
+            if itself:
+                ss[rids[:, None] == self.ids[at][None, :]] = np.inf
+            return ss, at
+
+        first = some if len(some) <= NEAR_LEAVES else some[np.argpartition(low[some] + top[some], NEAR_LEAVES)[:NEAR_LEAVES]]
+        ss, at = pairs(first)
+        radius = np.partition(ss, k - 1, axis=1)[:, k - 1] if len(at) >= k else np.full(len(rows), np.inf)
+        best = best_at = None
+        near = some[low[some] <= radius.max() * (1 + SLACK)]
+        near = near[np.argsort(low[near], kind="stable")]
+        begin = 0
+        while begin < len(near):
+            wide = np.cumsum(np.where(self.point[near[begin:]], np.minimum(self.n[near[begin:]], k + itself), self.n[near[begin:]]))
+            end = begin + max(1, int(np.searchsorted(wide, DONOR_ROWS, "right")))
+            leaves = near[begin:end]
+            least = self._row_bounds(rows, cols, leaves, "euclidean")[0] * rate[leaves]
+            leaves = leaves[(least <= radius[:, None] * (1 + SLACK)).any(axis=0)]
+            begin = end
+            if len(leaves):
+                ss, at = pairs(leaves)
+                pick = _topk_idx(ss, self.ids[at], k)
+                got, got_at = np.take_along_axis(ss, pick, 1), at[pick]
+                if best is not None:
+                    got, got_at = np.concatenate((best, got), axis=1), np.concatenate((best_at, got_at), axis=1)
+                    pick = np.lexsort((self.ids[got_at], got), axis=1)[:, :k]
+                    got, got_at = np.take_along_axis(got, pick, 1), np.take_along_axis(got_at, pick, 1)
+                best, best_at = got, got_at
+                if best.shape[1] == k:
+                    radius = np.minimum(radius, best[:, -1])
+                    if begin < len(near) and low[near[begin]] > radius.max() * (1 + SLACK):
+                        break
+        if best is None:
+            return none
+        a, b = np.nonzero(np.isfinite(best))
+        return a, best_at[a, b], best[a, b]
+
 
 def _leaf_order(x: np.ndarray, j: int, leaf_rows: int, cols: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Places of the rows that have column j (j < 0: of all), leaf by leaf, and where leaves start.  Rows of one leaf have
@@ -957,6 +1028,28 @@ def _held_shares(rec: DataFrame, don: DataFrame, cols: list[str], available: lis
     return _held(rec, don, cols, list(range(len(cols))), work, FILL_SCHEMA)
 
 
+def _held_nearest(rec: DataFrame, don: DataFrame, feats: list[str], targets: list[int] | None, k: int, scaled: bool, leaf_rows: int) -> DataFrame:
+    """(rid, j, sid, dist2, v): the k nearest donors of every unit, donors held by the tasks.
+
+    Without ``targets`` a unit is a receiver, every row is a donor but the receiver itself."""
+    leaf_rows = min(leaf_rows, HELD_LEAF_ROWS)
+
+    def work(ids, x, j, rids, rows):
+        itself = 0
+        if j < 0:  # how often an id comes at most
+            itself = int(np.diff(np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1], [True])))).max())
+        elif np.isnan(x[:, j]).all():
+            return
+
+        def frames():
+            for laid, b in _blocks(ids, x, j, rows, leaf_rows):
+                for part in np.array_split(b, -(-len(b) // BLOCK_UNITS)):
+                    a, at, dist = laid.nearest(rids[part], rows[part], k, scaled, itself)
+                    yield pd.DataFrame({"rid": rids[part[a]], "j": np.int32(j), "sid": laid.ids[at], "dist2": dist, "v": laid.v[at]})
+        yield from index.gathered(frames())
+    return _held(rec, don, feats, targets, work, CAND_SCHEMA)
+
+
 # Range counting: a unit (a hole and a fraction) looks for the distance of its k-th donor.  Units lie in
 # groups of neighbours, one task each; every round the leaves stream past each group, and a unit counts
 # what lies below its range and, in bins, what lies in it.  The bin that holds the k-th donor is its next

@@ -241,10 +241,11 @@ def _odd_rows(seed):
 
 
 @pytest.mark.parametrize("seed", range(6))
-def test_held_shares_equal_all_pairs(monkeypatch, seed):
+def test_held_shares_and_neighbours_equal_all_pairs(monkeypatch, seed):
     """Guesses that fail, leaves per set of features, equal rows taken whole with ties by id: always the exact donors."""
     x, ids = _odd_rows(seed)
-    for name, values in {"POINT_ROWS": (1, 4, 32), "OWN_UNITS": (1, 20, 500), "LOOK_ROWS": (7, 64, 4096), "BLOCK_UNITS": (3, 32, 8)}.items():
+    for name, values in {"POINT_ROWS": (1, 4, 32), "OWN_UNITS": (1, 20, 500), "LOOK_ROWS": (7, 64, 4096), "BLOCK_UNITS": (3, 32, 8),
+                         "NEAR_LEAVES": (1, 2, 8), "DONOR_ROWS": (5, 8192, 40)}.items():
         monkeypatch.setattr(knn, name, values[seed % 3])
     for leaf_rows, j in ((1, 0), (7, 1), (64, x.shape[1] - 1)):
         don, u = np.flatnonzero(~np.isnan(x[:, j])), np.flatnonzero(np.isnan(x[:, j]))
@@ -257,6 +258,16 @@ def test_held_shares_equal_all_pairs(monkeypatch, seed):
                 dist[np.isnan(diff).all(axis=1)] = np.inf
                 near = x[don[np.lexsort((ids[don], dist))], j]
                 assert np.allclose([got[i, f] for f in range(4)], [near[:k].mean() for k in ks], rtol=1e-10)
+        for laid, b in knn._blocks(ids, x, j, x[u], leaf_rows):
+            a, at, dist = laid.nearest(u[b], x[u[b]], 4, True, 0)
+            for q, i in enumerate(u[b]):
+                diff = x[don] - x[i]
+                shared, ss = (~np.isnan(diff)).sum(axis=1), np.zeros(len(don))
+                for c in range(x.shape[1]):
+                    ss += np.nan_to_num(diff[:, c]) ** 2
+                every = np.array([x.shape[1] * s / n if n else np.inf for s, n in zip(ss, shared)])
+                want = [w for w in sorted(zip(every, ids[don]))[:4] if np.isfinite(w[0])]
+                assert sorted(zip(dist[a == q], laid.ids[at[a == q]])) == want
 
 
 @pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
@@ -278,3 +289,19 @@ def test_shares_of_donors_too_large_to_ship_need_no_rounds(spark, monkeypatch, m
     monkeypatch.setattr(knn, "HELD_BYTES", 0, raising=False)
     want = SimilarityPartialMeanImputer("id", 0.3, metric, columns=COLS, broadcast_bytes=0, leaf_rows=13).fit_transform(twice).orderBy("id").toPandas()
     assert np.allclose(got[COLS].to_numpy(float), want[COLS].to_numpy(float), atol=1e-9)
+
+
+def test_neighbours_of_many_donors_need_no_descent(spark, monkeypatch):
+    """Candidates leave a task as the k nearest of each hole; only beyond HELD_BYTES do blocks of units descend a tree."""
+    df = _table(spark, _holes(11, 160, 40))
+    mixed = df.unionByName(df.where("id % 4 = 0"))
+    makers = (lambda: KNNImputer("id", 4, columns=COLS, features=COLS, broadcast_bytes=0, leaf_rows=9),
+              lambda: KNNImputer("id", 3, "distance", columns=["q"], features=COLS, broadcast_bytes=0),
+              lambda: EnhancedKNNImputer("id", 4, columns=COLS, broadcast_bytes=0, leaf_rows=9))
+    monkeypatch.setattr(knn, "HELD_BYTES", 0, raising=False)
+    want = [[m().fit_transform(t).orderBy("id", *COLS).toPandas()[COLS].to_numpy(float) for m in makers] for t in (df, mixed)]
+    monkeypatch.undo()
+    monkeypatch.setattr(knn, "_indexed", None)
+    for t, ws in zip((df, mixed), want):
+        for make, w in zip(makers, ws):
+            assert np.allclose(make().fit_transform(t).orderBy("id", *COLS).toPandas()[COLS].to_numpy(float), w, atol=1e-9, equal_nan=True)
