@@ -869,7 +869,10 @@ def _leaf_order(x: np.ndarray, j: int, leaf_rows: int, cols: list[int] | None =
         left, mine = [same] if len(same) else [], [i for i in cols if len(same) and x[same[0], i] == x[same[0], i]]
         while left:
             at = left.pop()
-            span = np.ptp(x[np.ix_(at, mine)], axis=0) if mine else np.zeros(1)
+            if len(at) > 1 << 16:  # a column at a time
+                span = np.array([np.ptp(x[at, i]) for i in mine] or [0.0])
+            else:
+                span = np.ptp(x[np.ix_(at, mine)], axis=0) if mine else np.zeros(1)
             if not span.any():
                 leaves.append(np.sort(at))
                 continue
@@ -889,17 +892,20 @@ def _blocks(ids: np.ndarray, x: np.ndarray, j: int, rows: np.ndarray, leaf_rows:
     are laid by the features of many units: what these units lack has no part in their distances."""
     others = [i for i in range(x.shape[1]) if i != j]
     order, starts = _leaf_order(rows, -1, BLOCK_UNITS, others)
-    has, all_laid = ~np.isnan(rows[:, others]), None
+    has, every, own = ~np.isnan(rows[:, others]), [], []
     blocks = np.split(order, starts[1:])
     for _, same in itertools.groupby(blocks, lambda b: has[b[0]].tobytes()):
         same = list(same)
-        cols, laid = [c for c, h in zip(others, has[same[0][0]]) if h], None
+        cols = [c for c, h in zip(others, has[same[0][0]]) if h]
         if cols and len(cols) < len(others) and sum(map(len, same)) >= max(OWN_UNITS, len(x) // OWN_SHARE):
-            laid = _Laid(x, ids, j, *_leaf_order(x, j, leaf_rows, cols), cols)
-        elif all_laid is None:
-            all_laid = _Laid(x, ids, j, *_leaf_order(x, j, leaf_rows))
+            own.append((cols, same))
+        else:
+            every += same
+    for cols, same in ([(None, every)] if every else []) + own:  # one order of the donors at a time
+        laid = _Laid(x, ids, j, *_leaf_order(x, j, leaf_rows, cols), cols)
         for b in same:
-            yield laid or all_laid, b
+            yield laid, b
+        del laid
 
 
 def _share_fills(ids, x, j, rids, rows, ks: list[int], metric: str, leaf_rows: int) -> pd.DataFrame:
@@ -912,6 +918,7 @@ def _share_fills(ids, x, j, rids, rows, ks: list[int], metric: str, leaf_rows: i
     once = np.flatnonzero(ends - starts == 1)
     for laid, b in _blocks(ids, x, j, rows[starts[once]], leaf_rows):
         fills[once[b]] = laid.shares(rows[starts[once[b]]], ks, metric)
+        del laid  # before the next is made
     again = np.flatnonzero(ends - starts > 1)
     if len(again):  # rows of one id share the k
         laid = _Laid(x, ids, j, *_leaf_order(x, j, leaf_rows))
@@ -1046,6 +1053,7 @@ def _held_nearest(rec: DataFrame, don: DataFrame, feats: list[str], targets: lis
                 for part in np.array_split(b, -(-len(b) // BLOCK_UNITS)):
                     a, at, dist = laid.nearest(rids[part], rows[part], k, scaled, itself)
                     yield pd.DataFrame({"rid": rids[part[a]], "j": np.int32(j), "sid": laid.ids[at], "dist2": dist, "v": laid.v[at]})
+                del laid  # before the next is made
         yield from index.gathered(frames())
     return _held(rec, don, feats, targets, work, CAND_SCHEMA)
 
